@@ -95,6 +95,22 @@ class Timeline:
         clone.columns = self.columns + [c for c in columns if c not in self.columns]
         return clone
 
+    def filter(self, condition: Column) -> Timeline:
+        """A subset of the rows, in the same order and chunks."""
+        clone = self.with_columns({})
+        clone.df = self.df.filter(condition)
+        return clone
+
+    def scanned(self, **scans: Scan) -> Timeline:
+        """The timeline with one more column per scan, ready for another step."""
+        clone = self.with_columns({})
+        clone.df = self._scanned(scans)
+        clone.columns = self.columns + list(scans)
+        return clone
+
+    def rows(self) -> DataFrame:
+        return self.df.select(*self.columns)
+
     # -- scans -------------------------------------------------------------
 
     def _over(self):
@@ -176,7 +192,7 @@ class Timeline:
 
     def scan(self, **scans: Scan) -> DataFrame:
         """The input rows plus one column per scan."""
-        return self._scanned(scans).select(*self.columns, *scans)
+        return self.scanned(**scans).rows()
 
     # -- anchored windows --------------------------------------------------
 
