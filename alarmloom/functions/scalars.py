@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,8 +52,32 @@ def any_empty(*columns: tuple[Column, T.DataType] | Column) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
-def trigger_holds(value: Column, trigger: Column, literal: bool = False) -> Column:
-    """Whether a value meets a trigger (a struct of schemas.TRIGGER).
+def typed_trigger(trigger: Column) -> Column:
+    """A trigger (a struct of schemas.TRIGGER) with its numbers parsed.
+
+    Meant for the rule side of a join, so that no bound is parsed per data point.
+    """
+    return F.struct(
+        trigger["triggerCondition"].alias("condition"),
+        F.coalesce(trigger["triggerConditionValType"], F.lit(0)).alias("kind"),
+        text_to_double(trigger["triggerConditionAval"]).alias("a"),
+        text_to_double(trigger["triggerConditionBval"]).alias("b"),
+        text_to_double(F.coalesce(trigger["alarmDeadZone"], F.lit(""))).alias("zone"),
+        trimmed(trigger["triggerConditionAval"]).alias("text"),
+    )
+
+
+def with_number(points: DataFrame, value: str = "val") -> DataFrame:
+    """Data points with their trimmed text and their number, parsed once per point."""
+    return points.withColumns(
+        {"text": trimmed(F.col(value)), "number": text_to_double(F.col(value))}
+    )
+
+
+def trigger_holds(
+    text: Column, number: Column, trigger: Column, literal: bool = False
+) -> Column:
+    """Whether a value (see with_number) meets a trigger (see typed_trigger).
 
     Conditions: 0 on, 1 off, 2 equals A, 3 above A, 4 below B, 5 between A and B,
     6 outside A and B.  Numeric bounds move by the dead zone; a value that is not
@@ -62,15 +86,10 @@ def trigger_holds(value: Column, trigger: Column, literal: bool = False) -> Colu
     ``literal`` keeps the slips of the studied jobs: a numeric "equals" compares
     with the value type instead of A, "below B" tests above, 5 and 6 never hold.
     """
-    condition = trigger["triggerCondition"]
-    text = trimmed(value)
-    number = text_to_double(value)
-    kind = F.coalesce(trigger["triggerConditionValType"], F.lit(0))
-    numeric = kind == 0
-    a = text_to_double(trigger["triggerConditionAval"])
-    b = text_to_double(trigger["triggerConditionBval"])
-    zone = text_to_double(F.coalesce(trigger["alarmDeadZone"], F.lit("")))
-    equals_text = (kind == 1) & (text == trimmed(trigger["triggerConditionAval"]))
+    condition = trigger["condition"]
+    a, b, zone = trigger["a"], trigger["b"], trigger["zone"]
+    numeric = trigger["kind"] == 0
+    equals_text = (trigger["kind"] == 1) & (text == trigger["text"])
     if literal:
         equals = (numeric & (number == 0.0)) | equals_text
         below = numeric & (number > b - zone)

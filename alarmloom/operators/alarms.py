@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alarmloom.functions import scalars as S
-from alarmloom.operators.hotkeys import DEFAULT_POLICY, SplitPolicy
+from alarmloom.operators.hotkeys import CHUNK, DEFAULT_POLICY, SplitPolicy
 from alarmloom.operators.timeline import OPEN, RESET, Timeline, nxt, prev
 
 SECOND = 1_000_000
@@ -25,6 +25,11 @@ def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts))
 
 
+def chunk_of(df: DataFrame) -> list[str]:
+    """The chunk column, to be carried on where there is one."""
+    return [CHUNK] if CHUNK in df.columns else []
+
+
 def seconds(duration: Column) -> Column:
     """A duration in whole seconds as microseconds."""
     return duration.cast("bigint") * SECOND
@@ -136,7 +141,8 @@ def offline_alarms(
         .otherwise(S.OFFLINE_ALARM_TEXT).alias("msg"),
         "emit_us",
         F.when(F.col("recover"), S.RECOVERED).otherwise(S.ALARM).alias("status"),
-        F.col(tie),
+        tie,
+        *chunk_of(status),
     )
 
 

@@ -109,5 +109,5 @@ def control_commands(
         F.col("__c")["controlData"].alias("control_data"),
         F.col("__c")["controlType"].alias("control_type"),
         "rule_id",
-        F.to_json("trigger").alias("trigger"),
+        F.col("trigger_json").alias("trigger"),
     )

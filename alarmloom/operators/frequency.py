@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alarmloom.functions import scalars as S
-from alarmloom.operators.alarms import end_of, micros, seconds
+from alarmloom.operators.alarms import chunk_of, end_of, micros, seconds
 from alarmloom.operators.hotkeys import DEFAULT_POLICY, SplitPolicy
 from alarmloom.operators.timeline import OPEN, PASS, Timeline, prev
 
@@ -74,6 +74,7 @@ def disconnects(
         F.col("__before")[ts].alias("online_ts"),
         F.col(ts).alias("offline_ts"),
         tie,
+        *chunk_of(status),
     )
 
 

@@ -44,6 +44,12 @@ class SplitPolicy:
 
 DEFAULT_POLICY = SplitPolicy()
 
+# For frames derived from rows that were split (or found to need no split) before.
+# Splitting the source once and carrying ``__chunk`` through joins and filters is
+# cheaper than profiling every derived frame, and stays valid as long as the derived
+# keys extend the split keys and the order of the rows is kept.
+CHECKED = SplitPolicy()
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a frame, without running it."""
@@ -64,11 +70,14 @@ def split_hot_keys(
 ) -> tuple[DataFrame, bool]:
     """Add ``__chunk`` when some key is hot.
 
-    Returns the frame and whether it was split.  When it was, ``__chunk`` is
-    null for keys that are not hot and 0, 1, 2, ... in time order for hot ones.
+    Returns the frame and whether it is split.  When it is, ``__chunk`` is null for
+    keys that are not hot and 0, 1, 2, ... in time order for hot ones.  A frame that
+    already has the column is left as it is.
     """
     keys = list(keys)
-    if estimated_bytes(df) <= policy.small_bytes:
+    if CHUNK in df.columns:
+        return df, True
+    if policy is CHECKED or estimated_bytes(df) <= policy.small_bytes:
         return df, False
 
     total = Observation()

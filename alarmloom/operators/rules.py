@@ -9,11 +9,11 @@ partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alarmloom import schemas
-from alarmloom.functions.scalars import row_id
+from alarmloom.functions.scalars import typed_trigger
 
 CONTROL_ACTION = "2"
 ALARM_DRIVEN = "2"
@@ -99,7 +99,7 @@ def machines_of_gateways(relation: DataFrame, gateways: DataFrame) -> DataFrame:
 def rule_details(
     rules: DataFrame, elements: DataFrame, actions: DataFrame
 ) -> DataFrame:
-    """One flat row per live rule: parsed trigger and action, first machine.
+    """One flat row per live rule: typed trigger, parsed action, first machine.
 
     ``position`` orders the elements of a rule.
     """
@@ -108,11 +108,19 @@ def rule_details(
         .groupBy("rule_id")
         .agg(F.min_by("machine_id", "position").alias("rule_machine_id"))
     )
-    parsed = rules.filter((F.col("del_flag") == 0) & (F.col("status") == 0)).select(
-        F.col("id").alias("rule_id"),
-        "rely_rule_id",
-        "trigger_type",
-        F.from_json("trigger", schemas.TRIGGER).alias("trigger"),
+    trigger = F.from_json("trigger", schemas.TRIGGER)
+    parsed = (
+        rules.filter((F.col("del_flag") == 0) & (F.col("status") == 0))
+        .withColumn("__t", trigger)
+        .select(
+            F.col("id").alias("rule_id"),
+            "rely_rule_id",
+            "trigger_type",
+            F.col("trigger").alias("trigger_json"),
+            typed_trigger(F.col("__t")).alias("trigger"),
+            F.col("__t.alarmMsg").alias("alarm_msg"),
+            F.coalesce("__t.delayTime", F.lit(0)).alias("delay"),
+        )
     )
     act = actions.select(
         "rule_id",
@@ -126,17 +134,27 @@ def rule_details(
 # -- tagging -----------------------------------------------------------------
 
 
+def watch_list(mapping: DataFrame, details: DataFrame) -> DataFrame:
+    """A point-to-rule mapping with the rules' details.
+
+    Joins dimensions only, so that data points meet rules in a single join.
+    Scheduled controls are left out: no data point drives them.
+    """
+    running = details.filter(~F.col("trigger_type").eqNullSafe(SCHEDULED))
+    return mapping.join(running, "rule_id")
+
+
 def tag_points(
-    points: DataFrame, unique_rules: DataFrame, template_rules: DataFrame
+    points: DataFrame, unique_watch: DataFrame, template_watch: DataFrame
 ) -> DataFrame:
     """One row per data point and rule that watches it.
 
-    ``unique_rules`` (unique_data_point_id, rule_id) and ``template_rules``
-    (datapoint_id, rule_id).  A rule reached both ways counts twice, as the two
-    lists are simply appended; a point without rules is dropped.
+    ``unique_watch`` has unique_data_point_id and rule columns, ``template_watch``
+    datapoint_id and the same rule columns.  A rule reached both ways counts twice,
+    as the two lists are simply appended; a point without rules is dropped.
     """
-    by_unique = points.join(unique_rules, "unique_data_point_id")
-    by_template = points.join(template_rules, "datapoint_id")
+    by_unique = points.join(unique_watch, "unique_data_point_id")
+    by_template = points.join(template_watch, "datapoint_id")
     return by_unique.unionByName(by_template)
 
 
@@ -147,18 +165,6 @@ def tag_points_prototype(points: DataFrame, gateway_rules: DataFrame) -> DataFra
     ).withColumn("device_id", F.lit(1))
 
 
-def attach_rules(tagged: DataFrame, details: DataFrame, *key: Column) -> DataFrame:
-    """Tagged points with their rule; scheduled controls are left out.
-
-    ``key`` identifies the row for its id.  Error code and time of the point stay
-    available for event-time work.
-    """
-    joined = tagged.join(details, "rule_id")
-    return joined.filter(~F.col("trigger_type").eqNullSafe(SCHEDULED)).withColumn(
-        "uuid", row_id(*key, F.col("rule_id"))
-    )
-
-
 def flatten_rule_lists(points: DataFrame, *lists: str) -> DataFrame:
     """Comma separated rule lists to one row per rule; null lists give none."""
     joined = F.concat_ws(",", *[F.col(c) for c in lists])

@@ -83,6 +83,10 @@ class Timeline:
             df, keys = df.withColumn("__all", F.lit(0)), ["__all"]
         self.keys = list(keys)
         self.ts, self.tie, self.policy = ts, tie, policy
+        # Chunks made here are few; those of a frame split before its keys were
+        # extended have no such bound, so Catalyst picks the join by size.
+        self.few_chunks = CHUNK not in df.columns
+        self.placed = False
         self.df, self.split = split_hot_keys(df, self.keys, ts, tie, policy)
         self.part = self.keys + ([CHUNK] if self.split else [])
         self.order = [ts, tie]
@@ -105,6 +109,7 @@ class Timeline:
         """The timeline with one more column per scan, ready for another step."""
         clone = self.with_columns({})
         clone.df = self._scanned(scans)
+        clone.placed = True
         clone.columns = self.columns + list(scans)
         return clone
 
@@ -116,6 +121,16 @@ class Timeline:
     def _over(self):
         return Window.partitionBy(*self.part).orderBy(*self.order)
 
+    def _placed(self) -> DataFrame:
+        """The rows, shuffled by chunk where there are chunks.
+
+        Without the explicit shuffle a window would accept rows that a join below
+        left partitioned by the hot key alone.
+        """
+        if self.split and not self.placed:
+            return self.df.repartition(*self.part)
+        return self.df
+
     def _scanned(self, scans: dict[str, Scan]) -> DataFrame:
         w = self._over()
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -132,7 +147,7 @@ class Timeline:
                 local[name] = F.last(seen, ignorenulls=True).over(so_far)
             else:
                 local[name] = F.struct(F.max(s.value).over(so_far).alias("v"))
-        out = self.df.withColumns(local)
+        out = self._placed().withColumns(local)
         if self.split:
             out = self._carry_in(out, scans)
         return out.withColumns({n: F.col(n)["v"] for n in scans})
@@ -182,11 +197,13 @@ class Timeline:
         return joined.withColumns(merged).drop(*[f"__in_{n}" for n in scans])
 
     def _join_chunks(self, rows: DataFrame, per_chunk: DataFrame) -> DataFrame:
-        # At most policy.max_chunks rows plus one per hot key: safe to broadcast.
+        # Made here: at most policy.max_chunks rows plus one per hot key.
+        if self.few_chunks:
+            per_chunk = F.broadcast(per_chunk)
         on = F.col(CHUNK) == F.col(f"__j{len(self.keys)}")
         for i, k in enumerate(self.keys):
             on = on & F.col(k).eqNullSafe(F.col(f"__j{i}"))
-        return rows.join(F.broadcast(per_chunk), on, "left").drop(
+        return rows.join(per_chunk, on, "left").drop(
             *[f"__j{i}" for i in range(len(self.part))]
         )
 
@@ -258,7 +275,9 @@ class Timeline:
         on = F.lit(True)
         for i, k in enumerate(self.keys):
             on = on & F.col(k).eqNullSafe(F.col(f"__w{i}"))
-        narrow = hot.join(F.broadcast(width), on, "left").select(
+        if self.few_chunks:
+            width = F.broadcast(width)
+        narrow = hot.join(width, on, "left").select(
             *self.part, "__ts", F.col(self.tie).alias("__tie"), "__kind", "__due",
             "__width",
         )

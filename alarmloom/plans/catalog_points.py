@@ -186,23 +186,25 @@ def element_texts(spark, sf):
 # -- triggers and routing ------------------------------------------------------
 
 
-def tagged(spark, sf):
-    """Data points with the rules that watch them, parsed and typed."""
-    details = R.rule_details(
+def details(spark, sf):
+    return R.rule_details(
         B.rules(spark, sf), B.rule_elements(spark, sf), B.rule_actions(spark, sf)
     )
-    points = R.tag_points(
-        B.points(spark, sf), B.unique_rules(spark, sf), B.template_rules(spark, sf)
+
+
+def tagged(spark, sf, rules=None):
+    """Data points with the rules that watch them, parsed and typed."""
+    rules = details(spark, sf) if rules is None else rules
+    return R.tag_points(
+        S.with_number(B.split_points(spark, sf)),
+        R.watch_list(B.unique_rules(spark, sf), rules),
+        R.watch_list(B.template_rules(spark, sf), rules),
     )
-    return R.attach_rules(points, details, F.col("event_id"))
 
 
 def trigger_rows(spark, sf, literal):
-    return tagged(spark, sf).select(
-        "event_id",
-        "rule_id",
-        S.trigger_holds(F.col("val"), F.col("trigger"), literal).alias("holds"),
-    )
+    holds = S.trigger_holds(F.col("text"), F.col("number"), F.col("trigger"), literal)
+    return tagged(spark, sf).select("event_id", "rule_id", holds.alias("holds"))
 
 
 TAG_CTES = (O.POINTS, O.RULES, O.ELEMENTS, O.DETAILS, O.TAGS, O.TAGGED_RULES)
@@ -257,7 +259,8 @@ ROUTE = f"""{TAGGED} SELECT event_id, rule_id, trigger_type, uuid,
 def direct_controls(spark, sf):
     """Rows routed straight to control."""
     return R.direct_controls(tagged(spark, sf)).select(
-        "event_id", "rule_id", "trigger_type", "uuid",
+        "event_id", "rule_id", "trigger_type",
+        S.row_id(F.col("event_id"), F.col("rule_id")).alias("uuid"),
         F.coalesce("rule_machine_id", F.lit(-1)).alias("rule_machine_id"),
     )
 
@@ -266,7 +269,8 @@ def direct_controls(spark, sf):
 def alarm_path(spark, sf):
     """Rows routed to the alarm test."""
     return R.alarm_path(tagged(spark, sf)).select(
-        "event_id", "rule_id", "trigger_type", "uuid",
+        "event_id", "rule_id", "trigger_type",
+        S.row_id(F.col("event_id"), F.col("rule_id")).alias("uuid"),
         F.coalesce("rule_machine_id", F.lit(-1)).alias("rule_machine_id"),
     )
 
@@ -275,7 +279,8 @@ def alarm_path(spark, sf):
 def tagged_points(spark, sf):
     """Data points tagged with rules and flattened; scheduled controls left out."""
     return tagged(spark, sf).select(
-        "event_id", "rule_id", "trigger_type", "uuid",
+        "event_id", "rule_id", "trigger_type",
+        S.row_id(F.col("event_id"), F.col("rule_id")).alias("uuid"),
         F.coalesce("rule_machine_id", F.lit(-1)).alias("rule_machine_id"),
     )
 

@@ -113,8 +113,7 @@ def rule_details(spark, sf):
         B.rules(spark, sf), B.rule_elements(spark, sf), B.rule_actions(spark, sf)
     ).select(
         "rule_id", "trigger_type", "rule_machine_id", "action_type",
-        F.col("trigger.delayTime").cast("bigint").alias("delay"),
-        F.col("trigger.alarmMsg").alias("alarm_msg"),
+        F.col("delay").cast("bigint").alias("delay"), "alarm_msg",
         F.coalesce("action.pushInterval", F.lit(-1)).alias("push_interval"),
     )
 

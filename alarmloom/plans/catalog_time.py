@@ -11,9 +11,10 @@ from alarmloom.operators import frequency as Q
 from alarmloom.operators import push as P
 from alarmloom.operators import rules as R
 from alarmloom.operators import windows as W
+from alarmloom.operators.hotkeys import CHECKED, CHUNK
 from alarmloom.plans import oracle as O
 from alarmloom.plans import testbed as B
-from alarmloom.plans.catalog_points import TAG_CTES, tagged
+from alarmloom.plans.catalog_points import TAG_CTES, details, tagged
 from alarmloom.plans.registry import query
 
 HOUR = B.HOUR
@@ -190,8 +191,13 @@ OFFLINE_CTES = (O.STATUS, OFF_ROWS, O.windows("src", "sn"), f"""oa AS (
 @query("offline_alarms", O.with_(*OFFLINE_CTES) + "SELECT * FROM oa")
 def offline_alarms(spark, sf):
     """Offline alarms where every report of being on recovers."""
+    return offline_alarm_rows(spark, sf).drop(CHUNK)
+
+
+def offline_alarm_rows(spark, sf):
     return A.offline_alarms(
-        B.status(spark, sf), by_gateway(6 * HOUR, 12 * HOUR), horizon=horizon(spark, sf)
+        B.split_status(spark, sf), by_gateway(6 * HOUR, 12 * HOUR),
+        horizon=horizon(spark, sf), policy=CHECKED,
     )
 
 
@@ -224,12 +230,14 @@ REMINDERS_SQL = f"""{O.with_(*OFFLINE_CTES, f'''
 @query("repeat_reminders", REMINDERS_SQL)
 def repeat_reminders(spark, sf):
     """A reminder every one or five hours while a gateway stays in alarm."""
-    rows = offline_alarms(spark, sf).select(
-        "sn", "event_id", (F.col("status") == "0").alias("on"),
+    alarms = offline_alarm_rows(spark, sf)
+    rows = alarms.select(
+        "sn", "event_id", *A.chunk_of(alarms), (F.col("status") == "0").alias("on"),
         F.timestamp_micros("emit_us").alias("ts"),
     )
     return A.repeat_reminders(
-        rows, ["sn"], "on", by_gateway(HOUR, 5 * HOUR), horizon=horizon(spark, sf)
+        rows, ["sn"], "on", by_gateway(HOUR, 5 * HOUR), horizon=horizon(spark, sf),
+        policy=CHECKED,
     )
 
 
@@ -309,10 +317,11 @@ FREQUENCY_ROWS = f"""src AS (
 def disconnect_frequency(spark, sf):
     """Gateways that disconnect more than once (twice) within three (seven) days."""
     return Q.disconnect_frequency(
-        Q.disconnects(B.status(spark, sf)),
+        Q.disconnects(B.split_status(spark, sf), policy=CHECKED),
         by_gateway(72 * HOUR, 168 * HOUR),
         by_gateway(1, 2),
         horizon=horizon(spark, sf),
+        policy=CHECKED,
     )
 
 
@@ -321,28 +330,26 @@ def disconnect_frequency(spark, sf):
 KEYS = ["unique_data_point_id", "rule_id"]
 
 
-def rule_alarms_frame(spark, sf):
-    """Alarms and recoveries of all rules over all data points."""
-    rows = R.alarm_path(tagged(spark, sf)).select(
-        *KEYS, "event_id", "ts", "sn", "datapoint_id", "uuid", "trigger_type",
-        "action_type",
-        S.trigger_holds(F.col("val"), F.col("trigger")).alias("holds"),
-        F.col("trigger.delayTime").alias("delay"),
-        F.col("trigger.alarmMsg").alias("alarm_msg"),
-        F.col("action.pushInterval").alias("push_interval"),
-        F.col("action.pushFrequency").alias("push_frequency"),
-    )
-    alarms = A.delayed_alarms(
-        rows, KEYS, "holds", F.col("delay"), horizon=horizon(spark, sf)
+def rule_alarms_frame(spark, sf, rules):
+    """Alarms and recoveries of all rules over all data points.
+
+    Only what the alarm test needs goes through it; texts and actions are attached
+    to the far fewer rows that come out.
+    """
+    tags = R.alarm_path(tagged(spark, sf, rules))
+    rows = tags.select(
+        *KEYS, *A.chunk_of(tags), "event_id", "ts", "sn", "datapoint_id", "delay",
+        S.trigger_holds(F.col("text"), F.col("number"), F.col("trigger")).alias("holds"),
     )
-    return alarms.withColumn(
-        "msg",
-        F.when(F.col("recover"), S.recovery_message(F.col("rule_id"))).otherwise(
-            F.col("alarm_msg")
-        ),
+    return A.delayed_alarms(
+        rows, KEYS, "holds", F.col("delay"), horizon=horizon(spark, sf), policy=CHECKED
     )
 
 
+def uuid():
+    return S.row_id(F.col("event_id"), F.col("rule_id")).alias("uuid")
+
+
 ALARM_CTES = (*TAG_CTES, O.ALARM_ROWS, """src AS (
   SELECT *, CASE WHEN holds THEN 1 ELSE -1 END AS kind, t + delay * 1000000 AS due
   FROM ar)""", O.windows("src", "unique_data_point_id, rule_id"), f"""al AS (
@@ -361,8 +368,13 @@ ALARM_CTES = (*TAG_CTES, O.ALARM_ROWS, """src AS (
 )
 def rule_alarms(spark, sf):
     """Delayed alarms and recoveries of every rule over every data point."""
-    return rule_alarms_frame(spark, sf).select(
-        *KEYS, "event_id", "sn", "emit_us", "recover", "msg", "storage"
+    rules = details(spark, sf)
+    texts = rules.select("rule_id", "alarm_msg")
+    msg = F.when(F.col("recover"), S.recovery_message(F.col("rule_id"))).otherwise(
+        F.col("alarm_msg")
+    )
+    return rule_alarms_frame(spark, sf, rules).join(texts, "rule_id").select(
+        *KEYS, "event_id", "sn", "emit_us", "recover", msg.alias("msg"), "storage"
     )
 
 
@@ -400,10 +412,17 @@ def rule_alarms(spark, sf):
 )
 def push_messages(spark, sf):
     """Notifications: once per key, or at an interval with the latest alarm."""
-    alarms = rule_alarms_frame(spark, sf).drop("ts")
-    return P.push_messages(alarms, KEYS, "event_id", horizon(spark, sf)).select(
-        *KEYS, "event_id", "push_us"
+    rules = details(spark, sf)
+    actions = rules.select(
+        "rule_id",
+        "action_type",
+        F.col("action.pushInterval").alias("push_interval"),
+        F.col("action.pushFrequency").alias("push_frequency"),
     )
+    alarms = rule_alarms_frame(spark, sf, rules).drop("ts").join(actions, "rule_id")
+    return P.push_messages(
+        alarms, KEYS, "event_id", horizon(spark, sf), CHECKED
+    ).select(*KEYS, "event_id", "push_us")
 
 
 # -- control commands ----------------------------------------------------------
@@ -470,7 +489,7 @@ def commands(spark, sf, rows):
 def control_from_rules(spark, sf):
     """Commands of control rules that data points drive directly."""
     rows = R.direct_controls(tagged(spark, sf)).select(
-        "uuid", *KEYS, "datapoint_id", "sn", "action", "trigger"
+        uuid(), *KEYS, "datapoint_id", "sn", "action", "trigger_json"
     )
     return commands(spark, sf, rows)
 
@@ -485,18 +504,18 @@ def control_from_rules(spark, sf):
 )
 def control_from_alarms(spark, sf):
     """Commands of control rules that alarms and recoveries drive."""
-    rules = B.rules(spark, sf)
+    all_rules = B.rules(spark, sf)
     mapping = R.controls_of_alarms(
-        rules.filter(F.col("rely_rule_id").isNotNull()),
-        rules.select(F.col("id").alias("alarm_id")),
+        all_rules.filter(F.col("rely_rule_id").isNotNull()),
+        all_rules.select(F.col("id").alias("alarm_id")),
     )
-    details = R.rule_details(
-        rules, B.rule_elements(spark, sf), B.rule_actions(spark, sf)
-    ).select("rule_id", "trigger", "action")
-    alarms = rule_alarms_frame(spark, sf).select(
-        "uuid", *KEYS, "datapoint_id", "sn", "trigger_type"
+    rules = details(spark, sf)
+    kinds = rules.select("rule_id", "trigger_type")
+    alarms = rule_alarms_frame(spark, sf, rules).join(kinds, "rule_id").select(
+        uuid(), *KEYS, "datapoint_id", "sn", "trigger_type"
     )
-    rows = K.alarm_driven_rows(alarms, mapping).join(details, "rule_id")
+    controls = rules.select("rule_id", "trigger_json", "action")
+    rows = K.alarm_driven_rows(alarms, mapping).join(controls, "rule_id")
     return commands(spark, sf, rows)
 
 

@@ -13,15 +13,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from alarmloom.operators.hotkeys import split_hot_keys
 from alarmloom.session import configure
 
 HOUR = 3600
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
     for field in df.schema:
         if field.dataType.typeName() == "timestamp_ntz":
             df = df.withColumn(field.name, F.col(field.name).cast("timestamp"))
@@ -41,6 +49,17 @@ def status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def split_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status rows with hot gateways split; use the CHECKED policy on them."""
+    return split_hot_keys(status(spark, sf_dir), ["sn"], "ts", "event_id")[0]
+
+
+def split_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data points with hot points split; use the CHECKED policy on them."""
+    rows = points(spark, sf_dir)
+    return split_hot_keys(rows, ["unique_data_point_id"], "ts", "event_id")[0]
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sn, datapoint_id, unique_data_point_id, val, ts, event_id"""
     return table(spark, sf_dir, "events").select(
