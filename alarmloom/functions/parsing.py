@@ -126,20 +126,23 @@ def explode_element_text(df: DataFrame, text: str) -> DataFrame:
 
 
 def parse_rule_changes(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Rule change messages: one row per message and rule id."""
+    """Rule change messages: type, action, id and the list of rule ids."""
     change = F.from_json(F.col(value).cast("string"), schemas.RULE_CHANGE)
     others = [c for c in lines.columns if c != value]
-    return (
-        lines.select(*others, change.alias("__c"))
-        .select(
-            *others,
-            F.col("__c")["type"].alias("type"),
-            F.col("__c")["actionType"].alias("action"),
-            F.col("__c")["id"].cast("bigint").alias("id"),
-            F.explode(F.split(F.col("__c")["ruleId"], ",")).alias("__rule"),
-        )
-        .withColumn("rule_id", F.trim("__rule").try_cast("bigint"))
-        .drop("__rule")
+    return lines.select(*others, change.alias("__c")).select(
+        *others,
+        F.col("__c.type").alias("type"),
+        F.col("__c.actionType").alias("action"),
+        F.col("__c.id").cast("bigint").alias("id"),
+        F.split("__c.ruleId", ",").alias("rule_ids"),
+    )
+
+
+def explode_rule_ids(changes: DataFrame) -> DataFrame:
+    """One row per rule id of a change."""
+    others = [c for c in changes.columns if c != "rule_ids"]
+    return changes.select(*others, F.explode("rule_ids").alias("__rule")).select(
+        *others, F.trim("__rule").try_cast("bigint").alias("rule_id")
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from alarmloom.functions.parsing import explode_rule_ids
 from alarmloom.operators.hotkeys import DEFAULT_POLICY, SplitPolicy
 from alarmloom.operators.timeline import Timeline, last_seen
 
@@ -20,7 +21,8 @@ def point_rule_mapping(changes: DataFrame, ts: str, seq: str) -> DataFrame:
 
     A delete drops all rules of a point; what is added after the last delete
     stays.  One row per add, so a rule added twice is there twice, with the order
-    it was added in (``ts``, ``seq``).
+    it was added in (``ts``, ``seq``).  ``changes`` are parsed messages; their rule
+    lists are exploded last, for the few that count.
     """
     at = F.struct(ts, seq)
     last_delete = (
@@ -28,12 +30,12 @@ def point_rule_mapping(changes: DataFrame, ts: str, seq: str) -> DataFrame:
         .groupBy("type", "id")
         .agg(F.max(at).alias("__deleted"))
     )
-    adds = changes.filter(F.col("action") == ADD)
-    return (
-        adds.join(last_delete, ["type", "id"], "left")
+    adds = (
+        changes.filter(F.col("action") == ADD)
+        .join(last_delete, ["type", "id"], "left")
         .filter(F.col("__deleted").isNull() | (at > F.col("__deleted")))
-        .select("type", "id", "rule_id", ts, seq)
     )
+    return explode_rule_ids(adds.select("type", "id", "rule_ids", ts, seq))
 
 
 def cached_rules(
@@ -47,7 +49,7 @@ def cached_rules(
     """
     at = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))
     loads = (
-        changes.filter(F.col("action").isin(ADD, MODIFY))
+        explode_rule_ids(changes.filter(F.col("action").isin(ADD, MODIFY)))
         .groupBy("rule_id")
         .agg(F.max(at).alias("__loaded"))
     )
@@ -61,10 +63,14 @@ def cached_rules(
         }
     )
     deleted = last_seen(F.when(F.col("action") == DELETE, at))
-    drops = (
+    dropped = (
         Timeline(back, ["id"], "__back", "__seq", policy)
         .scan(__gone=deleted)
         .filter((F.col("action") == ADD) & F.col("__gone").isNotNull())
+        .select("rule_ids", "__gone")
+    )
+    drops = (
+        explode_rule_ids(dropped)
         .groupBy("rule_id")
         .agg(F.max("__gone").alias("__dropped"))
     )

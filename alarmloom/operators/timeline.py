@@ -122,14 +122,14 @@ class Timeline:
         return Window.partitionBy(*self.part).orderBy(*self.order)
 
     def _placed(self) -> DataFrame:
-        """The rows, shuffled by chunk where there are chunks.
+        """The rows shuffled by key (and chunk), once.
 
-        Without the explicit shuffle a window would accept rows that a join below
-        left partitioned by the hot key alone.
+        The shuffle is explicit because a window alone would be content with rows
+        that a join below left partitioned by a part of the key, such as the rule of
+        (point, rule), or the key without its chunk: one hot value would then hold up
+        a task although no key is hot.
         """
-        if self.split and not self.placed:
-            return self.df.repartition(*self.part)
-        return self.df
+        return self.df if self.placed else self.df.repartition(*self.part)
 
     def _scanned(self, scans: dict[str, Scan]) -> DataFrame:
         w = self._over()

@@ -36,6 +36,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the files give fewer read tasks than there are cores.
+
+    For parsing and fan-out right after the scan of a small, single-file table; a
+    table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # -- telemetry ---------------------------------------------------------------
 
 
@@ -56,7 +66,7 @@ def split_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Data points with hot points split; use the CHECKED policy on them."""
-    rows = points(spark, sf_dir)
+    rows = spread(points(spark, sf_dir))
     return split_hot_keys(rows, ["unique_data_point_id"], "ts", "event_id")[0]
 
 
@@ -74,7 +84,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gateway_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON messages of two data points each, with all kinds of error codes."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     err = (
         F.when(F.col("event_type") == "error", 1)
         .when(F.col("event_type") == "view", None)
@@ -117,7 +127,7 @@ def _pick(key: str, n: int, *choices) -> Column:
 
 
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     k = F.col("o_orderkey")
     trigger = F.to_json(
         F.struct(
@@ -143,7 +153,7 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     k = F.col("o_orderkey")
     null_int = F.lit(None).cast("int")
 
@@ -253,7 +263,7 @@ def machine_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON rule changes with their time and sequence number, from lineitem."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     action = (
         F.when(F.col("l_returnflag") == "N", "0")
         .when(F.col("l_returnflag") == "A", "1")

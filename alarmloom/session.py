@@ -37,6 +37,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", os.environ.get("ALARMLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Small data: keep all cores busy instead of merging partitions of a few MB.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
