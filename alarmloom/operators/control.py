@@ -67,40 +67,37 @@ def control_commands(
     """One command per control action of a matched row.
 
     Template elements are resolved through the gateway: its machines, and the
-    unique point behind (gateway, template point).
+    unique point behind (gateway, template point).  Flat: a command for several
+    machines has one row per machine and one ``control_uuid``; a command for none
+    has a null ``control_machine_id``.
     """
+    kind = F.col("element")["element_type"]
     actions = matched.withColumn(
         "__c", F.explode(F.col("action")["controlActionDtos"])
-    ).withColumn(
-        "__template_point",
-        F.when(
-            F.col("element")["element_type"] == TEMPLATE,
-            F.col("__c")["controlDataPointId"],
-        ).cast("bigint"),
-    )
-    machines = machine_relation.groupBy(F.col("device_sn").alias("__m_sn")).agg(
-        F.array_sort(F.collect_set("machine_id")).alias("__machines")
+    ).withColumns(
+        {
+            # Null keys for other elements, so that they pass the joins untouched.
+            "__sn": F.when(kind == TEMPLATE, F.col("sn")),
+            "__tpl": F.when(kind == TEMPLATE, F.col("__c")["controlDataPointId"]).cast(
+                "bigint"
+            ),
+        }
     )
+    machines = machine_relation.select(
+        F.col("device_sn").alias("__sn"), F.col("machine_id").alias("__machine")
+    ).distinct()
     points = point_relation.groupBy(
-        F.col("device_no").alias("__p_sn"),
-        F.col("device_template_point_id").alias("__p_tpl"),
+        F.col("device_no").alias("__sn"), F.col("device_template_point_id").alias("__tpl")
     ).agg(F.max("id").alias("__point"))
-    is_template = F.col("element")["element_type"] == TEMPLATE
-    resolved = actions.join(
-        machines, is_template & (F.col("sn") == F.col("__m_sn")), "left"
-    ).join(
-        points,
-        (F.col("sn") == F.col("__p_sn"))
-        & (F.col("__template_point") == F.col("__p_tpl")),
-        "left",
+    resolved = actions.join(points, ["__sn", "__tpl"], "left").join(
+        machines, "__sn", "left"
     )
-    kind = F.col("element")["element_type"]
     return resolved.select(
         row_id(F.col("uuid"), F.col("rule_id"), F.to_json("__c")).alias("control_uuid"),
         F.col("uuid").alias("alarm_uuid"),
-        F.when(kind == DEVICE, F.array(F.col("element")["machine_id"]))
-        .when(kind == TEMPLATE, F.col("__machines"))
-        .alias("control_machine_ids"),
+        F.when(kind == DEVICE, F.col("element")["machine_id"])
+        .when(kind == TEMPLATE, F.col("__machine"))
+        .alias("control_machine_id"),
         F.col("sn").alias("control_sn"),
         F.when(kind == TEMPLATE, F.col("__point"))
         .otherwise(F.col("__c")["controlUniqueDataPointId"].cast("bigint"))
@@ -111,3 +108,11 @@ def control_commands(
         "rule_id",
         F.col("trigger_json").alias("trigger"),
     )
+
+
+def with_machine_lists(commands: DataFrame) -> DataFrame:
+    """Commands as one row each, with the machines in a list that must fit a row."""
+    rest = [c for c in commands.columns if c != "control_machine_id"]
+    return commands.groupBy(*rest).agg(
+        F.array_sort(F.collect_set("control_machine_id")).alias("control_machine_ids")
+    )

@@ -41,26 +41,35 @@ def actions_of_rules(actions: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def assemble_rules(rule_elements: DataFrame, actions: DataFrame) -> DataFrame:
-    """One row per rule: header, nested element list and action (or null).
+    """Rules with their elements and their action (null where there is none).
 
-    The list is part of the row, so this form is for rules whose element lists
-    fit a row; the jobs use the flat frames.  A rule with two actions gives two
-    rows, where the studied code fails.
+    Flat: one row per rule and element, so a rule may have any number of elements.
+    A rule with two actions gives each element twice, where the studied code fails.
+    """
+    action = actions.select(
+        F.col("rule_id").alias("__rule"),
+        F.struct("execute_mode", "action_type", "action", "rule_id").alias(
+            "rule_action"
+        ),
+    )
+    return rule_elements.join(
+        action, rule_elements["id"] == action["__rule"], "left"
+    ).drop("__rule")
+
+
+def nest_elements(assembled: DataFrame) -> DataFrame:
+    """Assembled rules as one row each, with the elements in a list.
+
+    For handing single rules to a consumer; the list must fit a row.
     """
     element = F.struct(
         "element_type", "machine_id", "unique_data_point_id", "template_id",
         "data_point_id", "sn", "opera_data_point_id",
     )
-    nested = rule_elements.groupBy("id", "rely_rule_id", "trigger", "trigger_type").agg(
+    header = ["id", "rely_rule_id", "trigger", "trigger_type", "rule_action"]
+    return assembled.groupBy(*header).agg(
         F.sort_array(F.collect_list(element)).alias("element_list")
     )
-    action = actions.select(
-        "rule_id",
-        F.struct("execute_mode", "action_type", "action", "rule_id").alias(
-            "rule_action"
-        ),
-    )
-    return nested.join(action, nested["id"] == action["rule_id"], "left").drop("rule_id")
 
 
 def controls_of_alarms(rules: DataFrame, alarm_ids: DataFrame) -> DataFrame:

@@ -78,26 +78,18 @@ def actions_of_rules(spark, sf):
     "assembled_rules",
     f"""WITH {O.RULES}, {O.ELEMENTS}
         SELECT rl.id, trigger_type, COALESCE(rely_rule_id, '') AS rely_rule_id,
-               action_type,
-               string_agg(element_type || ':' || CAST(machine_id AS VARCHAR), ','
-                 ORDER BY element_type, machine_id, el.unique_data_point_id,
-                   template_id) AS elements
+               action_type, element_type, machine_id, el.unique_data_point_id, position
         FROM rl JOIN el ON rl.id = el.rule_id
-        WHERE rl.del_flag = 0 AND status = 0 AND el.del_flag = 0
-        GROUP BY ALL""",
+        WHERE rl.del_flag = 0 AND status = 0 AND el.del_flag = 0""",
 )
 def assembled_rules(spark, sf):
-    """Rules with their nested element list and action."""
+    """Rules with their elements and action."""
     flat = R.active_rule_elements(B.rules(spark, sf), B.rule_elements(spark, sf))
-    element = F.transform(
-        "element_list",
-        lambda e: F.concat_ws(":", e["element_type"], e["machine_id"]),
-    )
     return R.assemble_rules(flat, B.rule_actions(spark, sf)).select(
         "id", "trigger_type",
         F.coalesce("rely_rule_id", F.lit("")).alias("rely_rule_id"),
         F.col("rule_action.action_type").alias("action_type"),
-        F.array_join(element, ",").alias("elements"),
+        "element_type", "machine_id", "unique_data_point_id", "position",
     )
 
 

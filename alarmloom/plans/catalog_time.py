@@ -449,18 +449,16 @@ COMMANDS = f"""
          UNION ALL
          SELECT o_orderkey, 0, o_orderkey % 101, 'read' FROM orders
            WHERE o_orderpriority = '1-URGENT'),
-  mr AS (SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ','
-             ORDER BY o_orderkey) AS machines
-         FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey),
+  mr AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus = 'P'),
   co AS (SELECT ma.uuid AS alarm_uuid, ma.rule_id, ma.sn AS control_sn,
            ac.ctype AS control_type, ac.cdata AS control_data,
            ma.rule_id % 7 AS opera_data_point_id,
-           CASE kind2 WHEN '1' THEN CAST(mach AS VARCHAR)
-                WHEN '2' THEN COALESCE(mr.machines, '') ELSE '' END AS machines,
+           COALESCE(CASE kind2 WHEN '1' THEN mach WHEN '2' THEN mr.o_orderkey END, -1)
+             AS control_machine_id,
            COALESCE(CASE WHEN kind2 = '2' THEN c_custkey ELSE ac.cpoint END, -1)
              AS unique_data_point_id
          FROM ma JOIN ac ON ma.rule_id = ac.rid
-         LEFT JOIN mr ON CAST(mr.o_custkey AS VARCHAR) = ma.sn
+         LEFT JOIN mr ON CAST(mr.o_custkey AS VARCHAR) = ma.sn AND kind2 = '2'
          LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = ma.sn
            AND c_nationkey = ma.rule_id % 25)"""
 
@@ -470,11 +468,10 @@ def commands(spark, sf, rows):
     out = K.control_commands(
         matched, B.point_relation(spark, sf), B.machine_relation(spark, sf)
     )
-    machines = F.transform("control_machine_ids", lambda m: m.cast("string"))
     return out.select(
         "alarm_uuid", "rule_id", "control_sn", "control_type", "control_data",
         F.col("opera_data_point_id").cast("bigint").alias("opera_data_point_id"),
-        F.coalesce(F.array_join(machines, ","), F.lit("")).alias("machines"),
+        F.coalesce("control_machine_id", F.lit(-1)).alias("control_machine_id"),
         F.coalesce("unique_data_point_id", F.lit(-1)).alias("unique_data_point_id"),
     )
 

@@ -40,6 +40,7 @@ def hold_alarms(
     *,
     ts: str = "ts",
     tie: str = "event_id",
+    carry: Sequence[str] = (),
     delay: str = "1 second",
     recover_on_every_clear: bool = False,
     event_time: bool = True,
@@ -47,16 +48,25 @@ def hold_alarms(
     """Delayed alarms, recoveries and notifications of a stream.
 
     ``rows``: keys, ts, tie, ``holds``, ``delay``, ``push_interval``,
-    ``push_once``.  ``delay`` is the watermark delay.
+    ``push_once``.  ``carry`` names more columns of the alarm's row to put out.
+    ``delay`` is the watermark delay.
     """
-    keyed = _keyed(rows, keys, ts, delay)
+    told = [tie, *carry]
+    keyed = _keyed(rows, keys, ts, delay).withColumn("about", F.to_json(F.struct(*told)))
     processor = P.HoldProcessor(
         list(keys), recover_on_every_clear, tie=tie, event_time=event_time
     )
-    out = _schema(rows, keys, "kind string, emit_us bigint", tie)
-    return keyed.groupBy(*keys).transformWithState(
+    out = T.StructType(
+        [rows.schema[k] for k in keys]
+        + T.StructType.fromDDL("kind string, emit_us bigint, about string").fields
+    )
+    emitted = keyed.groupBy(*keys).transformWithState(
         processor, out, "append", _mode(event_time)
     )
+    about = F.from_json("about", T.StructType([rows.schema[c] for c in told]))
+    return emitted.select(*keys, "kind", "emit_us", about.alias("a")).select(
+        *keys, "kind", "emit_us", "a.*"
+    )
 
 
 def offline_watch(
@@ -168,7 +178,7 @@ def rule_alarm_stream(
     wants_push = F.col("action_type") == "3"
     interval = F.col("action")["pushInterval"]
     rows = R.alarm_path(tagged).select(
-        "unique_data_point_id", "rule_id", ts, tie,
+        "unique_data_point_id", "rule_id", ts, tie, "sn", "datapoint_id",
         S.trigger_holds(F.col("text"), F.col("number"), F.col("trigger")).alias("holds"),
         F.col("delay").cast("bigint").alias("delay"),
         F.when(wants_push, interval).cast("bigint").alias("push_interval"),
@@ -180,8 +190,8 @@ def rule_alarm_stream(
         ).alias("push_once"),
     )
     return hold_alarms(
-        rows, ["unique_data_point_id", "rule_id"], ts=ts, tie=tie, delay=watermark,
-        event_time=event_time,
+        rows, ["unique_data_point_id", "rule_id"], ts=ts, tie=tie,
+        carry=["sn", "datapoint_id"], delay=watermark, event_time=event_time,
     )
 
 
@@ -227,7 +237,10 @@ def alarm_commands(
     point_relation: DataFrame,
     machine_relation: DataFrame,
 ) -> DataFrame:
-    """Control commands of a batch of alarms; for use in a sink."""
+    """Control commands of a batch of alarms and recoveries; for use in a sink.
+
+    ``alarms`` carry an ``uuid`` beside what rule_alarm_stream puts out.
+    """
     kinds = details.select("rule_id", "trigger_type")
     driven = K.alarm_driven_rows(alarms.join(kinds, "rule_id"), alarm_controls)
     rows = driven.join(details.select("rule_id", "trigger_json", "action"), "rule_id")

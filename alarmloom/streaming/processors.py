@@ -104,8 +104,9 @@ class HoldProcessor(TimedProcessor):
     """Delayed alarm with recovery, and its notifications or reminders.
 
     Input: ``holds``, ``delay`` (s), ``push_interval`` (s or null),
-    ``push_once`` (bool).  Output: key columns, ``kind`` ("alarm", "recover" or
-    "push"), ``emit_us``, and the tie column of the row it is about.
+    ``push_once`` (bool), and ``about``, a text that stands for the row.  Output:
+    key columns, ``kind`` ("alarm", "recover" or "push"), ``emit_us``, and the
+    ``about`` of the row it is about.
 
     Notifications: with an interval, one per interval from the first alarm of an
     episode until it recovers, about the latest alarm; with ``push_once`` one per
@@ -113,8 +114,8 @@ class HoldProcessor(TimedProcessor):
     """
 
     fields = (
-        "due bigint, kept bigint, alarmed boolean, push_due bigint, "
-        "push_kept bigint, push_every bigint, pushed boolean, "
+        "due bigint, kept string, alarmed boolean, push_due bigint, "
+        "push_kept string, push_every bigint, pushed boolean, "
         "every bigint, once boolean"
     )
 
@@ -128,8 +129,7 @@ class HoldProcessor(TimedProcessor):
         return min(times) if times else None
 
     def _row(self, key, kind, at, about):
-        return Row(**dict(zip(self.keys, key)), kind=kind, emit_us=at,
-                   **{self.tie: about})
+        return Row(**dict(zip(self.keys, key)), kind=kind, emit_us=at, about=about)
 
     def fire(self, key, s):
         # An alarm due at the time of a notification comes first.
@@ -153,14 +153,14 @@ class HoldProcessor(TimedProcessor):
         if row["holds"]:
             if s["due"] is None:
                 s["due"] = now + row["delay"] * SECOND_US
-            s["kept"] = row[self.tie]
+            s["kept"] = row["about"]
             interval = row["push_interval"] or 0
             s["every"] = interval * SECOND_US if interval > 0 else None
             s["once"] = bool(row["push_once"]) or None
             return
         s.update(due=None, kept=None)
         if s["alarmed"] or self.recover_on_every_clear:
-            yield self._row(key, "recover", now, row[self.tie])
+            yield self._row(key, "recover", now, row["about"])
             s.update(alarmed=None, push_due=None, push_kept=None, push_every=None)
 
 

@@ -188,3 +188,76 @@ def test_restart_from_checkpoint_gives_the_same_rows(
         assert sorted(rows.select(cols).collect()) == sorted(
             expected.select(cols).collect()
         )
+
+
+def test_rule_stream_equals_batch_job(spark, small_dir, tmp_path):
+    """Points to alarms, notifications and commands: stream and batch job agree."""
+    from alarmloom.operators import rules as R
+    from alarmloom.plans import monitor as M
+
+    dims = M.Dimensions(
+        B.rules(spark, small_dir), B.rule_elements(spark, small_dir),
+        B.rule_actions(spark, small_dir), B.unique_rules(spark, small_dir),
+        B.template_rules(spark, small_dir), B.point_relation(spark, small_dir),
+        B.machine_relation(spark, small_dir),
+    )
+    points = B.points(spark, small_dir)
+    source = str(tmp_path / "points")
+    for n, part in enumerate(["<= '2024-01-12'", "> '2024-01-12'"]):
+        points.filter(f"ts {part}").coalesce(1).write.mode("append").parquet(source)
+    tick = points.limit(1).withColumns(
+        {"unique_data_point_id": F.lit(-5).cast("long"), "event_id": F.lit(-1).cast("long"),
+         "ts": F.lit("2024-03-01").cast("timestamp")}
+    )
+    details = R.rule_details(dims.rules, dims.elements, dims.actions)
+    watch = (R.watch_list(dims.unique_rules, details),
+             R.watch_list(dims.template_rules, details))
+    # The tick needs a rule to get as far as the timers.
+    tick_rule = watch[0].filter("action_type <> '2'").limit(1).withColumn(
+        "unique_data_point_id", F.lit(-5).cast("long"))
+    watch = (watch[0].unionByName(tick_rule), watch[1])
+
+    def go():
+        stream = spark.readStream.schema(points.schema).parquet(source)
+        tagged = J.tag_stream(stream, *watch)
+        query = J.write_alarms(
+            J.rule_alarm_stream(tagged), str(tmp_path / "cp"),
+            {k: J.batch_folder(str(tmp_path / k)) for k in ("alarm", "recover", "push")},
+        ).trigger(availableNow=True).start()
+        assert query.awaitTermination(180)
+
+    go()
+    tick.coalesce(1).write.mode("append").parquet(source)
+    go()
+    end = F.lit(WATERMARK_END)
+    want = M.run(points, dims, str(tmp_path / "batch"), horizon=end)
+    keys = ["unique_data_point_id", "rule_id", "event_id"]
+
+    def found(kind):
+        rows = spark.read.parquet(str(tmp_path / kind))
+        return rows.filter("unique_data_point_id >= 0")
+
+    def same(a, b):
+        a, b = sorted(set(a.collect())), sorted(set(b.collect()))
+        assert a == b and a
+
+    alarms = want["alarms"]
+    for kind, recover in (("alarm", False), ("recover", True)):
+        same(found(kind).select(*keys, "emit_us", "sn", "datapoint_id"),
+             alarms.filter(F.col("recover") == recover)
+             .select(*keys, "emit_us", "sn", "datapoint_id"))
+    same(found("push").select(*keys, "emit_us"), want["pushes"].select(*keys, "push_us"))
+
+    told = found("alarm").unionByName(found("recover")).withColumn(
+        "uuid", F.concat_ws("/", "event_id", "rule_id"))
+    mapping = R.controls_of_alarms(
+        dims.rules.filter("rely_rule_id is not null"),
+        dims.rules.select(F.col("id").alias("alarm_id")))
+    commands = J.alarm_commands(told, details, mapping, dims.elements,
+                                dims.point_relation, dims.machine_relation)
+    assert want["commands"].count() > 0
+    # Every command an alarm drives is among the commands of the batch job.
+    part = ["rule_id", "control_sn", "unique_data_point_id", "control_data"]
+    missing = commands.select(part).exceptAll(
+        commands.select(part).intersectAll(want["commands"].select(part)))
+    assert missing.count() == 0
