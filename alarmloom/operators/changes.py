@@ -38,6 +38,21 @@ def point_rule_mapping(changes: DataFrame, ts: str, seq: str) -> DataFrame:
     return explode_rule_ids(adds.select("type", "id", "rule_ids", ts, seq))
 
 
+def apply_rule_changes(
+    current: DataFrame, changes: DataFrame, ts: str, seq: str
+) -> DataFrame:
+    """The next version of a mapping (type, id, rule_id) after some more changes.
+
+    Applying a log piece by piece in order gives the same mapping as applying it
+    at once.
+    """
+    deleted = changes.filter(F.col("action") == DELETE).select("type", "id")
+    kept = current.join(deleted.distinct(), ["type", "id"], "left_anti")
+    added = point_rule_mapping(changes, ts, seq)
+    columns = ["type", "id", "rule_id"]
+    return kept.select(columns).unionByName(added.select(columns))
+
+
 def cached_rules(
     changes: DataFrame, ts: str, seq: str, policy: SplitPolicy = DEFAULT_POLICY
 ) -> DataFrame:

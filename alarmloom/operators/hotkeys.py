@@ -142,17 +142,14 @@ def split_hot_keys(
             ]
         ),
     )
-    micros = F.unix_micros(F.col(ts))
     on_grid = _all(df[k].eqNullSafe(grid[f"__k{n}"]) for n, k in enumerate(keys))
-    gridded = df.join(F.broadcast(grid), on_grid, "left").withColumn(
-        "__cell",
-        F.greatest(
-            F.lit(0),
-            F.least(
-                F.floor((micros - F.col("__t0")) / F.col("__step")),
-                F.col("__cells") - 1,
-            ),
-        ).cast("long"),
+    gridded = (
+        df.join(F.broadcast(grid), on_grid, "left")
+        .withColumn("__t", F.unix_micros(F.col(ts)))
+        # Whole-number division: a row must never be put into the next cell.
+        .withColumn(
+            "__cell", F.expr("greatest(0, least((__t - __t0) div __step, __cells - 1))")
+        )
     )
     on_cell = F.col("__cell") == F.col("__cell_no")
     for n, k in enumerate(keys):

@@ -33,6 +33,12 @@ def window_label(df: DataFrame) -> DataFrame:
     return df.withColumn("window", text)
 
 
+def json_event_time(lines: DataFrame, value: str = "value") -> DataFrame:
+    """JSON rows with the event time (column ``ts``) of their ``time`` field."""
+    millis = F.get_json_object(F.col(value), "$.time").try_cast("bigint")
+    return lines.withColumn("ts", F.timestamp_millis(millis))
+
+
 def watermarked(df: DataFrame, ts: str, delay_ms: int) -> DataFrame:
     """Streaming watermark with bounded out-of-orderness."""
     return df.withWatermark(ts, f"{delay_ms} milliseconds")

@@ -89,6 +89,21 @@ def window_labels(spark, sf):
     return rows.select("event_id", "window")
 
 
+@query(
+    "json_event_times",
+    f"""WITH {ARRIVALS} SELECT event_id,
+          (t // 1000 * 1000 - t // 1000 * 1000 % {HOUR_US}) // 1000 AS start_ms FROM ev""",
+)
+def json_event_times(spark, sf):
+    """JSON rows windowed by the time in their text."""
+    lines = B.table(spark, sf, "events").select(
+        "event_id",
+        F.to_json(F.struct(F.unix_millis("ts").alias("time"))).alias("value"),
+    )
+    rows = W.tumbling(W.json_event_time(lines), "ts", "1 hour")
+    return rows.select("event_id", F.unix_millis("start").alias("start_ms"))
+
+
 WATERMARK = """max(t) OVER (ORDER BY arrival, event_id
   ROWS UNBOUNDED PRECEDING) - 1800001000"""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -249,23 +249,43 @@ def alarm_commands(
     )
 
 
-def maintain_mapping(
+def current_version(
+    spark: SparkSession, folder: str, before: int | None = None
+) -> DataFrame | None:
+    """The latest complete version of a table kept by :func:`maintain_table`."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version=*/_SUCCESS")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    names = [f.getPath().getParent().getName() for f in files]
+    versions = [int(n.split("=")[1]) for n in names]
+    versions = [v for v in versions if before is None or v < before]
+    if not versions:
+        return None
+    return spark.read.parquet(f"{folder}/version={max(versions)}")
+
+
+def write_version(table: DataFrame, folder: str, number: int) -> None:
+    table.write.mode("overwrite").parquet(f"{folder}/version={number}")
+
+
+def maintain_table(
     changes: DataFrame,
     checkpoint: str,
-    read_current: Callable[[], DataFrame],
-    write_next: Callable[[DataFrame, int], None],
+    folder: str,
     apply: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> DataStreamWriter:
     """A mapping table kept up to date from a change stream.
 
-    Every micro-batch applies its changes to the current table and writes the next
-    version; data streams read the version that is current when their own
-    micro-batch starts.  ``write_next`` must publish a version by batch number, so
-    that a repeated batch gives the same table.
+    Every micro-batch applies its changes to the version before it and writes the
+    next one, so a repeated batch gives the same table.  Write the first version
+    with number -1.  Data streams read the version that is current when their own
+    micro-batch starts.
     """
 
     def update(batch: DataFrame, number: int) -> None:
-        write_next(apply(read_current(), batch), number)
+        current = current_version(batch.sparkSession, folder, before=number)
+        if current is None:
+            raise ValueError(f"no first version under {folder}")
+        write_version(apply(current, batch), folder, number)
 
     return (
         changes.writeStream.foreachBatch(update)

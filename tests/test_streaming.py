@@ -261,3 +261,51 @@ def test_rule_stream_equals_batch_job(spark, small_dir, tmp_path):
     missing = commands.select(part).exceptAll(
         commands.select(part).intersectAll(want["commands"].select(part)))
     assert missing.count() == 0
+
+
+def test_mapping_kept_from_a_change_stream(spark, small_dir, tmp_path):
+    """The mapping after every micro-batch of changes equals one pass over the log."""
+    from alarmloom.functions import parsing as X
+    from alarmloom.operators import changes as C
+
+    log = B.rule_change_messages(spark, small_dir)
+    source = tmp_path / "log"
+    for n, part in enumerate(["< '1998-01-01'", ">= '1998-01-01'"]):
+        path = str(source / str(n))
+        log.filter(f"ts {part}").coalesce(1).write.parquet(path)
+    folder = str(tmp_path / "mapping")
+    J.write_version(spark.createDataFrame([], "type string, id long, rule_id long"),
+                    folder, -1)
+
+    def go():
+        stream = spark.readStream.schema(log.schema).parquet(str(tmp_path / "in"))
+        J.maintain_table(
+            X.parse_rule_changes(stream), str(tmp_path / "cp"), folder,
+            lambda now, batch: C.apply_rule_changes(now, batch, "ts", "seq"),
+        ).trigger(availableNow=True).start().awaitTermination(120)
+
+    for n in range(2):
+        spark.read.parquet(str(source / str(n))).write.mode("append").parquet(
+            str(tmp_path / "in"))
+        go()
+    got = J.current_version(spark, folder)
+    want = C.point_rule_mapping(X.parse_rule_changes(log), "ts", "seq")
+    cols = ["type", "id", "rule_id"]
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+    assert got.count() > 0
+
+
+def test_state_with_time_to_live(spark, status_files, tmp_path):
+    stream = J.latest_per_key(stream_of(spark, status_files), ["sn"], ttl_ms=5000)
+    query = (
+        stream.writeStream.format("memory").queryName("latest_ttl").outputMode("update")
+        .option("checkpointLocation", str(tmp_path / "cp")).start()
+    )
+    try:
+        for _ in range(60):
+            if query.lastProgress and spark.table("latest_ttl").count() > 10:
+                break
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    assert spark.table("latest_ttl").count() > 10
