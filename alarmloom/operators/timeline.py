@@ -234,14 +234,15 @@ class Timeline:
                 "__due": F.coalesce(due.cast("long"), F.lit(NONE)),
             }
         )
-        rows = frame._scanned({"w_next": nxt(F.col("__ts"))}).withColumn(
-            "__first", F.row_number().over(frame._over()) == 1
+        w = frame._over()
+        rows = frame._placed().withColumns(
+            {"w_next": F.lead("__ts").over(w), "__first": F.row_number().over(w) == 1}
         )
         carried = list(_CARRY) if self.split else []
         if self.split:
-            state = frame._chunk_states()
-            rows = self._join_chunks(rows, state).withColumns(
+            rows = self._join_chunks(rows, frame._chunk_states()).withColumns(
                 {c: F.coalesce(F.col(c), F.lit(NONE)) for c in carried}
+                | {"w_next": F.coalesce("w_next", "__next")}
             )
         # The sort is the one the window above already needed, so it costs nothing.
         rows = rows.select(
@@ -288,7 +289,9 @@ class Timeline:
         joined = [
             T.StructField(f"__j{i}", f.dataType) for i, f in enumerate(key_fields)
         ]
-        out = T.StructType(joined + [T.StructField(c, T.LongType()) for c in _CARRY])
+        out = T.StructType(
+            joined + [T.StructField(c, T.LongType()) for c in (*_CARRY, "__next")]
+        )
         return tables.groupBy(*self.keys).applyInPandas(
             _chain(self.part), out
         )
@@ -302,6 +305,7 @@ _LONGS = T.ArrayType(T.LongType())
 _TRANSFER_FIELDS = [
     T.StructField("reset", T.BooleanType()),
     T.StructField("openers", T.LongType()),
+    T.StructField("first_ts", T.LongType()),
     T.StructField("last_ts", T.LongType()),
     T.StructField("until", _LONGS),
     T.StructField("open", _LONGS),
@@ -401,7 +405,8 @@ def _transfer(part: list[str]):
             pos_ = (k - last).tolist()
         record = {c: rows[c].iloc[0] for c in part}
         record.update(
-            reset=bool(len(resets)), openers=k, last_ts=int(ts[-1]), until=until,
+            reset=bool(len(resets)), openers=k, first_ts=int(ts[0]),
+            last_ts=int(ts[-1]), until=until,
             open=open_, due=due_, pos=pos_, first=int(o_due[0]) if k else 0,
         )
         return pd.DataFrame([record])
@@ -410,7 +415,10 @@ def _transfer(part: list[str]):
 
 
 def _chain(part: list[str]):
-    """Follows the transfer tables of one key from chunk to chunk."""
+    """Follows the transfer tables of one key from chunk to chunk.
+
+    Each chunk gets the state at its start and the time of the row after it.
+    """
 
     def follow(tables: pd.DataFrame) -> pd.DataFrame:
         tables = tables.sort_values(part[-1])
@@ -434,6 +442,9 @@ def _chain(part: list[str]):
             if first_due == NONE and row.openers:
                 first_due = int(row.first)
         columns = [f"__j{n}" for n in range(len(part))] + list(_CARRY)
-        return pd.DataFrame(out, columns=columns)
+        states = pd.DataFrame(out, columns=columns)
+        following = tables["first_ts"].tolist()[1:] + [None]
+        states["__next"] = pd.array(following, dtype="Int64")
+        return states
 
     return follow
