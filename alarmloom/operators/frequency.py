@@ -33,7 +33,7 @@ def off_count_alarms(
     ``literal`` keeps the slip of the studied job: the count is never stored, so
     each further "off" row counts as the second.
     """
-    off = F.col("status") == S.STATUS_OFF
+    off = F.coalesce(F.col("status") == S.STATUS_OFF, F.lit(False))
     rows = Timeline(status, [key], ts, tie, policy).windows(
         kind=F.when(off, OPEN).otherwise(PASS),
         due=micros(ts) + seconds(window),

@@ -68,7 +68,10 @@ def running_max(value: Column) -> Scan:
 
 
 class Timeline:
-    """Rows of each key in (ts, tie) order; ``tie`` must make the order total."""
+    """Rows of each key in (ts, tie) order; ``tie`` must make the order total.
+
+    A row without a time has no place on a timeline and is left out.
+    """
 
     def __init__(
         self,
@@ -79,6 +82,7 @@ class Timeline:
         policy: SplitPolicy = DEFAULT_POLICY,
     ):
         self.columns = df.columns
+        df = df.filter(F.col(ts).isNotNull())
         if not keys:
             df, keys = df.withColumn("__all", F.lit(0)), ["__all"]
         self.keys = list(keys)
@@ -319,6 +323,7 @@ def _labeller(keep: list[str], carried: list[str]):
     """Labels the sorted rows of a partition, batch by batch."""
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none, opening, resetting = NONE, OPEN, RESET
         due, opened, pos, first_due = NONE, NONE, 0, NONE
         for batch in batches:
             columns = [
@@ -328,29 +333,29 @@ def _labeller(keep: list[str], carried: list[str]):
             carry = [
                 batch.column(c).to_numpy(zero_copy_only=False) for c in carried
             ]
-            out_due, out_open, out_pos, out_first = ([] for _ in range(4))
+            size = batch.num_rows
+            out = [[NONE] * size for _ in range(4)]
+            out_due, out_open, out_pos, out_first = out
             for n, (first, ts, kind, row_due) in enumerate(zip(*columns)):
                 if first:
                     due, opened, pos, first_due = (
-                        (int(c[n]) for c in carry) if carry else (NONE, NONE, 0, NONE)
+                        [int(c[n]) for c in carry] if carry else (none, none, 0, none)
                     )
                 if ts > due:
-                    due, opened, pos = NONE, NONE, 0
-                if kind == OPEN:
-                    if due == NONE:
+                    due = none
+                if kind == opening:
+                    if due == none:
                         due, opened, pos = row_due, ts, 0
-                        if first_due == NONE:
+                        if first_due == none:
                             first_due = due
                     pos += 1
-                out_due.append(due)
-                out_open.append(opened)
-                out_pos.append(pos if due != NONE else NONE)
-                out_first.append(first_due)
-                if kind == RESET:
-                    due, opened, pos, first_due = NONE, NONE, 0, NONE
-            out = [np.array(o, dtype=np.int64) for o in
-                   (out_due, out_open, out_pos, out_first)]
-            labels = [pa.array(o, mask=o == NONE) for o in out]
+                if due != none:
+                    out_due[n], out_open[n], out_pos[n] = due, opened, pos
+                out_first[n] = first_due
+                if kind == resetting:
+                    due = first_due = none
+            arrays = [np.array(o, dtype=np.int64) for o in out]
+            labels = [pa.array(o, mask=o == NONE) for o in arrays]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep] + labels,
                 names=[*keep, "w_due", "w_open", "w_pos", "w_first"],

@@ -354,6 +354,7 @@ def rule_alarms_frame(spark, sf, rules):
     tags = R.alarm_path(tagged(spark, sf, rules))
     rows = tags.select(
         *KEYS, *A.chunk_of(tags), "event_id", "ts", "sn", "datapoint_id", "delay",
+        "trigger_type",
         S.trigger_holds(F.col("text"), F.col("number"), F.col("trigger")).alias("holds"),
     )
     return A.delayed_alarms(
@@ -522,8 +523,7 @@ def control_from_alarms(spark, sf):
         all_rules.select(F.col("id").alias("alarm_id")),
     )
     rules = details(spark, sf)
-    kinds = rules.select("rule_id", "trigger_type")
-    alarms = rule_alarms_frame(spark, sf, rules).join(kinds, "rule_id").select(
+    alarms = rule_alarms_frame(spark, sf, rules).select(
         uuid(), *KEYS, "datapoint_id", "sn", "trigger_type"
     )
     controls = rules.select("rule_id", "trigger_json", "action")

@@ -240,3 +240,11 @@ def test_trigger_truth_table(spark):
     )
     wrong = [r for r in out.collect() if (r.got, r.got_literal) != (r.want, r.literal)]
     assert wrong == []
+
+
+def test_rows_without_time_or_status(spark):
+    df = status(spark, [("k", 0, "0"), ("k", 1, "0"), ("k", 20, None)])
+    lost = df.limit(1).withColumns({"ts": F.lit(None).cast("timestamp"),
+                                    "event_id": F.lit(99).cast("long")})
+    out = Q.off_count_alarms(df.unionByName(lost), F.lit(10), F.lit(2)).collect()
+    assert sorted((r.emit_us // US, r.status) for r in out) == [(1, "0"), (20, "1")]
