@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from alarmloom.llm import token_counts
+from alarmloom.llm import (
+    decontamination,
+    fingerprints,
+    language_id,
+    line_dedup,
+    packing,
+    quality,
+    token_counts,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +26,52 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), model)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return toxicity.toxicity(docs, labels)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.best_fit_packing(table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontamination.decontamination_report(docs, items)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality.rate(docs.select("doc_id", "text"), quality.graded(labels)).select(
+        "doc_id", "expected_grade", "tail", "kept"
+    )
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_decontamination": op6_decontamination,
+    "op7_language_id": op7_language_id,
+    "op8_quality": op8_quality,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op6_decontamination": decontamination.ORACLE,
+    "op10_line_dedup": line_dedup.ORACLE,
+}
