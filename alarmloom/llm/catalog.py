@@ -10,8 +10,10 @@ from alarmloom.llm import (
     fingerprints,
     language_id,
     line_dedup,
+    ngram_join,
     packing,
     quality,
+    secret_scan,
     token_counts,
     toxicity,
 )
@@ -31,11 +33,20 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, labels)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ngram_join.ngram_join(docs, words=4, percent=85)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontamination.decontamination_report(docs, items)
@@ -63,7 +74,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
+    "op3_ngram_join": op3_ngram_join,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_secret_scan": op5_secret_scan,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
@@ -72,6 +85,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_ngram_join": ngram_join.join_sql(4, 85),
     "op6_decontamination": decontamination.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }

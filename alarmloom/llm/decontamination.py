@@ -151,7 +151,7 @@ def window_blocks(
 
 
 def searched(spark: SparkSession, docs: DataFrame, windows: list) -> DataFrame:
-    """docs with the column found: what the windows hit in text."""
+    """docs with the column __found: what the windows hit in text."""
     shipped = spark.sparkContext.broadcast(windows)
     ready: list[Searcher] = []
 
@@ -165,7 +165,7 @@ def searched(spark: SparkSession, docs: DataFrame, windows: list) -> DataFrame:
                 columns=["n_words", "spans", "items"],
             )
 
-    return docs.withColumn("found", find("text"))
+    return docs.withColumn("__found", find("text"))
 
 
 def union_length(spans: str) -> F.Column:
@@ -199,7 +199,7 @@ def decontaminate(
     docs has the column text; columns of docs under the new names are replaced.
     """
     spark = docs.sparkSession
-    new = ["found", "n_words", "n_hit", "spans", "items", "contaminated"]
+    new = ["n_words", "n_hit", "spans", "items", "contaminated"]
     docs = docs.drop(*new)
     docs = docs.select(
         "*",
@@ -211,9 +211,9 @@ def decontaminate(
     for block, last in blocks:
         docs = searched(spark, docs, block).select(
             *[c for c in docs.columns if c not in ("n_words", "spans", "items")],
-            "found.n_words",
-            F.concat("spans", "found.spans").alias("spans"),
-            F.array_union("items", "found.items").alias("items"),
+            "__found.n_words",
+            F.concat("spans", "__found.spans").alias("spans"),
+            F.array_union("items", "__found.items").alias("items"),
         )
         if not last:
             docs = cut_lineage(docs)

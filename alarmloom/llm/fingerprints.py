@@ -148,22 +148,14 @@ def as_text(fp: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard estimate from two packed fingerprints, corrected for chance."""
-    low = 0x0101010101010101
-
-    def agreeing(x: Column, y: Column) -> Column:
-        d = x.bitwiseXOR(y)
-        for shift in (4, 2, 1):
-            d = d.bitwiseOR(F.shiftrightunsigned(d, shift))
-        # a byte's lowest bit may also be set from the byte above: mask before folding
-        return d
 
     def differing_bytes(x: Column, y: Column) -> Column:
         d = x.bitwiseXOR(y)
-        seven = 0x7F7F7F7F7F7F7F7F
-        carried = F.shiftrightunsigned(
-            (d.bitwiseAND(seven) + F.lit(seven)).bitwiseOR(d), 7
-        )
-        return F.bit_count(carried.bitwiseAND(low))
+        # fold the bits of each byte into its lowest one
+        for shift, kept in ((4, 0x0F), (2, 0x03), (1, 0x01)):
+            mask = int.from_bytes(bytes([kept]) * 8, "big")
+            d = d.bitwiseOR(F.shiftrightunsigned(d, shift)).bitwiseAND(mask)
+        return F.bit_count(d)
 
     differing = F.aggregate(
         F.zip_with(a, b, differing_bytes), F.lit(0), lambda acc, n: acc + n

@@ -128,21 +128,26 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def rate(docs: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Every row of docs with expected_grade, tail and kept, learned from docs."""
+    return rate_with(train(docs, ratings), docs)
+
+
+def rate_with(model: Model, docs: DataFrame) -> DataFrame:
     """Every row of docs with expected_grade, tail and kept."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, ratings))
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(RATED)
     def rated(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame(
-                [model.value.rate(text) for text in texts],
+                [shipped.value.rate(text) for text in texts],
                 columns=["expected_grade", "tail"],
             )
 
-    kept = docs.drop("expected_grade", "tail", "kept", "rated")
-    return kept.withColumn("rated", rated("text")).select(
+    kept = docs.drop("expected_grade", "tail", "kept")
+    return kept.withColumn("__rated", rated("text")).select(
         *kept.columns,
-        "rated.expected_grade",
-        "rated.tail",
-        (F.col("rated.tail") >= KEEP_AT).alias("kept"),
+        "__rated.expected_grade",
+        "__rated.tail",
+        (F.col("__rated.tail") >= KEEP_AT).alias("kept"),
     )

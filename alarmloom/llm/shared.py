@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,16 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, smaller than a checkpoint."""
+    spark = frame.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    path = f"{folder}/table-{uuid.uuid4()}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def held_out(divisor: int, remainder: int) -> Column:
     """Whether a row's label is kept from training, by its doc_id alone."""
     kept = F.crc32(F.col("doc_id").cast("string")) % divisor == remainder

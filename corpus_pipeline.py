@@ -1,16 +1,80 @@
-"""Training corpus from raw documents: each stage's rows are the next stage's input."""
+"""Training corpus from raw documents: each stage's rows are the next stage's input.
+
+Documents rated poor go; boilerplate lines go, and with them documents that consist of
+nothing else; one document of each group of near duplicates stays (that with the
+smallest id); documents that hold a passage of the benchmark go; what is left is packed
+into sequences. A stage sees whatever its predecessor kept, and all stages but the last
+return the columns of documents, with n_chars up to date.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from alarmloom.llm import decontamination, line_dedup, ngram_join, packing, quality
+from alarmloom.llm.catalog import table
+from alarmloom.llm.shared import written
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose expected quality is good enough."""
+    # the model learns from the documents as they were
+    raw, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    model = quality.train(raw, quality.graded(labels))
+    rated = quality.rate_with(model, docs)
+    return rated.where("kept").select(*docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents less boilerplate lines; those with nothing else left go."""
+    cleaned = line_dedup.line_dedup(docs)
+    emptied = (F.col("n_removed") > 0) & (F.trim("text") == "")
+    n_chars = F.char_length("text").cast("long")
+    return (
+        cleaned.where(~F.coalesce(emptied, F.lit(False)))
+        .withColumn("n_chars", F.when(F.col("n_removed") > 0, n_chars).otherwise(F.col("n_chars")))
+        .select(*docs.columns)
+    )
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    found = ngram_join.ngram_join(docs)
+    away = found.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(away, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    searched = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return searched.where(~F.col("contaminated")).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.best_fit_packing(docs, vocabulary)
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list = []
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", keep_good),
+    ("line dedup", drop_lines),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("best-fit packing", pack),
+]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # neither the classifier nor the tokenizer can be put in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
