@@ -187,8 +187,10 @@ def bucket_of(key: Column, bounds: list[int]) -> Column:
     return let(group, within)
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """docs (doc_id, text, ...) with next_<c> of the next document for carried columns.
+def with_next(docs: DataFrame, carried: dict[str, Column]) -> DataFrame:
+    """docs (doc_id, text, ...) with columns c and next_<c>, those of the next document.
+
+    carried: expressions over a document, computed once each, before any shuffle.
 
     Documents are dealt into buckets of consecutive ids; a bucket also gets the first
     row of the bucket after it. The bounds and first ids of the buckets, at most
@@ -223,11 +225,13 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
         )
     )
     ordered = Window.partitionBy("bucket").orderBy("turn", "ghost", "key", "text")
-    found = rows.select(
+    # the rows of bucket ends are few: what is costly comes after they are picked
+    found = rows.withColumns(carried).select(
         "*", *[F.lead(c).over(ordered).alias(f"next_{c}") for c in carried]
     )
+    new = [c for c in carried if c not in docs.columns]
     return found.where("ghost = 0").select(
-        *docs.columns, *[f"next_{c}" for c in carried]
+        *docs.columns, *new, *[f"next_{c}" for c in carried]
     )
 
 
@@ -239,9 +243,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     characters of the next document.
     """
     read = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    # the id alone orders repeated rows of equal text
-    first = read.withColumn("fp", fingerprint(F.col("text")))
-    pairs = with_next(first, ["text", "fp"])
+    text = F.col("text")
+    pairs = with_next(read, {"text": text, "fp": fingerprint(text)})
     n_chars = F.char_length("text")
     quarter = F.floor(n_chars / 4).cast("int")
     edited = pairs.select(
