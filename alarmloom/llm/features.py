@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 20
+PREFIXES = 4, 8  # bytes of the shortest and longest beginning of a word
+PREFIX_SEED = 77
 
 WORD_BYTES = bytes(
     byte if 48 <= byte <= 57 or 97 <= byte <= 122 or byte >= 128 else 32
@@ -33,10 +35,27 @@ def lower_words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(WORD_BYTES).split()
 
 
+def word_buckets(text: str | None) -> set[int]:
+    """Buckets of a text's words and of their beginnings.
+
+    Words of one stem with many endings are each rare; their common beginning is not.
+    """
+    crc, found = zlib.crc32, set()
+    add = found.add
+    for word in set(lower_words(text)):
+        add(crc(word) % BUCKETS)
+        if len(word) > PREFIXES[0]:
+            begun = crc(word[: PREFIXES[0]], PREFIX_SEED)
+            add(begun % BUCKETS)
+            for end in range(PREFIXES[0] + 1, min(PREFIXES[1] + 1, len(word))):
+                begun = crc(word[end - 1 : end], begun)
+                add(begun % BUCKETS)
+    return found
+
+
 def word_presence(text: str | None) -> np.ndarray:
-    """Sorted distinct buckets of a text's words."""
-    hashed = {zlib.crc32(word) % BUCKETS for word in set(lower_words(text))}
-    return np.array(sorted(hashed), dtype=np.int32)
+    """Sorted distinct buckets of a text's words and their beginnings."""
+    return np.array(sorted(word_buckets(text)), dtype=np.int32)
 
 
 def shape_counts(data: bytes) -> Counter:

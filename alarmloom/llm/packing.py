@@ -29,6 +29,7 @@ from bisect import insort
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,10 +37,10 @@ from pyspark.sql import functions as F
 from alarmloom.llm.shared import cut_lineage
 
 KEPT_WORDS = 1 << 20
-CHUNK_ROWS = 20_000
+LEAST_CHUNK = 200
+MOST_CHUNKS = 100_000
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
-PLAN = "length long, rank long, sequence long, slots long, offset long"
 
 
 class WordIds:
@@ -57,22 +58,24 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         plain = "\t\n\r -~¡-¬®-įı-ſ"
-        self.other = re.compile(
-            "|".join([f"[^{plain}]", *map(re.escape, specials)])
-        ).search
+        # lower-casing may make a special string out of another
+        special = "|".join(map(re.escape, specials))
+        self.other = re.compile(f"[^{plain}]|(?i:{special})").search
         self.known: dict[str, bytes] = {}
 
     def encoded(self, ids: list[int]) -> bytes:
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
     def learn(self, words: set[str]) -> None:
-        """Ids of words not met before, found in one call of the library."""
+        """Ids of words not met before; words are kept up to a number, then dropped."""
         if len(self.known) + len(words) > KEPT_WORDS:
             self.known.clear()
-        new = list(words)
+        new = list(words - self.known.keys())
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            coded = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            coded = self.tokenizer.encode(
+                part, is_pretokenized=True, add_special_tokens=False
+            )
             ids: list[list[int]] = [[] for _ in part]
             for word, i in zip(coded.word_ids, coded.ids):
                 ids[word].append(i)
@@ -81,18 +84,14 @@ class WordIds:
     def ids_of(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian ids of each text."""
         split = [None if self.other(text) else text.lower().split() for text in texts]
-        missing = set().union(*[words for words in split if words]) - self.known.keys()
-        if missing:
-            self.learn(missing)
+        self.learn(set().union(*[words for words in split if words]))
+        known = self.known.__getitem__
         for text, words in zip(texts, split):
             if words is None:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 yield self.encoded(ids)
             else:
-                known = self.known
-                if not known.keys() >= set(words):
-                    self.learn(set(words) - known.keys())
-                yield b"".join([known[word] for word in words])
+                yield b"".join(map(known, words))
 
 
 @lru_cache(maxsize=1)
@@ -176,8 +175,9 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 def ranked(pieces: DataFrame, counts: dict[int, int]) -> DataFrame:
     """pieces with rank, from 0, within their length."""
     spark = pieces.sparkSession
+    rows = max(LEAST_CHUNK, -(-sum(counts.values()) // MOST_CHUNKS))
     sizes = spark.createDataFrame(
-        [(k, -(-n // CHUNK_ROWS)) for k, n in counts.items()], "length long, chunks long"
+        [(k, -(-n // rows)) for k, n in counts.items()], "length long, chunks long"
     )
     # as many rows as there are lengths, at most the capacity
     chunked = pieces.join(F.broadcast(sizes), "length").withColumn(
@@ -211,26 +211,46 @@ def best_fit_packing(
     spark = docs.sparkSession
     pieces = cut_lineage(tokenized(docs.select("doc_id", "text"), vocabulary, capacity))
     counts = {row.length: row["count"] for row in pieces.groupBy("length").count().collect()}
-    rows = plan(counts, capacity)
-    runs: dict[int, list] = {}
-    for length, *run in rows:
-        runs.setdefault(length, []).append(tuple(run))
-    listed = spark.createDataFrame(
-        list(runs.items()),
-        "length long, runs array<struct<first:long,sequence:long,slots:long,at:long>>",
-    )
     # the plan's size is bounded by the capacity (see above)
-    found = ranked(pieces, counts).join(F.broadcast(listed), "length")
-    run = F.element_at(
-        F.filter("runs", lambda r: r["first"] <= F.col("rank")), F.lit(-1)
-    )
-    place = F.col("rank") - F.col("run.first")
-    return found.withColumn("run", run).select(
+    shipped = spark.sparkContext.broadcast(plan_arrays(plan(counts, capacity)))
+
+    @F.pandas_udf("sequence_id long, offset long")
+    def located(lengths: pd.Series, ranks: pd.Series) -> pd.DataFrame:
+        starts, by_length = shipped.value
+        length, rank = lengths.to_numpy(np.int64), ranks.to_numpy(np.int64)
+        # runs are sorted by (length, first rank): places in both at once
+        at = np.searchsorted(starts, run_key(length, rank), side="right") - 1
+        first, sequence, slots, offset = by_length[at].T
+        place = rank - first
+        return pd.DataFrame(
+            {
+                "sequence_id": sequence + place // slots,
+                "offset": offset + place % slots * length,
+            }
+        )
+
+    found = ranked(pieces, counts).withColumn("at", located("length", "rank"))
+    return found.select(
         "doc_id",
         "piece",
         "start",
         "length",
         "ids_crc32",
-        (F.col("run.sequence") + F.floor(place / F.col("run.slots"))).alias("sequence_id"),
-        (F.col("run.at") + place % F.col("run.slots") * F.col("length")).alias("offset"),
+        "at.sequence_id",
+        "at.offset",
     )
+
+
+RANK_BITS = 48
+
+
+def run_key(length: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    return length << RANK_BITS | rank
+
+
+def plan_arrays(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """The plan sorted by length and first rank, and the keys to search it by."""
+    table = np.array(rows, np.int64).reshape(-1, 5)
+    keys = run_key(table[:, 0], table[:, 1])
+    order = np.argsort(keys)
+    return keys[order], table[order, 1:]

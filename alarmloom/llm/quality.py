@@ -115,7 +115,8 @@ def train(docs: DataFrame, ratings: DataFrame) -> Model:
     )
     share = min(1.0, SAMPLE_RATED / max(1, known.count()))
     chosen = known.where(sample_number("grade") < share)
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    # about SAMPLE_RATED ids, so texts need no shuffle
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     return fit_cumulative(collect_sample(rows, ["grade"], True))
 
 

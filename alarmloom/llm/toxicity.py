@@ -7,11 +7,11 @@ below zero, it is taken back instead (the non-negative estimator). The prior is
 toxic share of all training labels.
 
 The training texts are samples by a hash of doc_id: about SAMPLE_TOXIC toxic documents
-and about SAMPLE_UNLABELLED others, whatever the size of the corpus. Everything else
-(the prior, the scores) covers all rows.
+and about SAMPLE_UNLABELLED of all documents (their labels unread), whatever the size of
+the corpus. Everything else (the prior, the scores) covers all rows.
 
-Features are words by hash, present or not; those that toxic documents do not hold
-more often than the rest by SCREEN standard errors are left out.
+Features are words and beginnings of words by hash, present or not; those that toxic
+documents do not hold more often than the rest by SCREEN standard errors are left out.
 
 Defined results: a null or empty text has no words and scores as the bias alone; without
 toxic labels every score is 0; a label or doc_id that is null trains nothing, and a null
@@ -21,7 +21,6 @@ read. Of a doc_id with several labels, toxic wins.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,17 +33,17 @@ from alarmloom.llm.features import (
     Adam,
     Sample,
     collect_sample,
-    lower_words,
     sigmoid,
+    word_buckets,
 )
 from alarmloom.llm.shared import held_out, sample_number
 
 SAMPLE_TOXIC = 4_000
 SAMPLE_UNLABELLED = 16_000
-SCREEN = 3.5
+SCREEN = 4.5
 STEPS = 400
 RATE = 0.05
-DECAY = 1e-4
+DECAY = 3e-4
 TOXIC_FROM = 0.7
 
 
@@ -55,9 +54,9 @@ class Model:
         self.weights, self.bias = weights, bias
 
     def score(self, text: str | None) -> float:
-        weight = self.weights.get
-        buckets = {zlib.crc32(word) % BUCKETS for word in set(lower_words(text))}
-        margin = self.bias + sum(weight(bucket, 0.0) for bucket in buckets)
+        weight = self.weights.__getitem__
+        found = self.weights.keys() & word_buckets(text)
+        margin = self.bias + sum(weight(bucket) for bucket in sorted(found))
         return float(sigmoid(np.float64(margin)))
 
 
@@ -103,13 +102,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if not counts.toxic:
         return Model({}, -40.0)
     training = docs.where(~held_out(3, 1)).select("doc_id", "text")
-    others = training.count() - counts.toxic
-    share = F.when(
-        F.col("toxic") == 1, min(1.0, SAMPLE_TOXIC / counts.toxic)
-    ).otherwise(min(1.0, SAMPLE_UNLABELLED / max(1, others)))
-    toxic = known.where("toxic = 1")
-    rows = training.join(toxic, "doc_id", "left").fillna({"toxic": 0})
-    sample = collect_sample(rows.where(sample_number("toxic") < share), ["toxic"], False)
+    share = min(1.0, SAMPLE_TOXIC / counts.toxic)
+    toxic = known.where((F.col("toxic") == 1) & (sample_number("toxic") < share))
+    # about SAMPLE_TOXIC ids, so texts need no shuffle
+    confirmed = training.join(F.broadcast(toxic), "doc_id")
+    share = min(1.0, SAMPLE_UNLABELLED / max(1, training.count()))
+    unlabelled = training.where(sample_number("unlabelled") < share)
+    sample = collect_sample(
+        confirmed.unionByName(unlabelled.withColumn("toxic", F.lit(0))), ["toxic"], False
+    )
     return fit_non_negative(sample, counts.toxic / counts.n)
 
 

@@ -123,7 +123,7 @@ def test_packing_of_documents(edge_docs, edge_rows):
 
 
 def test_many_chunks_of_one_length(spark, monkeypatch):
-    monkeypatch.setattr(packing, "CHUNK_ROWS", 10)
+    monkeypatch.setattr(packing, "LEAST_CHUNK", 10)
     docs = spark.createDataFrame([(i, "same text") for i in range(500)], "doc_id long, text string")
     got = packing.best_fit_packing(docs, WORDS, 16).collect()
     places = Counter((r.sequence_id, r.offset) for r in got)
@@ -133,3 +133,19 @@ def test_many_chunks_of_one_length(spark, monkeypatch):
 
 def test_packing_of_nothing(no_docs):
     assert packing.best_fit_packing(no_docs, WORDS).count() == 0
+
+
+def test_word_ids_equal_library(monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 50)
+    words = packing.WordIds(WORDS)
+    rng = random.Random(6)
+    alphabet = " \n\tabtheINRÀéßñŁž.,!'s't're12$#<|endoftext|>ı"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(1500)]
+    texts += ["it's <|endoftext|> here", "<|ENDOFTEXT|> x", "<|startoftext|>", "İstanbul", "é"]
+    for at in range(0, len(texts), 40):
+        for text, ids in zip(texts[at : at + 40], words.ids_of(texts[at : at + 40])):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert ids == b"".join(i.to_bytes(4, "little") for i in want), repr(text)
