@@ -169,17 +169,17 @@ def repeat_reminders(
     in_alarm: str,
     interval: Column,
     *,
+    horizon: Column,
     ts: str = "ts",
     tie: str = "event_id",
-    horizon: Column | None = None,
     policy: SplitPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """A reminder every ``interval`` seconds from an alarm until it recovers.
 
-    The interval is the one of the row that starts the episode.  Output: keys,
-    ``start_us``, ``n`` (1, 2, ...), ``due_us``.
+    The interval is the one of the row that starts the episode.  ``horizon`` is the end
+    of the rows that the alarms come from.  Output: keys, ``start_us``, ``n`` (1, 2,
+    ...), ``due_us``.
     """
-    horizon = end_of(alarms, ts) if horizon is None else horizon
     on = F.coalesce(F.col(in_alarm), F.lit(False))
     episodes = (
         Timeline(alarms, keys, ts, tie, policy)

@@ -16,26 +16,30 @@ UNIQUE_POINT, TEMPLATE_POINT, COMPUTED_POINT = "0", "1", "2"
 ADD, MODIFY, DELETE = "0", "1", "2"
 
 
-def point_rule_mapping(changes: DataFrame, ts: str, seq: str) -> DataFrame:
+def point_rule_mapping(
+    changes: DataFrame, ts: str, seq: str, policy: SplitPolicy = DEFAULT_POLICY
+) -> DataFrame:
     """The mapping (type, id, rule_id) after a log of rule changes.
 
     A delete drops all rules of a point; what is added after the last delete
     stays.  One row per add, so a rule added twice is there twice, with the order
     it was added in (``ts``, ``seq``).  ``changes`` are parsed messages; their rule
     lists are exploded last, for the few that count.
+
+    One pass: the log is read backwards per point, and an add counts as long as no
+    delete has been met.
     """
-    at = F.struct(ts, seq)
-    last_delete = (
-        changes.filter(F.col("action") == DELETE)
-        .groupBy("type", "id")
-        .agg(F.max(at).alias("__deleted"))
-    )
-    adds = (
-        changes.filter(F.col("action") == ADD)
-        .join(last_delete, ["type", "id"], "left")
-        .filter(F.col("__deleted").isNull() | (at > F.col("__deleted")))
+    backwards = {
+        "__ts": F.timestamp_micros(-F.unix_micros(F.col(ts))),
+        "__seq": -F.col(seq),
+    }
+    deleted = F.when(F.col("action") == DELETE, F.lit(True))
+    live = (
+        Timeline(changes.withColumns(backwards), ["type", "id"], "__ts", "__seq", policy)
+        .scan(__deleted=last_seen(deleted))
+        .filter((F.col("action") == ADD) & F.col("__deleted").isNull())
     )
-    return explode_rule_ids(adds.select("type", "id", "rule_ids", ts, seq))
+    return explode_rule_ids(live.select("type", "id", "rule_ids", ts, seq))
 
 
 def apply_rule_changes(
@@ -195,6 +199,10 @@ def as_of_changes(
     seen = Timeline(both, [key], "__at", tie, policy).scan(
         __seen=last_seen(F.col("__c"))
     )
-    return seen.filter(F.col("__c").isNull()).select(
+    found = seen.filter(F.col("__c").isNull()).select(
         *rows.columns, F.col("__seen")["v"].alias(name)
     )
+    # a row without a time has no version, but passes
+    unknown = found.schema[name].dataType
+    timeless = rows.filter(F.col(ts).isNull())
+    return found.unionByName(timeless.withColumn(name, F.lit(None).cast(unknown)))

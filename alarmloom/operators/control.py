@@ -69,11 +69,12 @@ def control_commands(
     Template elements are resolved through the gateway: its machines, and the
     unique point behind (gateway, template point).  Flat: a command for several
     machines has one row per machine and one ``control_uuid``; a command for none
-    has a null ``control_machine_id``.
+    has a null ``control_machine_id``.  The place of an action in its rule is part of
+    the command's id, so equal actions are commands of their own.
     """
     kind = F.col("element")["element_type"]
-    actions = matched.withColumn(
-        "__c", F.explode(F.col("action")["controlActionDtos"])
+    actions = matched.select(
+        "*", F.posexplode(F.col("action")["controlActionDtos"]).alias("__n", "__c")
     ).withColumns(
         {
             # Null keys for other elements, so that they pass the joins untouched.
@@ -93,7 +94,7 @@ def control_commands(
         machines, "__sn", "left"
     )
     return resolved.select(
-        row_id(F.col("uuid"), F.col("rule_id"), F.to_json("__c")).alias("control_uuid"),
+        row_id(F.col("uuid"), F.col("rule_id"), F.col("__n")).alias("control_uuid"),
         F.col("uuid").alias("alarm_uuid"),
         F.when(kind == DEVICE, F.col("element")["machine_id"])
         .when(kind == TEMPLATE, F.col("__machine"))

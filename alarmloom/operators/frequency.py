@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alarmloom.functions import scalars as S
-from alarmloom.operators.alarms import chunk_of, end_of, micros, seconds
+from alarmloom.operators.alarms import chunk_of, micros, seconds
 from alarmloom.operators.hotkeys import DEFAULT_POLICY, SplitPolicy
 from alarmloom.operators.timeline import OPEN, PASS, Timeline, prev
 
@@ -85,16 +85,16 @@ def disconnect_frequency(
     *,
     key: str = "sn",
     tie: str = "event_id",
-    horizon: Column | None = None,
+    horizon: Column,
     policy: SplitPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Alarm when a gateway disconnects more than ``limit`` times in a window.
 
     ``events`` are rows of :func:`disconnects`.  A window starts at the *online*
     time of its first disconnect and lasts ``window`` seconds.  Every disconnect
-    after the first ``limit`` in it alarms; its end always recovers.
+    after the first ``limit`` in it alarms; its end always recovers, up to ``horizon``
+    (the end of the status rows, which the disconnects do not tell).
     """
-    horizon = end_of(events, "offline_ts") if horizon is None else horizon
     rows = Timeline(events, [key], "offline_ts", tie, policy).windows(
         kind=F.lit(OPEN),
         due=micros("online_ts") + seconds(window),

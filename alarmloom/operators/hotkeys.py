@@ -1,14 +1,17 @@
-"""Splitting hot keys of an ordered, keyed frame into bounded chunks.
+"""Splitting hot keys of an ordered, keyed frame into chunks.
 
 The alarm operators walk the rows of one gateway or data point in time order.
 A plain ``Window.partitionBy(key)`` puts all rows of a key into one task, which
-fails when one key holds a large share of the table.  ``split_hot_keys`` finds
-such keys and cuts each into consecutive chunks of about ``target_rows`` rows,
-so that (key, chunk) can be shuffled instead of the key.  The chunk of a row
-depends only on cut points that are fixed when the plan is built, so every
+fails when one key holds a large share of the table.  ``split_hot_keys`` counts the
+rows of every key and cuts the time of each hot one into cells, so that (key, cell)
+can be shuffled instead of the key.
+
+Cells start at equal widths and are counted; a cell that still holds too many rows (a
+burst) is cut again, into ``CUTS`` parts, until none does or cells are one microsecond
+wide; rows of one microsecond are cut by their tie in the same way.  Which rows are hot is decided by counts of all rows, never by an estimate.  Keys
+and cells that are cut are tables in the shared folder, joined like any other table:
+there is no bound on how many there are, nothing of them reaches the driver, and every
 evaluation of the plan, also after a lost executor, sees the same chunks.
-
-A sample decides where the cuts are; it never decides which rows are kept.
 """
 
 from __future__ import annotations
@@ -16,51 +19,32 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from alarmloom.storage import written
+
 CHUNK = "__chunk"
+CUTS = 64
 
 
 @dataclass(frozen=True)
 class SplitPolicy:
-    """When and how finely to split.
-
-    small_bytes   inputs that the optimizer sizes below this are not profiled:
-                  even a single key holding everything fits one task
-    target_rows   wanted rows per chunk; keys above twice this are split
-    max_chunks    bound on the number of chunks, and so on the size of the cut
-                  table that is broadcast: beyond it chunks grow instead
-    oversample    sampled rows per chunk used to place the cuts
-    """
+    """target_rows: most rows of a chunk; keys above twice this are split."""
 
-    small_bytes: int = 64 << 20
     target_rows: int = 4_000_000
-    max_chunks: int = 100_000
-    oversample: int = 10
 
 
 DEFAULT_POLICY = SplitPolicy()
 
 # For frames derived from rows that were split (or found to need no split) before.
 # Splitting the source once and carrying ``__chunk`` through joins and filters is
-# cheaper than profiling every derived frame, and stays valid as long as the derived
+# cheaper than counting every derived frame, and stays valid as long as the derived
 # keys extend the split keys and the order of the rows is kept.
 CHECKED = SplitPolicy()
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a frame, without running it."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
-def _order_key(ts: str, tie: str) -> Column:
-    return F.struct(F.unix_micros(F.col(ts)).alias("t"), F.col(tie).alias("i"))
-
-
 def split_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
@@ -71,139 +55,101 @@ def split_hot_keys(
     """Add ``__chunk`` when some key is hot.
 
     Returns the frame and whether it is split.  When it is, ``__chunk`` is null for
-    keys that are not hot and 0, 1, 2, ... in time order for hot ones.  A frame that
-    already has the column is left as it is.
+    keys that are not hot and a text that rises with (ts, tie) for hot ones.  A frame
+    that already has the column is left as it is.
     """
     keys = list(keys)
     if CHUNK in df.columns:
         return df, True
-    if policy is CHECKED or estimated_bytes(df) <= policy.small_bytes:
+    if policy is CHECKED:
         return df, False
-
-    total = Observation()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = (
-        counts.observe(total, F.sum("n").alias("rows"))
-        .filter(F.col("n") > 2 * policy.target_rows)
-        .orderBy(F.desc("n"))
-        .limit(policy.max_chunks // 2)
-        .toPandas()
-    )
-    if hot.empty:
-        return df, False
-    rows = int(total.get["rows"])
-    target = max(policy.target_rows, -(-rows // policy.max_chunks))
-    hot = hot[hot["n"] > 2 * target]
-    if hot.empty:
-        return df, False
-
-    spark = df.sparkSession
-    key_fields = [df.schema[k] for k in keys]
-    hot_rows = int(hot["n"].sum())
-    wanted = policy.oversample * -(-hot_rows // target)
-    source = df
-    if keys:
-        hot_keys = spark.createDataFrame(
-            list(hot[keys].itertuples(index=False, name=None)), T.StructType(key_fields)
-        )
-        on = [df[k].eqNullSafe(hot_keys[k]) for k in keys]
-        source = df.join(F.broadcast(hot_keys), on, "left_semi")
-    sample = (
-        source.select(*keys, F.unix_micros(F.col(ts)).alias("t"), F.col(tie).alias("i"))
-        .sample(min(1.0, wanted / hot_rows), seed=17)
-        .toPandas()
-    )
-    grid_rows, cell_rows = _cut_tables(sample, keys, hot, target)
-    if not grid_rows:
+    target = policy.target_rows
+    timed = df.withColumn("__t", F.unix_micros(F.col(ts)))
+    by_time = _cells(timed, keys, "__t", F.lit(True), 2 * target, target)
+    if by_time is None:
         return df, False
-
-    # One row per hot key, and one row per (hot key, time cell): both are bounded
-    # by max_chunks, so both are broadcast.
-    long = T.LongType()
-    cut = T.StructType(
-        [T.StructField("t", long), T.StructField("i", df.schema[tie].dataType)]
-    )
-    key_cols = [T.StructField(f"__k{n}", f.dataType) for n, f in enumerate(key_fields)]
-    grid = spark.createDataFrame(
-        grid_rows,
-        T.StructType(
-            key_cols
-            + [T.StructField(c, long) for c in ("__t0", "__step", "__cells")]
-        ),
-    )
-    cells = spark.createDataFrame(
-        cell_rows,
-        T.StructType(
-            [T.StructField(f"__c{n}", f.dataType) for n, f in enumerate(key_fields)]
-            + [
-                T.StructField("__cell_no", long),
-                T.StructField("__base", long),
-                T.StructField("__cuts", T.ArrayType(cut)),
-            ]
-        ),
+    # what is left of a burst in one microsecond is cut by the tie
+    instant = by_time.withColumnsRenamed({"__cell": "__t0", "__width": "__w0"})
+    instant = instant.withColumn("__u", _number(df.schema[tie], tie))
+    one = F.col("__w0") == 1
+    by_tie = _cells(instant, [*keys, "__t0"], "__u", one, target, target)
+    if by_tie is None:
+        by_tie = instant.withColumn("__cell", F.lit(None).cast("long"))
+    label = F.concat(_sortable("__t0"), F.coalesce(_sortable("__cell"), F.lit("")))
+    return by_tie.select(*df.columns, label.alias(CHUNK)), True
+
+
+def _number(field: T.StructField, name: str) -> Column:
+    """A whole number that rises with a column, though not always strictly."""
+    kind = field.dataType
+    if isinstance(kind, T.StringType):
+        first = F.hex(F.substring(F.encode(F.col(name), "utf-8"), 1, 7))
+        return F.conv(F.rpad(first, 14, "0"), 16, 10).cast("long")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    return F.col(name).cast("long")
+
+
+def _sortable(name: str) -> Column:
+    """A whole number as a text that sorts like it."""
+    return F.lpad(F.hex(F.col(name).bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+
+
+def _cells(
+    df: DataFrame, keys: list[str], value: str, which: Column, least: int, target: int
+) -> DataFrame | None:
+    """df with __cell and __width, the cell of a value whose key has more than least rows.
+
+    Both are null for other keys and for rows that ``which`` leaves out.  None if there
+    is no such key.
+    """
+    counts = df.where(which).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")
     )
-    on_grid = _all(df[k].eqNullSafe(grid[f"__k{n}"]) for n, k in enumerate(keys))
-    gridded = (
-        df.join(F.broadcast(grid), on_grid, "left")
-        .withColumn("__t", F.unix_micros(F.col(ts)))
-        # Whole-number division: a row must never be put into the next cell.
-        .withColumn(
-            "__cell", F.expr("greatest(0, least((__t - __t0) div __step, __cells - 1))")
+    # cells hold a quarter of the target where rows are spread evenly
+    parts = F.ceil(4 * F.col("n") / target)
+    step = F.ceil((F.col("hi") - F.col("lo") + 1) / parts).cast("long")
+    cuts = written(
+        counts.where((F.col("n") > least) & F.col("lo").isNotNull()).select(
+            *_named(keys), F.col("lo").alias("__lo"), step.alias("__step")
         )
     )
-    on_cell = F.col("__cell") == F.col("__cell_no")
+    if cuts.isEmpty():
+        return None
+    df = _placed(df, cuts, keys, value, which)
+    while True:
+        held = df.where(F.col("__width") > 1).groupBy(*keys, "__cell", "__width").count()
+        cuts = written(
+            held.where(F.col("count") > target).select(
+                *_named(keys),
+                F.col("__cell").alias("__lo"),
+                F.ceil(F.col("__width") / CUTS).cast("long").alias("__step"),
+            )
+        )
+        if cuts.isEmpty():
+            return df
+        df = _placed(df, cuts, keys, value, F.col("__cell") == F.col("__lo"))
+
+
+def _named(keys: list[str]) -> list[Column]:
+    return [F.col(k).alias(f"__k{n}") for n, k in enumerate(keys)]
+
+
+def _placed(
+    df: DataFrame, cuts: DataFrame, keys: list[str], value: str, which: Column
+) -> DataFrame:
+    """Rows with the start and width of their cell, where their key or cell is cut."""
+    on = which
     for n, k in enumerate(keys):
-        on_cell = on_cell & F.col(k).eqNullSafe(F.col(f"__c{n}"))
-    chunked = gridded.join(F.broadcast(cells), on_cell, "left").withColumn(
-        CHUNK,
-        F.col("__base")
-        + F.size(F.filter("__cuts", lambda c: c <= _order_key(ts, tie))).cast("long"),
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{n}"))
+    # whole-number division: a row must never be put into the next cell
+    cell = F.expr(f"__lo + ({value} - __lo) div __step * __step")
+    width = F.col("__step")
+    if "__cell" in df.columns:
+        cell, width = F.coalesce(cell, "__cell"), F.coalesce(width, "__width")
+    kept = [c for c in df.columns if c not in ("__cell", "__width")]
+    return df.join(cuts, on, "left").select(
+        *kept, cell.alias("__cell"), width.alias("__width")
     )
-    return chunked.select(*df.columns, CHUNK), True
-
-
-def _all(conditions) -> Column:
-    result = F.lit(True)
-    for c in conditions:
-        result = result & c
-    return result
-
-
-def _cut_tables(
-    sample: pd.DataFrame, keys: list[str], hot: pd.DataFrame, target: int
-) -> tuple[list[tuple], list[tuple]]:
-    """Cut points of every hot key, arranged by equal-width time cells."""
-    grid_rows, cell_rows = [], []
-    counts = hot.set_index(keys)["n"] if keys else None
-    groups = sample.groupby(keys, dropna=False) if keys else [((), sample)]
-    for key, rows in groups:
-        key = key if isinstance(key, tuple) else (key,)
-        n_rows = int(hot["n"].iloc[0]) if counts is None else int(
-            counts.loc[key if len(key) > 1 else key[0]]
-        )
-        chunks = -(-n_rows // target)
-        ordered = rows.sort_values(["t", "i"])
-        at = [len(ordered) * c // chunks for c in range(1, chunks)]
-        points = sorted({(int(ordered["t"].iloc[a]), _plain(ordered["i"].iloc[a]))
-                         for a in at})
-        if not points:
-            continue
-        key = tuple(_plain(k) for k in key)
-        t0 = points[0][0]
-        step = max(1, -(-(points[-1][0] - t0 + 1) // len(points)))
-        n_cells = (points[-1][0] - t0) // step + 1
-        grid_rows.append((*key, t0, step, n_cells))
-        pos = 0
-        for cell in range(n_cells):
-            base = pos
-            while pos < len(points) and (points[pos][0] - t0) // step == cell:
-                pos += 1
-            cell_rows.append((*key, cell, base, points[base:pos]))
-    return grid_rows, cell_rows
-
-
-def _plain(value):
-    """A numpy scalar as the Python value createDataFrame accepts."""
-    if value is None or (isinstance(value, float) and pd.isna(value)):
-        return None
-    return value.item() if hasattr(value, "item") else value

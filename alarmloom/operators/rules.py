@@ -143,6 +143,9 @@ def rule_details(
 # -- tagging -----------------------------------------------------------------
 
 
+UNIQUE, TEMPLATE = 0, 1
+
+
 def watch_list(mapping: DataFrame, details: DataFrame) -> DataFrame:
     """A point-to-rule mapping with the rules' details.
 
@@ -161,10 +164,27 @@ def tag_points(
     ``unique_watch`` has unique_data_point_id and rule columns, ``template_watch``
     datapoint_id and the same rule columns.  A rule reached both ways counts twice,
     as the two lists are simply appended; a point without rules is dropped.
+
+    Both lists are one, by kind and id, and a point looks up its two ids in it, so that
+    points are read and shuffled once.  ``mapping`` tells which id found the rule.
     """
-    by_unique = points.join(unique_watch, "unique_data_point_id")
-    by_template = points.join(template_watch, "datapoint_id")
-    return by_unique.unionByName(by_template)
+    kinds = {UNIQUE: "unique_data_point_id", TEMPLATE: "datapoint_id"}
+    lists = zip(kinds.items(), (unique_watch, template_watch))
+    by_unique, by_template = (
+        watch.withColumn("mapping", F.lit(kind)).withColumnRenamed(name, "__id")
+        for (kind, name), watch in lists
+    )
+    ids = F.array(
+        *[
+            F.struct(F.lit(kind).alias("mapping"), F.col(name).cast("bigint").alias("__id"))
+            for kind, name in kinds.items()
+        ]
+    )
+    looking = points.select("*", F.inline(ids))
+    watched = by_unique.unionByName(by_template).withColumn(
+        "__id", F.col("__id").cast("bigint")
+    )
+    return looking.join(watched, ["mapping", "__id"]).drop("__id")
 
 
 def tag_points_prototype(points: DataFrame, gateway_rules: DataFrame) -> DataFrame:

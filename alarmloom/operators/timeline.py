@@ -9,8 +9,8 @@
 
 ``windows`` is sequential by nature (where a window starts depends on where the
 one before it ended), so it cannot be a Catalyst window function.  Spark shuffles
-and sorts the rows, and a small loop labels each Arrow batch in one pass with
-constant memory.  For hot keys the same labels come from chunks in parallel: each
+and sorts the rows, and each Arrow batch is labelled with array operations, stepping
+only from one window to the next that opens, with constant memory.  For hot keys the same labels come from chunks in parallel: each
 chunk is reduced to a transfer table (which window is open at its end, for each
 window that may be open at its start), the tables of a key are chained, and the
 state found at each chunk start is joined back before the labelling pass.
@@ -87,9 +87,6 @@ class Timeline:
             df, keys = df.withColumn("__all", F.lit(0)), ["__all"]
         self.keys = list(keys)
         self.ts, self.tie, self.policy = ts, tie, policy
-        # Chunks made here are few; those of a frame split before its keys were
-        # extended have no such bound, so Catalyst picks the join by size.
-        self.few_chunks = CHUNK not in df.columns
         self.placed = False
         self.df, self.split = split_hot_keys(df, self.keys, ts, tie, policy)
         self.part = self.keys + ([CHUNK] if self.split else [])
@@ -201,9 +198,6 @@ class Timeline:
         return joined.withColumns(merged).drop(*[f"__in_{n}" for n in scans])
 
     def _join_chunks(self, rows: DataFrame, per_chunk: DataFrame) -> DataFrame:
-        # Made here: at most policy.max_chunks rows plus one per hot key.
-        if self.few_chunks:
-            per_chunk = F.broadcast(per_chunk)
         on = F.col(CHUNK) == F.col(f"__j{len(self.keys)}")
         for i, k in enumerate(self.keys):
             on = on & F.col(k).eqNullSafe(F.col(f"__j{i}"))
@@ -280,8 +274,6 @@ class Timeline:
         on = F.lit(True)
         for i, k in enumerate(self.keys):
             on = on & F.col(k).eqNullSafe(F.col(f"__w{i}"))
-        if self.few_chunks:
-            width = F.broadcast(width)
         narrow = hot.join(width, on, "left").select(
             *self.part, "__ts", F.col(self.tie).alias("__tie"), "__kind", "__due",
             "__width",
@@ -296,9 +288,9 @@ class Timeline:
         out = T.StructType(
             joined + [T.StructField(c, T.LongType()) for c in (*_CARRY, "__next")]
         )
-        return tables.groupBy(*self.keys).applyInPandas(
-            _chain(self.part), out
-        )
+        # one table at a time, however many chunks a key has
+        ordered = tables.repartition(*self.keys).sortWithinPartitions(*self.part)
+        return ordered.mapInArrow(_chain(self.part), out)
 
 
 # -- inside tasks ------------------------------------------------------------
@@ -320,50 +312,131 @@ _TRANSFER_FIELDS = [
 
 
 def _labeller(keep: list[str], carried: list[str]):
-    """Labels the sorted rows of a partition, batch by batch."""
+    """Labels the sorted rows of a partition, batch by batch.
+
+    ``state`` is the window that is open after the last row of a batch.
+    """
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none, opening, resetting = NONE, OPEN, RESET
-        due, opened, pos, first_due = NONE, NONE, 0, NONE
+        state = (NONE, NONE, 0, NONE)
         for batch in batches:
-            columns = [
-                batch.column(c).to_numpy(zero_copy_only=False).tolist()
-                for c in ("__first", "__ts", "__kind", "__due")
-            ]
-            carry = [
-                batch.column(c).to_numpy(zero_copy_only=False) for c in carried
+            first, ts, kind, due, *carry = [
+                batch.column(c).to_numpy(zero_copy_only=False)
+                for c in ("__first", "__ts", "__kind", "__due", *carried)
             ]
-            size = batch.num_rows
-            out = [[NONE] * size for _ in range(4)]
-            out_due, out_open, out_pos, out_first = out
-            for n, (first, ts, kind, row_due) in enumerate(zip(*columns)):
-                if first:
-                    due, opened, pos, first_due = (
-                        [int(c[n]) for c in carry] if carry else (none, none, 0, none)
-                    )
-                if ts > due:
-                    due = none
-                if kind == opening:
-                    if due == none:
-                        due, opened, pos = row_due, ts, 0
-                        if first_due == none:
-                            first_due = due
-                    pos += 1
-                if due != none:
-                    out_due[n], out_open[n], out_pos[n] = due, opened, pos
-                out_first[n] = first_due
-                if kind == resetting:
-                    due = first_due = none
-            arrays = [np.array(o, dtype=np.int64) for o in out]
-            labels = [pa.array(o, mask=o == NONE) for o in arrays]
+            labels, state = label_rows(first, ts, kind, due, carry, state)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in keep] + labels,
+                [batch.column(c) for c in keep]
+                + [pa.array(x, mask=x == NONE) for x in labels],
                 names=[*keep, "w_due", "w_open", "w_pos", "w_first"],
             )
 
     return label
 
 
+State = tuple[int, int, int, int]
+
+
+def label_rows(
+    first: np.ndarray,
+    ts: np.ndarray,
+    kind: np.ndarray,
+    due: np.ndarray,
+    carry: list[np.ndarray],
+    state: State,
+) -> tuple[list[np.ndarray], State]:
+    """Window labels (due, open, pos, first due) of sorted rows, and the state after.
+
+    ``first`` marks the first row of a key or chunk; ``carry`` holds the state at those
+    rows, ``state`` that at the first row if it goes on with the key before.  Where
+    each window would end is found for all opening rows at once; only the chain from
+    one window to the next that really opens is followed step by step.
+    """
+    n = len(ts)
+    if not n:
+        return [np.zeros(0, np.int64)] * 4, state
+    rows = np.arange(n)
+    heads = first.copy()
+    heads[0] = True
+    starts = np.flatnonzero(heads)
+    segment = np.cumsum(heads) - 1
+    ends = np.append(starts[1:], n)
+    blank = np.full(len(starts), NONE)
+    inward = [blank, blank, np.zeros(len(starts), np.int64), blank]
+    if carry:
+        inward = [np.asarray(c, np.int64)[starts] for c in carry]
+    if not first[0]:
+        inward = [np.array(x) for x in inward]
+        for x, value in zip(inward, state):
+            x[0] = value
+
+    # windows that may open: one carried into a segment, then the opening rows
+    opening = np.flatnonzero((kind == OPEN) & (due != NONE))
+    open_at_start = np.flatnonzero(inward[0] != NONE)
+    w_row = np.concatenate([starts[open_at_start], opening])
+    w_due = np.concatenate([inward[0][open_at_start], due[opening]])
+    w_open = np.concatenate([inward[1][open_at_start], ts[opening]])
+    w_base = np.concatenate([inward[2][open_at_start], np.zeros(len(opening), np.int64)])
+    fresh = np.concatenate([np.zeros(len(open_at_start), bool), np.ones(len(opening), bool)])
+    w_segment = segment[w_row]
+
+    # the row after each window: past its due time, or after a reset
+    times, rank = np.unique(np.concatenate([ts, w_due]), return_inverse=True)
+    wide = len(times) + 1
+    w_end = np.searchsorted(
+        segment * wide + rank[:n], w_segment * wide + rank[n:], side="right"
+    )
+    w_end = np.maximum(w_end, w_row + fresh)
+    resets = np.append(np.flatnonzero(kind == RESET), n)
+    reset = resets[np.searchsorted(resets, w_row)]
+    w_end = np.minimum(np.minimum(w_end, reset + 1), ends[w_segment])
+
+    some = np.flatnonzero(w_end > w_row)
+    some = some[np.lexsort((fresh[some], w_row[some]))]
+    follow = np.searchsorted(w_row[some], w_end[some]).tolist()
+    chain, at = [], 0
+    while at < len(follow):
+        chain.append(at)
+        at = follow[at]
+    used = some[chain]
+
+    # each row's window: the last one opened before it, if it has not ended
+    owner = np.searchsorted(w_row[used], rows, side="right") - 1
+    inside = owner >= 0
+    if len(used):
+        inside &= w_end[used][owner] > rows
+    owned = used[owner[inside]]
+    out_due, out_open, out_pos, out_first = (np.full(n, NONE) for _ in range(4))
+    out_due[inside] = w_due[owned]
+    out_open[inside] = w_open[owned]
+    is_open = kind == OPEN
+    opened = np.cumsum(is_open)
+    out_pos[inside] = (
+        w_base[owned] + opened[inside] - (opened - is_open)[w_row[owned]]
+    )
+
+    # the first window since a reset, by stretches of rows between resets
+    turn = heads.copy()
+    turn[1:] |= kind[:-1] == RESET
+    stretch = np.cumsum(turn) - 1
+    started = used[fresh[used]]
+    where, at = np.unique(stretch[w_row[started]], return_index=True)
+    first_row = np.full(stretch[-1] + 1, n)
+    first_due = np.full(stretch[-1] + 1, NONE)
+    first_row[where], first_due[where] = w_row[started][at], w_due[started][at]
+    known = np.flatnonzero(inward[3] != NONE)
+    first_row[stretch[starts[known]]] = starts[known]
+    first_due[stretch[starts[known]]] = inward[3][known]
+    seen = first_row[stretch] <= rows
+    out_first[seen] = first_due[stretch][seen]
+
+    after = (NONE, NONE, 0, NONE)
+    if kind[-1] != RESET:
+        held = [int(x[-1]) for x in (out_due, out_open, out_pos, out_first)]
+        after = tuple(held) if held[0] != NONE else (NONE, NONE, 0, held[3])
+    return [out_due, out_open, out_pos, out_first], after
+
+
 def _transfer(part: list[str]):
     """Reduces a chunk to a table: open window at its start -> at its end.
 
@@ -420,36 +493,66 @@ def _transfer(part: list[str]):
 
 
 def _chain(part: list[str]):
-    """Follows the transfer tables of one key from chunk to chunk.
+    """Follows the sorted transfer tables of each key from chunk to chunk.
 
     Each chunk gets the state at its start and the time of the row after it.
     """
 
-    def follow(tables: pd.DataFrame) -> pd.DataFrame:
-        tables = tables.sort_values(part[-1])
-        out = []
-        due, opened, pos, first_due = NONE, NONE, 0, NONE
-        for row in tables.itertuples(index=False):
-            out.append(
-                list(row[: len(part)])
-                + [due, opened, pos, first_due]
-            )
-            until = np.asarray(row.until, dtype=np.int64)
-            if row.reset:
-                due, opened, pos, first_due = NONE, NONE, 0, NONE
-            e = int(np.searchsorted(until, due, side="right"))
-            if e < len(until):
-                due, opened, pos = int(row.due[e]), int(row.open[e]), int(row.pos[e])
-            elif due != NONE and row.last_ts <= due:
-                pos += int(row.openers)
-            else:
-                due, opened, pos = NONE, NONE, 0
-            if first_due == NONE and row.openers:
-                first_due = int(row.first)
-        columns = [f"__j{n}" for n in range(len(part))] + list(_CARRY)
-        states = pd.DataFrame(out, columns=columns)
-        following = tables["first_ts"].tolist()[1:] + [None]
-        states["__next"] = pd.array(following, dtype="Int64")
-        return states
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, key, waiting, state = None, None, None, None
+        for batch in batches:
+            if schema is None:
+                longs = [pa.field(c, pa.int64()) for c in (*_CARRY, "__next")]
+                named = [
+                    batch.schema.field(c).with_name(f"__j{n}") for n, c in enumerate(part)
+                ]
+                schema = pa.schema(named + longs)
+            out = []
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1)
+                at = [row.column(c)[0].as_py() for c in part]
+                first_ts = row.column("first_ts")[0].as_py()
+                goes_on = key is not None and at[:-1] == key
+                if waiting is not None:
+                    out.append([*waiting, first_ts if goes_on else None])
+                if not goes_on:
+                    key, state = at[:-1], (NONE, NONE, 0, NONE)
+                waiting = [*at, *state]
+                state = _through(row, *state)
+            if out:
+                yield _batch(out, schema)
+        if waiting is not None:
+            yield _batch([[*waiting, None]], schema)
 
     return follow
+
+
+def _batch(rows: list[list], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema
+    )
+
+
+def _through(row: pa.RecordBatch, due: int, opened: int, pos: int, first_due: int):
+    """The state after a chunk, from the state before it and the chunk's table."""
+
+    def value(name: str):
+        return row.column(name)[0].as_py()
+
+    def entry(name: str, n: int) -> int:
+        return row.column(name)[0].values[n].as_py()
+
+    until = row.column("until")[0].values.to_numpy(zero_copy_only=False)
+    if value("reset"):
+        due, opened, pos, first_due = NONE, NONE, 0, NONE
+    e = int(np.searchsorted(until, due, side="right"))
+    if e < len(until):
+        due, opened, pos = entry("due", e), entry("open", e), entry("pos", e)
+    elif due != NONE and value("last_ts") <= due:
+        pos += value("openers")
+    else:
+        due, opened, pos = NONE, NONE, 0
+    if first_due == NONE and value("openers"):
+        first_due = value("first")
+    return due, opened, pos, first_due

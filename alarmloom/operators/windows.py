@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from alarmloom.operators.hotkeys import DEFAULT_POLICY, SplitPolicy
-from alarmloom.operators.timeline import Timeline, running_max
 
 
 def tumbling(df: DataFrame, ts: str, size: str) -> DataFrame:
@@ -39,40 +37,32 @@ def json_event_time(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.withColumn("ts", F.timestamp_millis(millis))
 
 
-def watermarked(df: DataFrame, ts: str, delay_ms: int) -> DataFrame:
-    """Streaming watermark with bounded out-of-orderness."""
-    return df.withWatermark(ts, f"{delay_ms} milliseconds")
-
-
-def running_watermark(
-    df: DataFrame,
-    ts: str,
-    arrival: str,
-    tie: str,
-    delay_ms: int,
-    policy: SplitPolicy = DEFAULT_POLICY,
+def drop_late(
+    windowed: DataFrame, ts: str, arrival: str, tie: str, delay_ms: int
 ) -> DataFrame:
-    """The watermark after each row in arrival order, in epoch microseconds.
+    """Windowed rows that arrive before the watermark passes their window.
 
-    Highest event time so far less the delay less one millisecond.  One timeline
-    holds all rows, so on large inputs it is cut into chunks like a hot key.
+    A row is late if some row before it in arrival order has an event time at or after
+    the end of the row's window plus the delay.  The first such arrival is aggregated
+    per window, before any shuffle, and carried back over the windows (as many rows as
+    there are windows); rows meet it in a join by their window.  Rows themselves are
+    never put into one order.
     """
-    line = Timeline(df, [], arrival, tie, policy)
-    top = line.scan(__top=running_max(F.unix_micros(F.col(ts))))
-    return top.withColumn(
-        "watermark_us", F.col("__top") - (delay_ms + 1) * 1000
-    ).drop("__top")
-
-
-def drop_late(
-    windowed: DataFrame,
-    ts: str,
-    arrival: str,
-    tie: str,
-    delay_ms: int,
-    policy: SplitPolicy = DEFAULT_POLICY,
-) -> DataFrame:
-    """Windowed rows that arrive before the watermark passes their window."""
-    marked = running_watermark(windowed, ts, arrival, tie, delay_ms, policy)
-    last_instant = F.unix_micros("end") - 1000
-    return marked.filter(last_instant > F.col("watermark_us")).drop("watermark_us")
+    end, start = F.unix_micros("end"), F.unix_micros("start")
+    size, at = end - start, F.struct(F.col(arrival), F.col(tie))
+    # the last window end that a row's event time closes
+    ahead = F.unix_micros(F.col(ts)) - delay_ms * 1000 - start
+    closes = F.floor(ahead / size) * size + start
+    closers = windowed.groupBy(closes.alias("__end")).agg(F.min(at).alias("__at"))
+    nothing = F.lit(None).cast(closers.schema["__at"].dataType)
+    ends = windowed.select(end.alias("__end"), nothing.alias("__at")).distinct()
+    later = Window.orderBy(F.desc("__end"))
+    first = (
+        closers.unionByName(ends)
+        .groupBy("__end")
+        .agg(F.min("__at").alias("__at"))
+        .select("__end", F.min("__at").over(later).alias("__closed"))
+    )
+    met = windowed.withColumn("__end", end).join(first, "__end", "left")
+    in_time = F.col("__closed").isNull() | (at <= F.col("__closed"))
+    return met.filter(in_time).select(*windowed.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from alarmloom.functions import parsing
 from alarmloom.functions import scalars as S
 from alarmloom.operators import rules as R
+from alarmloom.operators.hotkeys import DEFAULT_POLICY
 from alarmloom.plans import oracle as O
 from alarmloom.plans import testbed as B
 from alarmloom.plans.registry import query
@@ -192,11 +193,11 @@ def details(spark, sf):
     )
 
 
-def tagged(spark, sf, rules=None):
+def tagged(spark, sf, rules=None, policy=DEFAULT_POLICY):
     """Data points with the rules that watch them, parsed and typed."""
     rules = details(spark, sf) if rules is None else rules
     return R.tag_points(
-        S.with_number(B.split_points(spark, sf)),
+        S.with_number(B.split_points(spark, sf, policy)),
         R.watch_list(B.unique_rules(spark, sf), rules),
         R.watch_list(B.template_rules(spark, sf), rules),
     )
@@ -260,7 +261,7 @@ def direct_controls(spark, sf):
     """Rows routed straight to control."""
     return R.direct_controls(tagged(spark, sf)).select(
         "event_id", "rule_id", "trigger_type",
-        S.row_id(F.col("event_id"), F.col("rule_id")).alias("uuid"),
+        S.row_id(F.col("event_id"), F.col("rule_id"), F.col("mapping")).alias("uuid"),
         F.coalesce("rule_machine_id", F.lit(-1)).alias("rule_machine_id"),
     )
 
@@ -270,7 +271,7 @@ def alarm_path(spark, sf):
     """Rows routed to the alarm test."""
     return R.alarm_path(tagged(spark, sf)).select(
         "event_id", "rule_id", "trigger_type",
-        S.row_id(F.col("event_id"), F.col("rule_id")).alias("uuid"),
+        S.row_id(F.col("event_id"), F.col("rule_id"), F.col("mapping")).alias("uuid"),
         F.coalesce("rule_machine_id", F.lit(-1)).alias("rule_machine_id"),
     )
 
@@ -280,7 +281,7 @@ def tagged_points(spark, sf):
     """Data points tagged with rules and flattened; scheduled controls left out."""
     return tagged(spark, sf).select(
         "event_id", "rule_id", "trigger_type",
-        S.row_id(F.col("event_id"), F.col("rule_id")).alias("uuid"),
+        S.row_id(F.col("event_id"), F.col("rule_id"), F.col("mapping")).alias("uuid"),
         F.coalesce("rule_machine_id", F.lit(-1)).alias("rule_machine_id"),
     )
 

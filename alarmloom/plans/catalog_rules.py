@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from alarmloom.functions import parsing
 from alarmloom.operators import changes as C
 from alarmloom.operators import rules as R
+from alarmloom.operators.hotkeys import DEFAULT_POLICY, SplitPolicy
 from alarmloom.plans import oracle as O
 from alarmloom.plans import testbed as B
 from alarmloom.plans.registry import query
@@ -332,24 +333,34 @@ def gateway_points_resynced(spark, sf):
     return C.resync_gateway_points(stale, B.point_relation(spark, sf), changed)
 
 
-@query(
-    "points_as_of_changes",
-    """WITH d AS (SELECT event_id, user_id, epoch_us(ts) AS t FROM events
+AS_OF_SQL = """WITH d AS (SELECT event_id, user_id, epoch_us(ts) AS t FROM events
                   WHERE event_type <> 'signup'),
-            c AS (SELECT user_id, epoch_us(ts) AS t, event_id AS version,
-                         value AS setting FROM events WHERE event_type = 'signup')
+            c AS (SELECT user_id, epoch_us(ts) AS t, event_id AS version
+                  FROM events WHERE event_type = 'signup')
        SELECT d.event_id, d.user_id, COALESCE(version, -1) AS version
-       FROM d ASOF LEFT JOIN c ON d.user_id = c.user_id AND d.t >= c.t""",
-)
-def points_as_of_changes(spark, sf):
-    """Each data row with the version set by the latest change of its key."""
+       FROM d ASOF LEFT JOIN c ON d.user_id = c.user_id AND d.t >= c.t"""
+
+
+def as_of_rows(spark, sf, policy):
     e = B.table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
     is_change = F.col("event_type") == "signup"
     rows = e.filter(~is_change).drop("event_type")
     out = C.as_of_changes(
         rows, e.filter(is_change), "user_id", "ts", "event_id",
-        F.col("event_id"), "version",
+        F.col("event_id"), "version", policy,
     )
     return out.select(
         "event_id", "user_id", F.coalesce("version", F.lit(-1)).alias("version")
     )
+
+
+@query("points_as_of_changes", AS_OF_SQL)
+def points_as_of_changes(spark, sf):
+    """Each data row with the version set by the latest change of its key."""
+    return as_of_rows(spark, sf, DEFAULT_POLICY)
+
+
+@query("points_as_of_changes_split", AS_OF_SQL)
+def points_as_of_changes_split(spark, sf):
+    """The same with hot keys cut into chunks."""
+    return as_of_rows(spark, sf, SplitPolicy(target_rows=20))

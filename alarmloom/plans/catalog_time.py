@@ -11,7 +11,13 @@ from alarmloom.operators import frequency as Q
 from alarmloom.operators import push as P
 from alarmloom.operators import rules as R
 from alarmloom.operators import windows as W
-from alarmloom.operators.hotkeys import CHECKED, CHUNK
+from alarmloom.operators.hotkeys import (
+    CHECKED,
+    CHUNK,
+    DEFAULT_POLICY,
+    SplitPolicy,
+    split_hot_keys,
+)
 from alarmloom.plans import oracle as O
 from alarmloom.plans import testbed as B
 from alarmloom.plans.catalog_points import TAG_CTES, details, tagged
@@ -108,18 +114,6 @@ WATERMARK = """max(t) OVER (ORDER BY arrival, event_id
   ROWS UNBOUNDED PRECEDING) - 1800001000"""
 
 
-@query(
-    "running_watermark",
-    f"WITH {ARRIVALS} SELECT event_id, {WATERMARK} "
-    "AS watermark_us FROM ev",
-)
-def running_watermark(spark, sf):
-    """The watermark after every row, half an hour of delay allowed."""
-    return W.running_watermark(
-        arrivals(spark, sf), "ts", "arrival", "event_id", 1_800_000
-    ).select("event_id", "watermark_us")
-
-
 @query(
     "late_rows_dropped",
     f"""WITH {ARRIVALS}, m AS (SELECT *, {WATERMARK}
@@ -185,15 +179,30 @@ DELAYED_SQL = f"""{O.with_(O.STATUS, OFF_ROWS, O.windows('src', 'sn'))}
   FROM w WHERE ({FIRES}) OR (kind = -1 AND w_first < t)"""
 
 
-@query("delayed_alarms", DELAYED_SQL)
-def delayed_alarms(spark, sf):
-    """Gateways off for six or twelve hours, alarming again, with one recovery."""
+# Chunks so small that many keys of the given tables count as hot.
+FINE = SplitPolicy(target_rows=20)
+
+
+def delayed_alarm_rows(spark, sf, policy=DEFAULT_POLICY):
     off = B.status(spark, sf).withColumn("off", F.col("status") == "0")
     return A.delayed_alarms(
-        off, ["sn"], "off", by_gateway(6 * HOUR, 12 * HOUR), horizon=horizon(spark, sf)
+        off, ["sn"], "off", by_gateway(6 * HOUR, 12 * HOUR),
+        horizon=horizon(spark, sf), policy=policy,
     ).select("sn", "event_id", "emit_us", "recover")
 
 
+@query("delayed_alarms", DELAYED_SQL)
+def delayed_alarms(spark, sf):
+    """Gateways off for six or twelve hours, alarming again, with one recovery."""
+    return delayed_alarm_rows(spark, sf)
+
+
+@query("delayed_alarms_split", DELAYED_SQL)
+def delayed_alarms_split(spark, sf):
+    """The same with hot gateways cut into chunks."""
+    return delayed_alarm_rows(spark, sf, FINE)
+
+
 OFFLINE_CTES = (O.STATUS, OFF_ROWS, O.windows("src", "sn"), f"""oa AS (
   SELECT sn, {S.OFFLINE_RULE_ID} AS rule_id,
          CASE WHEN kind = 1 THEN '{S.OFFLINE_ALARM_TEXT}'
@@ -281,6 +290,15 @@ def off_count_alarms(spark, sf):
     )
 
 
+@query("off_count_alarms_split", off_count_sql(f"w_pos = {by_gateway_sql(2, 3)}"))
+def off_count_alarms_split(spark, sf):
+    """The same with hot gateways cut into chunks."""
+    return Q.off_count_alarms(
+        B.status(spark, sf), by_gateway(24 * HOUR, 72 * HOUR), by_gateway(2, 3),
+        policy=FINE,
+    )
+
+
 @query(
     "off_count_alarms_literal",
     off_count_sql(f"w_pos >= 2 AND {by_gateway_sql(2, 3)} <= 2"),
@@ -318,40 +336,53 @@ FREQUENCY_ROWS = f"""src AS (
   FROM dc)"""
 
 
-@query(
-    "disconnect_frequency",
-    f"""{O.with_(O.STATUS, DISCONNECTS, FREQUENCY_ROWS, O.windows('src', 'sn'))}
+FREQUENCY_SQL = f"""{O.with_(O.STATUS, DISCONNECTS, FREQUENCY_ROWS,
+                              O.windows('src', 'sn'))}
       SELECT sn, {S.DISCONNECT_RULE_ID} AS rule_id,
              '{S.DISCONNECT_ALARM_TEXT}' AS msg, t AS emit_us, '0' AS status, event_id
       FROM w WHERE w_pos > {by_gateway_sql(1, 2)}
       UNION ALL
       SELECT sn, {S.DISCONNECT_RULE_ID}, '{S.DISCONNECT_RECOVERY_TEXT}', w_due, '1',
              event_id
-      FROM w WHERE COALESCE(w_next > w_due, w_due <= {O.HORIZON})""",
-)
-def disconnect_frequency(spark, sf):
-    """Gateways that disconnect more than once (twice) within three (seven) days."""
+      FROM w WHERE COALESCE(w_next > w_due, w_due <= {O.HORIZON})"""
+
+
+def frequency_rows(spark, sf, pairs, policy):
     return Q.disconnect_frequency(
-        Q.disconnects(B.split_status(spark, sf), policy=CHECKED),
+        pairs,
         by_gateway(72 * HOUR, 168 * HOUR),
         by_gateway(1, 2),
         horizon=horizon(spark, sf),
-        policy=CHECKED,
+        policy=policy,
     )
 
 
+@query("disconnect_frequency", FREQUENCY_SQL)
+def disconnect_frequency(spark, sf):
+    """Gateways that disconnect more than once (twice) within three (seven) days."""
+    pairs = Q.disconnects(B.split_status(spark, sf), policy=CHECKED)
+    return frequency_rows(spark, sf, pairs, CHECKED)
+
+
+@query("disconnect_frequency_split", FREQUENCY_SQL)
+def disconnect_frequency_split(spark, sf):
+    """The same with hot gateways cut into chunks."""
+    status, _ = split_hot_keys(B.status(spark, sf), ["sn"], "ts", "event_id", FINE)
+    return frequency_rows(spark, sf, Q.disconnects(status, policy=CHECKED), CHECKED)
+
+
 # -- rule alarms ---------------------------------------------------------------
 
 KEYS = ["unique_data_point_id", "rule_id"]
 
 
-def rule_alarms_frame(spark, sf, rules):
+def rule_alarms_frame(spark, sf, rules, policy=DEFAULT_POLICY):
     """Alarms and recoveries of all rules over all data points.
 
     Only what the alarm test needs goes through it; texts and actions are attached
     to the far fewer rows that come out.
     """
-    tags = R.alarm_path(tagged(spark, sf, rules))
+    tags = R.alarm_path(tagged(spark, sf, rules, policy))
     rows = tags.select(
         *KEYS, *A.chunk_of(tags), "event_id", "ts", "sn", "datapoint_id", "delay",
         "trigger_type",
@@ -376,24 +407,33 @@ ALARM_CTES = (*TAG_CTES, O.ALARM_ROWS, """src AS (
   FROM w WHERE ({FIRES}) OR (kind = -1 AND w_first < t))""")
 
 
-@query(
-    "rule_alarms",
-    O.with_(*ALARM_CTES)
-    + """SELECT unique_data_point_id, rule_id, event_id, sn, emit_us, recover, msg,
-           TRUE AS storage FROM al""",
-)
-def rule_alarms(spark, sf):
-    """Delayed alarms and recoveries of every rule over every data point."""
+RULE_ALARMS_SQL = O.with_(*ALARM_CTES) + """SELECT unique_data_point_id, rule_id,
+  event_id, sn, emit_us, recover, msg, TRUE AS storage FROM al"""
+
+
+def rule_alarm_rows(spark, sf, policy=DEFAULT_POLICY):
     rules = details(spark, sf)
     texts = rules.select("rule_id", "alarm_msg")
     msg = F.when(F.col("recover"), S.recovery_message(F.col("rule_id"))).otherwise(
         F.col("alarm_msg")
     )
-    return rule_alarms_frame(spark, sf, rules).join(texts, "rule_id").select(
+    return rule_alarms_frame(spark, sf, rules, policy).join(texts, "rule_id").select(
         *KEYS, "event_id", "sn", "emit_us", "recover", msg.alias("msg"), "storage"
     )
 
 
+@query("rule_alarms", RULE_ALARMS_SQL)
+def rule_alarms(spark, sf):
+    """Delayed alarms and recoveries of every rule over every data point."""
+    return rule_alarm_rows(spark, sf)
+
+
+@query("rule_alarms_split", RULE_ALARMS_SQL)
+def rule_alarms_split(spark, sf):
+    """The same with hot points cut into chunks before they meet their rules."""
+    return rule_alarm_rows(spark, sf, FINE)
+
+
 @query(
     "push_messages",
     O.with_(*ALARM_CTES, f"""pa AS (SELECT * EXCLUDE (w_next) FROM al
@@ -420,11 +460,17 @@ def rule_alarms(spark, sf):
              (COALESCE(end_us - 1, {O.HORIZON}) - start_us) // i + 1 AS BIGINT)))
            AS push_us FROM ep),
        aa AS (SELECT * FROM i2 WHERE NOT recover)""")
-    + """SELECT unique_data_point_id, rule_id, event_id, push_us FROM once
-         UNION ALL
-         SELECT du.unique_data_point_id, du.rule_id, aa.event_id, du.push_us
-         FROM du ASOF JOIN aa ON du.unique_data_point_id = aa.unique_data_point_id
-           AND du.rule_id = aa.rule_id AND du.push_us >= aa.emit_us""",
+    + """SELECT p.*, e.sn, dt.alarm_msg AS msg, ',1,2,' AS push_way,
+           CAST(dt.cond AS VARCHAR) AS trigger_condition
+         FROM (
+           SELECT unique_data_point_id, rule_id, event_id, push_us FROM once
+           UNION ALL
+           SELECT du.unique_data_point_id, du.rule_id, aa.event_id, du.push_us
+           FROM du ASOF JOIN aa ON du.unique_data_point_id = aa.unique_data_point_id
+             AND du.rule_id = aa.rule_id AND du.push_us >= aa.emit_us) p
+         JOIN dt ON dt.id = p.rule_id
+         JOIN (SELECT event_id, CAST(user_id AS VARCHAR) AS sn FROM events) e
+           ON e.event_id = p.event_id""",
 )
 def push_messages(spark, sf):
     """Notifications: once per key, or at an interval with the latest alarm."""
@@ -435,10 +481,19 @@ def push_messages(spark, sf):
         F.col("action.pushInterval").alias("push_interval"),
         F.col("action.pushFrequency").alias("push_frequency"),
     )
+    payload = rules.select(
+        "rule_id",
+        F.col("alarm_msg").alias("msg"),
+        F.col("action.pushWay").alias("push_way"),
+        F.get_json_object("trigger_json", "$.triggerCondition").alias(
+            "trigger_condition"
+        ),
+    )
     alarms = rule_alarms_frame(spark, sf, rules).drop("ts").join(actions, "rule_id")
-    return P.push_messages(
-        alarms, KEYS, "event_id", horizon(spark, sf), CHECKED
-    ).select(*KEYS, "event_id", "push_us")
+    pushes = P.push_messages(alarms, KEYS, "event_id", horizon(spark, sf), CHECKED)
+    return pushes.join(payload, "rule_id").select(
+        *KEYS, "event_id", "push_us", "sn", "msg", "push_way", "trigger_condition"
+    )
 
 
 # -- control commands ----------------------------------------------------------
@@ -465,7 +520,7 @@ COMMANDS = f"""
          UNION ALL
          SELECT o_orderkey, 0, o_orderkey % 101, 'read' FROM orders
            WHERE o_orderpriority = '1-URGENT'),
-  mr AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus = 'P'),
+  mr AS (SELECT o_custkey, o_orderkey FROM orders),
   co AS (SELECT ma.uuid AS alarm_uuid, ma.rule_id, ma.sn AS control_sn,
            ac.ctype AS control_type, ac.cdata AS control_data,
            ma.rule_id % 7 AS opera_data_point_id,
@@ -501,8 +556,9 @@ def commands(spark, sf, rows):
 )
 def control_from_rules(spark, sf):
     """Commands of control rules that data points drive directly."""
+    each = S.row_id(F.col("event_id"), F.col("rule_id"), F.col("mapping"))
     rows = R.direct_controls(tagged(spark, sf)).select(
-        uuid(), *KEYS, "datapoint_id", "sn", "action", "trigger_json"
+        each.alias("uuid"), *KEYS, "datapoint_id", "sn", "action", "trigger_json"
     )
     return commands(spark, sf, rows)
 
@@ -531,6 +587,35 @@ def control_from_alarms(spark, sf):
     return commands(spark, sf, rows)
 
 
+@query(
+    "command_machine_lists",
+    O.with_(*TAG_CTES, """cr AS (SELECT uuid, rule_id, unique_data_point_id,
+         datapoint_id, sn FROM tr WHERE action_type = '2' AND trigger_type <> '2')""",
+            COMMANDS.replace("ac.cdata AS control_data,", "ac.cdata AS control_data, ac.n,")
+            .replace("SELECT o_orderkey AS rid, 1 AS ctype", "SELECT o_orderkey AS rid, 0 AS n, 1 AS ctype")
+            .replace("SELECT o_orderkey, 0, o_orderkey % 101", "SELECT o_orderkey, 1, 0, o_orderkey % 101"))
+    + """SELECT alarm_uuid, rule_id, control_data,
+           coalesce(string_agg(DISTINCT CAST(nullif(control_machine_id, -1) AS VARCHAR), ','
+             ORDER BY CAST(nullif(control_machine_id, -1) AS VARCHAR)), '') AS machines
+         FROM co GROUP BY alarm_uuid, rule_id, control_data, n""",
+)
+def command_machine_lists(spark, sf):
+    """Direct commands as one row each, with their machines as a sorted text."""
+    rows = R.direct_controls(tagged(spark, sf)).select(
+        S.row_id(F.col("event_id"), F.col("rule_id"), F.col("mapping")).alias("uuid"),
+        *KEYS, "datapoint_id", "sn", "action", "trigger_json",
+    )
+    flat = K.control_commands(
+        K.match_elements(rows, B.rule_elements(spark, sf)),
+        B.point_relation(spark, sf), B.machine_relation(spark, sf),
+    )
+    machines = F.array_sort(F.col("control_machine_ids").cast("array<string>"))
+    return K.with_machine_lists(flat).select(
+        "alarm_uuid", "rule_id", "control_data",
+        F.array_join(machines, ",").alias("machines"),
+    )
+
+
 # -- remembered alarms ---------------------------------------------------------
 
 

@@ -110,10 +110,13 @@ def run(
         points, watch, tie=tie, horizon=horizon, policy=policy
     )
     uuid = S.row_id(F.col(tie), F.col("rule_id")).alias("uuid")
+    each = S.row_id(F.col(tie), F.col("rule_id"), F.col("mapping"))
     texts = details.select(
         "rule_id", "alarm_msg", "trigger_type", "action_type",
         F.col("action.pushInterval").alias("push_interval"),
         F.col("action.pushFrequency").alias("push_frequency"),
+        F.col("action.pushWay").alias("push_way"),
+        "trigger_json",
     )
     message = F.when(F.col("recover"), S.recovery_message(F.col("rule_id")))
     complete = (
@@ -128,7 +131,7 @@ def run(
     pushes = P.push_messages(
         alarms.drop("ts"), KEYS, tie, horizon,
         CHECKED if CHUNK in alarms.columns else policy,
-    ).select(*KEYS, "sn", tie, "msg", "push_us")
+    ).select(*KEYS, "sn", tie, "msg", "push_us", "push_way", "trigger_json")
     pushes.write.mode("overwrite").parquet(f"{folder}/pushes")
 
     mapping = R.controls_of_alarms(
@@ -138,8 +141,10 @@ def run(
     control = details.select("rule_id", "trigger_json", "action")
     wanted = ["uuid", *KEYS, "datapoint_id", "sn", "trigger_json", "action"]
     driving = alarms if include_recover else alarms.filter(~F.col("recover"))
-    driven = K.alarm_driven_rows(driving, mapping).join(control, "rule_id")
-    direct = R.direct_controls(tagged).withColumn("uuid", uuid)
+    driven = K.alarm_driven_rows(driving.drop("trigger_json"), mapping).join(
+        control, "rule_id"
+    )
+    direct = R.direct_controls(tagged).withColumn("uuid", each)
     rows = driven.select(*wanted).unionByName(direct.select(*wanted))
     commands = K.control_commands(
         K.match_elements(rows, dims.elements), dims.point_relation, dims.machine_relation

@@ -71,10 +71,10 @@ DETAILS = """dt AS (
   WHERE rl.del_flag = 0 AND rl.status = 0)"""
 
 TAGS = """tg AS (
-  SELECT pt.*, o_orderkey AS rule_id FROM pt
+  SELECT pt.*, o_orderkey AS rule_id, 0 AS mapping FROM pt
     JOIN orders ON o_custkey = unique_data_point_id
   UNION ALL
-  SELECT pt.*, s_suppkey AS rule_id FROM pt JOIN supplier ON s_suppkey = datapoint_id)"""
+  SELECT pt.*, s_suppkey AS rule_id, 1 AS mapping FROM pt JOIN supplier ON s_suppkey = datapoint_id)"""
 
 
 def holds(literal: bool = False) -> str:
@@ -96,14 +96,15 @@ def holds(literal: bool = False) -> str:
 
 TAGGED_RULES = """tr AS (
   SELECT tg.*, dt.* EXCLUDE (id, o_custkey, del_flag, status),
-         sha256(CAST(event_id AS VARCHAR) || '|' || CAST(tg.rule_id AS VARCHAR))
-           AS uuid
+         sha256(CAST(event_id AS VARCHAR) || '|' || CAST(tg.rule_id AS VARCHAR)
+           || '|' || CAST(mapping AS VARCHAR)) AS uuid
   FROM tg JOIN dt ON tg.rule_id = dt.id WHERE dt.trigger_type <> '3')"""
 
-# A rule that watches a point by both of its ids has each row twice; the copies are
-# equal, so their order does not matter.
+# A rule that watches a point by both of its ids has each row twice; but for the mapping
+# the copies are equal, so their order does not matter to alarms.
 ALARM_ROWS = f"""ar AS (
-  SELECT tr.*, {holds()} AS holds FROM tr WHERE action_type <> '2')"""
+  SELECT tr.* EXCLUDE (uuid, mapping),
+         sha256(CAST(event_id AS VARCHAR) || '|' || CAST(rule_id AS VARCHAR)) AS uuid, {holds()} AS holds FROM tr WHERE action_type <> '2')"""
 
 
 def windows(source: str, keys: str, name: str = "w") -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from alarmloom.operators.hotkeys import split_hot_keys
+from alarmloom.operators.hotkeys import DEFAULT_POLICY, SplitPolicy, split_hot_keys
 from alarmloom.session import configure
 
 HOUR = 3600
@@ -36,16 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the files give fewer read tasks than there are cores.
-
-    For parsing and fan-out right after the scan of a small, single-file table; a
-    table of many files is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # -- telemetry ---------------------------------------------------------------
 
 
@@ -64,10 +54,13 @@ def split_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_hot_keys(status(spark, sf_dir), ["sn"], "ts", "event_id")[0]
 
 
-def split_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def split_points(
+    spark: SparkSession, sf_dir: str, policy: SplitPolicy = DEFAULT_POLICY
+) -> DataFrame:
     """Data points with hot points split; use the CHECKED policy on them."""
-    rows = spread(points(spark, sf_dir))
-    return split_hot_keys(rows, ["unique_data_point_id"], "ts", "event_id")[0]
+    rows = points(spark, sf_dir)
+    keys = ["unique_data_point_id"]
+    return split_hot_keys(rows, keys, "ts", "event_id", policy)[0]
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +77,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gateway_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON messages of two data points each, with all kinds of error codes."""
-    e = spread(table(spark, sf_dir, "events"))
+    e = table(spark, sf_dir, "events")
     err = (
         F.when(F.col("event_type") == "error", 1)
         .when(F.col("event_type") == "view", None)
@@ -127,7 +120,7 @@ def _pick(key: str, n: int, *choices) -> Column:
 
 
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     trigger = F.to_json(
         F.struct(
@@ -153,7 +146,7 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     null_int = F.lit(None).cast("int")
 
@@ -251,19 +244,15 @@ def point_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def machine_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == "P")
-        .select(
-            F.col("o_custkey").cast("string").alias("device_sn"),
-            F.col("o_orderkey").alias("machine_id"),
-        )
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("device_sn"),
+        F.col("o_orderkey").alias("machine_id"),
     )
 
 
 def rule_change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON rule changes with their time and sequence number, from lineitem."""
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = table(spark, sf_dir, "lineitem")
     action = (
         F.when(F.col("l_returnflag") == "N", "0")
         .when(F.col("l_returnflag") == "A", "1")

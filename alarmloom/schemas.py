@@ -1,4 +1,7 @@
-"""Schemas of messages, dimension tables and JSON payloads."""
+"""Schemas of messages, dimension tables and JSON payloads.
+
+Fixed values: field and column names are those of the messages and tables read.
+"""
 
 from __future__ import annotations
 

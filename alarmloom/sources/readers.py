@@ -16,14 +16,14 @@ from alarmloom.functions import parsing
 
 @dataclass(frozen=True)
 class Topics:
-    """Topic names of a deployment."""
+    """Topic names; give those of your deployment."""
 
-    data_points: str = "mqttDownData"
-    rule_changes: str = "rulemodify"
-    gateway_point_changes: str = "gatewaypointmodify"
-    gateway_machine_changes: str = "gatewaymachinemodify"
-    alarm_control_changes: str = "alarmcontrolmodify"
-    prototype: str = "test-ss"
+    data_points: str = "data-points"
+    rule_changes: str = "rule-changes"
+    gateway_point_changes: str = "gateway-point-changes"
+    gateway_machine_changes: str = "gateway-machine-changes"
+    alarm_control_changes: str = "alarm-control-changes"
+    prototype: str = "nested-points"
 
     @property
     def machine_mapper_changes(self) -> str:
@@ -44,20 +44,37 @@ class MessageSource:
     folder: str | None = None
     streaming: bool = True
     starting_offsets: str = "latest"
+    ending_offsets: str = "latest"
+    max_offsets_per_trigger: int | None = None
     max_files_per_trigger: int | None = None
 
+    def topic_options(self, topic: str) -> dict[str, str]:
+        """Options of the topic source; offsets may be given as JSON per partition.
+
+        ``max_offsets_per_trigger`` bounds the rows of a micro-batch, and so what one
+        key can bring into one call of a state processor.  A bounded read covers
+        everything up to ``ending_offsets`` unless ``starting_offsets`` says otherwise.
+        """
+        start = self.starting_offsets
+        options = {
+            "kafka.bootstrap.servers": str(self.servers),
+            "subscribe": topic,
+            "startingOffsets": start
+            if self.streaming or start != "latest"
+            else "earliest",
+        }
+        if self.group:
+            options["kafka.group.id"] = self.group
+        if self.streaming and self.max_offsets_per_trigger:
+            options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
+        if not self.streaming:
+            options["endingOffsets"] = self.ending_offsets
+        return options
+
     def read(self, topic: str) -> DataFrame:
         reader = self.spark.readStream if self.streaming else self.spark.read
         if self.servers:
-            options = {
-                "kafka.bootstrap.servers": self.servers,
-                "subscribe": topic,
-                "startingOffsets": self.starting_offsets
-                if self.streaming
-                else "earliest",
-            }
-            if self.group:
-                options["kafka.group.id"] = self.group
+            options = self.topic_options(topic)
             frame = reader.format("kafka").options(**options).load()
             return frame.selectExpr("cast(value as string) as value")
         if self.streaming and self.max_files_per_trigger:

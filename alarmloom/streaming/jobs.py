@@ -13,6 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from alarmloom.functions import scalars as S
 from alarmloom.operators import control as K
 from alarmloom.operators import rules as R
+from alarmloom.operators.changes import TEMPLATE_POINT, UNIQUE_POINT
 from alarmloom.streaming import processors as P
 
 # Executors need not have the package installed to run the processors.
@@ -28,6 +29,10 @@ def _mode(event_time: bool) -> str:
     return "EventTime" if event_time else "ProcessingTime"
 
 
+def _columns(rows: DataFrame, names: Sequence[str]) -> T.StructType:
+    return T.StructType([rows.schema[n] for n in names])
+
+
 def _schema(rows: DataFrame, keys: Sequence[str], extra: str, tie: str) -> T.StructType:
     fields = [rows.schema[k] for k in keys]
     parsed = T.StructType.fromDDL(extra).fields
@@ -53,8 +58,10 @@ def hold_alarms(
     """
     told = [tie, *carry]
     keyed = _keyed(rows, keys, ts, delay).withColumn("about", F.to_json(F.struct(*told)))
+    needed = ["ts_us", tie, "holds", "delay", "push_interval", "push_once", "about"]
     processor = P.HoldProcessor(
-        list(keys), recover_on_every_clear, tie=tie, event_time=event_time
+        _columns(keyed, needed), list(keys), recover_on_every_clear,
+        tie=tie, event_time=event_time,
     )
     out = T.StructType(
         [rows.schema[k] for k in keys]
@@ -105,8 +112,11 @@ def off_count_watch(
     )
     out = _schema(status, ["sn"], "status string, emit_us bigint", tie)
     return rows.groupBy("sn").transformWithState(
-        P.OffCountProcessor(tie=tie, event_time=event_time), out, "append",
-        _mode(event_time),
+        P.OffCountProcessor(
+            _columns(rows, ["ts_us", tie, "status", "width", "limit"]),
+            tie=tie, event_time=event_time,
+        ),
+        out, "append", _mode(event_time),
     )
 
 
@@ -122,25 +132,33 @@ def disconnect_watch(
         status, ["sn"], "kind string, online_us bigint, emit_us bigint", tie
     )
     return rows.groupBy("sn").transformWithState(
-        P.DisconnectProcessor(tie=tie), out, "append", "EventTime"
+        P.DisconnectProcessor(
+            _columns(rows, ["ts_us", tie, "status", "width", "limit"]), tie=tie
+        ),
+        out, "append", "EventTime",
     )
 
 
 def latest_per_key(
-    rows: DataFrame, keys: Sequence[str], ts: str = "ts", ttl_ms: int | None = None
+    rows: DataFrame,
+    keys: Sequence[str],
+    ts: str = "ts",
+    tie: str = "event_id",
+    ttl_ms: int | None = None,
 ) -> DataFrame:
-    """The latest time of every key, whenever it changes.
+    """The latest row of every key, whenever it changes, with its time in ``ts_us``.
 
     With ``ttl_ms`` a key is forgotten that long after its last row.  State that
     expires goes by the wall clock, so such a query keeps running batches and needs
     a processing-time trigger.
     """
-    keyed = _keyed(rows, keys, ts, "")
-    out = T.StructType(
-        [rows.schema[k] for k in keys] + [T.StructField("latest_us", T.LongType())]
+    keyed = _keyed(rows, keys, ts, "").drop(ts)
+    told = [c for c in keyed.columns if c not in keys]
+    processor = P.LatestProcessor(
+        list(keys), _columns(keyed, told), tie=tie, ttl_ms=ttl_ms
     )
     return keyed.groupBy(*keys).transformWithState(
-        P.LatestProcessor(list(keys), ttl_ms=ttl_ms), out, "update",
+        processor, _columns(keyed, [*keys, *told]), "update",
         "ProcessingTime" if ttl_ms else "None",
     )
 
@@ -170,14 +188,11 @@ def tag_stream(
     return R.tag_points(S.with_number(points), unique_watch, template_watch)
 
 
-def rule_alarm_stream(
-    tagged: DataFrame, *, ts: str = "ts", tie: str = "event_id",
-    watermark: str = "1 second", event_time: bool = True,
-) -> DataFrame:
-    """Alarms, recoveries and notifications per (point, rule)."""
+def hold_rows(tagged: DataFrame, ts: str, tie: str) -> DataFrame:
+    """What the alarm state needs of tagged points."""
     wants_push = F.col("action_type") == "3"
     interval = F.col("action")["pushInterval"]
-    rows = R.alarm_path(tagged).select(
+    return R.alarm_path(tagged).select(
         "unique_data_point_id", "rule_id", ts, tie, "sn", "datapoint_id",
         S.trigger_holds(F.col("text"), F.col("number"), F.col("trigger")).alias("holds"),
         F.col("delay").cast("bigint").alias("delay"),
@@ -189,8 +204,15 @@ def rule_alarm_stream(
             F.lit(False),
         ).alias("push_once"),
     )
+
+
+def rule_alarm_stream(
+    tagged: DataFrame, *, ts: str = "ts", tie: str = "event_id",
+    watermark: str = "1 second", event_time: bool = True,
+) -> DataFrame:
+    """Alarms, recoveries and notifications per (point, rule)."""
     return hold_alarms(
-        rows, ["unique_data_point_id", "rule_id"], ts=ts, tie=tie,
+        hold_rows(tagged, ts, tie), ["unique_data_point_id", "rule_id"], ts=ts, tie=tie,
         carry=["sn", "datapoint_id"], delay=watermark, event_time=event_time,
     )
 
@@ -220,6 +242,25 @@ def write_alarms(
     )
 
 
+def batch_once(folder: str) -> Callable[[DataFrame, int], None]:
+    """A sink that another stream reads: a batch once written is not written again.
+
+    The folder must be on storage that all executors share.
+    """
+
+    def write(rows: DataFrame, number: int) -> None:
+        path = f"{folder}/batch={number}"
+        if not _exists(rows.sparkSession, f"{path}/_SUCCESS"):
+            rows.write.mode("overwrite").parquet(path)
+
+    return write
+
+
+def _exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def batch_folder(folder: str) -> Callable[[DataFrame, int], None]:
     """A sink that keeps one folder per batch, so that a repeat overwrites it."""
 
@@ -249,20 +290,31 @@ def alarm_commands(
     )
 
 
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version=*/_SUCCESS")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    names = [f.getPath().getParent().getName() for f in files]
+    return sorted(int(n.split("=")[1]) for n in names)
+
+
 def current_version(
     spark: SparkSession, folder: str, before: int | None = None
 ) -> DataFrame | None:
     """The latest complete version of a table kept by :func:`maintain_table`."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version=*/_SUCCESS")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    names = [f.getPath().getParent().getName() for f in files]
-    versions = [int(n.split("=")[1]) for n in names]
+    versions = _versions(spark, folder)
     versions = [v for v in versions if before is None or v < before]
     if not versions:
         return None
     return spark.read.parquet(f"{folder}/version={max(versions)}")
 
 
+def drop_versions(spark: SparkSession, folder: str, keep: int) -> None:
+    """Delete all but the latest versions; readers of the last ones go on."""
+    for version in _versions(spark, folder)[:-keep]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version={version}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_version(table: DataFrame, folder: str, number: int) -> None:
     table.write.mode("overwrite").parquet(f"{folder}/version={number}")
 
@@ -272,13 +324,15 @@ def maintain_table(
     checkpoint: str,
     folder: str,
     apply: Callable[[DataFrame, DataFrame], DataFrame],
+    keep: int = 3,
 ) -> DataStreamWriter:
     """A mapping table kept up to date from a change stream.
 
     Every micro-batch applies its changes to the version before it and writes the
     next one, so a repeated batch gives the same table.  Write the first version
     with number -1.  Data streams read the version that is current when their own
-    micro-batch starts.
+    micro-batch starts, see :func:`tag_batches`; the last ``keep`` versions stay for
+    them, older ones are deleted.  The folder must be on shared storage.
     """
 
     def update(batch: DataFrame, number: int) -> None:
@@ -286,9 +340,158 @@ def maintain_table(
         if current is None:
             raise ValueError(f"no first version under {folder}")
         write_version(apply(current, batch), folder, number)
+        drop_versions(batch.sparkSession, folder, keep)
 
     return (
         changes.writeStream.foreachBatch(update)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
+
+
+# -- the whole rule job, with mappings that change under it ----------------------
+
+
+def watch_lists(mapping: DataFrame, details: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two watch lists of a mapping (type, id, rule_id)."""
+
+    def watching(kind: str, name: str) -> DataFrame:
+        rows = mapping.filter(F.col("type") == kind)
+        return R.watch_list(
+            rows.select(F.col("id").cast("bigint").alias(name), "rule_id"), details
+        )
+
+    return (
+        watching(UNIQUE_POINT, "unique_data_point_id"),
+        watching(TEMPLATE_POINT, "datapoint_id"),
+    )
+
+
+def tag_batches(
+    points: DataFrame,
+    dimensions: Callable[[SparkSession], object],
+    mapping: str,
+    folder: str,
+    checkpoint: str,
+    *,
+    ts: str = "ts",
+    tie: str = "event_id",
+) -> DataStreamWriter:
+    """First half of the rule job: data points meet their rules.
+
+    Every micro-batch reads the current version of the mapping (the folder that
+    maintain_table keeps) and the rule tables anew (``dimensions`` gives them, with the
+    attributes of monitor.Dimensions), so a rule that is added, changed or deleted
+    counts from the next batch on.  ``folder`` gets the rows for the alarm state under
+    ``tagged`` and the commands that need no alarm under ``direct``.
+
+    A row without keys tells the alarm state how far time has gone in batches whose
+    points no rule watches.
+    """
+    keep_tagged = batch_once(f"{folder}/tagged")
+    keep_direct = batch_folder(f"{folder}/direct")
+
+    def tag(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        version = current_version(spark, mapping)
+        if version is None:
+            raise ValueError(f"no first version under {mapping}")
+        dims = dimensions(spark)
+        details = R.rule_details(dims.rules, dims.elements, dims.actions)
+        batch.persist()
+        try:
+            tagged = tag_stream(batch, *watch_lists(version, details))
+            rows = hold_rows(tagged, ts, tie)
+            time = batch.agg(
+                F.max(ts).alias(ts), F.lit(False).alias("holds"),
+                F.lit(False).alias("push_once"), F.max(tie).alias(tie),
+            ).filter(F.col(ts).isNotNull())
+            keep_tagged(rows.unionByName(time, allowMissingColumns=True), number)
+            uuid = S.row_id(F.col(tie), F.col("rule_id"), F.col("mapping"))
+            direct = R.direct_controls(tagged).withColumn("uuid", uuid)
+            keep_direct(
+                K.control_commands(
+                    K.match_elements(direct, dims.elements),
+                    dims.point_relation, dims.machine_relation,
+                ),
+                number,
+            )
+        finally:
+            batch.unpersist()
+
+    return points.writeStream.foreachBatch(tag).option("checkpointLocation", checkpoint)
+
+
+def alarm_batches(
+    spark: SparkSession,
+    dimensions: Callable[[SparkSession], object],
+    folder: str,
+    checkpoint: str,
+    *,
+    ts: str = "ts",
+    tie: str = "event_id",
+    watermark: str = "1 second",
+    event_time: bool = True,
+    include_recover: bool = True,
+    max_files_per_trigger: int = 1000,
+) -> DataStreamWriter:
+    """Second half: alarms, recoveries, notifications and the commands they drive.
+
+    Reads what tag_batches has written (start that first) and writes a folder per kind:
+    ``alarm``, ``recover``, ``push`` (with message, push way and trigger of the rule)
+    and ``commands``.  The rows of a trigger are bounded by ``max_files_per_trigger``.
+    """
+    source = f"{folder}/tagged"
+    schema = spark.read.parquet(source).drop("batch").schema
+    rows = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .parquet(source)
+    )
+    emitted = hold_alarms(
+        rows, ["unique_data_point_id", "rule_id"], ts=ts, tie=tie,
+        carry=["sn", "datapoint_id"], delay=watermark, event_time=event_time,
+    )
+
+    def complete(push: DataFrame) -> DataFrame:
+        dims = dimensions(push.sparkSession)
+        details = R.rule_details(dims.rules, dims.elements, dims.actions)
+        texts = details.select(
+            "rule_id", F.col("alarm_msg").alias("msg"),
+            F.col("action.pushWay").alias("push_way"), "trigger_json",
+        )
+        return push.join(texts, "rule_id")
+
+    def commands(alarms: DataFrame) -> DataFrame:
+        dims = dimensions(alarms.sparkSession)
+        details = R.rule_details(dims.rules, dims.elements, dims.actions)
+        mapping = R.controls_of_alarms(
+            dims.rules.filter(F.col("rely_rule_id").isNotNull()),
+            dims.rules.select(F.col("id").alias("alarm_id")),
+        )
+        uuid = S.row_id(F.col(tie), F.col("rule_id"))
+        return alarm_commands(
+            alarms.withColumn("uuid", uuid), details, mapping, dims.elements,
+            dims.point_relation, dims.machine_relation,
+        )
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            kinds = {k: batch.filter(F.col("kind") == k) for k in ("alarm", "recover")}
+            for kind, found in kinds.items():
+                batch_folder(f"{folder}/{kind}")(found, number)
+            pushes = batch.filter(F.col("kind") == "push")
+            batch_folder(f"{folder}/push")(complete(pushes), number)
+            driving = kinds["alarm"]
+            if include_recover:
+                driving = driving.unionByName(kinds["recover"])
+            batch_folder(f"{folder}/commands")(commands(driving), number)
+        finally:
+            batch.unpersist()
+
+    return (
+        emitted.writeStream.foreachBatch(write)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+    )

@@ -1,12 +1,13 @@
 """Keyed state and timers: the streaming forms of the alarm operators.
 
-Each processor holds one small record per key and at most one timer.  Rows of a
-micro-batch are taken in (ts, tie) order, and what is due before a row happens
-before it, also when several due times lie between two rows.  So the result does
-not depend on how the rows are spread over micro-batches, and equals the batch
-form.  Times are in microseconds; timers of Spark count milliseconds.
-
-With ``event_time`` off, rows and timers go by the wall clock instead.
+Each processor holds one small record per key and at most one timer.  By event time,
+rows wait in state until the watermark has passed them; then they are taken in (ts,
+tie) order, and what is due before a row happens before it, also when several due times
+lie between two rows.  So the result depends neither on the order in which rows arrive
+within the watermark delay nor on how they are spread over micro-batches, and equals
+the batch form.  Times are in microseconds; timers of Spark count milliseconds.
+
+With ``event_time`` off, rows are taken as they come and timers go by the wall clock.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.types import StructType
 
 from alarmloom.functions.scalars import ALARM, RECOVERED, STATUS_OFF, STATUS_ON
 
@@ -26,18 +28,29 @@ class TimedProcessor(StatefulProcessor):
 
     Subclasses name the fields of their record in ``fields`` (a DDL string) and
     give ``due`` (next due time or None), ``fire`` (what happens at that time) and
-    ``take`` (what a row does).
+    ``take`` (what a row does).  ``waiting`` is the schema of the columns of a row that
+    they need, the time and the tie among them.
     """
 
     fields = ""
 
-    def __init__(self, ts: str = "ts_us", tie: str = "event_id", event_time: bool = True):
-        self.ts, self.tie, self.event_time = ts, tie, event_time
+    def __init__(
+        self,
+        waiting: StructType,
+        ts: str = "ts_us",
+        tie: str = "event_id",
+        event_time: bool = True,
+    ):
+        self.waiting, self.ts, self.tie, self.event_time = waiting, ts, tie, event_time
 
     def init(self, handle) -> None:
         self.handle = handle
         self.names = [f.strip().split()[0] for f in self.fields.split(",")]
         self.record = handle.getValueState("record", self.fields)
+        # the timer that is set, and the time of the first row that waits
+        self.clock = handle.getValueState("clock", "timer bigint, first bigint")
+        if self.event_time:
+            self.rows = handle.getListState("rows", self.waiting)
 
     def due(self, s: dict) -> int | None:
         return None
@@ -45,56 +58,81 @@ class TimedProcessor(StatefulProcessor):
     def fire(self, key, s: dict) -> Iterator[Row]:
         return iter(())
 
-    def take(self, key, s: dict, row: Row, now: int) -> Iterator[Row]:
+    def take(self, key, s: dict, row, now: int) -> Iterator[Row]:
         raise NotImplementedError
 
     def _load(self) -> dict:
         value = self.record.get() if self.record.exists() else None
         return dict(zip(self.names, value or [None] * len(self.names)))
 
-    def _store(self, s: dict, timer: int | None) -> None:
+    def _clock(self) -> tuple[int | None, int | None]:
+        return tuple(self.clock.get()) if self.clock.exists() else (None, None)
+
+    def _store(self, s: dict, timer: int | None, first: int | None) -> None:
+        """Keep the record, and a timer for what comes first: a due time or a row."""
         if all(v is None for v in s.values()):
             self.record.clear()
         else:
             self.record.update(tuple(s[n] for n in self.names))
-        due = self.due(s)
-        wanted = None if due is None else -(-due // 1000)
+        times = [t for t in (self.due(s), first) if t is not None]
+        wanted = -(-min(times) // 1000) if times else None
         if wanted != timer:
             if timer is not None:
                 self.handle.deleteTimer(timer)
             if wanted is not None:
                 self.handle.registerTimer(wanted)
-
-    def _timer(self, s: dict) -> int | None:
-        due = self.due(s)
-        return None if due is None else -(-due // 1000)
+        if wanted is None:
+            self.clock.clear()
+        else:
+            self.clock.update((wanted, first))
 
     def _fire_until(self, key, s: dict, end: int) -> Iterator[Row]:
         """Everything due before ``end``, in order."""
         while (due := self.due(s)) is not None and due < end:
             yield from self.fire(key, s)
 
+    def _in_order(self, rows) -> list:
+        return sorted(rows, key=lambda r: (r[self.ts], r[self.tie]))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         s = self._load()
-        timer = self._timer(s)
+        timer, first = self._clock()
+        if self.event_time:
+            columns = self.waiting.names
+            new = [tuple(row[c] for c in columns) for row in rows]
+            at = columns.index(self.ts)
+            times = [row[at] for row in new] + ([] if first is None else [first])
+            self.rows.appendList(new)
+            self._store(s, timer, min(times))
+            return
         wall = timerValues.getCurrentProcessingTimeInMs() * 1000
-        # One micro-batch of one key; the source's rate limit bounds it.
-        for row in sorted(rows, key=lambda r: (r[self.ts], r[self.tie])):
-            now = row[self.ts] if self.event_time else wall
-            yield from self._fire_until(key, s, now)
-            yield from self.take(key, s, row, now)
-        self._store(s, timer)
+        for row in self._in_order(rows):
+            yield from self._fire_until(key, s, wall)
+            yield from self.take(key, s, row, wall)
+        self._store(s, timer, None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         s = self._load()
-        now = (
-            timerValues.getCurrentWatermarkInMs()
-            if self.event_time
-            else timerValues.getCurrentProcessingTimeInMs()
-        ) * 1000
-        # The expired timer is gone already; nothing is left to delete.
+        first = None
+        if self.event_time:
+            now = timerValues.getCurrentWatermarkInMs() * 1000
+            columns = self.waiting.names
+            rows = self.rows.get() if self.rows.exists() else []
+            rows = [dict(zip(columns, row)) for row in rows]
+            later = [row for row in rows if row[self.ts] > now]
+            for row in self._in_order(row for row in rows if row[self.ts] <= now):
+                yield from self._fire_until(key, s, row[self.ts])
+                yield from self.take(key, s, row, row[self.ts])
+            if later:
+                self.rows.put([tuple(row[c] for c in columns) for row in later])
+                first = min(row[self.ts] for row in later)
+            else:
+                self.rows.clear()
+        else:
+            now = timerValues.getCurrentProcessingTimeInMs() * 1000
         yield from self._fire_until(key, s, now + 1)
-        self._store(s, None)
+        # The expired timer is gone already; nothing is left to delete.
+        self._store(s, None, first)
 
     def close(self) -> None:
         pass
@@ -119,8 +157,11 @@ class HoldProcessor(TimedProcessor):
         "every bigint, once boolean"
     )
 
-    def __init__(self, keys: list[str], recover_on_every_clear: bool = False, **kw):
-        super().__init__(**kw)
+    def __init__(
+        self, waiting: StructType, keys: list[str],
+        recover_on_every_clear: bool = False, **kw,
+    ):
+        super().__init__(waiting, **kw)
         self.keys = keys
         self.recover_on_every_clear = recover_on_every_clear
 
@@ -231,20 +272,31 @@ class DisconnectProcessor(TimedProcessor):
 class LatestProcessor(StatefulProcessor):
     """The latest row of a key, emitted whenever it changes.
 
-    ``ttl_ms`` forgets a key that long after its last row (wall clock).
+    ``columns`` is the schema of what is told of a row beside its keys, the time and the
+    tie that order rows among it.  ``ttl_ms`` forgets a key that long after its last row
+    (wall clock).
     """
 
-    def __init__(self, keys: list[str], ts: str = "ts_us", ttl_ms: int | None = None):
-        self.keys, self.ts, self.ttl_ms = keys, ts, ttl_ms
+    def __init__(
+        self, keys: list[str], columns: StructType, ts: str = "ts_us",
+        tie: str = "event_id", ttl_ms: int | None = None,
+    ):
+        self.keys, self.columns, self.ttl_ms = keys, columns, ttl_ms
+        self.order = [columns.names.index(ts), columns.names.index(tie)]
 
     def init(self, handle) -> None:
-        self.latest = handle.getValueState("latest", "at bigint", self.ttl_ms)
+        self.latest = handle.getValueState("latest", self.columns, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        at = max(row[self.ts] for row in rows)
-        if not self.latest.exists() or self.latest.get()[0] < at:
-            self.latest.update((at,))
-            yield Row(**dict(zip(self.keys, key)), latest_us=at)
+        names = self.columns.names
+
+        def place(row: tuple):
+            return tuple(row[i] for i in self.order)
+
+        row = max((tuple(r[c] for c in names) for r in rows), key=place)
+        if not self.latest.exists() or place(self.latest.get()) < place(row):
+            self.latest.update(row)
+            yield Row(**dict(zip(self.keys, key)), **dict(zip(names, row)))
 
     def close(self) -> None:
         pass

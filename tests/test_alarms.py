@@ -10,7 +10,7 @@ from alarmloom.operators import push as P
 from alarmloom.operators.hotkeys import SplitPolicy
 
 US = 1_000_000
-SPLIT = SplitPolicy(small_bytes=0, target_rows=10, oversample=10)
+SPLIT = SplitPolicy(target_rows=10)
 
 
 def timeline(spark, rows):
@@ -91,7 +91,7 @@ def test_first_alarms(spark):
         ("j", 20 * US, 30 * US, None), ("k", 0, 10 * US, 25 * US),
     ]
     split = A.first_alarms(df, ["sn"], "v", F.lit(10), horizon=F.lit(40 * US),
-                           policy=SplitPolicy(small_bytes=0, target_rows=2))
+                           policy=SplitPolicy(target_rows=2))
     assert sorted(split.collect()) == sorted(out.collect())
 
 
@@ -105,7 +105,7 @@ def test_repeat_reminders(spark):
 
 def test_reminders_over_a_long_range(spark):
     df = timeline(spark, [("k", 0, True), ("k", 25_001, False)])
-    out = A.repeat_reminders(df, ["sn"], "v", F.lit(1))
+    out = A.repeat_reminders(df, ["sn"], "v", F.lit(1), horizon=A.end_of(df, "ts"))
     stats = out.agg(F.count("*"), F.countDistinct("due_us"), F.max("due_us")).first()
     assert tuple(stats) == (25_000, 25_000, 25_000 * US)
 
@@ -144,9 +144,9 @@ def test_disconnects_and_frequency(spark):
         (6, "0"), (8, "0"), (11, "1")
     ]
     out = Q.disconnect_frequency(
-        Q.disconnects(df, policy=SplitPolicy(small_bytes=0, target_rows=2)),
+        Q.disconnects(df, policy=SplitPolicy(target_rows=2)),
         F.lit(10), F.lit(1), horizon=F.lit(35 * US),
-        policy=SplitPolicy(small_bytes=0, target_rows=1),
+        policy=SplitPolicy(target_rows=1),
     )
     assert sorted((r.emit_us // US, r.status) for r in out.collect()) == [
         (6, "0"), (8, "0"), (11, "1")

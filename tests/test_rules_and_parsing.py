@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from alarmloom import schemas
 from alarmloom.functions import parsing as X
 from alarmloom.functions import scalars as S
 from alarmloom.operators import changes as C
@@ -81,7 +82,7 @@ def test_rule_changes(spark):
     held = C.cached_rules(changes, "ts", "seq")
     assert sorted(r.rule_id for r in held.collect()) == [2, 3, 4, 9]
     split = C.cached_rules(changes, "ts", "seq",
-                           SplitPolicy(small_bytes=0, target_rows=1))
+                           SplitPolicy(target_rows=1))
     assert sorted(r.rule_id for r in split.collect()) == [2, 3, 4, 9]
 
 
@@ -99,7 +100,7 @@ def test_bind_and_unbind(spark):
 
 
 @pytest.mark.parametrize("policy", [SplitPolicy(),
-                                    SplitPolicy(small_bytes=0, target_rows=2)])
+                                    SplitPolicy(target_rows=2)])
 def test_as_of_changes(spark, policy):
     rows = spark.createDataFrame(
         [("a", 1, 1), ("a", 5, 2), ("a", 6, 3), ("b", 5, 4), ("a", 9, 5), ("a", 9, 6)],
@@ -168,7 +169,7 @@ def test_rule_without_action_or_elements(spark):
 
 def test_chunks_carried_through_the_rule_join(spark, small_dir):
     """Points split before their keys are extended give the same alarms."""
-    policy = SplitPolicy(small_bytes=0, target_rows=10)
+    policy = SplitPolicy(target_rows=10)
     points = B.points(spark, small_dir)
     rules = B.unique_rules(spark, small_dir)
     split, done = split_hot_keys(points, ["unique_data_point_id"], "ts", "event_id",
@@ -183,12 +184,12 @@ def test_chunks_carried_through_the_rule_join(spark, small_dir):
         return out.select("unique_data_point_id", "rule_id", "event_id", "emit_us",
                           "recover")
 
-    assert split.agg(F.max(CHUNK)).first()[0] >= 3
+    assert split.select(CHUNK).distinct().count() > 3
     assert sorted(alarms(split).collect()) == sorted(alarms(points).collect())
 
 
 def test_sources_and_sinks(spark, tmp_path):
-    topic = tmp_path / "rulemodify"
+    topic = tmp_path / "rule-changes"
     topic.mkdir()
     (topic / "a.txt").write_text('{"id":1,"type":"0","actionType":"0","ruleId":"1,2"}\n')
     source = MessageSource(spark, folder=str(tmp_path), streaming=False)
@@ -201,3 +202,53 @@ def test_sources_and_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         dimension(spark, "other", folder=str(tmp_path))
     assert as_json(spark.range(1)).first().value == '{"id":0}'
+
+
+def test_topic_options(spark):
+    stream = MessageSource(spark, servers="b:9092", group="g", max_offsets_per_trigger=500)
+    assert stream.topic_options("points") == {
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "points",
+        "startingOffsets": "latest", "kafka.group.id": "g", "maxOffsetsPerTrigger": "500"}
+    start = '{"points":{"0":23}}'
+    bounded = MessageSource(spark, servers="b:9092", streaming=False)
+    assert bounded.topic_options("points")["startingOffsets"] == "earliest"
+    resumed = MessageSource(spark, servers="b:9092", streaming=False, starting_offsets=start)
+    assert resumed.topic_options("points")["startingOffsets"] == start
+    assert resumed.topic_options("points")["endingOffsets"] == "latest"
+
+
+def test_rows_without_a_time_pass_with_no_version(spark):
+    rows = spark.createDataFrame([("a", None, 1), ("a", 5, 2)], "sn string, t long, id long"
+                                 ).withColumn("ts", F.timestamp_seconds("t"))
+    log = spark.createDataFrame([("a", 1, 1, "x")], "sn string, t long, id long, v string"
+                                ).withColumn("ts", F.timestamp_seconds("t"))
+    out = C.as_of_changes(rows, log, "sn", "ts", "id", F.col("v"), "v")
+    assert {r.id: r.v for r in out.collect()} == {1: None, 2: "x"}
+
+
+def test_equal_actions_are_commands_of_their_own(spark):
+    action = ('{"controlActionDtos":[{"controlType":1,"controlDataPointId":7,'
+              '"controlUniqueDataPointId":70,"controlData":"on"},{"controlType":1,'
+              '"controlDataPointId":7,"controlUniqueDataPointId":70,"controlData":"on"}]}')
+    row = spark.createDataFrame([("u", 1, 5, 9, "gw", "{}", action)],
+                                "uuid string, rule_id long, unique_data_point_id long,"
+                                "datapoint_id long, sn string, trigger_json string, a string")
+    row = row.withColumn("action", F.from_json("a", schemas.ACTION))
+    elements = spark.createDataFrame(
+        [(1, "1", 200, 5, 0, 1, 0)],
+        "rule_id long, element_type string, machine_id long, unique_data_point_id long,"
+        "data_point_id long, position long, del_flag int")
+    points = spark.createDataFrame([], "id long, device_no string,"
+                                   "device_template_point_id long")
+    machines = spark.createDataFrame([], "device_sn string, machine_id long")
+    flat = K.control_commands(K.match_elements(row, elements), points, machines)
+    assert flat.select("control_uuid").distinct().count() == 2
+    assert K.with_machine_lists(flat).count() == 2
+
+
+def test_one_scan_for_both_mappings(spark, small_dir):
+    from alarmloom.plans.catalog import QUERIES
+
+    plan = QUERIES["tagged_points"](spark, small_dir)._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1]
+    assert physical.count("events.parquet") == 1

@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,13 +15,12 @@ from alarmloom.streaming import jobs as J
 HOUR = 3600
 BATCHES = 4
 TICK = "-1"
+TICK_US = 1_709_251_200_000_000
+WATERMARK_END = TICK_US - 1_000_000
 
 
-@pytest.fixture(scope="module")
-def status_files(spark, small_dir, tmp_path_factory):
-    """The status rows as JSON files in time order, one file per micro-batch."""
-    folder = tmp_path_factory.mktemp("status")
-    rows = B.status(spark, small_dir).orderBy("ts", "event_id").collect()
+def write_status(rows, folder):
+    """The status rows as JSON files in the given order, one file per micro-batch."""
     share = -(-len(rows) // BATCHES)
     paths = []
     for n in range(BATCHES):
@@ -40,6 +40,29 @@ def status_files(spark, small_dir, tmp_path_factory):
     return folder
 
 
+@pytest.fixture(scope="module")
+def status_files(spark, small_dir, tmp_path_factory):
+    rows = B.status(spark, small_dir).orderBy("ts", "event_id").collect()
+    return write_status(rows, tmp_path_factory.mktemp("status"))
+
+
+@pytest.fixture(scope="module")
+def shuffled_files(spark, small_dir, tmp_path_factory):
+    """Rows up to ten hours out of order, within and across micro-batches."""
+    rng = random.Random(4)
+    rows = B.status(spark, small_dir).collect()
+    rows.sort(key=lambda r: r.ts.timestamp() + rng.uniform(0, 10 * HOUR))
+    return write_status(rows, tmp_path_factory.mktemp("shuffled"))
+
+
+@pytest.fixture(params=["1 second", "12 hours"], ids=["sorted", "shuffled"])
+def arrival(request, status_files, shuffled_files):
+    """Files, watermark delay and the watermark (us) after the last of them."""
+    if request.param == "1 second":
+        return status_files, request.param, TICK_US - 1_000_000
+    return shuffled_files, request.param, TICK_US - 12 * HOUR * 1_000_000
+
+
 def stream_of(spark, folder):
     return (
         spark.readStream.schema("sn string, status string, ts timestamp, event_id long")
@@ -74,70 +97,76 @@ def run(df, tmp_path, mode="append"):
     return df.sparkSession.read.parquet(out)
 
 
-WATERMARK_END = 1_709_251_200_000_000 - 1_000_000  # the tick less one second
-
-
 def by_gateway(even, odd):
     return F.when(F.col("sn").cast("bigint") % 2 == 0, even).otherwise(odd)
 
 
-def test_offline_watch_equals_batch(spark, small_dir, status_files, tmp_path):
+def test_offline_watch_equals_batch(spark, small_dir, arrival, tmp_path):
+    files, watermark, end = arrival
     delay = by_gateway(6 * HOUR, 12 * HOUR)
     remind = by_gateway(HOUR, 5 * HOUR)
-    stream = J.offline_watch(stream_of(spark, status_files), delay, remind)
+    stream = J.offline_watch(stream_of(spark, files), delay, remind, watermark=watermark)
     got = run(stream, tmp_path).filter(f"sn <> '{TICK}'")
-    end = F.lit(WATERMARK_END)
+    end = F.lit(end)
     alarms = A.offline_alarms(B.status(spark, small_dir), delay, horizon=end)
-    want = {
+    want = sorted(
         (r.sn, "alarm" if r.status == "0" else "recover", r.emit_us, r.event_id)
         for r in alarms.collect()
-    }
+    )
     found = [(r.sn, r.kind, r.emit_us, r.event_id) for r in got.collect()]
-    assert len(found) == len(set(found))
-    assert {f for f in found if f[1] != "push"} == want
+    assert sorted(f for f in found if f[1] != "push") == want
     episodes = alarms.select(
         "sn", "event_id", (F.col("status") == "0").alias("on"),
         F.timestamp_micros("emit_us").alias("ts"),
     )
     reminders = A.repeat_reminders(episodes, ["sn"], "on", remind, horizon=end)
-    assert {(f[0], f[2]) for f in found if f[1] == "push"} == {
+    assert sorted((f[0], f[2]) for f in found if f[1] == "push") == sorted(
         (r.sn, r.due_us) for r in reminders.collect()
-    }
+    )
 
 
-def test_off_count_watch_equals_batch(spark, small_dir, status_files, tmp_path):
+def test_off_count_watch_equals_batch(spark, small_dir, arrival, tmp_path):
+    files, watermark, _ = arrival
     width, limit = by_gateway(24 * HOUR, 72 * HOUR), by_gateway(2, 3)
-    stream = J.off_count_watch(stream_of(spark, status_files), width, limit)
+    stream = J.off_count_watch(
+        stream_of(spark, files), width, limit, watermark=watermark
+    )
     got = run(stream, tmp_path).filter(f"sn <> '{TICK}'")
     want = Q.off_count_alarms(B.status(spark, small_dir), width, limit)
     cols = ["sn", "status", "emit_us", "event_id"]
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
 
 
-def test_disconnect_watch_equals_batch(spark, small_dir, status_files, tmp_path):
+def test_disconnect_watch_equals_batch(spark, small_dir, arrival, tmp_path):
+    files, watermark, end = arrival
     width, limit = by_gateway(72 * HOUR, 168 * HOUR), by_gateway(1, 2)
-    stream = J.disconnect_watch(stream_of(spark, status_files), width, limit)
+    stream = J.disconnect_watch(
+        stream_of(spark, files), width, limit, watermark=watermark
+    )
     rows = run(stream, tmp_path).filter(f"sn <> '{TICK}'").collect()
     pairs = Q.disconnects(B.status(spark, small_dir))
-    want = {(r.sn, r.event_id) for r in pairs.collect()}
-    assert {(r.sn, r.event_id) for r in rows if r.kind == "disconnect"} == want
-    alarms = Q.disconnect_frequency(pairs, width, limit, horizon=F.lit(WATERMARK_END))
-    found = {
+    want = sorted((r.sn, r.event_id) for r in pairs.collect())
+    assert sorted((r.sn, r.event_id) for r in rows if r.kind == "disconnect") == want
+    alarms = Q.disconnect_frequency(pairs, width, limit, horizon=F.lit(end))
+    found = sorted(
         (r.sn, "0" if r.kind == "alarm" else "1", r.emit_us, r.event_id)
         for r in rows if r.kind != "disconnect"
-    }
-    assert found == {(r.sn, r.status, r.emit_us, r.event_id) for r in alarms.collect()}
+    )
+    assert found == sorted(
+        (r.sn, r.status, r.emit_us, r.event_id) for r in alarms.collect()
+    )
 
 
 def test_latest_per_key_and_by_name(spark, small_dir, status_files, tmp_path):
     got = run(J.latest_per_key(stream_of(spark, status_files), ["sn"]), tmp_path,
               mode="update")
-    final = {r.sn: r.t for r in got.groupBy("sn").agg(F.max("latest_us").alias("t"))
-             .filter(f"sn <> '{TICK}'").collect()}
+    final = Q.latest_per_key(got.drop("batch"), ["sn"], "ts_us", "event_id").filter(
+        f"sn <> '{TICK}'"
+    )
     want = Q.latest_per_key(B.status(spark, small_dir), ["sn"], "ts", "event_id")
-    assert final == {
-        r.sn: r.t for r in want.select("sn", F.unix_micros("ts").alias("t")).collect()
-    }
+    whole = want.withColumn("ts_us", F.unix_micros("ts"))
+    cols = ["sn", "ts_us", "event_id", "status"]
+    assert sorted(final.select(cols).collect()) == sorted(whole.select(cols).collect())
     named = J.latest_by_name(stream_of(spark, status_files), ["sn"], "status")
     other = tmp_path / "named"
     other.mkdir()
@@ -190,77 +219,200 @@ def test_restart_from_checkpoint_gives_the_same_rows(
         )
 
 
-def test_rule_stream_equals_batch_job(spark, small_dir, tmp_path):
+def sorted_rows(frame, *columns):
+    return sorted(map(tuple, frame.select(*columns).collect()), key=repr)
+
+
+def test_rule_job_equals_batch_job(spark, small_dir, tmp_path):
     """Points to alarms, notifications and commands: stream and batch job agree."""
-    from alarmloom.operators import rules as R
     from alarmloom.plans import monitor as M
 
-    dims = M.Dimensions(
-        B.rules(spark, small_dir), B.rule_elements(spark, small_dir),
-        B.rule_actions(spark, small_dir), B.unique_rules(spark, small_dir),
-        B.template_rules(spark, small_dir), B.point_relation(spark, small_dir),
-        B.machine_relation(spark, small_dir),
-    )
+    dims = dimensions(spark, small_dir)
     points = B.points(spark, small_dir)
-    source = str(tmp_path / "points")
-    for n, part in enumerate(["<= '2024-01-12'", "> '2024-01-12'"]):
-        points.filter(f"ts {part}").coalesce(1).write.mode("append").parquet(source)
-    tick = points.limit(1).withColumns(
-        {"unique_data_point_id": F.lit(-5).cast("long"), "event_id": F.lit(-1).cast("long"),
-         "ts": F.lit("2024-03-01").cast("timestamp")}
+    folder = str(tmp_path / "job")
+    mapping = str(tmp_path / "mapping")
+    J.write_version(mapping_of(dims), mapping, -1)
+    feed = Feed(spark, points.schema, tmp_path, dims, mapping, folder)
+    for part in ["<= '2024-01-12'", "> '2024-01-12'"]:
+        feed.push(points.filter(f"ts {part}"))
+    feed.tick(points)
+    want = M.run(points, dims, str(tmp_path / "batch"), horizon=F.lit(WATERMARK_END))
+    check_outputs(spark, folder, want)
+
+
+def dimensions(spark, sf):
+    from alarmloom.plans import monitor as M
+
+    return M.Dimensions(
+        B.rules(spark, sf), B.rule_elements(spark, sf), B.rule_actions(spark, sf),
+        B.unique_rules(spark, sf), B.template_rules(spark, sf),
+        B.point_relation(spark, sf), B.machine_relation(spark, sf),
     )
-    details = R.rule_details(dims.rules, dims.elements, dims.actions)
-    watch = (R.watch_list(dims.unique_rules, details),
-             R.watch_list(dims.template_rules, details))
-    # The tick needs a rule to get as far as the timers.
-    tick_rule = watch[0].filter("action_type <> '2'").limit(1).withColumn(
-        "unique_data_point_id", F.lit(-5).cast("long"))
-    watch = (watch[0].unionByName(tick_rule), watch[1])
 
-    def go():
-        stream = spark.readStream.schema(points.schema).parquet(source)
-        tagged = J.tag_stream(stream, *watch)
-        query = J.write_alarms(
-            J.rule_alarm_stream(tagged), str(tmp_path / "cp"),
-            {k: J.batch_folder(str(tmp_path / k)) for k in ("alarm", "recover", "push")},
-        ).trigger(availableNow=True).start()
-        assert query.awaitTermination(180)
 
-    go()
-    tick.coalesce(1).write.mode("append").parquet(source)
-    go()
-    end = F.lit(WATERMARK_END)
-    want = M.run(points, dims, str(tmp_path / "batch"), horizon=end)
+def mapping_of(dims):
+    unique = dims.unique_rules.select(
+        F.lit("0").alias("type"), F.col("unique_data_point_id").alias("id"), "rule_id"
+    )
+    template = dims.template_rules.select(
+        F.lit("1").alias("type"), F.col("datapoint_id").alias("id"), "rule_id"
+    )
+    return unique.unionByName(template)
+
+
+class Feed:
+    """Runs both halves of the rule job over whatever has been pushed."""
+
+    def __init__(self, spark, schema, tmp_path, dims, mapping, folder):
+        self.spark, self.schema, self.dims = spark, schema, dims
+        self.mapping, self.folder = mapping, folder
+        self.source, self.checkpoints = str(tmp_path / "points"), tmp_path / "cp"
+
+    def push(self, rows):
+        rows.coalesce(1).write.mode("append").parquet(self.source)
+        points = self.spark.readStream.schema(self.schema).parquet(self.source)
+        tag = J.tag_batches(
+            points, lambda _: self.dims, self.mapping, self.folder,
+            str(self.checkpoints / "tag"),
+        )
+        assert tag.trigger(availableNow=True).start().awaitTermination(180)
+        alarms = J.alarm_batches(
+            self.spark, lambda _: self.dims, self.folder, str(self.checkpoints / "alarm")
+        )
+        assert alarms.trigger(availableNow=True).start().awaitTermination(180)
+
+    def tick(self, points):
+        """A point that no rule watches moves time on."""
+        self.push(points.limit(1).withColumns({
+            "unique_data_point_id": F.lit(-5).cast("long"),
+            "datapoint_id": F.lit(-5).cast("long"),
+            "event_id": F.lit(-1).cast("long"),
+            "ts": F.timestamp_micros(F.lit(TICK_US)),
+        }))
+
+
+def check_outputs(spark, folder, want):
     keys = ["unique_data_point_id", "rule_id", "event_id"]
+    told = [*keys, "emit_us", "sn", "datapoint_id"]
+    for kind, recover in (("alarm", False), ("recover", True)):
+        expected = want["alarms"].filter(F.col("recover") == recover)
+        found = spark.read.parquet(f"{folder}/{kind}")
+        assert sorted_rows(found, *told) == sorted_rows(expected, *told)
+        assert found.count()
+    payload = ["sn", "msg", "push_way", "trigger_json"]
+    found = spark.read.parquet(f"{folder}/push")
+    # a notification carries the rule's text; a batch alarm has its own in msg
+    assert sorted_rows(found, *keys, F.col("emit_us").alias("push_us"), *payload) == (
+        sorted_rows(want["pushes"], *keys, "push_us", *payload)
+    )
+    commands = spark.read.parquet(f"{folder}/commands").drop("batch").unionByName(
+        spark.read.parquet(f"{folder}/direct").drop("batch")
+    )
+    columns = [c for c in want["commands"].columns if c != "trigger"]
+    assert sorted_rows(commands, *columns) == sorted_rows(want["commands"], *columns)
 
-    def found(kind):
-        rows = spark.read.parquet(str(tmp_path / kind))
-        return rows.filter("unique_data_point_id >= 0")
 
-    def same(a, b):
-        a, b = sorted(set(a.collect())), sorted(set(b.collect()))
-        assert a == b and a
+def test_rules_that_change_under_a_running_job(spark, tmp_path):
+    """A rule is added, changed and deleted between batches of points."""
+    from alarmloom.operators import rules as R
+    from alarmloom.plans import monitor as M
 
-    alarms = want["alarms"]
+    def rules_with(limit):
+        trigger = json.dumps({"triggerCondition": "3", "triggerConditionAval": str(limit),
+                              "triggerConditionValType": 0, "delayTime": 10,
+                              "alarmMsg": "high"})
+        return spark.createDataFrame(
+            [(r, None, trigger, "0", 0, 0) for r in (1, 2)],
+            "id long, rely_rule_id string, `trigger` string, trigger_type string,"
+            "del_flag int, status int")
+
+    elements = spark.createDataFrame(
+        [(r, "0", 10, 7, 0, 0, 1) for r in (1, 2)],
+        "rule_id long, element_type string, machine_id long, unique_data_point_id long,"
+        "data_point_id long, del_flag int, position long")
+    actions = spark.createDataFrame(
+        [(r, '{"pushInterval":20,"pushFrequency":1,"pushWay":"1"}', "3", "0")
+         for r in (1, 2)],
+        "rule_id long, action string, action_type string, execute_mode string")
+    none = spark.createDataFrame([], "unique_data_point_id long, rule_id long")
+    points_of = spark.createDataFrame([], "id long, device_no string,"
+                                      "device_template_point_id long")
+    machines = spark.createDataFrame([], "device_sn string, machine_id long")
+
+    def dims_with(limit):
+        return M.Dimensions(rules_with(limit), elements, actions, none,
+                            none.withColumnRenamed("unique_data_point_id", "datapoint_id"),
+                            points_of, machines)
+
+    def mapping(*rule_ids):
+        return spark.createDataFrame([("0", 7, r) for r in rule_ids],
+                                     "type string, id long, rule_id long")
+
+    def points(*rows):
+        return spark.createDataFrame(
+            [("gw", 3, 7, v, t, t) for t, v in rows],
+            "sn string, datapoint_id long, unique_data_point_id long, val string,"
+            "event_id long, t long",
+        ).withColumn("ts", F.timestamp_seconds("t")).drop("t")
+
+    stages = [  # mapping, limit of the trigger, points
+        ((1,), 50, points((100, "60"), (105, "70"), (112, "80"))),
+        ((1, 2), 50, points((120, "60"), (131, "60"))),  # rule 2 is added
+        ((1, 2), 90, points((140, "60"), (150, "95"), (161, "96"))),  # both change
+        ((2,), 90, points((170, "10"), (190, "99"), (215, "99"))),  # rule 1 is deleted
+    ]
+    folder, versions = str(tmp_path / "job"), str(tmp_path / "mapping")
+    feed = Feed(spark, points((0, "")).schema, tmp_path, None, versions, folder)
+    tagged = None
+    for number, (ids, limit, rows) in enumerate(stages):
+        J.write_version(mapping(*ids), versions, number - 1)
+        feed.dims = dims_with(limit)
+        feed.push(rows)
+        details = R.rule_details(feed.dims.rules, elements, actions)
+        part = J.hold_rows(
+            J.tag_stream(rows, *J.watch_lists(mapping(*ids), details)), "ts", "event_id"
+        )
+        tagged = part if tagged is None else tagged.unionByName(part)
+    feed.tick(points((0, "")))
+    keys = ["unique_data_point_id", "rule_id"]
+    want = A.delayed_alarms(tagged, keys, "holds", F.col("delay"),
+                            horizon=F.lit(WATERMARK_END))
     for kind, recover in (("alarm", False), ("recover", True)):
-        same(found(kind).select(*keys, "emit_us", "sn", "datapoint_id"),
-             alarms.filter(F.col("recover") == recover)
-             .select(*keys, "emit_us", "sn", "datapoint_id"))
-    same(found("push").select(*keys, "emit_us"), want["pushes"].select(*keys, "push_us"))
-
-    told = found("alarm").unionByName(found("recover")).withColumn(
-        "uuid", F.concat_ws("/", "event_id", "rule_id"))
-    mapping = R.controls_of_alarms(
-        dims.rules.filter("rely_rule_id is not null"),
-        dims.rules.select(F.col("id").alias("alarm_id")))
-    commands = J.alarm_commands(told, details, mapping, dims.elements,
-                                dims.point_relation, dims.machine_relation)
-    assert want["commands"].count() > 0
-    # Every command an alarm drives is among the commands of the batch job.
-    part = ["rule_id", "control_sn", "unique_data_point_id", "control_data"]
-    missing = commands.select(part).exceptAll(
-        commands.select(part).intersectAll(want["commands"].select(part)))
-    assert missing.count() == 0
+        found = spark.read.parquet(f"{folder}/{kind}")
+        expected = want.filter(F.col("recover") == recover)
+        told = [*keys, "event_id", "emit_us"]
+        assert sorted_rows(found, *told) == sorted_rows(expected, *told)
+        assert found.count()
+    pushes = spark.read.parquet(f"{folder}/push")
+    assert {(r.rule_id, r.push_way, r.msg) for r in pushes.collect()} == {
+        (1, "1", "high"), (2, "1", "high")}
+
+
+def test_late_rows_are_dropped_by_the_watermark(spark, tmp_path):
+    """Rows of a closed window do not count; rows within the delay do."""
+    def rows(*times):
+        return spark.createDataFrame([(t,) for t in times], "t long").select(
+            F.timestamp_seconds("t").alias("ts"))
+
+    source = str(tmp_path / "in")
+
+    def go():
+        stream = spark.readStream.schema("ts timestamp").parquet(source)
+        counts = stream.withWatermark("ts", "5 seconds").groupBy(
+            F.window("ts", "10 seconds")).count()
+        out = counts.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        query = out.option("checkpointLocation", str(tmp_path / "cp")).trigger(
+            availableNow=True).start()
+        assert query.awaitTermination(120)
+
+    for part in (rows(1, 2, 11), rows(3, 27), rows(4, 28), rows(60)):
+        part.coalesce(1).write.mode("append").parquet(source)
+        go()
+    found = spark.read.parquet(str(tmp_path / "out"))
+    got = {(r.s, r["count"]) for r in found.select(
+        F.unix_seconds("window.start").alias("s"), "count").collect()}
+    # 3 comes while its window is open, 4 after the watermark (22) has passed it
+    assert got == {(0, 3), (10, 1), (20, 2)}
 
 
 def test_mapping_kept_from_a_change_stream(spark, small_dir, tmp_path):
@@ -295,17 +447,45 @@ def test_mapping_kept_from_a_change_stream(spark, small_dir, tmp_path):
     assert got.count() > 0
 
 
-def test_state_with_time_to_live(spark, status_files, tmp_path):
-    stream = J.latest_per_key(stream_of(spark, status_files), ["sn"], ttl_ms=5000)
+def test_state_with_time_to_live(spark, tmp_path):
+    """A key is told again once its state has expired, although its row is older."""
+    source = tmp_path / "in"
+    source.mkdir()
+
+    def put(name, second):
+        text = json.dumps({"sn": "a", "status": "1", "event_id": 1,
+                           "ts": f"2024-01-01T00:00:{second:02d}"})
+        (source / f"{name}.json").write_text(text + "\n")
+
+    def told(n):
+        for _ in range(60):
+            if spark.table("latest_ttl").count() >= n:
+                return True
+            query.awaitTermination(1)
+        return False
+
+    put("first", 30)
+    stream = J.latest_per_key(stream_of(spark, source), ["sn"], ttl_ms=3000)
     query = (
         stream.writeStream.format("memory").queryName("latest_ttl").outputMode("update")
-        .option("checkpointLocation", str(tmp_path / "cp")).start()
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(processingTime="200 milliseconds").start()
     )
     try:
-        for _ in range(60):
-            if query.lastProgress and spark.table("latest_ttl").count() > 10:
-                break
-            query.awaitTermination(1)
+        assert told(1)
+        query.awaitTermination(8)
+        put("older", 10)
+        assert told(2)
     finally:
         query.stop()
-    assert spark.table("latest_ttl").count() > 10
+    times = [r.ts_us for r in spark.table("latest_ttl").collect()]
+    assert times[0] > times[1]
+
+
+def test_old_versions_are_deleted(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    for n in range(5):
+        J.write_version(spark.range(n + 1), folder, n)
+    J.drop_versions(spark, folder, 2)
+    assert sorted(os.listdir(folder)) == ["version=3", "version=4"]
+    assert J.current_version(spark, folder).count() == 5
