@@ -1,7 +1,7 @@
 """Training corpus from raw documents: each stage's rows are the next stage's input.
 
-Documents rated poor go; boilerplate lines go, and with them documents that consist of
-nothing else; one document of each group of near duplicates stays (that with the
+Documents rated poor go; boilerplate lines go (copies of whole documents are left for
+the next stage); one document of each group of near duplicates stays (that with the
 smallest id); documents that hold a passage of the benchmark go; what is left is packed
 into sequences. A stage sees whatever its predecessor kept, and all stages but the last
 return the columns of documents, with n_chars up to date.
@@ -30,14 +30,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents less boilerplate lines; those with nothing else left go."""
+    """Documents less boilerplate lines."""
     cleaned = line_dedup.line_dedup(docs)
-    emptied = (F.col("n_removed") > 0) & (F.trim("text") == "")
-    n_chars = F.char_length("text").cast("long")
-    return (
-        cleaned.where(~F.coalesce(emptied, F.lit(False)))
-        .withColumn("n_chars", F.when(F.col("n_removed") > 0, n_chars).otherwise(F.col("n_chars")))
-        .select(*docs.columns)
+    n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long"))
+    return cleaned.withColumn("n_chars", F.coalesce(n_chars, "n_chars")).select(
+        *docs.columns
     )
 
 
