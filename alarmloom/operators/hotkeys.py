@@ -111,26 +111,22 @@ def _cells(
     # cells hold a quarter of the target where rows are spread evenly
     parts = F.ceil(4 * F.col("n") / target)
     step = F.ceil((F.col("hi") - F.col("lo") + 1) / parts).cast("long")
-    cuts = written(
-        counts.where((F.col("n") > least) & F.col("lo").isNotNull()).select(
-            *_named(keys), F.col("lo").alias("__lo"), step.alias("__step")
-        )
+    cuts = counts.where((F.col("n") > least) & F.col("lo").isNotNull()).select(
+        *_named(keys), F.col("lo").alias("__lo"), step.alias("__step")
     )
-    if cuts.isEmpty():
+    if not cuts.count():
         return None
-    df = _placed(df, cuts, keys, value, which)
+    df = _placed(df, written(cuts), keys, value, which)
     while True:
         held = df.where(F.col("__width") > 1).groupBy(*keys, "__cell", "__width").count()
-        cuts = written(
-            held.where(F.col("count") > target).select(
-                *_named(keys),
-                F.col("__cell").alias("__lo"),
-                F.ceil(F.col("__width") / CUTS).cast("long").alias("__step"),
-            )
+        cuts = held.where(F.col("count") > target).select(
+            *_named(keys),
+            F.col("__cell").alias("__lo"),
+            F.ceil(F.col("__width") / CUTS).cast("long").alias("__step"),
         )
-        if cuts.isEmpty():
+        if not cuts.count():
             return df
-        df = _placed(df, cuts, keys, value, F.col("__cell") == F.col("__lo"))
+        df = _placed(df, written(cuts), keys, value, F.col("__cell") == F.col("__lo"))
 
 
 def _named(keys: list[str]) -> list[Column]:
