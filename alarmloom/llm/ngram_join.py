@@ -10,10 +10,13 @@ that reach the threshold matter, so only part of the product is formed:
 * The product accumulates the overlap of a pair over the leading columns. What the
   trailing columns can add is bounded by the sizes; pairs that cannot reach the needed
   overlap, or whose sizes differ too much, are discarded. The rest are compared whole.
-* A column is first multiplied with one document only, its smallest id. Documents that
-  prove linked to the same one need no further comparison with each other. Columns that
-  still hold documents of several groups are then multiplied out between the groups, a
-  column with very many documents in blocks of BLOCK. So no link between groups is lost,
+* A column is first multiplied with one document only, the most central one: that whose
+  rarest column is the most frequent. In a group of near copies that is the text with
+  the fewest edits, which is closest to all others. Documents that prove linked to the
+  same one need no further comparison with each other. Columns that
+  still hold documents of several groups are then multiplied out between the groups, but
+  for documents too many of whose leading columns no other group shares, a column with
+  very many documents in blocks of BLOCK. So no link between groups is lost,
   and a group of copies costs as many comparisons as it has members.
 
 Which columns count as frequent is estimated, and only orders them: any order gives the
@@ -42,7 +45,7 @@ WORDS = 5
 PERCENT = 80
 HASH_BITS = 57
 FREQUENT = 1 << 20
-LEAST_FREQUENT = 16
+LEAST_FREQUENT = 6
 COUNTED_TOGETHER = 4_000_000
 BLOCK = 500
 BITMAP_BITS = 1 << 25
@@ -114,8 +117,8 @@ def frequent_columns(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarra
     """Hashes (sorted) of frequent n-grams, and the level (log2 count) of each.
 
     Counts are summed over what is repeated within a part of a task, so they are
-    estimates from below.  The least count grows with the number of words, which is at
-    least that of n-grams; hence no more than FREQUENT rows can reach it.
+    estimates from below.  The list starts at the lowest level from which on there are
+    no more than FREQUENT of them.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,20 +140,23 @@ def frequent_columns(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarra
         if held:
             yield repeated()
 
-    spaces = F.regexp_count("text", F.lit(r"\s+"))
-    total = docs.agg(F.coalesce(F.sum(spaces + 1), F.lit(0))).first()[0]
-    least = max(LEAST_FREQUENT, -(-total // FREQUENT))
-    found = (
+    found = cut_lineage(
         docs.select("text")
         .mapInArrow(counted, "hash long, n long")
         .groupBy("hash")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= least)
+        .where(F.col("n") >= LEAST_FREQUENT)
         .select("hash", F.floor(F.log2("n")).cast("int").alias("level"))
-        .toPandas()
-        .sort_values("hash")
     )
-    return found["hash"].to_numpy(np.int64), found["level"].to_numpy(np.int64)
+    levels = {r.level: r["count"] for r in found.groupBy("level").count().collect()}
+    least, room = 64, FREQUENT
+    for level in sorted(levels, reverse=True):
+        room -= levels[level]
+        if room < 0:
+            break
+        least = level
+    listed = found.where(F.col("level") >= least).toPandas().sort_values("hash")
+    return listed["hash"].to_numpy(np.int64), listed["level"].to_numpy(np.int64)
 
 
 def leading_columns(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -194,22 +200,45 @@ def leading_columns(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def shared_columns(leading_sets: DataFrame) -> DataFrame:
-    """col, doc, n, last, first: entries of the columns that several documents hold.
+    """col, doc, n, last, top: entries of the columns that several documents hold.
 
-    first is the smallest id in the column.
+    top is the first column of the column's most central document.
     """
-    known = leading_sets.where("doc IS NOT NULL")
+    known = leading_sets.where("doc IS NOT NULL AND n > 0")
+    head = F.element_at("cols", 1).alias("head")
     shared = (
-        known.select("doc", F.explode("cols").alias("col"))
+        known.select("doc", head, F.explode("cols").alias("col"))
         .groupBy("col")
-        .agg(F.min("doc").alias("first"), F.max("doc").alias("top"))
-        .where("first < top")
-        .drop("top")
+        .agg(
+            F.min("doc").alias("least"),
+            F.max("doc").alias("most"),
+            F.max("head").alias("top"),
+        )
+        .where("least < most")
+        .select("col", "top")
     )
+    # as a table of its own, so that a column with very many entries can be split
+    shared = cut_lineage(shared)
     entries = known.select("doc", "n", "last", F.explode("cols").alias("col"))
     return entries.join(shared, "col")
 
 
+def centers(leading_sets: DataFrame) -> DataFrame:
+    """top, a, n_a, last_a: the document that a first column stands for.
+
+    Of several (copies, mostly) that with the smallest id.
+    """
+    known = leading_sets.where("doc IS NOT NULL AND n > 0")
+    facts = known.select(
+        F.element_at("cols", 1).alias("top"),
+        F.col("doc").alias("a"),
+        F.col("n").alias("n_a"),
+        F.col("last").alias("last_a"),
+    )
+    smallest = facts.groupBy("top").agg(F.min("a").alias("a"))
+    return facts.distinct().join(smallest, ["top", "a"])
+
+
 def promising(summed: DataFrame, percent: int) -> DataFrame:
     """(a, b) of pairs whose accumulated overlap can still reach what is needed.
 
@@ -286,23 +315,20 @@ def linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataF
     )
 
 
-def pairs_with_firsts(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs worth comparing of documents and the first documents of their columns."""
-    facts = entries.select("doc", "n", "last").distinct()
-    firsts = facts.select(
-        F.col("doc").alias("first"), F.col("n").alias("n_a"), F.col("last").alias("last_a")
-    )
-    counted = (
-        entries.where("doc <> first")
-        .groupBy("first", "doc", "n", "last")
-        .agg(F.count("*").alias("overlap"))
+def pairs_with_centers(
+    entries: DataFrame, centers_: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs worth comparing of documents and the central documents of their columns."""
+    counted = entries.groupBy("top", "doc", "n", "last").agg(
+        F.count("*").alias("overlap")
     )
     # a document whose id has several texts meets each of them
-    pairs = counted.join(firsts, "first").where(
-        similar_sizes(F.col("n"), F.col("n_a"), percent)
+    pairs = counted.join(centers_, "top").where(
+        (F.col("doc") != F.col("a"))
+        & similar_sizes(F.col("n"), F.col("n_a"), percent)
     )
     rows = pairs.select(
-        F.col("first").alias("a"),
+        "a",
         F.col("doc").alias("b"),
         "n_a",
         F.col("n").alias("n_b"),
@@ -330,7 +356,13 @@ def pairs_between_groups(
         .where("least < most")
         .select("col", "blocks")
     )
-    open_entries = labelled.join(mixed, "col")
+    open_entries = labelled.join(cut_lineage(mixed), "col")
+    # leading columns that only the document's own group holds match no other group
+    n, count = F.col("n"), F.count("*")
+    reach = open_entries.groupBy("doc", "n", "last").agg(
+        (F.ceil(n * percent / 100 - 1e-9) - 1 + count).alias("reach")
+    )
+    open_entries = cut_lineage(open_entries.join(reach, ["doc", "n", "last"]))
     a = open_entries.select(
         "col",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
@@ -338,6 +370,7 @@ def pairs_between_groups(
         F.col("n").alias("n_a"),
         F.col("last").alias("last_a"),
         F.col("label").alias("label_a"),
+        F.col("reach").alias("reach_a"),
     )
     b = open_entries.select(
         "col",
@@ -346,10 +379,17 @@ def pairs_between_groups(
         F.col("n").alias("n_b"),
         F.col("last").alias("last_b"),
         F.col("label").alias("label_b"),
+        F.col("reach").alias("reach_b"),
+    )
+    # the other document would hold a shared column of the earlier one among its leading
+    reach = F.when(F.col("last_a") <= F.col("last_b"), F.col("reach_a"))
+    in_reach = reach.otherwise(F.col("reach_b")) >= needed(
+        F.col("n_a"), F.col("n_b"), percent
     )
     pairs = a.join(b, ["col", "block"]).where(
         (F.col("a") < F.col("b"))
         & (F.col("label_a") != F.col("label_b"))
+        & in_reach
         & similar_sizes(F.col("n_a"), F.col("n_b"), percent)
     )
     keys = ["a", "b", "n_a", "n_b", "last_a", "last_b"]
@@ -393,13 +433,9 @@ def ngram_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     leading_sets = written(leading_columns(texts, words, percent))
     entries = cut_lineage(shared_columns(leading_sets))
-    pairs = cut_lineage(pairs_with_firsts(entries, percent))
+    pairs = cut_lineage(pairs_with_centers(entries, centers(leading_sets), percent))
     first_links = cut_lineage(linked(pairs, texts, words, percent))
-    groups = first_links.groupBy(F.col("b").alias("doc")).agg(F.min("a").alias("label"))
-    further = groups.select(F.col("doc").alias("label"), F.col("label").alias("beyond"))
-    groups = groups.join(further, "label", "left").select(
-        "doc", F.coalesce("beyond", "label").alias("label")
-    )
+    groups = components(first_links).withColumnRenamed("component", "label")
     pairs = cut_lineage(pairs_between_groups(entries, groups, percent))
     more_links = linked(pairs, texts, words, percent)
     found = components(first_links.union(more_links))
