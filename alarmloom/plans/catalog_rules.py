@@ -154,8 +154,7 @@ def points_of_gateways(spark, sf):
 @query(
     "machines_of_gateways",
     f"""SELECT CAST(o_custkey AS VARCHAR) AS device_sn, o_orderkey AS machine_id
-        FROM orders WHERE o_orderstatus = 'P'
-          AND CAST(o_custkey AS VARCHAR) IN ({BUILDING})""",
+        FROM orders WHERE CAST(o_custkey AS VARCHAR) IN ({BUILDING})""",
 )
 def machines_of_gateways(spark, sf):
     """Machines of a list of gateways."""
@@ -271,7 +270,7 @@ def alarm_controls_resynced(spark, sf):
 @query(
     "machines_rebound",
     f"""WITH fresh AS (SELECT CAST(o_custkey AS VARCHAR) AS sn, o_orderkey AS machine_id
-                       FROM orders WHERE o_orderstatus = 'P'),
+                       FROM orders),
         stale AS (SELECT CAST(o_custkey AS VARCHAR) AS sn, o_orderkey AS machine_id
                   FROM orders WHERE o_orderstatus = 'O'),
         unbound AS (SELECT CAST(c_custkey AS VARCHAR) AS sn FROM customer
