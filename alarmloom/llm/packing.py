@@ -24,6 +24,7 @@ are not read. Pieces of the same length are ranked by a hash of (doc_id, piece).
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from bisect import insort
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from alarmloom.llm.shared import cut_lineage
 
-KEPT_WORDS = 1 << 20
+KEPT_WORDS = 1 << 19
 LEAST_CHUNK = 200
 MOST_CHUNKS = 100_000
 
@@ -46,8 +47,9 @@ PIECES = "piece int, start long, length long, ids_crc32 long"
 class WordIds:
     """The ids of a text, a word of it at a time.
 
-    The vocabulary's white space only parts words, and no token reaches past one, so the
-    ids of a text are those of its words, which recur. That holds for the characters
+    The vocabulary's white space only parts words, and within a word letters, digits and
+    other signs are tokenized apart, so the ids of a text are those of such parts, which
+    recur. That holds for the characters
     that lower-casing and normal form change one by one; other texts, and those with
     the vocabulary's special strings, go to the library whole.
     """
@@ -62,6 +64,15 @@ class WordIds:
         special = "|".join(map(re.escape, specials))
         self.other = re.compile(f"[^{plain}]|(?i:{special})").search
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        chars = [chr(c) for c in range(33, 0x180) if not self.other(chr(c))]
+        letters = "".join(c for c in chars if unicodedata.category(c)[0] == "L")
+        digits = "".join(c for c in chars if unicodedata.category(c)[0] == "N")
+        # the vocabulary's own way to part a word, for these characters
+        endings = "'s|'t|'re|'ve|'m|'ll|'d"
+        self.cut = re.compile(
+            f"{endings}|[{letters}]+|[{digits}]|[^\\s{letters}{digits}]+"
+        ).findall
 
     def encoded(self, ids: list[int]) -> bytes:
         return b"".join([i.to_bytes(4, "little") for i in ids])
@@ -70,16 +81,26 @@ class WordIds:
         """Ids of words not met before; words are kept up to a number, then dropped."""
         if len(self.known) + len(words) > KEPT_WORDS:
             self.known.clear()
-        new = list(words - self.known.keys())
+        new = {word: self.cut(word) for word in words - self.known.keys()}
+        self.learn_parts(set().union(*new.values()))
+        ids = self.parts.__getitem__
+        for word, parts in new.items():
+            self.known[word] = b"".join(map(ids, parts))
+
+    def learn_parts(self, parts: set[str]) -> None:
+        """The same for parts of words, found in few calls of the library."""
+        if len(self.parts) + len(parts) > KEPT_WORDS:
+            self.parts.clear()
+        new = list(parts - self.parts.keys())
         for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
+            some = new[at : at + 4096]
             coded = self.tokenizer.encode(
-                part, is_pretokenized=True, add_special_tokens=False
+                some, is_pretokenized=True, add_special_tokens=False
             )
-            ids: list[list[int]] = [[] for _ in part]
+            ids: list[list[int]] = [[] for _ in some]
             for word, i in zip(coded.word_ids, coded.ids):
                 ids[word].append(i)
-            self.known.update(zip(part, map(self.encoded, ids)))
+            self.parts.update(zip(some, map(self.encoded, ids)))
 
     def ids_of(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian ids of each text."""
