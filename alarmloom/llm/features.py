@@ -99,8 +99,7 @@ def collect_sample(rows: DataFrame, labels: list[str], weighted: bool) -> "Sampl
             if weighted:
                 ids, weights = graded_features(text)
             else:
-                ids = word_presence(text)
-                weights = np.ones(len(ids), dtype=np.float32)
+                ids, weights = word_presence(text), np.zeros(0, np.float32)
             out.append((ids.tobytes(), weights.tobytes()))
         return pd.DataFrame(out, columns=["ids", "weights"])
 
@@ -109,7 +108,7 @@ def collect_sample(rows: DataFrame, labels: list[str], weighted: bool) -> "Sampl
     got.sort(key=lambda row: (row.doc_id, row.ids, [row[c] for c in labels]))
     return Sample(
         [np.frombuffer(row.ids, dtype=np.int32) for row in got],
-        [np.frombuffer(row.weights, dtype=np.float32) for row in got],
+        [np.frombuffer(row.weights, dtype=np.float32) for row in got] if weighted else None,
         {c: np.array([row[c] for row in got]) for c in labels},
     )
 
@@ -117,24 +116,28 @@ def collect_sample(rows: DataFrame, labels: list[str], weighted: bool) -> "Sampl
 class Sample:
     """A sparse matrix of documents by buckets, kept as rows laid end to end."""
 
-    def __init__(self, ids: list, weights: list, labels: dict[str, np.ndarray]) -> None:
+    def __init__(
+        self, ids: list, weights: list | None, labels: dict[str, np.ndarray]
+    ) -> None:
+        """weights: None where every entry is 1."""
         self.n = len(ids)
         self.labels = labels
-        self.row = np.repeat(np.arange(self.n), [len(x) for x in ids])
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(x) for x in ids])
         self.ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        self.weights = np.concatenate(weights) if weights else np.zeros(0, np.float32)
+        self.weights = np.concatenate(weights) if weights else None
 
     def keep(self, buckets: np.ndarray) -> None:
         """Only these buckets (sorted) stay; ids become places in them."""
         self.buckets = buckets
-        at = np.searchsorted(buckets, self.ids)
-        at[at == len(buckets)] = 0
-        held = buckets[at] == self.ids if len(buckets) else np.zeros(len(at), bool)
-        self.row, self.ids, self.weights = (
-            self.row[held],
-            at[held],
-            self.weights[held],
-        )
+        places = np.full(BUCKETS, -1, np.int32)
+        places[buckets] = np.arange(len(buckets))
+        at = places[self.ids]
+        held = at >= 0
+        self.row, self.ids = self.row[held], at[held]
+        if self.weights is None:
+            self.weights = np.ones(len(self.ids), np.float32)
+        else:
+            self.weights = self.weights[held]
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.ids] * self.weights, minlength=self.n)

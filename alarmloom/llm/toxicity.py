@@ -38,8 +38,8 @@ from alarmloom.llm.features import (
 )
 from alarmloom.llm.shared import held_out, sample_number
 
-SAMPLE_TOXIC = 4_000
-SAMPLE_UNLABELLED = 16_000
+SAMPLE_TOXIC = 2_500
+SAMPLE_UNLABELLED = 8_000
 SCREEN = 4.5
 STEPS = 400
 RATE = 0.05
@@ -66,8 +66,9 @@ def fit_non_negative(sample: Sample, prior: float) -> Model:
     n_toxic, n_other = int(toxic.sum()), int((~toxic).sum())
     if not n_toxic or not n_other or not prior:
         return Model({}, -40.0)
-    in_toxic = np.bincount(sample.ids, toxic[sample.row], minlength=BUCKETS)
-    in_other = np.bincount(sample.ids, ~toxic[sample.row], minlength=BUCKETS)
+    of_toxic = toxic[sample.row]
+    in_toxic = np.bincount(sample.ids[of_toxic], minlength=BUCKETS)
+    in_other = np.bincount(sample.ids[~of_toxic], minlength=BUCKETS)
     share = (in_toxic + in_other) / sample.n
     error = (share * (1 - share) * (1 / n_toxic + 1 / n_other)) ** 0.5
     lift = in_toxic / n_toxic - in_other / n_other
