@@ -281,13 +281,13 @@ class Feed:
         )
         assert alarms.trigger(availableNow=True).start().awaitTermination(180)
 
-    def tick(self, points):
+    def tick(self, points, us=TICK_US):
         """A point that no rule watches moves time on."""
         self.push(points.limit(1).withColumns({
             "unique_data_point_id": F.lit(-5).cast("long"),
             "datapoint_id": F.lit(-5).cast("long"),
             "event_id": F.lit(-1).cast("long"),
-            "ts": F.timestamp_micros(F.lit(TICK_US)),
+            "ts": F.timestamp_micros(F.lit(us)),
         }))
 
 
@@ -312,82 +312,6 @@ def check_outputs(spark, folder, want):
     assert sorted_rows(commands, *columns) == sorted_rows(want["commands"], *columns)
 
 
-def test_rules_that_change_under_a_running_job(spark, tmp_path):
-    """A rule is added, changed and deleted between batches of points."""
-    from alarmloom.operators import rules as R
-    from alarmloom.plans import monitor as M
-
-    def rules_with(limit):
-        trigger = json.dumps({"triggerCondition": "3", "triggerConditionAval": str(limit),
-                              "triggerConditionValType": 0, "delayTime": 10,
-                              "alarmMsg": "high"})
-        return spark.createDataFrame(
-            [(r, None, trigger, "0", 0, 0) for r in (1, 2)],
-            "id long, rely_rule_id string, `trigger` string, trigger_type string,"
-            "del_flag int, status int")
-
-    elements = spark.createDataFrame(
-        [(r, "0", 10, 7, 0, 0, 1) for r in (1, 2)],
-        "rule_id long, element_type string, machine_id long, unique_data_point_id long,"
-        "data_point_id long, del_flag int, position long")
-    actions = spark.createDataFrame(
-        [(r, '{"pushInterval":20,"pushFrequency":1,"pushWay":"1"}', "3", "0")
-         for r in (1, 2)],
-        "rule_id long, action string, action_type string, execute_mode string")
-    none = spark.createDataFrame([], "unique_data_point_id long, rule_id long")
-    points_of = spark.createDataFrame([], "id long, device_no string,"
-                                      "device_template_point_id long")
-    machines = spark.createDataFrame([], "device_sn string, machine_id long")
-
-    def dims_with(limit):
-        return M.Dimensions(rules_with(limit), elements, actions, none,
-                            none.withColumnRenamed("unique_data_point_id", "datapoint_id"),
-                            points_of, machines)
-
-    def mapping(*rule_ids):
-        return spark.createDataFrame([("0", 7, r) for r in rule_ids],
-                                     "type string, id long, rule_id long")
-
-    def points(*rows):
-        return spark.createDataFrame(
-            [("gw", 3, 7, v, t, t) for t, v in rows],
-            "sn string, datapoint_id long, unique_data_point_id long, val string,"
-            "event_id long, t long",
-        ).withColumn("ts", F.timestamp_seconds("t")).drop("t")
-
-    stages = [  # mapping, limit of the trigger, points
-        ((1,), 50, points((100, "60"), (105, "70"), (112, "80"))),
-        ((1, 2), 50, points((120, "60"), (131, "60"))),  # rule 2 is added
-        ((1, 2), 90, points((140, "60"), (150, "95"), (161, "96"))),  # both change
-        ((2,), 90, points((170, "10"), (190, "99"), (215, "99"))),  # rule 1 is deleted
-    ]
-    folder, versions = str(tmp_path / "job"), str(tmp_path / "mapping")
-    feed = Feed(spark, points((0, "")).schema, tmp_path, None, versions, folder)
-    tagged = None
-    for number, (ids, limit, rows) in enumerate(stages):
-        J.write_version(mapping(*ids), versions, number - 1)
-        feed.dims = dims_with(limit)
-        feed.push(rows)
-        details = R.rule_details(feed.dims.rules, elements, actions)
-        part = J.hold_rows(
-            J.tag_stream(rows, *J.watch_lists(mapping(*ids), details)), "ts", "event_id"
-        )
-        tagged = part if tagged is None else tagged.unionByName(part)
-    feed.tick(points((0, "")))
-    keys = ["unique_data_point_id", "rule_id"]
-    want = A.delayed_alarms(tagged, keys, "holds", F.col("delay"),
-                            horizon=F.lit(WATERMARK_END))
-    for kind, recover in (("alarm", False), ("recover", True)):
-        found = spark.read.parquet(f"{folder}/{kind}")
-        expected = want.filter(F.col("recover") == recover)
-        told = [*keys, "event_id", "emit_us"]
-        assert sorted_rows(found, *told) == sorted_rows(expected, *told)
-        assert found.count()
-    pushes = spark.read.parquet(f"{folder}/push")
-    assert {(r.rule_id, r.push_way, r.msg) for r in pushes.collect()} == {
-        (1, "1", "high"), (2, "1", "high")}
-
-
 def test_late_rows_are_dropped_by_the_watermark(spark, tmp_path):
     """Rows of a closed window do not count; rows within the delay do."""
     def rows(*times):
