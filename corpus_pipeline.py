@@ -1,7 +1,7 @@
 """Training corpus from raw documents: each stage's rows are the next stage's input.
 
-Documents rated poor go; boilerplate lines go (copies of whole documents are left for
-the next stage); one document of each group of near duplicates stays (that with the
+Documents rated poor go; boilerplate lines go (equal texts stay equal, for the next
+stage to drop); one document of each group of near duplicates stays (that with the
 smallest id); documents that hold a passage of the benchmark go; what is left is packed
 into sequences. A stage sees whatever its predecessor kept, and all stages but the last
 return the columns of documents, with n_chars up to date.

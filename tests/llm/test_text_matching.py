@@ -243,6 +243,44 @@ def test_copies_stay_whole(spark):
     assert got == {i: page for i in range(6)} | {9: "own\nlines"}
 
 
+def test_mostly_boilerplate_is_removed(spark, edge_rows):
+    page = [f"line {k}" for k in range(6)]
+    made = [(300 + i, "\n".join(page), None, f"s{i}", 0) for i in range(6)]
+    made += [(320, "\n".join([*page[:5], "own"]), None, "s20", 0), (321, "line 0", None, "s21", 0)]
+    made += [(400 + i, "\n".join([*page[:5], f"own {i}"]), None, "s0", 0) for i in (1, 2)]
+    known = {}
+    for row in [r for r in edge_rows if r[0] is not None and r[1] is not None] + made:
+        known.setdefault(row[0], row)
+    known = [known[k] for k in sorted(known)]
+    spread, first = defaultdict(set), {}
+    for doc_id, text, _, source, _ in known:
+        for i, line in enumerate(text.split("\n")):
+            if line.strip(" "):
+                spread[line.strip(" ")].add(source)
+                first.setdefault(line.strip(" "), (doc_id, i))
+    boiler = {line for line, sites in spread.items() if len(sites) >= 5}
+    want = []
+    for doc_id, text, *_ in known:
+        lines = text.split("\n")
+        kept = [x for i, x in enumerate(lines) if x.strip(" ") not in boiler or first[x.strip(" ")] == (doc_id, i)]
+        want.append(repr((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept))))
+    docs = spark.createDataFrame(known, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(docs).collect()}
+    assert rows(line_dedup.line_report(docs)) == sorted(want)
+    # for the near-duplicate stage equal texts stay equal, and nothing else stays whole
+    assert {got[300 + i] for i in range(6)} == {"\n".join(page)}
+    assert got[320] == "own" and got[321] == "" and got[401] == "own 1" and got[402] == "own 2"
+
+
+def test_copies_of_a_text_without_id_or_of_a_trimmed_one(spark):
+    page = "\n".join(f"line {k}" for k in range(10))
+    noted = page + "\nnote"
+    rows_ = [(None, page, "s")] + [(i, page, f"s{i}") for i in range(6)] + [(8, noted, "s8"), (9, noted, "s9")]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(docs).collect()}
+    assert got == {None: page, 8: "note", 9: "note"} | {i: "" for i in range(6)}
+
+
 def test_line_dedup_of_nothing_and_clashing_names(no_docs, clashing):
     assert line_dedup.line_dedup(no_docs).count() == 0
     again = line_dedup.line_dedup(clashing)
