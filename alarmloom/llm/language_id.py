@@ -9,10 +9,13 @@ statistics are frozen after training, hence a byte's code length depends on its
 predecessors alone and is kept in a table by node, byte and language. A text's code
 length in a language is the sum over all its bytes; the shortest wins.
 
-All languages share the shape of the tree: contexts of two and three bytes that training
-met at least LEAST_SEEN times, the most frequent first, up to TABLE_ENTRIES table
-entries in total. Training texts are a sample by a hash of doc_id of about
-SAMPLE_DOCUMENTS per language, whatever the size of the corpus.
+LANGS_AT_ONCE languages, those with about equally many documents, share the shape of a
+tree: contexts of two and three bytes that training met at least LEAST_SEEN times, the
+most frequent first, up to TABLE_ENTRIES table entries. More languages make more such
+tables, never smaller ones. Each is trained and broadcast on its own, and a worker scores
+a batch by one after the other and holds one of several at a time. All tables know the
+same bytes, so that code lengths compare. Training texts are a sample by a hash of doc_id
+of about SAMPLE_DOCUMENTS per language, whatever the size of the corpus.
 
 Defined results: a null or empty text, or one without a letter, is "und" with score 0;
 so is every text when there is nothing to learn from. Ties go to the language first in
@@ -27,13 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alarmloom.llm.shared import held_out, sample_number
+from alarmloom.llm.shared import held_out, sample_number, written
 
 SAMPLE_DOCUMENTS = 1_000
 LEAST_SEEN = 20
+LANGS_AT_ONCE = 4
 TABLE_ENTRIES = 6_000_000
 PIECE_BYTES = 1 << 20
 START = b"\n\n\n"
@@ -61,16 +66,20 @@ def gram_counts(rows: DataFrame) -> DataFrame:
 
 
 class Trees:
-    """Code lengths of all languages over one tree shape."""
+    """Code lengths of some languages over one tree shape.
 
-    def __init__(self, langs: list[str], counts: pd.DataFrame) -> None:
+    seen: the bytes that training met in any language; those in counts unless given.
+    """
+
+    def __init__(
+        self, langs: list[str], counts: pd.DataFrame, seen: list[int] | None = None
+    ) -> None:
         self.langs = langs
-        if not langs:
-            return
         grams = counts.gram.to_numpy(np.int64)
         n = counts.n.to_numpy(np.float64)
         lang = np.searchsorted(np.array(langs), counts.lang.to_numpy(str))
-        seen = np.unique([grams >> s & 255 for s in (0, 8, 16, 24)])
+        if seen is None:
+            seen = np.unique([grams >> s & 255 for s in (0, 8, 16, 24)])
         self.classes = np.zeros(256, np.int64)  # 0: bytes that training never met
         self.classes[seen] = np.arange(1, len(seen) + 1)
         size, n_langs = len(seen) + 1, len(langs)
@@ -123,13 +132,34 @@ class Trees:
             total += rows.sum(axis=0, dtype=np.float64)
         return total
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.langs or not text or not a_letter(text):
-            return UNKNOWN, 0.0
-        bits = self.code_lengths(text)
+
+def loaded(part: Broadcast, keep: bool) -> Trees:
+    trees = part.value
+    # where Spark encrypts files, a worker is given the value itself, only once
+    if not keep and getattr(part, "_path", None):
+        del part._value
+    return trees
+
+
+def predicted(parts: list[Broadcast], texts: list[str | None]) -> list[tuple[str, float]]:
+    """Language and score of each text."""
+    told = [i for i, text in enumerate(texts) if parts and text and a_letter(text)]
+    out = [(UNKNOWN, 0.0)] * len(texts)
+    if not told:
+        return out
+    langs: list[str] = []
+    columns = []
+    for part in parts:
+        trees = loaded(part, keep=len(parts) == 1)
+        langs += trees.langs
+        columns.append(np.array([trees.code_lengths(texts[i]) for i in told]))
+        del trees
+    order = sorted(range(len(langs)), key=langs.__getitem__)
+    for i, bits in zip(told, np.hstack(columns)[:, order]):
         best = int(bits.argmin())
         odds = np.exp2(np.maximum(bits[best] - bits, -1000.0))
-        return self.langs[best], float(1.0 / odds.sum())
+        out[i] = langs[order[best]], float(1.0 / odds.sum())
+    return out
 
 
 def blended(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
@@ -164,33 +194,44 @@ def place(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(sorted_values[at] == x, at, -1)
 
 
-def train(docs: DataFrame) -> Trees:
+def train(docs: DataFrame) -> list[Broadcast]:
+    """The broadcast trees of all languages, LANGS_AT_ONCE in each."""
+    spark = docs.sparkSession
     known = docs.where(
         ~held_out(5, 0) & F.col("lang").isNotNull() & (F.octet_length("text") > 0)
     ).select("doc_id", "lang", "text")
     sizes = {row.lang: row["count"] for row in known.groupBy("lang").count().collect()}
     if not sizes:
-        return Trees([], None)
-    langs = sorted(sizes)
-    share = F.lit(1.0)
-    for lang in langs:
-        part = min(1.0, SAMPLE_DOCUMENTS / sizes[lang])
-        share = F.when(F.col("lang") == lang, part).otherwise(share)
-    chosen = known.where(sample_number("lang") < share).select("lang", "text")
-    counts = gram_counts(chosen).toPandas().sort_values(["lang", "gram"])
-    return Trees(langs, counts)
+        return []
+    shares = spark.createDataFrame(
+        [(lang, min(1.0, SAMPLE_DOCUMENTS / n)) for lang, n in sizes.items()],
+        "lang string, share double",
+    )
+    sampled = known.join(F.broadcast(shares), "lang")
+    chosen = sampled.where(sample_number("lang") < F.col("share"))
+    counts = written(gram_counts(chosen.select("lang", "text")))
+    bytes_of = [F.shiftright("gram", s).bitwiseAND(255) for s in (0, 8, 16, 24)]
+    met = counts.select(F.explode(F.array(*bytes_of)).alias("byte")).distinct()
+    seen = sorted(row.byte for row in met.collect())
+    by_size = sorted(sizes, key=lambda lang: (-sizes[lang], lang))
+    parts = []
+    for at in range(0, len(by_size), LANGS_AT_ONCE):
+        langs = sorted(by_size[at : at + LANGS_AT_ONCE])
+        own = counts.where(F.col("lang").isin(langs)).toPandas()
+        trees = Trees(langs, own.sort_values(["lang", "gram"]), seen)
+        parts.append(spark.sparkContext.broadcast(trees))
+    return parts
 
 
 def language_id(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document."""
-    trees = docs.sparkSession.sparkContext.broadcast(train(docs))
+    parts = train(docs)
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame(
-                [trees.value.predict(text) for text in texts],
-                columns=["lang_pred", "score"],
+                predicted(parts, texts.tolist()), columns=["lang_pred", "score"]
             )
 
     return docs.select(

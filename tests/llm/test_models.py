@@ -222,6 +222,31 @@ def test_long_texts_are_scored_in_pieces(monkeypatch):
     assert np.allclose(trees.code_lengths("abra cadabra zab " * 50), whole)
 
 
+def test_many_languages_keep_contexts_of_three_bytes(spark, monkeypatch):
+    # every language has its own order of the same letters and the same pairs of ends
+    monkeypatch.setattr(language_id, "TABLE_ENTRIES", 20_000)
+    rng = random.Random(5)
+    words = {f"l{k:02}": ["".join(rng.sample("abcdef", 6)) for _ in range(3)] for k in range(30)}
+    made = [(lang, " ".join(rng.choices(own, k=30))) for lang, own in words.items() for _ in range(40)]
+    docs = spark.createDataFrame([(i, text, lang) for i, (lang, text) in enumerate(made)], "doc_id long, text string, lang string")
+    parts = language_id.train(docs)
+    assert sorted(lang for part in parts for lang in part.value.langs) == sorted(words)
+    for part in parts:
+        trees = part.value
+        assert len(trees.langs) <= language_id.LANGS_AT_ONCE
+        assert trees.by_three.max() > trees.by_two.max() >= trees.size
+    got = language_id.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    assert (got.lang == got.lang_pred).mean() > 0.99
+
+
+def test_languages_in_parts_are_scored_as_together(docs, monkeypatch):
+    # with room for every context, the parts differ in contexts met in other parts only
+    whole = language_id.language_id(docs).toPandas().set_index("doc_id").sort_index()
+    monkeypatch.setattr(language_id, "LANGS_AT_ONCE", 1)
+    parted = language_id.language_id(docs).toPandas().set_index("doc_id").sort_index()
+    assert (whole.lang_pred == parted.lang_pred).mean() > 0.99
+
+
 def test_language_edges(edge_docs, edge_rows, no_docs, clashing, spark):
     got = language_id.language_id(edge_docs).collect()
     assert len(got) == len(edge_rows)
