@@ -9,8 +9,9 @@ compared word by word.
 
 Words are runs of a-z, 0-9 and every character beyond ASCII, after lower-casing A-Z.
 
-Patterns are gathered in blocks of bounded size. One block is broadcast at a time; a
-benchmark with more windows is searched block after block, with a checkpoint between,
+Windows are cut and made distinct on the executors, written to the shared folder and
+dealt into blocks of bounded size by a hash. One block is fetched and broadcast at a time;
+a benchmark with more windows is searched block after block, with a checkpoint between,
 so neither a worker nor the driver ever holds all of a large benchmark.
 
 Defined results: a null, empty or wordless text has no words and no hits; an item
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alarmloom.llm.shared import cut_lineage
+from alarmloom.llm.shared import cut_lineage, written
 
 LETTERS = bytes(
     byte + 32
@@ -39,6 +40,7 @@ LETTERS = bytes(
 )
 PIECE_BYTES = 4 << 20
 BLOCK_WINDOWS = 100_000
+CUT_AT_ONCE = 10_000
 
 FOUND = "n_words long, spans array<long>, items array<string>"
 
@@ -133,21 +135,34 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def windows_of(benchmark: DataFrame, window: int) -> DataFrame:
+    """words (a window, joined by spaces) and id of its item, each pair once."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for item, text in zip(batch.id, batch.text):
+                words = words_of(text)
+                starts = range(max(1, len(words) - window + 1) if words else 0)
+                for at in range(0, len(starts), CUT_AT_ONCE):
+                    some = starts[at : at + CUT_AT_ONCE]
+                    joined = [b" ".join(words[s : s + window]) for s in some]
+                    yield pd.DataFrame({"words": joined, "id": item})
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("id"), "text")
+    return items.dropna().mapInPandas(cut, "words binary, id string").distinct()
+
+
 def window_blocks(
     benchmark: DataFrame, window: int, block_windows: int
 ) -> Iterator[list[tuple[list[bytes], str]]]:
-    """The windows of all items, at most about block_windows at a time."""
-    block: list[tuple[list[bytes], str]] = []
-    items = benchmark.select(F.col("item_id").cast("string").alias("id"), "text")
-    for row in items.dropna().distinct().toLocalIterator():
-        words = words_of(row.text)
-        for start in range(max(1, len(words) - window + 1) if words else 0):
-            block.append((words[start : start + window], row.id))
-            if len(block) >= block_windows:
-                yield block
-                block = []
-    if block:
-        yield block
+    """The windows of all items, about block_windows at a time; one empty block if none."""
+    windows = written(windows_of(benchmark, window))
+    n = max(1, -(-windows.count() // block_windows))
+    dealt = F.pmod(F.xxhash64("words", "id"), F.lit(n))
+    for k in range(n):
+        rows = windows.where(dealt == k).collect()
+        if rows or n == 1:
+            yield [(bytes(row.words).split(b" "), row.id) for row in rows]
 
 
 def searched(spark: SparkSession, docs: DataFrame, windows: list) -> DataFrame:
@@ -207,16 +222,15 @@ def decontaminate(
         F.array().cast("array<long>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    blocks = list_ahead(window_blocks(benchmark, window, block_windows))
-    for block, last in blocks:
+    for k, block in enumerate(window_blocks(benchmark, window, block_windows)):
+        if k:
+            docs = cut_lineage(docs)
         docs = searched(spark, docs, block).select(
             *[c for c in docs.columns if c not in ("n_words", "spans", "items")],
             "__found.n_words",
             F.concat("spans", "__found.spans").alias("spans"),
             F.array_union("items", "__found.items").alias("items"),
         )
-        if not last:
-            docs = cut_lineage(docs)
     hit = docs.withColumn("n_hit", union_length("spans"))
     return hit.select(
         *[c for c in docs.columns if c not in ("n_words", "spans", "items")],
@@ -228,15 +242,6 @@ def decontaminate(
     )
 
 
-def list_ahead(blocks: Iterator[list]) -> Iterator[tuple[list, bool]]:
-    """(block, whether it is the last); one empty block if there is none."""
-    before = next(blocks, [])
-    for block in blocks:
-        yield before, False
-        before = block
-    yield before, True
-
-
 def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated."""
     return decontaminate(docs.select("doc_id", "text"), benchmark).select(

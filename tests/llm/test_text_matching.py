@@ -70,6 +70,24 @@ def test_decontamination_across_pieces(monkeypatch):
     assert [(s >> 32, s & 0xFFFFFFFF) for s in spans] == [(1, 4), (5, 6), (7, 10), (12, 13)]
 
 
+def test_benchmark_is_cut_on_the_executors(spark, items, monkeypatch):
+    monkeypatch.setattr(decontamination, "CUT_AT_ONCE", 3)
+    want = set()
+    for item, text in items:
+        w = [x.encode() for x in words_of(text)] if item is not None else []
+        want |= {(tuple(w[s : s + 10]), str(item)) for s in range(max(1, len(w) - 9) if w else 0)}
+    benchmark = spark.createDataFrame([*items, *items], "item_id long, text string").repartition(3)
+
+    def on_the_driver(self, *_):
+        raise AssertionError("items must not pass through the driver")
+
+    monkeypatch.setattr(type(benchmark), "toLocalIterator", on_the_driver)
+    blocks = list(decontamination.window_blocks(benchmark, 10, 20))
+    got = [(tuple(words), item) for block in blocks for words, item in block]
+    assert len(blocks) > 1 and max(map(len, blocks)) < 60
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_decontamination_without_items_or_documents(spark, edge_docs, no_docs, clashing, items):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.decontaminate(edge_docs, none).where("contaminated").count() == 0
