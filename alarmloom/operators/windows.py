@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+WINDOWS_AT_ONCE = 10_000
 
 
 def tumbling(df: DataFrame, ts: str, size: str) -> DataFrame:
@@ -44,24 +45,39 @@ def drop_late(
 
     A row is late if some row before it in arrival order has an event time at or after
     the end of the row's window plus the delay.  The first such arrival is aggregated
-    per window, before any shuffle, and carried back over the windows (as many rows as
-    there are windows); rows meet it in a join by their window.  Rows themselves are
-    never put into one order.
+    per window, before any shuffle, and carried back over the windows: over buckets of
+    WINDOWS_AT_ONCE windows' time first, then within each bucket, from the arrival that
+    the later buckets give; rows meet it in a join by their window.  Neither rows nor
+    windows are ever put into one order, only buckets are.
     """
     end, start = F.unix_micros("end"), F.unix_micros("start")
     size, at = end - start, F.struct(F.col(arrival), F.col(tie))
     # the last window end that a row's event time closes
     ahead = F.unix_micros(F.col(ts)) - delay_ms * 1000 - start
     closes = F.floor(ahead / size) * size + start
-    closers = windowed.groupBy(closes.alias("__end")).agg(F.min(at).alias("__at"))
+    bucket = F.floor(F.col("__end") / (F.col("__size") * WINDOWS_AT_ONCE))
+    closers = windowed.groupBy(closes.alias("__end"), size.alias("__size")).agg(
+        F.min(at).alias("__at")
+    )
     nothing = F.lit(None).cast(closers.schema["__at"].dataType)
-    ends = windowed.select(end.alias("__end"), nothing.alias("__at")).distinct()
-    later = Window.orderBy(F.desc("__end"))
-    first = (
+    ends = windowed.select(
+        end.alias("__end"), size.alias("__size"), nothing.alias("__at")
+    ).distinct()
+    windows = (
         closers.unionByName(ends)
-        .groupBy("__end")
+        .groupBy(bucket.alias("__bucket"), "__end")
+        .agg(F.min("__at").alias("__at"))
+    )
+    later = Window.orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    beyond = (
+        windows.groupBy("__bucket")
         .agg(F.min("__at").alias("__at"))
-        .select("__end", F.min("__at").over(later).alias("__closed"))
+        .select("__bucket", F.min("__at").over(later).alias("__beyond"))
+    )
+    within = Window.partitionBy("__bucket").orderBy(F.desc("__end"))
+    own = windows.select("__bucket", "__end", F.min("__at").over(within).alias("__own"))
+    first = own.join(beyond, "__bucket").select(
+        "__end", F.least("__own", "__beyond").alias("__closed")
     )
     met = windowed.withColumn("__end", end).join(first, "__end", "left")
     in_time = F.col("__closed").isNull() | (at <= F.col("__closed"))

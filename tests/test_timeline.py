@@ -180,3 +180,28 @@ def test_one_instant_with_text_ties(spark):
                    .collect())
     # ties that begin alike cannot be told apart by their first bytes: they stay together
     assert split and all(x.b < y.a for x, y in zip(parts, parts[1:]))
+
+
+def test_late_rows_by_buckets_of_windows(spark, monkeypatch):
+    import random
+    from datetime import datetime, timedelta, timezone
+
+    from pyspark.sql import functions as F
+
+    from alarmloom.operators import windows
+
+    monkeypatch.setattr(windows, "WINDOWS_AT_ONCE", 3)
+    rng = random.Random(3)
+    # minutes around 1970, about one row a window of ten minutes, some far behind
+    made = [(i, 10 * i - 1500 - rng.choice([0, 0, 5, 25, 60, 400]), i // 2) for i in range(300)]
+    zero = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    rows = [(i, zero + timedelta(minutes=t), zero + timedelta(minutes=a)) for i, t, a in made]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp, arrival timestamp")
+    got = windows.drop_late(windows.tumbling(df, "ts", "10 minutes"), "ts", "arrival", "event_id", 1_800_000)
+    want, highest = set(), None
+    for i, t, _ in made:  # made is in order of arrival
+        if highest is None or highest < t // 10 * 10 + 10 + 30:
+            want.add(i)
+        highest = t if highest is None else max(highest, t)
+    assert 0 < len(want) < 300
+    assert {r.event_id for r in got.select("event_id").collect()} == want and got.count() == len(want)
