@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from alarmloom.llm import (
+    conversation_trie,
     decontamination,
     fingerprints,
     language_id,
@@ -13,6 +13,8 @@ from alarmloom.llm import (
     ngram_join,
     packing,
     quality,
+    resampling,
+    rule_forest,
     secret_scan,
     token_counts,
     toxicity,
@@ -23,8 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file; its package is needed by two queries only."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = public_tokenizers.path("piece_bpe_32k.model")
+    model = vocabulary("piece_bpe_32k.model")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), model)
 
 
@@ -39,8 +48,8 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    return packing.best_fit_packing(table(spark, sf_dir, "documents"), vocabulary)
+    docs = table(spark, sf_dir, "documents")
+    return packing.best_fit_packing(docs, vocabulary("word_bpe_49k.json"))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +80,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resampling.resampling_report(docs, items)
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return rule_forest.rule_report(docs, labels)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -82,10 +105,15 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE = {
     "op3_ngram_join": ngram_join.join_sql(4, 85),
     "op6_decontamination": decontamination.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op11_importance_resampling": resampling.ORACLE,
+    "op13_conversation_trie": conversation_trie.ORACLE,
 }

@@ -20,7 +20,7 @@ def test_query_equals_oracle(spark, name):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages(spark, tmp_path):
