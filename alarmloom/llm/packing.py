@@ -37,13 +37,36 @@ from pyspark.sql import functions as F
 
 from alarmloom.llm.shared import cut_lineage
 
-KEPT_WORDS = 1 << 19
+KEPT_WORDS = 1 << 16
+KEPT_LENGTH = 64
 LEAST_CHUNK = 200
 MOST_CHUNKS = 100_000
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
+class Recent(dict):
+    """What was used of late: at most KEPT_WORDS of this turn and as many of the last.
+
+    Keys longer than KEPT_LENGTH are held until the next call only.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.last: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """The keys that are not known; those that are can be looked up from now on."""
+        if len(self) > KEPT_WORDS:
+            self.last = {k: v for k, v in self.items() if len(k) <= KEPT_LENGTH}
+            self.clear()
+        new = keys - self.keys()
+        again = new & self.last.keys()
+        for key in again:
+            self[key] = self.last[key]
+        return new - again
+
+
 class WordIds:
     """The ids of a text, a word of it at a time.
 
@@ -63,8 +86,7 @@ class WordIds:
         # lower-casing may make a special string out of another
         special = "|".join(map(re.escape, specials))
         self.other = re.compile(f"[^{plain}]|(?i:{special})").search
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known, self.parts = Recent(), Recent()
         chars = [chr(c) for c in range(33, 0x180) if not self.other(chr(c))]
         letters = "".join(c for c in chars if unicodedata.category(c)[0] == "L")
         digits = "".join(c for c in chars if unicodedata.category(c)[0] == "N")
@@ -78,10 +100,8 @@ class WordIds:
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
     def learn(self, words: set[str]) -> None:
-        """Ids of words not met before; words are kept up to a number, then dropped."""
-        if len(self.known) + len(words) > KEPT_WORDS:
-            self.known.clear()
-        new = {word: self.cut(word) for word in words - self.known.keys()}
+        """Ids of words not met of late."""
+        new = {word: self.cut(word) for word in self.known.missing(words)}
         self.learn_parts(set().union(*new.values()))
         ids = self.parts.__getitem__
         for word, parts in new.items():
@@ -89,9 +109,7 @@ class WordIds:
 
     def learn_parts(self, parts: set[str]) -> None:
         """The same for parts of words, found in few calls of the library."""
-        if len(self.parts) + len(parts) > KEPT_WORDS:
-            self.parts.clear()
-        new = list(parts - self.parts.keys())
+        new = list(self.parts.missing(parts))
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             coded = self.tokenizer.encode(

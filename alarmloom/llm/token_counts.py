@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-KEPT_SEGMENTS = 1 << 20
+KEPT_SEGMENTS = 1 << 17
+KEPT_LENGTH = 64
 
 
 class SegmentCounts(dict):
@@ -35,9 +36,10 @@ class SegmentCounts(dict):
 
     def __missing__(self, segment: str) -> int:
         count = merged_count(segment, self.ranks)
-        if len(self) >= KEPT_SEGMENTS:
-            self.clear()
-        self[segment] = count
+        if len(segment) <= KEPT_LENGTH:
+            if len(self) >= KEPT_SEGMENTS:
+                self.clear()
+            self[segment] = count
         return count
 
 

@@ -12,9 +12,10 @@ from tools.check_oracle import compare, connect
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
 @pytest.mark.parametrize("name", sorted(ORACLE))
-def test_query_equals_oracle(spark, name):
-    ok, note, _ = compare(spark, connect(SF), QUERIES[name], ORACLE[name], SF)
+def test_query_equals_oracle(spark, name, sf):
+    ok, note, _ = compare(spark, connect(sf), QUERIES[name], ORACLE[name], sf)
     assert ok, note
 
 

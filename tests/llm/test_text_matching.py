@@ -224,7 +224,7 @@ def test_line_dedup(edge_docs, edge_rows):
     for doc_id, text, *_ in sorted(edge_rows, key=lambda r: -1 if r[0] is None else r[0]):
         for line in (text or "").split("\n"):
             first.setdefault(line.strip(" "), (doc_id, text))
-    got = line_dedup.line_dedup(edge_docs, 5, copy_percent=100)
+    got = line_dedup.line_dedup(edge_docs, 5, copies_alike=False)
     removed = 0
     assert got.count() == len(edge_rows)
     for r in got.collect():
@@ -248,7 +248,7 @@ def test_line_dedup(edge_docs, edge_rows):
 def test_near_threshold_lines_are_counted_exactly(spark):
     rows_ = [(i, f"line of {n} sites", f"s{i % n}") for n in range(90, 111) for i in range(n * 2)]
     docs = spark.createDataFrame([(k, t, s) for k, (_, t, s) in enumerate(rows_)], "doc_id long, text string, source string")
-    got = line_dedup.line_dedup(docs, 100, 100).where("n_removed > 0").select("doc_id").collect()
+    got = line_dedup.line_dedup(docs, 100, False).where("n_removed > 0").select("doc_id").collect()
     lines = {rows_[r.doc_id][1] for r in got}
     assert lines == {f"line of {n} sites" for n in range(100, 111)}
 
