@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,15 @@ def _keyed(rows: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFra
     return timed.withColumn("ts_us", F.unix_micros(F.col(ts)))
 
 
+BUCKETS_OF_DELAY = 8
+
+
+def _bucket_us(delay: str) -> int:
+    """Width of the buckets in which rows wait: a part of the watermark delay."""
+    ms = int(pd.Timedelta(delay).total_seconds() * 1000) // BUCKETS_OF_DELAY
+    return 1000 * max(1, ms)
+
+
 def _mode(event_time: bool) -> str:
     return "EventTime" if event_time else "ProcessingTime"
 
@@ -61,7 +71,7 @@ def hold_alarms(
     needed = ["ts_us", tie, "holds", "delay", "push_interval", "push_once", "about"]
     processor = P.HoldProcessor(
         _columns(keyed, needed), list(keys), recover_on_every_clear,
-        tie=tie, event_time=event_time,
+        tie=tie, event_time=event_time, bucket_us=_bucket_us(delay),
     )
     out = T.StructType(
         [rows.schema[k] for k in keys]
@@ -114,7 +124,7 @@ def off_count_watch(
     return rows.groupBy("sn").transformWithState(
         P.OffCountProcessor(
             _columns(rows, ["ts_us", tie, "status", "width", "limit"]),
-            tie=tie, event_time=event_time,
+            tie=tie, event_time=event_time, bucket_us=_bucket_us(watermark),
         ),
         out, "append", _mode(event_time),
     )
@@ -133,7 +143,8 @@ def disconnect_watch(
     )
     return rows.groupBy("sn").transformWithState(
         P.DisconnectProcessor(
-            _columns(rows, ["ts_us", tie, "status", "width", "limit"]), tie=tie
+            _columns(rows, ["ts_us", tie, "status", "width", "limit"]),
+            tie=tie, bucket_us=_bucket_us(watermark),
         ),
         out, "append", "EventTime",
     )
@@ -178,6 +189,96 @@ def latest_by_name(
     )
 
 
+# -- changes beside data ---------------------------------------------------------
+
+
+def _beside(
+    data: DataFrame, changes: DataFrame, keys: Sequence[str], ts: str, tie: str,
+    told: dict[str, Column], watermark: str,
+) -> DataFrame:
+    """Both streams as one, with one watermark: the later of the two leads.
+
+    ``told`` are the columns of a change beside its keys, time and tie.
+    """
+    dropped = [f.name for f in changes.schema if f.name in told]
+    log = changes.drop(*[c for c in dropped if c not in (*keys, ts, tie)]).select(
+        *keys, ts, tie, F.lit(P.CHANGE).alias("side"),
+        *[value.alias(name) for name, value in told.items()],
+    )
+    both = data.withColumn("side", F.lit(P.DATA)).unionByName(
+        log, allowMissingColumns=True
+    )
+    return _keyed(both, keys, ts, watermark)
+
+
+def as_of_watch(
+    rows: DataFrame,
+    changes: DataFrame,
+    key: str,
+    value: Column,
+    name: str,
+    *,
+    ts: str = "ts",
+    tie: str = "event_id",
+    watermark: str = "1 second",
+) -> DataFrame:
+    """Streaming rows with the latest streaming change of their key at their time.
+
+    The stream form of changes.as_of_changes.  Rows and changes meet in the state of
+    their key, in the order of their times, so the result does not depend on which
+    micro-batch either arrives in, as long as neither is later than the watermark delay
+    behind the other.
+    """
+    boxed = {"__change": F.struct(value.alias("v"))}
+    both = _beside(rows, changes, [key], ts, tie, boxed, watermark)
+    both = both.withColumnRenamed("__change", "change")
+    change = both.schema["change"].dataType
+    told = _columns(rows, rows.columns)
+    processor = P.AsOfProcessor(
+        _columns(both, [*dict.fromkeys([*rows.columns, tie, "ts_us", "side", "change"])]),
+        told, change, tie=tie, bucket_us=_bucket_us(watermark),
+    )
+    out = T.StructType([*told.fields, T.StructField("version", change)])
+    seen = both.groupBy(key).transformWithState(processor, out, "append", "EventTime")
+    return seen.select(*rows.columns, F.col("version")["v"].alias(name))
+
+
+def mapped_points(
+    points: DataFrame,
+    changes: DataFrame,
+    *,
+    kind: str = UNIQUE_POINT,
+    point: str = "unique_data_point_id",
+    ts: str = "ts",
+    tie: str = "event_id",
+    watermark: str = "1 second",
+) -> DataFrame:
+    """Streaming data points with the rules of a streaming change log at their time.
+
+    ``changes`` are parsed rule changes (type, id, action, rule_ids) with ts and tie;
+    only those of ``kind`` count.  A row per point and rule; points without a rule go.
+    The mapping lives in the state of the point, not in a table that is read once per
+    micro-batch.
+    """
+    rules = F.filter(
+        F.transform("rule_ids", lambda x: F.trim(x).try_cast("bigint")),
+        lambda x: x.isNotNull(),
+    )
+    of_kind = changes.filter(F.col("type") == kind).select(
+        F.col("id").cast(points.schema[point].dataType).alias(point), ts, tie,
+        F.col("action").alias("__action"), rules.alias("__rules"),
+    )
+    told = {"action": F.col("__action"), "change": F.col("__rules")}
+    both = _beside(points, of_kind, [point], ts, tie, told, watermark)
+    columns = _columns(points, points.columns)
+    processor = P.RuleMappingProcessor(
+        _columns(both, [*dict.fromkeys([*points.columns, tie, "ts_us", "side", *told])]),
+        columns, tie=tie, bucket_us=_bucket_us(watermark),
+    )
+    out = T.StructType([*columns.fields, T.StructField("rule_id", T.LongType())])
+    return both.groupBy(point).transformWithState(processor, out, "append", "EventTime")
+
+
 # -- the rule job --------------------------------------------------------------
 
 

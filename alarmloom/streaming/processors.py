@@ -1,11 +1,15 @@
 """Keyed state and timers: the streaming forms of the alarm operators.
 
-Each processor holds one small record per key and at most one timer.  By event time,
-rows wait in state until the watermark has passed them; then they are taken in (ts,
-tie) order, and what is due before a row happens before it, also when several due times
-lie between two rows.  So the result depends neither on the order in which rows arrive
-within the watermark delay nor on how they are spread over micro-batches, and equals
-the batch form.  Times are in microseconds; timers of Spark count milliseconds.
+Each processor holds one small record per key.  By event time, rows wait in state until
+the watermark has passed them; then they are taken in (ts, tie) order, and what is due
+before a row happens before it, also when several due times lie between two rows.  So the
+result depends neither on the order in which rows arrive within the watermark delay nor on
+how they are spread over micro-batches, and equals the batch form.
+
+Rows wait in buckets of time, each under its end and with a timer there.  A timer reads,
+sorts and drops the buckets that have ended and looks at no row of the others, so its work
+does not grow with what else waits.  Times are in microseconds; timers of Spark count
+milliseconds.
 
 With ``event_time`` off, rows are taken as they come and timers go by the wall clock.
 """
@@ -16,23 +20,35 @@ from collections.abc import Iterator
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from alarmloom.functions.scalars import ALARM, RECOVERED, STATUS_OFF, STATUS_ON
 
 SECOND_US = 1_000_000
 
+# Codes in rule change messages.
+ADD, DELETE = "0", "2"
 
-class TimedProcessor(StatefulProcessor):
-    """Base: loads the record, lets due things happen in order, keeps one timer.
 
-    Subclasses name the fields of their record in ``fields`` (a DDL string) and
-    give ``due`` (next due time or None), ``fire`` (what happens at that time) and
-    ``take`` (what a row does).  ``waiting`` is the schema of the columns of a row that
-    they need, the time and the tie among them.
+def plain(value):
+    """Rows within a value as tuples, the form that state takes back."""
+    if isinstance(value, tuple):
+        return tuple(map(plain, value))
+    return [plain(v) for v in value] if isinstance(value, list) else value
+
+
+class TimedProcessor(StatefulProcessor):
+    """Base: loads the record, lets due things happen in order, keeps the timers.
+
+    Subclasses name the fields of their record in ``fields`` (a DDL string or a schema)
+    and give ``due`` (next due time or None), ``fire`` (what happens at that time),
+    ``take`` (what a row does) and, where it does anything, ``take_untimed`` (a row
+    without a time).  ``waiting`` is the schema of the columns of a row that they need,
+    the time and the tie among them.  ``bucket_us`` is the width of a bucket, whole
+    milliseconds; a row is taken when its bucket has ended.
     """
 
-    fields = ""
+    fields: str | StructType = ""
 
     def __init__(
         self,
@@ -40,17 +56,23 @@ class TimedProcessor(StatefulProcessor):
         ts: str = "ts_us",
         tie: str = "event_id",
         event_time: bool = True,
+        bucket_us: int = SECOND_US,
     ):
         self.waiting, self.ts, self.tie, self.event_time = waiting, ts, tie, event_time
+        self.bucket_us = bucket_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.names = [f.strip().split()[0] for f in self.fields.split(",")]
+        if isinstance(self.fields, str):
+            self.names = [f.strip().split()[0] for f in self.fields.split(",")]
+        else:
+            self.names = self.fields.names
         self.record = handle.getValueState("record", self.fields)
-        # the timer that is set, and the time of the first row that waits
-        self.clock = handle.getValueState("clock", "timer bigint, first bigint")
+        # the timer that is set for what is due
+        self.clock = handle.getValueState("clock", "timer bigint")
         if self.event_time:
-            self.rows = handle.getListState("rows", self.waiting)
+            bucket = StructType([StructField("rows", ArrayType(self.waiting))])
+            self.buckets = handle.getMapState("buckets", "until bigint", bucket)
 
     def due(self, s: dict) -> int | None:
         return None
@@ -61,30 +83,44 @@ class TimedProcessor(StatefulProcessor):
     def take(self, key, s: dict, row, now: int) -> Iterator[Row]:
         raise NotImplementedError
 
+    def take_untimed(self, key, row) -> Iterator[Row]:
+        return iter(())
+
     def _load(self) -> dict:
-        value = self.record.get() if self.record.exists() else None
+        value = plain(self.record.get()) if self.record.exists() else None
         return dict(zip(self.names, value or [None] * len(self.names)))
 
-    def _clock(self) -> tuple[int | None, int | None]:
-        return tuple(self.clock.get()) if self.clock.exists() else (None, None)
+    def _store(self, s: dict, expired: int | None = None, passed: int | None = None) -> None:
+        """Keep the record, and a timer for what is due; ``expired`` is gone already.
 
-    def _store(self, s: dict, timer: int | None, first: int | None) -> None:
-        """Keep the record, and a timer for what comes first: a due time or a row."""
+        What is due although time (``passed``, in milliseconds) has gone beyond it waits
+        for the rows of its bucket.
+        """
         if all(v is None for v in s.values()):
             self.record.clear()
         else:
             self.record.update(tuple(s[n] for n in self.names))
-        times = [t for t in (self.due(s), first) if t is not None]
-        wanted = -(-min(times) // 1000) if times else None
-        if wanted != timer:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            if wanted is not None:
-                self.handle.registerTimer(wanted)
+        timer = self.clock.get()[0] if self.clock.exists() else None
+        due = self.due(s)
+        wanted = None if due is None else -(-due // 1000)
+        if wanted is not None and passed is not None and wanted <= passed:
+            wanted = self._end(due)
+        if wanted == timer and timer != expired:
+            return
+        if timer is not None and timer != expired and not self._holds_rows(timer):
+            self.handle.deleteTimer(timer)
         if wanted is None:
             self.clock.clear()
         else:
-            self.clock.update((wanted, first))
+            self.handle.registerTimer(wanted)
+            self.clock.update((wanted,))
+
+    def _end(self, us: int) -> int:
+        """The end of a time's bucket, in milliseconds."""
+        return (us // self.bucket_us + 1) * self.bucket_us // 1000
+
+    def _holds_rows(self, timer: int) -> bool:
+        return self.event_time and self.buckets.containsKey((timer,))
 
     def _fire_until(self, key, s: dict, end: int) -> Iterator[Row]:
         """Everything due before ``end``, in order."""
@@ -95,44 +131,57 @@ class TimedProcessor(StatefulProcessor):
         return sorted(rows, key=lambda r: (r[self.ts], r[self.tie]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        s = self._load()
-        timer, first = self._clock()
         if self.event_time:
-            columns = self.waiting.names
-            new = [tuple(row[c] for c in columns) for row in rows]
-            at = columns.index(self.ts)
-            times = [row[at] for row in new] + ([] if first is None else [first])
-            self.rows.appendList(new)
-            self._store(s, timer, min(times))
+            yield from self._keep(key, rows)
             return
+        s = self._load()
         wall = timerValues.getCurrentProcessingTimeInMs() * 1000
         for row in self._in_order(rows):
             yield from self._fire_until(key, s, wall)
             yield from self.take(key, s, row, wall)
-        self._store(s, timer, None)
+        self._store(s)
+
+    def _keep(self, key, rows) -> Iterator[Row]:
+        """Rows into the buckets of their times."""
+        columns = self.waiting.names
+        new: dict[int, list[tuple]] = {}
+        for row in rows:
+            if row[self.ts] is None:
+                yield from self.take_untimed(key, row)
+                continue
+            kept = plain(tuple(row[c] for c in columns))
+            new.setdefault(self._end(row[self.ts]), []).append(kept)
+        for timer, some in new.items():
+            if self.buckets.containsKey((timer,)):
+                some = plain(self.buckets.getValue((timer,))[0]) + some
+            else:
+                self.handle.registerTimer(timer)
+            self.buckets.updateValue((timer,), (some,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        expired = expiredTimerInfo.getExpiryTimeInMs()
+        if not self.event_time:
+            s = self._load()
+            now = timerValues.getCurrentProcessingTimeInMs()
+            yield from self._fire_until(key, s, now * 1000 + 1)
+            self._store(s, expired)
+            return
+        due_now = self.clock.exists() and self.clock.get()[0] == expired
+        if not due_now and not self.buckets.containsKey((expired,)):
+            return  # an earlier timer of this batch has taken the bucket
         s = self._load()
-        first = None
-        if self.event_time:
-            now = timerValues.getCurrentWatermarkInMs() * 1000
+        now = timerValues.getCurrentWatermarkInMs()
+        ends = sorted(end for (end,) in self.buckets.keys())
+        for end in [end for end in ends if end <= now]:
             columns = self.waiting.names
-            rows = self.rows.get() if self.rows.exists() else []
-            rows = [dict(zip(columns, row)) for row in rows]
-            later = [row for row in rows if row[self.ts] > now]
-            for row in self._in_order(row for row in rows if row[self.ts] <= now):
+            rows = [dict(zip(columns, r)) for r in self.buckets.getValue((end,))[0]]
+            self.buckets.removeKey((end,))
+            for row in self._in_order(rows):
                 yield from self._fire_until(key, s, row[self.ts])
                 yield from self.take(key, s, row, row[self.ts])
-            if later:
-                self.rows.put([tuple(row[c] for c in columns) for row in later])
-                first = min(row[self.ts] for row in later)
-            else:
-                self.rows.clear()
-        else:
-            now = timerValues.getCurrentProcessingTimeInMs() * 1000
-        yield from self._fire_until(key, s, now + 1)
-        # The expired timer is gone already; nothing is left to delete.
-        self._store(s, None, first)
+        later = [end * 1000 - self.bucket_us for end in ends if end > now]
+        yield from self._fire_until(key, s, min([now * 1000 + 1, *later]))
+        self._store(s, expired, now)
 
     def close(self) -> None:
         pass
@@ -269,6 +318,68 @@ class DisconnectProcessor(TimedProcessor):
         s.update(status=row["status"], at=now)
 
 
+CHANGE, DATA = 0, 1
+
+
+class BesideProcessor(TimedProcessor):
+    """Data rows beside changes of their key, both in one state and one order of time.
+
+    Input: key, ``side`` (CHANGE or DATA) and the columns of both.  A change at the time
+    of a data row comes first.
+    """
+
+    def __init__(self, waiting: StructType, told: StructType, **kw):
+        super().__init__(waiting, **kw)
+        self.told = told
+
+    def _in_order(self, rows) -> list:
+        return sorted(rows, key=lambda r: (r[self.ts], r["side"], r[self.tie]))
+
+    def _row(self, row, **more) -> Row:
+        return Row(**{c: row[c] for c in self.told.names}, **more)
+
+
+class AsOfProcessor(BesideProcessor):
+    """Each data row with the latest change of its key at or before its time.
+
+    Changes carry ``change``, a struct, whose schema is ``change``.  Output: the columns
+    ``told`` and ``version`` (null where there was no change yet).
+    """
+
+    def __init__(self, waiting: StructType, told: StructType, change: StructType, **kw):
+        super().__init__(waiting, told, **kw)
+        self.fields = StructType([StructField("version", change)])
+
+    def take(self, key, s, row, now):
+        if row["side"] == CHANGE:
+            s["version"] = plain(row["change"])
+        else:
+            yield self._row(row, version=s["version"])
+
+    def take_untimed(self, key, row):
+        if row["side"] == DATA:
+            yield self._row(row, version=None)
+
+
+class RuleMappingProcessor(BesideProcessor):
+    """Data points with the rules that their point has at their time.
+
+    Changes carry ``action`` and ``change``, the list of rule ids: an add appends them,
+    a delete drops all.  Output: the columns ``told`` and ``rule_id``, a row per rule.
+    """
+
+    fields = StructType([StructField("rules", ArrayType(LongType()))])
+
+    def take(self, key, s, row, now):
+        if row["side"] == DATA:
+            for rule_id in s["rules"] or ():
+                yield self._row(row, rule_id=rule_id)
+        elif row["action"] == ADD:
+            s["rules"] = [*(s["rules"] or ()), *(row["change"] or ())]
+        elif row["action"] == DELETE:
+            s["rules"] = None
+
+
 class LatestProcessor(StatefulProcessor):
     """The latest row of a key, emitted whenever it changes.
 
