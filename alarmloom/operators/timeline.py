@@ -10,14 +10,20 @@
 ``windows`` is sequential by nature (where a window starts depends on where the
 one before it ended), so it cannot be a Catalyst window function.  Spark shuffles
 and sorts the rows, and each Arrow batch is labelled with array operations, stepping
-only from one window to the next that opens, with constant memory.  For hot keys the same labels come from chunks in parallel: each
-chunk is reduced to a transfer table (which window is open at its end, for each
-window that may be open at its start), the tables of a key are chained, and the
-state found at each chunk start is joined back before the labelling pass.
+only from one window to the next that opens, with constant memory.  For hot keys the same
+labels come from chunks in parallel: each chunk is reduced to a transfer table (which
+window is open at its end, for each window that may be open at its start).  Tables are
+functions of that state, so neighbours combine into the table of both, in any grouping:
+FAN of them at a time are combined in rounds, up to a table for the whole key, and the
+state found at the start of each group is handed down again to its members.  No task ever
+reads more than FAN tables of a key, and the state at each chunk start is joined back
+before the labelling pass.
 """
 
 from __future__ import annotations
 
+import functools
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -34,6 +40,7 @@ from alarmloom.operators.hotkeys import (
     SplitPolicy,
     split_hot_keys,
 )
+from alarmloom.storage import written
 
 NONE = -(2**63)
 FOREVER = 2**63 - 1
@@ -279,30 +286,72 @@ class Timeline:
             "__width",
         )
         key_fields = [self.df.schema[k] for k in self.part]
-        tables = narrow.groupBy(*self.part).applyInPandas(
-            _transfer(self.part), T.StructType(key_fields + _TRANSFER_FIELDS)
+        tables = written(
+            narrow.groupBy(*self.part).applyInPandas(
+                _transfer(self.part), T.StructType(key_fields + _TRANSFER_FIELDS)
+            )
         )
-        joined = [
-            T.StructField(f"__j{i}", f.dataType) for i, f in enumerate(key_fields)
-        ]
-        out = T.StructType(
-            joined + [T.StructField(c, T.LongType()) for c in (*_CARRY, "__next")]
+        # only chunk labels and times are ordered per key, not tables
+        along = Window.partitionBy(*self.keys).orderBy(CHUNK)
+        places = tables.select(*self.part, "first_ts").select(
+            *[F.col(k).alias(f"__j{i}") for i, k in enumerate(self.part)],
+            (F.row_number().over(along) - 1).cast("long").alias("__i"),
+            F.lead("first_ts").over(along).alias("__next"),
+        )
+        levels = [written(self._join_chunks(tables, places))]
+        last = levels[0].agg(F.max("__i")).first()[0] or 0
+        grouped = [*self.keys, "__g"]
+        while last >= FAN:
+            members = levels[-1].withColumn("__g", F.expr(f"__i div {FAN}"))
+            schema = [*key_fields[:-1], T.StructField("__i", T.LongType()), *_TRANSFER_FIELDS]
+            combined = members.groupBy(*grouped).applyInArrow(
+                _combined(self.keys), T.StructType(schema)
+            )
+            levels.append(written(combined))
+            last //= FAN
+        states = None
+        for level in reversed(levels):
+            members = level.withColumn("__g", F.expr(f"__i div {FAN}"))
+            if states is None:  # nothing is open before the first row of a key
+                members = members.withColumns({c: F.lit(NONE) for c in _CARRY})
+            else:
+                members = self._join_groups(members, states)
+            kept = [c for c in (*self.part, "__i", "__next") if c in level.columns]
+            schema = [level.schema[c] for c in kept]
+            schema += [T.StructField(c, T.LongType()) for c in _CARRY]
+            states = members.groupBy(*grouped).applyInArrow(
+                _handed_down(kept), T.StructType(schema)
+            )
+        return states.select(
+            *[F.col(k).alias(f"__j{i}") for i, k in enumerate(self.part)],
+            *_CARRY, "__next",
+        )
+
+    def _join_groups(self, members: DataFrame, states: DataFrame) -> DataFrame:
+        """members with the state at the start of their group."""
+        starts = states.select(
+            *[F.col(k).alias(f"__j{i}") for i, k in enumerate(self.keys)],
+            F.col("__i").alias("__of"), *_CARRY,
+        )
+        on = F.col("__g") == F.col("__of")
+        for i, k in enumerate(self.keys):
+            on = on & F.col(k).eqNullSafe(F.col(f"__j{i}"))
+        return members.join(starts, on).drop(
+            "__of", *[f"__j{i}" for i in range(len(self.keys))]
         )
-        # one table at a time, however many chunks a key has
-        ordered = tables.repartition(*self.keys).sortWithinPartitions(*self.part)
-        return ordered.mapInArrow(_chain(self.part), out)
 
 
 # -- inside tasks ------------------------------------------------------------
 
 _CARRY = ("__in_due", "__in_open", "__in_pos", "__in_first")
+FAN = 64
 
 _LONGS = T.ArrayType(T.LongType())
 _TRANSFER_FIELDS = [
     T.StructField("reset", T.BooleanType()),
     T.StructField("openers", T.LongType()),
     T.StructField("first_ts", T.LongType()),
-    T.StructField("last_ts", T.LongType()),
+    T.StructField("reach", T.LongType()),
     T.StructField("until", _LONGS),
     T.StructField("open", _LONGS),
     T.StructField("due", _LONGS),
@@ -443,8 +492,10 @@ def _transfer(part: list[str]):
     Only OPEN rows start windows, so following the chain of windows needs only
     them.  ``until[e]`` is the last opener time of group e: any window due before
     it (and not before the previous group's) leads to the window (open, due, pos)
-    [e] at the end of the chunk.  Chains merge quickly on irregular data, so the
-    groups are few.
+    [e] at the end of the chunk, or to none (due NONE).  A window due at or after
+    the last ``until`` is still open at the end.  Windows due after ``reach`` cannot
+    be open at the start.  Chains merge quickly on irregular data, so the groups are
+    few; never are there more than windows that can be open at the end.
     """
 
     def reduce(rows: pd.DataFrame) -> pd.DataFrame:
@@ -458,6 +509,7 @@ def _transfer(part: list[str]):
         o_ts, o_due = ts[is_open], due[is_open]
         k = len(o_ts)
         until, open_, due_, pos_ = [], [], [], []
+        reach = min(FOREVER, int(ts[0]) + int(rows["__width"].iloc[0]))
         if k:
             # end[a]: the last window of the chain that starts at opener a
             follow = np.searchsorted(o_ts, o_due, side="right")
@@ -468,11 +520,9 @@ def _transfer(part: list[str]):
                 final[a] = a if steps[a] >= k else final[steps[a]]
             end[:] = final
             if len(resets):
-                heads = np.array([0])
-                tails = np.array([0])
+                n, heads, tails = k, np.array([0]), np.array([0])
             else:
                 # A window open at the start is due at most one width after it.
-                reach = min(FOREVER, int(ts[0]) + int(rows["__width"].iloc[0]))
                 n = min(k, int(np.searchsorted(o_ts, reach, side="right")) + 1)
                 change = np.flatnonzero(np.diff(end[:n])) + 1
                 heads = np.concatenate([[0], change])
@@ -481,78 +531,102 @@ def _transfer(part: list[str]):
             until = o_ts[tails].tolist()
             open_, due_ = o_ts[last].tolist(), o_due[last].tolist()
             pos_ = (k - last).tolist()
+        if len(resets):  # whatever was open is not any more
+            until = [FOREVER]
+            open_, due_, pos_ = open_ or [NONE], due_ or [NONE], pos_ or [0]
+        elif not k or (n == k and until[-1] < ts[-1]):
+            until, open_, due_, pos_ = (
+                [*until, int(ts[-1])], [*open_, NONE], [*due_, NONE], [*pos_, 0]
+            )
         record = {c: rows[c].iloc[0] for c in part}
         record.update(
-            reset=bool(len(resets)), openers=k, first_ts=int(ts[0]),
-            last_ts=int(ts[-1]), until=until,
-            open=open_, due=due_, pos=pos_, first=int(o_due[0]) if k else 0,
+            reset=bool(len(resets)), openers=k, first_ts=int(ts[0]), reach=reach,
+            until=until, open=open_, due=due_, pos=pos_,
+            first=int(o_due[0]) if k else NONE,
         )
         return pd.DataFrame([record])
 
     return reduce
 
 
-def _chain(part: list[str]):
-    """Follows the sorted transfer tables of each key from chunk to chunk.
-
-    Each chunk gets the state at its start and the time of the row after it.
-    """
-
-    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, key, waiting, state = None, None, None, None
-        for batch in batches:
-            if schema is None:
-                longs = [pa.field(c, pa.int64()) for c in (*_CARRY, "__next")]
-                named = [
-                    batch.schema.field(c).with_name(f"__j{n}") for n, c in enumerate(part)
-                ]
-                schema = pa.schema(named + longs)
-            out = []
-            for n in range(batch.num_rows):
-                row = batch.slice(n, 1)
-                at = [row.column(c)[0].as_py() for c in part]
-                first_ts = row.column("first_ts")[0].as_py()
-                goes_on = key is not None and at[:-1] == key
-                if waiting is not None:
-                    out.append([*waiting, first_ts if goes_on else None])
-                if not goes_on:
-                    key, state = at[:-1], (NONE, NONE, 0, NONE)
-                waiting = [*at, *state]
-                state = _through(row, *state)
-            if out:
-                yield _batch(out, schema)
-        if waiting is not None:
-            yield _batch([[*waiting, None]], schema)
-
-    return follow
-
-
-def _batch(rows: list[list], schema: pa.Schema) -> pa.RecordBatch:
-    columns = zip(*rows)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema
-    )
-
-
-def _through(row: pa.RecordBatch, due: int, opened: int, pos: int, first_due: int):
+def _through(table: dict, state: State) -> State:
     """The state after a chunk, from the state before it and the chunk's table."""
-
-    def value(name: str):
-        return row.column(name)[0].as_py()
-
-    def entry(name: str, n: int) -> int:
-        return row.column(name)[0].values[n].as_py()
-
-    until = row.column("until")[0].values.to_numpy(zero_copy_only=False)
-    if value("reset"):
-        due, opened, pos, first_due = NONE, NONE, 0, NONE
-    e = int(np.searchsorted(until, due, side="right"))
-    if e < len(until):
-        due, opened, pos = entry("due", e), entry("open", e), entry("pos", e)
-    elif due != NONE and value("last_ts") <= due:
-        pos += value("openers")
+    due, opened, pos, first = state
+    if table["reset"]:
+        due, opened, pos, first = NONE, NONE, 0, NONE
+    e = bisect_right(table["until"], due)
+    if e < len(table["until"]):
+        due, opened, pos = (table[c][e] for c in ("due", "open", "pos"))
     else:
-        due, opened, pos = NONE, NONE, 0
-    if first_due == NONE and value("openers"):
-        first_due = value("first")
-    return due, opened, pos, first_due
+        pos += table["openers"]
+    return due, opened, pos, table["first"] if first == NONE else first
+
+
+def combine(a: dict, b: dict) -> dict:
+    """The table of two neighbouring chunks, from theirs."""
+    if b["reset"]:
+        return {**b, "first_ts": a["first_ts"], "reach": a["reach"]}
+    entries = [
+        (until, _through(b, (due, opened, pos, NONE))[:3])
+        for until, opened, due, pos in zip(a["until"], a["open"], a["due"], a["pos"])
+    ]
+    if not a["reset"]:  # windows that are still open after the first chunk
+        entries += [
+            (until, (due, opened, pos))
+            for until, opened, due, pos in zip(b["until"], b["open"], b["due"], b["pos"])
+            if until > a["until"][-1]
+        ]
+    kept: list[tuple[int, tuple]] = []
+    for until, state in entries:
+        if kept and kept[-1][1] == state:
+            kept[-1] = (until, state)
+        else:
+            kept.append((until, state))
+        if until > a["reach"]:
+            break
+    due, opened, pos = zip(*[state for _, state in kept])
+    return {
+        "reset": a["reset"], "openers": a["openers"] + b["openers"],
+        "first_ts": a["first_ts"], "reach": a["reach"],
+        "until": [until for until, _ in kept],
+        "open": list(opened), "due": list(due), "pos": list(pos),
+        "first": b["first"] if a["first"] == NONE else a["first"],
+    }
+
+
+def _in_order(tables: pa.Table) -> tuple[pa.Table, list[dict]]:
+    tables = tables.sort_by("__i")
+    return tables, tables.select([f.name for f in _TRANSFER_FIELDS]).to_pylist()
+
+
+def _combined(keys: list[str]):
+    """Neighbouring tables of a key to one."""
+
+    def reduce_group(group: pa.Table) -> pa.Table:
+        group, tables = _in_order(group)
+        whole = functools.reduce(combine, tables)
+        out = group.slice(0, 1).select([*keys, "__g"]).rename_columns([*keys, "__i"])
+        for field in _TRANSFER_FIELDS:
+            kind = group.schema.field(field.name).type
+            out = out.append_column(field.name, pa.array([whole[field.name]], kind))
+        return out
+
+    return reduce_group
+
+
+def _handed_down(kept: list[str]):
+    """The state at the start of each member, from that at the start of its group."""
+
+    def follow(group: pa.Table) -> pa.Table:
+        group, tables = _in_order(group)
+        state = tuple(group.column(c)[0].as_py() for c in _CARRY)
+        states = []
+        for table in tables:
+            states.append(state)
+            state = _through(table, state)
+        out = group.select(kept)
+        for name, values in zip(_CARRY, zip(*states)):
+            out = out.append_column(name, pa.array(values, pa.int64()))
+        return out
+
+    return follow

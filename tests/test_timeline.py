@@ -1,10 +1,12 @@
 """The scan and window primitives against brute force, whole and split."""
 
+import functools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from alarmloom.operators import timeline as TL
 from alarmloom.operators.hotkeys import SplitPolicy, split_hot_keys
 from alarmloom.operators.timeline import (
     OPEN,
@@ -205,3 +207,75 @@ def test_late_rows_by_buckets_of_windows(spark, monkeypatch):
         highest = t if highest is None else max(highest, t)
     assert 0 < len(want) < 300
     assert {r.event_id for r in got.select("event_id").collect()} == want and got.count() == len(want)
+
+
+# -- transfer tables of hot keys ---------------------------------------------------
+
+
+def chunk_tables(rows, size, width):
+    import pandas as pd
+
+    reduce = TL._transfer(["key"])
+    return [
+        reduce(pd.DataFrame(
+            [("k", t, i, kind, t + w, width) for _, t, i, kind, w in rows[at:at + size]],
+            columns=["key", "__ts", "__tie", "__kind", "__due", "__width"],
+        )).to_dict("records")[0]
+        for at in range(0, len(rows), size)
+    ]
+
+
+def sorted_rows(seed, reset_share, widths):
+    rng = random.Random(seed)
+    times = sorted(rng.randrange(2000) for _ in range(300))
+    return [
+        ("k", t, i, RESET if rng.random() < reset_share else rng.choice([OPEN, PASS]), rng.choice(widths))
+        for i, t in enumerate(times)
+    ]
+
+
+@pytest.mark.parametrize("reset_share", [0.0, 0.01, 0.2])
+@pytest.mark.parametrize("size", [1, 2, 7, 50])
+def test_tables_combine_in_any_grouping(size, reset_share):
+    for seed in range(6):
+        widths = [3, 40] if seed % 2 else [300]
+        rows = sorted_rows(seed, reset_share, widths)
+        tables = chunk_tables(rows, size, max(widths))
+        start = (TL.NONE, TL.NONE, 0, TL.NONE)
+        one_by_one = functools.reduce(lambda s, t: TL._through(t, s), tables, start)
+        found = brute_windows(rows)[rows[-1][2]] if rows[-1][3] != RESET else None
+        if found and found[0] is not None:
+            assert one_by_one == found[:4]
+        rng = random.Random(seed)
+        while len(tables) > 1:  # neighbours in random order
+            at = rng.randrange(len(tables) - 1)
+            tables[at:at + 2] = [TL.combine(tables[at], tables[at + 1])]
+        assert TL._through(tables[0], start) == one_by_one
+
+
+def test_a_window_from_before_goes_through_tables_as_through_one():
+    rows = sorted_rows(3, 0.0, [25])
+    tables = chunk_tables(rows, 9, 25)
+    whole = functools.reduce(TL.combine, tables)
+    for due in range(rows[0][1], rows[0][1] + 26):
+        start = (due, due - 25, 2, 7)
+        assert TL._through(whole, start) == functools.reduce(
+            lambda s, t: TL._through(t, s), tables, start)
+
+
+def test_tables_of_periodic_rows_stay_small():
+    """One entry per window that may be open, however many chunks are combined."""
+    rows = [("k", 10 * i, i, OPEN, 50) for i in range(2000)]
+    whole = functools.reduce(TL.combine, chunk_tables(rows, 20, 50))
+    assert len(whole["until"]) <= 7
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_rounds_of_combined_tables_match_brute_force(spark, monkeypatch, fan):
+    monkeypatch.setattr(TL, "FAN", fan)
+    rows = make_rows(6, reset_share=0.02)
+    rows += [(None, 10 * i, 10_000_000 + i, OPEN, 50) for i in range(300)]
+    line = Timeline(frame(spark, rows), ["key"], "ts", "id", SPLIT)
+    got = line.windows(F.col("kind"), F.col("t") + F.col("width")).collect()
+    found = {r.id: (r.w_due, r.w_open, r.w_pos, r.w_first, r.w_next) for r in got}
+    assert found == brute_windows(rows)
