@@ -16,6 +16,7 @@ from alarmloom.operators import control as K
 from alarmloom.operators import rules as R
 from alarmloom.operators.changes import TEMPLATE_POINT, UNIQUE_POINT
 from alarmloom.streaming import processors as P
+from alarmloom.streaming import tables
 
 # Executors need not have the package installed to run the processors.
 cloudpickle.register_pickle_by_value(P)
@@ -391,57 +392,29 @@ def alarm_commands(
     )
 
 
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version=*/_SUCCESS")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    names = [f.getPath().getParent().getName() for f in files]
-    return sorted(int(n.split("=")[1]) for n in names)
-
-
-def current_version(
-    spark: SparkSession, folder: str, before: int | None = None
-) -> DataFrame | None:
-    """The latest complete version of a table kept by :func:`maintain_table`."""
-    versions = _versions(spark, folder)
-    versions = [v for v in versions if before is None or v < before]
-    if not versions:
-        return None
-    return spark.read.parquet(f"{folder}/version={max(versions)}")
-
-
-def drop_versions(spark: SparkSession, folder: str, keep: int) -> None:
-    """Delete all but the latest versions; readers of the last ones go on."""
-    for version in _versions(spark, folder)[:-keep]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version={version}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def write_version(table: DataFrame, folder: str, number: int) -> None:
-    table.write.mode("overwrite").parquet(f"{folder}/version={number}")
-
-
 def maintain_table(
     changes: DataFrame,
     checkpoint: str,
     folder: str,
     apply: Callable[[DataFrame, DataFrame], DataFrame],
-    keep: int = 3,
+    keep_for_s: float = tables.DAY_S,
 ) -> DataStreamWriter:
-    """A mapping table kept up to date from a change stream.
+    """A mapping table kept up to date from a change stream (see streaming.tables).
 
-    Every micro-batch applies its changes to the version before it and writes the
-    next one, so a repeated batch gives the same table.  Write the first version
-    with number -1.  Data streams read the version that is current when their own
-    micro-batch starts, see :func:`tag_batches`; the last ``keep`` versions stay for
-    them, older ones are deleted.  The folder must be on shared storage.
+    Every micro-batch rewrites the buckets that its changes touch, starting from the
+    version before it, so a repeated batch gives the same table.  Write the first version
+    with tables.write_table.  Data streams read the version that is current when their
+    own micro-batch starts, see :func:`tag_batches`; older ones stay for ``keep_for_s``,
+    which must be longer than a micro-batch can last.
     """
 
     def update(batch: DataFrame, number: int) -> None:
-        current = current_version(batch.sparkSession, folder, before=number)
-        if current is None:
-            raise ValueError(f"no first version under {folder}")
-        write_version(apply(current, batch), folder, number)
-        drop_versions(batch.sparkSession, folder, keep)
+        batch.persist()
+        try:
+            tables.update_table(folder, batch, apply, number)
+        finally:
+            batch.unpersist()
+        tables.expire(batch.sparkSession, folder, keep_for_s)
 
     return (
         changes.writeStream.foreachBatch(update)
@@ -494,7 +467,7 @@ def tag_batches(
 
     def tag(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        version = current_version(spark, mapping)
+        version = tables.read_table(spark, mapping)
         if version is None:
             raise ValueError(f"no first version under {mapping}")
         dims = dimensions(spark)

@@ -11,6 +11,7 @@ from alarmloom.operators import alarms as A
 from alarmloom.operators import frequency as Q
 from alarmloom.plans import testbed as B
 from alarmloom.streaming import jobs as J
+from alarmloom.streaming import tables
 
 HOUR = 3600
 BATCHES = 4
@@ -231,7 +232,7 @@ def test_rule_job_equals_batch_job(spark, small_dir, tmp_path):
     points = B.points(spark, small_dir)
     folder = str(tmp_path / "job")
     mapping = str(tmp_path / "mapping")
-    J.write_version(mapping_of(dims), mapping, -1)
+    tables.write_table(mapping_of(dims), mapping, ["type", "id"], 16)
     feed = Feed(spark, points.schema, tmp_path, dims, mapping, folder)
     for part in ["<= '2024-01-12'", "> '2024-01-12'"]:
         feed.push(points.filter(f"ts {part}"))
@@ -350,8 +351,8 @@ def test_mapping_kept_from_a_change_stream(spark, small_dir, tmp_path):
         path = str(source / str(n))
         log.filter(f"ts {part}").coalesce(1).write.parquet(path)
     folder = str(tmp_path / "mapping")
-    J.write_version(spark.createDataFrame([], "type string, id long, rule_id long"),
-                    folder, -1)
+    tables.write_table(
+        spark.createDataFrame([], "type string, id long, rule_id long"), folder, ["type", "id"], 16)
 
     def go():
         stream = spark.readStream.schema(log.schema).parquet(str(tmp_path / "in"))
@@ -364,7 +365,7 @@ def test_mapping_kept_from_a_change_stream(spark, small_dir, tmp_path):
         spark.read.parquet(str(source / str(n))).write.mode("append").parquet(
             str(tmp_path / "in"))
         go()
-    got = J.current_version(spark, folder)
+    got = tables.read_table(spark, folder)
     want = C.point_rule_mapping(X.parse_rule_changes(log), "ts", "seq")
     cols = ["type", "id", "rule_id"]
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
@@ -404,12 +405,3 @@ def test_state_with_time_to_live(spark, tmp_path):
         query.stop()
     times = [r.ts_us for r in spark.table("latest_ttl").collect()]
     assert times[0] > times[1]
-
-
-def test_old_versions_are_deleted(spark, tmp_path):
-    folder = str(tmp_path / "t")
-    for n in range(5):
-        J.write_version(spark.range(n + 1), folder, n)
-    J.drop_versions(spark, folder, 2)
-    assert sorted(os.listdir(folder)) == ["version=3", "version=4"]
-    assert J.current_version(spark, folder).count() == 5
