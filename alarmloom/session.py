@@ -27,17 +27,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def watermark_policy(spark: SparkSession, idle_sources: bool) -> None:
-    """How a job with several sources combines their watermarks; call it before start.
-
-    By default the slowest source holds time back, so no row of it is lost. Only where
-    sources may fall silent for good should the fastest one lead: rows of an active but
-    slower source are then dropped as late.
-    """
-    policy = "max" if idle_sources else "min"
-    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
-
-
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (

@@ -30,6 +30,31 @@ def _keyed(rows: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFra
 BUCKETS_OF_DELAY = 8
 
 
+HEARTBEAT = "__heartbeat"
+
+
+def with_heartbeat(
+    source: DataFrame, ticks: DataFrame, idle: str, delay: str, ts: str = "ts"
+) -> DataFrame:
+    """A source whose watermark goes on while it is silent.
+
+    ``ticks`` (a column named like ``ts``) tell the time; a tick says that no row older
+    than ``idle`` before it is still to come from this source.  So of several sources
+    none has to lead: each keeps its own watermark, the slowest counts, and a source that
+    lags by less than ``idle`` loses nothing.  Use it on every source of a union; the
+    ticks themselves go no further.
+    """
+    beats = ticks.select(
+        (F.col(ts) - F.expr(f"INTERVAL {idle}")).alias(ts), F.lit(True).alias(HEARTBEAT)
+    )
+    both = source.withColumn(HEARTBEAT, F.lit(False)).unionByName(
+        beats, allowMissingColumns=True
+    )
+    # reads the time, or it would be applied before the watermark has seen the ticks
+    own = ~F.col(HEARTBEAT) | (F.col(ts) == F.timestamp_micros(F.lit(-(2**62))))
+    return both.withWatermark(ts, delay).filter(own).drop(HEARTBEAT)
+
+
 def _bucket_us(delay: str) -> int:
     """Width of the buckets in which rows wait: a part of the watermark delay."""
     ms = int(pd.Timedelta(delay).total_seconds() * 1000) // BUCKETS_OF_DELAY
@@ -60,19 +85,21 @@ def hold_alarms(
     delay: str = "1 second",
     recover_on_every_clear: bool = False,
     event_time: bool = True,
+    bucket_delay: str = "",
 ) -> DataFrame:
     """Delayed alarms, recoveries and notifications of a stream.
 
     ``rows``: keys, ts, tie, ``holds``, ``delay``, ``push_interval``,
     ``push_once``.  ``carry`` names more columns of the alarm's row to put out.
-    ``delay`` is the watermark delay.
+    ``delay`` is the watermark delay; leave it empty for rows that have a watermark, and
+    say in ``bucket_delay`` how late they may be.
     """
     told = [tie, *carry]
     keyed = _keyed(rows, keys, ts, delay).withColumn("about", F.to_json(F.struct(*told)))
     needed = ["ts_us", tie, "holds", "delay", "push_interval", "push_once", "about"]
     processor = P.HoldProcessor(
         _columns(keyed, needed), list(keys), recover_on_every_clear,
-        tie=tie, event_time=event_time, bucket_us=_bucket_us(delay),
+        tie=tie, event_time=event_time, bucket_us=_bucket_us(bucket_delay or delay),
     )
     out = T.StructType(
         [rows.schema[k] for k in keys]
@@ -96,6 +123,7 @@ def offline_watch(
     tie: str = "event_id",
     watermark: str = "1 second",
     event_time: bool = True,
+    bucket_delay: str = "",
 ) -> DataFrame:
     """Gateways off for longer than ``delay``, with reminders while they stay off."""
     rows = status.select(
@@ -109,7 +137,7 @@ def offline_watch(
     )
     return hold_alarms(
         rows, ["sn"], ts=ts, tie=tie, delay=watermark,
-        recover_on_every_clear=True, event_time=event_time,
+        recover_on_every_clear=True, event_time=event_time, bucket_delay=bucket_delay,
     )
 
 
@@ -151,6 +179,40 @@ def disconnect_watch(
     )
 
 
+def arrival_windows(rows: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
+    """Every row with ``start`` and ``end`` of the tumbling window it arrives in.
+
+    A window is told when the wall clock has passed its end, also if no row comes after
+    it.  The query needs a processing-time trigger.
+    """
+    processor = P.ArrivalWindowProcessor(
+        _columns(rows, rows.columns), int(pd.Timedelta(size).total_seconds() * 1000)
+    )
+    out = T.StructType(
+        [*rows.schema, *T.StructType.fromDDL("start_ms bigint, end_ms bigint")]
+    )
+    told = rows.groupBy(*keys).transformWithState(processor, out, "append", "ProcessingTime")
+    return told.select(
+        *rows.columns,
+        F.timestamp_millis("start_ms").alias("start"),
+        F.timestamp_millis("end_ms").alias("end"),
+    )
+
+
+def keys_in_alarm(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Keys that are in alarm in the state of a job (hold_alarms), as a table.
+
+    Reads the last complete micro-batch from the job's checkpoint; the job may be running.
+    """
+    state = (
+        spark.read.format("statestore")
+        .option("path", checkpoint)
+        .option("stateVarName", "record")
+        .load()
+    )
+    return state.filter("value.alarmed").select("key.*")
+
+
 def latest_per_key(
     rows: DataFrame,
     keys: Sequence[str],

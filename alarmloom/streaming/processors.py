@@ -380,6 +380,40 @@ class RuleMappingProcessor(BesideProcessor):
             s["rules"] = None
 
 
+class ArrivalWindowProcessor(StatefulProcessor):
+    """Rows in the window of the wall clock they arrive in, told when it has passed."""
+
+    def __init__(self, told: StructType, size_ms: int):
+        self.told, self.size_ms = told, size_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        window = StructType([StructField("rows", ArrayType(self.told))])
+        self.windows = handle.getMapState("windows", "until bigint", window)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        end = (now // self.size_ms + 1) * self.size_ms
+        held = [plain(tuple(row[c] for c in self.told.names)) for row in rows]
+        if self.windows.containsKey((end,)):
+            held = plain(self.windows.getValue((end,))[0]) + held
+        else:
+            self.handle.registerTimer(end)
+        self.windows.updateValue((end,), (held,))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        rows = self.windows.getValue((end,))[0]
+        self.windows.removeKey((end,))
+        for row in rows:
+            told = dict(zip(self.told.names, row))
+            yield Row(**told, start_ms=end - self.size_ms, end_ms=end)
+
+    def close(self) -> None:
+        pass
+
+
 class LatestProcessor(StatefulProcessor):
     """The latest row of a key, emitted whenever it changes.
 
