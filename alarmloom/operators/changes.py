@@ -15,6 +15,8 @@ from alarmloom.operators.timeline import Timeline, last_seen
 UNIQUE_POINT, TEMPLATE_POINT, COMPUTED_POINT = "0", "1", "2"
 ADD, MODIFY, DELETE = "0", "1", "2"
 
+BEFORE_ALL_US = -62_135_596_800_000_000 * 2 - 1  # twice the first of year one, less one
+
 
 def point_rule_mapping(
     changes: DataFrame, ts: str, seq: str, policy: SplitPolicy = DEFAULT_POLICY
@@ -184,7 +186,8 @@ def as_of_changes(
 
     The batch form of data beside a change stream: both are put on one timeline
     (a change at the same instant comes first), so a key's rows and changes meet
-    in one shuffle and hot keys are split like any other timeline.
+    in one shuffle and hot keys are split like any other timeline.  A row without a time
+    has no version, but passes: it goes before all changes.
     """
     boxed = F.struct(value.alias("v"))
     dtype = changes.select(boxed.alias("b")).schema["b"].dataType
@@ -193,16 +196,17 @@ def as_of_changes(
         # Twice the time plus the side: changes come first at the same instant.
         return F.timestamp_micros(F.unix_micros(F.col(ts)) * 2 + side)
 
-    data = rows.withColumns({"__c": F.lit(None).cast(dtype), "__at": at(1)})
-    log = changes.select(key, tie, boxed.alias("__c"), at(0).alias("__at"))
+    first = F.timestamp_micros(F.lit(BEFORE_ALL_US))
+    data = rows.withColumns(
+        {"__c": F.lit(None).cast(dtype), "__at": F.coalesce(at(1), first)}
+    )
+    log = changes.select(key, tie, boxed.alias("__c"), at(0).alias("__at")).filter(
+        F.col("__at").isNotNull()
+    )
     both = data.unionByName(log, allowMissingColumns=True)
     seen = Timeline(both, [key], "__at", tie, policy).scan(
         __seen=last_seen(F.col("__c"))
     )
-    found = seen.filter(F.col("__c").isNull()).select(
+    return seen.filter(F.col("__c").isNull()).select(
         *rows.columns, F.col("__seen")["v"].alias(name)
     )
-    # a row without a time has no version, but passes
-    unknown = found.schema[name].dataType
-    timeless = rows.filter(F.col(ts).isNull())
-    return found.unionByName(timeless.withColumn(name, F.lit(None).cast(unknown)))

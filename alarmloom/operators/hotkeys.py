@@ -8,7 +8,9 @@ can be shuffled instead of the key.
 
 Cells start at equal widths and are counted; a cell that still holds too many rows (a
 burst) is cut again, into ``CUTS`` parts, until none does or cells are one microsecond
-wide; rows of one microsecond are cut by their tie in the same way.  Which rows are hot is decided by counts of all rows, never by an estimate.  Keys
+wide; rows of one microsecond are cut by their tie in the same way.  Which rows are hot is
+decided by counts of all rows, never by an estimate; where there are too few rows in all
+for any key to be hot, keys are not counted.  Keys
 and cells that are cut are tables in the shared folder, joined like any other table:
 there is no bound on how many there are, nothing of them reaches the driver, and every
 evaluation of the plan, also after a lost executor, sees the same chunks.
@@ -64,6 +66,9 @@ def split_hot_keys(
     if policy is CHECKED:
         return df, False
     target = policy.target_rows
+    # a plain count needs neither the keys nor what is computed of them
+    if df.count() <= 2 * target:
+        return df, False
     timed = df.withColumn("__t", F.unix_micros(F.col(ts)))
     by_time = _cells(timed, keys, "__t", F.lit(True), 2 * target, target)
     if by_time is None:

@@ -56,15 +56,13 @@ def drop_late(
     ahead = F.unix_micros(F.col(ts)) - delay_ms * 1000 - start
     closes = F.floor(ahead / size) * size + start
     bucket = F.floor(F.col("__end") / (F.col("__size") * WINDOWS_AT_ONCE))
-    closers = windowed.groupBy(closes.alias("__end"), size.alias("__size")).agg(
-        F.min(at).alias("__at")
+    # one pass: the window that a row closes, and its own without an arrival
+    met_by_row = F.array(
+        F.struct(closes.alias("__end"), size.alias("__size"), at.alias("__at")),
+        F.struct(end.alias("__end"), size.alias("__size"), F.lit(None).alias("__at")),
     )
-    nothing = F.lit(None).cast(closers.schema["__at"].dataType)
-    ends = windowed.select(
-        end.alias("__end"), size.alias("__size"), nothing.alias("__at")
-    ).distinct()
     windows = (
-        closers.unionByName(ends)
+        windowed.select(F.inline(met_by_row))
         .groupBy(bucket.alias("__bucket"), "__end")
         .agg(F.min("__at").alias("__at"))
     )
