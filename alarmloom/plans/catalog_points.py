@@ -12,6 +12,7 @@ from alarmloom.operators.hotkeys import DEFAULT_POLICY
 from alarmloom.plans import oracle as O
 from alarmloom.plans import testbed as B
 from alarmloom.plans.registry import query
+from alarmloom.storage import written
 
 ERR = "CASE event_type WHEN 'error' THEN 1 WHEN 'view' THEN NULL ELSE 0 END"
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
@@ -188,8 +189,11 @@ def element_texts(spark, sf):
 
 
 def details(spark, sf):
-    return R.rule_details(
-        B.rules(spark, sf), B.rule_elements(spark, sf), B.rule_actions(spark, sf)
+    """The rules' details as a table: several steps of a job join from it."""
+    return written(
+        R.rule_details(
+            B.rules(spark, sf), B.rule_elements(spark, sf), B.rule_actions(spark, sf)
+        )
     )
 
 

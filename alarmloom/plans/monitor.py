@@ -24,6 +24,7 @@ from alarmloom.operators.hotkeys import (
     SplitPolicy,
     split_hot_keys,
 )
+from alarmloom.storage import written
 
 KEYS = ["unique_data_point_id", "rule_id"]
 
@@ -101,7 +102,7 @@ def run(
     spark = points.sparkSession
     if horizon is None:
         horizon = A.end_of(points, "ts")
-    details = R.rule_details(dims.rules, dims.elements, dims.actions)
+    details = written(R.rule_details(dims.rules, dims.elements, dims.actions))
     watch = (
         R.watch_list(dims.unique_rules, details),
         R.watch_list(dims.template_rules, details),

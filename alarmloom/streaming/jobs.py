@@ -589,18 +589,14 @@ def alarm_batches(
         carry=["sn", "datapoint_id"], delay=watermark, event_time=event_time,
     )
 
-    def complete(push: DataFrame) -> DataFrame:
-        dims = dimensions(push.sparkSession)
-        details = R.rule_details(dims.rules, dims.elements, dims.actions)
+    def complete(push: DataFrame, details: DataFrame) -> DataFrame:
         texts = details.select(
             "rule_id", F.col("alarm_msg").alias("msg"),
             F.col("action.pushWay").alias("push_way"), "trigger_json",
         )
         return push.join(texts, "rule_id")
 
-    def commands(alarms: DataFrame) -> DataFrame:
-        dims = dimensions(alarms.sparkSession)
-        details = R.rule_details(dims.rules, dims.elements, dims.actions)
+    def commands(alarms: DataFrame, dims, details: DataFrame) -> DataFrame:
         mapping = R.controls_of_alarms(
             dims.rules.filter(F.col("rely_rule_id").isNotNull()),
             dims.rules.select(F.col("id").alias("alarm_id")),
@@ -612,19 +608,25 @@ def alarm_batches(
         )
 
     def write(batch: DataFrame, number: int) -> None:
+        dims = dimensions(batch.sparkSession)
+        details = R.rule_details(dims.rules, dims.elements, dims.actions)
         batch.persist()
+        details.persist()
         try:
             kinds = {k: batch.filter(F.col("kind") == k) for k in ("alarm", "recover")}
             for kind, found in kinds.items():
                 batch_folder(f"{folder}/{kind}")(found, number)
             pushes = batch.filter(F.col("kind") == "push")
-            batch_folder(f"{folder}/push")(complete(pushes), number)
+            batch_folder(f"{folder}/push")(complete(pushes, details), number)
             driving = kinds["alarm"]
             if include_recover:
                 driving = driving.unionByName(kinds["recover"])
-            batch_folder(f"{folder}/commands")(commands(driving), number)
+            batch_folder(f"{folder}/commands")(
+                commands(driving, dims, details), number
+            )
         finally:
             batch.unpersist()
+            details.unpersist()
 
     return (
         emitted.writeStream.foreachBatch(write)
