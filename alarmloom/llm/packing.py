@@ -28,7 +28,6 @@ import unicodedata
 import zlib
 from bisect import insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -133,11 +132,6 @@ class WordIds:
                 yield b"".join(map(known, words))
 
 
-@lru_cache(maxsize=1)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
-
 def cut(ids: bytes, capacity: int) -> list[dict]:
     """Pieces of a document's ids, the end token included."""
     ids += b"\0\0\0\0"
@@ -158,7 +152,8 @@ def tokenized(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
 
     @F.pandas_udf(f"array<struct<{PIECES.replace(' ', ':')}>>".replace(",:", ","))
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids_of = word_ids(vocabulary).ids_of
+        # goes with the task: a worker that waits for the next holds neither words nor file
+        ids_of = WordIds(vocabulary).ids_of
         for texts in batches:
             texts = [text or "" for text in texts]
             out: list[list[dict]] = []
