@@ -86,13 +86,15 @@ def hold_alarms(
     recover_on_every_clear: bool = False,
     event_time: bool = True,
     bucket_delay: str = "",
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Delayed alarms, recoveries and notifications of a stream.
 
     ``rows``: keys, ts, tie, ``holds``, ``delay``, ``push_interval``,
     ``push_once``.  ``carry`` names more columns of the alarm's row to put out.
     ``delay`` is the watermark delay; leave it empty for rows that have a watermark, and
-    say in ``bucket_delay`` how late they may be.
+    say in ``bucket_delay`` how late they may be.  ``start`` is what a batch over earlier
+    rows has left behind (handover.hold_states); it counts in the job's first micro-batch.
     """
     told = [tie, *carry]
     keyed = _keyed(rows, keys, ts, delay).withColumn("about", F.to_json(F.struct(*told)))
@@ -106,7 +108,8 @@ def hold_alarms(
         + T.StructType.fromDDL("kind string, emit_us bigint, about string").fields
     )
     emitted = keyed.groupBy(*keys).transformWithState(
-        processor, out, "append", _mode(event_time)
+        processor, out, "append", _mode(event_time),
+        initialState=None if start is None else start.groupBy(*keys),
     )
     about = F.from_json("about", T.StructType([rows.schema[c] for c in told]))
     return emitted.select(*keys, "kind", "emit_us", about.alias("a")).select(
@@ -124,9 +127,22 @@ def offline_watch(
     watermark: str = "1 second",
     event_time: bool = True,
     bucket_delay: str = "",
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Gateways off for longer than ``delay``, with reminders while they stay off."""
-    rows = status.select(
+    return hold_alarms(
+        offline_rows(status, delay, reminder, ts=ts, tie=tie), ["sn"], ts=ts, tie=tie,
+        delay=watermark, recover_on_every_clear=True, event_time=event_time,
+        bucket_delay=bucket_delay, start=start,
+    )
+
+
+def offline_rows(
+    status: DataFrame, delay: Column, reminder: Column | None = None, *,
+    ts: str = "ts", tie: str = "event_id",
+) -> DataFrame:
+    """What the alarm state needs of status rows."""
+    return status.select(
         "sn", ts, tie,
         (F.col("status") == S.STATUS_OFF).alias("holds"),
         delay.cast("bigint").alias("delay"),
@@ -135,10 +151,6 @@ def offline_watch(
         ),
         F.lit(False).alias("push_once"),
     )
-    return hold_alarms(
-        rows, ["sn"], ts=ts, tie=tie, delay=watermark,
-        recover_on_every_clear=True, event_time=event_time, bucket_delay=bucket_delay,
-    )
 
 
 def off_count_watch(
@@ -179,6 +191,81 @@ def disconnect_watch(
     )
 
 
+def disconnect_pairs(
+    status: DataFrame, *, ts: str = "ts", tie: str = "event_id",
+    watermark: str = "1 second",
+) -> DataFrame:
+    """Disconnects of a stream, as a step that others can follow.
+
+    Output: sn, ``online_us``, ``offline_us``, tie and ``told``, a time that carries the
+    watermark on (see processors.PairProcessor); the disconnect itself is at ``offline_us``.
+    """
+    rows = _keyed(status, ["sn"], ts, watermark)
+    extra = "online_us bigint, offline_us bigint"
+    out = _schema(status, ["sn"], extra, tie).add("told", T.TimestampType())
+    return rows.groupBy("sn").transformWithState(
+        P.PairProcessor(
+            _columns(rows, ["ts_us", tie, "status"]), tie=tie,
+            bucket_us=_bucket_us(watermark),
+        ),
+        out, "append", "EventTime", eventTimeColumnName="told",
+    )
+
+
+def frequency_watch(
+    pairs: DataFrame, width: Column, limit: Column, *, tie: str = "event_id",
+    watermark: str = "1 second",
+) -> DataFrame:
+    """Gateways that disconnect too often, from :func:`disconnect_pairs` in one query.
+
+    ``watermark`` is that of the first step.  In order of ``offline_us``, whatever
+    micro-batch a disconnect was told in.
+    """
+    rows = pairs.withColumns({"width": width.cast("bigint"), "limit": limit.cast("bigint")})
+    out = _schema(pairs, ["sn"], "kind string, online_us bigint, emit_us bigint", tie)
+    needed = ["offline_us", tie, "online_us", "width", "limit"]
+    return rows.groupBy("sn").transformWithState(
+        P.FrequencyProcessor(
+            _columns(rows, needed), ts="offline_us", tie=tie,
+            bucket_us=_bucket_us(watermark),
+        ),
+        out, "append", "EventTime",
+    )
+
+
+LATE_PARTS = 1024
+
+
+def mark_late(
+    windowed: DataFrame, *, ts: str = "ts", delay: str = "1 second",
+    parts: int = LATE_PARTS,
+) -> DataFrame:
+    """Rows of windows (``end``) with ``late``: their window was closed when they came.
+
+    The stream form of windows.drop_late, with the late rows kept and marked, so that a
+    sink can route them.  A window is closed when the watermark, the latest time of the
+    micro-batches before less ``delay``, has reached its end.  Rows are dealt over
+    ``parts`` groups by a hash of all their columns; no key is ever hot.
+    """
+    known = windowed.withWatermark(ts, delay)
+    # as expressions, the columns go on without the watermark that Spark drops rows by
+    told = [
+        (F.col(c) + F.expr("INTERVAL 0 SECOND")).alias(c) if c == ts else F.col(c)
+        for c in windowed.columns
+    ]
+    spread = F.pmod(F.xxhash64(F.to_json(F.struct(*windowed.columns))), F.lit(parts))
+    rows = known.select(
+        *told, F.unix_micros("end").alias("until_us"), spread.alias("__part")
+    )
+    out = T.StructType(
+        [T.StructField(f.name, f.dataType) for f in windowed.schema]
+        + [T.StructField("late", T.BooleanType())]
+    )
+    return rows.groupBy("__part").transformWithState(
+        P.LateProcessor(_columns(windowed, windowed.columns)), out, "append", "EventTime"
+    )
+
+
 def arrival_windows(rows: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
     """Every row with ``start`` and ``end`` of the tumbling window it arrives in.
 
@@ -219,13 +306,16 @@ def latest_per_key(
     ts: str = "ts",
     tie: str = "event_id",
     ttl_ms: int | None = None,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """The latest row of every key, whenever it changes, with its time in ``ts_us``.
 
     With ``ttl_ms`` a key is forgotten that long after its last row.  State that
     expires goes by the wall clock, so such a query keeps running batches and needs
-    a processing-time trigger.
+    a processing-time trigger.  ``start`` holds the latest rows known before the stream
+    begins (frequency.latest_per_key of earlier rows); they are not told again.
     """
+    known = None if start is None else _keyed(start, keys, ts, "").drop(ts).groupBy(*keys)
     keyed = _keyed(rows, keys, ts, "").drop(ts)
     told = [c for c in keyed.columns if c not in keys]
     processor = P.LatestProcessor(
@@ -233,7 +323,7 @@ def latest_per_key(
     )
     return keyed.groupBy(*keys).transformWithState(
         processor, _columns(keyed, [*keys, *told]), "update",
-        "ProcessingTime" if ttl_ms else "None",
+        "ProcessingTime" if ttl_ms else "None", initialState=known,
     )
 
 

@@ -17,6 +17,7 @@ With ``event_time`` off, rows are taken as they come and timers go by the wall c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
@@ -25,6 +26,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from alarmloom.functions.scalars import ALARM, RECOVERED, STATUS_OFF, STATUS_ON
 
 SECOND_US = 1_000_000
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 # Codes in rule change messages.
 ADD, DELETE = "0", "2"
@@ -74,6 +76,10 @@ class TimedProcessor(StatefulProcessor):
             bucket = StructType([StructField("rows", ArrayType(self.waiting))])
             self.buckets = handle.getMapState("buckets", "until bigint", bucket)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """The record of a key as a batch has left it (see streaming.handover)."""
+        self._store({n: plain(initialState[n]) for n in self.names})
+
     def due(self, s: dict) -> int | None:
         return None
 
@@ -318,6 +324,77 @@ class DisconnectProcessor(TimedProcessor):
         s.update(status=row["status"], at=now)
 
 
+class PairProcessor(TimedProcessor):
+    """Disconnects alone: "on" directly followed by "off".
+
+    Input: key, ``status``.  Output: sn, ``online_us``, ``offline_us``, the tie column and
+    ``told``, the end of the row's bucket.  A row is taken once the watermark has reached
+    that end, which the watermark of the micro-batch before had not, so ``told`` is never
+    behind the time of a step that follows, as ``offline_us`` would be.
+    """
+
+    fields = "status string, at bigint"
+
+    def take(self, key, s, row, now):
+        if row["status"] == STATUS_OFF and s["status"] == STATUS_ON:
+            told = EPOCH + timedelta(milliseconds=self._end(now))
+            yield Row(sn=key[0], online_us=s["at"], offline_us=now,
+                      **{self.tie: row[self.tie]}, told=told)
+        s.update(status=row["status"], at=now)
+
+
+class FrequencyProcessor(TimedProcessor):
+    """Disconnects more often than allowed, from the disconnects alone.
+
+    Input: rows of PairProcessor with ``width`` (s) and ``limit``.  Output: sn, ``kind``
+    ("alarm" or "recover"), ``online_us``, ``emit_us`` and the tie column.
+    """
+
+    fields = "due bigint, n bigint, last bigint"
+
+    def due(self, s):
+        return s["due"]
+
+    def _row(self, key, kind, online, at, about):
+        return Row(sn=key[0], kind=kind, online_us=online, emit_us=at,
+                   **{self.tie: about})
+
+    def fire(self, key, s):
+        yield self._row(key, "recover", None, s["due"], s["last"])
+        s.update(due=None, n=None, last=None)
+
+    def take(self, key, s, row, now):
+        if s["due"] is None:
+            s.update(due=row["online_us"] + row["width"] * SECOND_US, n=0)
+        s.update(n=s["n"] + 1, last=row[self.tie])
+        if s["n"] > row["limit"]:
+            yield self._row(key, "alarm", row["online_us"], now, s["last"])
+
+
+class LateProcessor(StatefulProcessor):
+    """Each row with a mark: had the watermark reached ``until_us`` when it came?
+
+    It holds no state.  The rows must come without a watermarked column, or Spark drops
+    the late ones before they get here.
+    """
+
+    def __init__(self, told: StructType):
+        self.told = told
+
+    def init(self, handle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        for row in rows:
+            # before the first watermark nothing is late, and nothing without a time
+            late = passed > 0 and row["until_us"] is not None and row["until_us"] <= passed
+            yield Row(**{c: row[c] for c in self.told.names}, late=late)
+
+    def close(self) -> None:
+        pass
+
+
 CHANGE, DATA = 0, 1
 
 
@@ -432,6 +509,9 @@ class LatestProcessor(StatefulProcessor):
     def init(self, handle) -> None:
         self.latest = handle.getValueState("latest", self.columns, self.ttl_ms)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.latest.update(tuple(initialState[c] for c in self.columns.names))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         names = self.columns.names
 

@@ -241,6 +241,59 @@ def test_rule_job_equals_batch_job(spark, small_dir, tmp_path):
     check_outputs(spark, folder, want)
 
 
+def test_rules_that_change_under_a_running_job(spark, small_dir, tmp_path):
+    """Mapping and rule tables change between micro-batches; each batch meets its own."""
+    from dataclasses import replace
+
+    from alarmloom.operators import changes as C
+    from alarmloom.operators import rules as R
+    from alarmloom.streaming import processors as P
+
+    dims, points = dimensions(spark, small_dir), B.points(spark, small_dir)
+    folder, mapping = str(tmp_path / "job"), str(tmp_path / "mapping")
+    before = mapping_of(dims)
+    tables.write_table(before, mapping, ["type", "id"], 16)
+    # a third of the points lose their rules, another third gets a rule more
+    ids = before.select("type", "id").distinct()
+    log = ids.select(
+        "type", "id",
+        F.when(F.col("id") % 3 == 0, P.DELETE).otherwise(P.ADD).alias("action"),
+        F.array((F.col("id") * 5 + 1).cast("string")).alias("rule_ids"),
+        F.lit(0).alias("at"), F.monotonically_increasing_id().alias("seq"),
+    ).filter("id % 3 < 2").withColumn("at", F.timestamp_seconds("at"))
+    # and some rules are switched off
+    after = replace(dims, rules=dims.rules.filter("id % 7 <> 0"))
+    first, rest = (points.filter(f"ts {c}") for c in ["<= '2024-01-12'", "> '2024-01-12'"])
+    feed = Feed(spark, points.schema, tmp_path, dims, mapping, folder)
+    feed.push(first)
+    tables.update_table(
+        mapping, log, lambda now, some: C.apply_rule_changes(now, some, "at", "seq"), 0
+    )
+    feed.dims = after
+    feed.push(rest)
+    feed.tick(points)
+
+    def rows(part, dims, version):
+        details = R.rule_details(dims.rules, dims.elements, dims.actions)
+        tagged = J.tag_stream(part, *J.watch_lists(version, details))
+        kept = str(tmp_path / f"want-{dims is after}")
+        J.hold_rows(tagged, "ts", "event_id").write.parquet(kept)
+        return spark.read.parquet(kept)
+
+    changed = tables.read_table(spark, mapping)
+    assert changed.exceptAll(before).count() and before.exceptAll(changed).count()
+    keys = ["unique_data_point_id", "rule_id"]
+    want = A.delayed_alarms(
+        rows(first, dims, before).unionByName(rows(rest, after, changed)),
+        keys, "holds", F.col("delay"), horizon=F.lit(WATERMARK_END),
+    )
+    told = [*keys, "event_id", "emit_us", "sn", "datapoint_id"]
+    for kind, recover in (("alarm", False), ("recover", True)):
+        expected = sorted_rows(want.filter(F.col("recover") == recover), *told)
+        assert sorted_rows(spark.read.parquet(f"{folder}/{kind}"), *told) == expected
+        assert expected
+
+
 def dimensions(spark, sf):
     from alarmloom.plans import monitor as M
 
