@@ -23,6 +23,7 @@ are not read. Pieces of the same length are ranked by a hash of (doc_id, piece).
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
@@ -38,6 +39,7 @@ from alarmloom.llm.shared import cut_lineage
 
 KEPT_WORDS = 1 << 16
 KEPT_LENGTH = 64
+TEXTS_AT_ONCE = 512
 LEAST_CHUNK = 200
 MOST_CHUNKS = 100_000
 
@@ -59,11 +61,98 @@ class Recent(dict):
         if len(self) > KEPT_WORDS:
             self.last = {k: v for k, v in self.items() if len(k) <= KEPT_LENGTH}
             self.clear()
-        new = keys - self.keys()
-        again = new & self.last.keys()
-        for key in again:
-            self[key] = self.last[key]
-        return new - again
+        # asks for each key, where a difference would go through all that is kept
+        new = {key for key in keys if key not in self}
+        again = {key: self.last[key] for key in new if key in self.last}
+        self.update(again)
+        return new.difference(again)
+
+
+# Fixed rule: the bytes that stand for themselves in byte-level vocabularies; the others
+# are the characters from 256 on, in order.
+SHOWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
+class PartIds:
+    """Merges many parts of words at once, in arrays.
+
+    Parts of one length are the rows of a matrix of symbols.  A step merges the pair of
+    lowest rank, the first of equals, in every row, so all rows lose one symbol and the
+    matrix one column; rows without a pair that merges are done.
+    """
+
+    LONGEST = 32
+    NO_PAIR = np.iinfo(np.int32).max
+
+    def __init__(self, model: dict) -> None:
+        vocabulary, ending = model["vocab"], model["end_of_word_suffix"] or ""
+        others = iter(range(256, 512))
+        signs = [chr(b if b in SHOWN_BYTES else next(others)) for b in range(256)]
+        self.inner = np.array([vocabulary[c] for c in signs], np.int32)
+        self.last = np.array([vocabulary[c + ending] for c in signs], np.int32)
+        self.size = len(vocabulary)
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else m for m in model["merges"]]
+        keys = np.array([vocabulary[a] * self.size + vocabulary[b] for a, b in pairs], np.int64)
+        self.merged = np.array([vocabulary[a + b] for a, b in pairs], np.int32)
+        self.rank = np.argsort(keys).astype(np.int32)
+        self.keys = keys[self.rank]
+        # the ranks that parts begin with: of two bytes, the second within or at the end
+        one = np.repeat(self.inner, 256)
+        self.first = self.ranks(one, np.tile(self.inner, 256))
+        self.ending = self.ranks(one, np.tile(self.last, 256))
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, NO_PAIR where it does not merge."""
+        wanted = left.astype(np.int64) * self.size + right
+        at = np.searchsorted(self.keys, wanted)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == wanted, self.rank[at], self.NO_PAIR)
+
+    def ids_of(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Parts of at most LONGEST bytes with their little-endian ids, in any order."""
+        by_length: dict[int, list[tuple[str, bytes]]] = {}
+        for part in parts:
+            code = part.encode()
+            by_length.setdefault(len(code), []).append((part, code))
+        for length, some in by_length.items():
+            codes = np.frombuffer(b"".join([code for _, code in some]), np.uint8)
+            codes = codes.reshape(-1, length)
+            symbols = self.inner[codes]
+            symbols[:, -1] = self.last[codes[:, -1]]
+            pairs = codes[:, :-1].astype(np.int32) << 8 | codes[:, 1:]
+            ranks = self.first[pairs]
+            ranks[:, -1:] = self.ending[pairs[:, -1:]]
+            for rows, ids in self.steps(symbols, ranks):
+                step, flat = 4 * ids.shape[1], ids.astype("<u4").tobytes()
+                for i, row in enumerate(rows.tolist()):
+                    yield some[row][0], flat[i * step : (i + 1) * step]
+
+    def steps(
+        self, symbols: np.ndarray, ranks: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Numbers of rows that are done and their symbols; ranks are those of the pairs."""
+        rows = np.arange(len(symbols))
+        while ranks.shape[1] and len(rows):
+            at = ranks.argmin(1)
+            best = ranks[np.arange(len(rows)), at]
+            done = best == self.NO_PAIR
+            if done.any():
+                yield rows[done], symbols[done]
+                rows, symbols, ranks, at, best = (
+                    a[~done] for a in (rows, symbols, ranks, at, best)
+                )
+            n, width = symbols.shape
+            here = np.arange(n)
+            symbols[here, at + 1] = self.merged[best]
+            columns = np.arange(width)
+            # the merged symbol takes the place of its right one
+            symbols = symbols[columns != at[:, None]].reshape(n, width - 1)
+            ranks = ranks[columns[:-1] != at[:, None]].reshape(n, width - 2)
+            for side, near in ((at - 1, at > 0), (at, at < width - 2)):
+                i, j = here[near], side[near]
+                ranks[i, j] = self.ranks(symbols[i, j], symbols[i, j + 1])
+        if len(rows):
+            yield rows, symbols
 
 
 class WordIds:
@@ -86,6 +175,7 @@ class WordIds:
         special = "|".join(map(re.escape, specials))
         self.other = re.compile(f"[^{plain}]|(?i:{special})").search
         self.known, self.parts = Recent(), Recent()
+        self.merge = PartIds(json.loads(self.tokenizer.to_str())["model"]).ids_of
         chars = [chr(c) for c in range(33, 0x180) if not self.other(chr(c))]
         letters = "".join(c for c in chars if unicodedata.category(c)[0] == "L")
         digits = "".join(c for c in chars if unicodedata.category(c)[0] == "N")
@@ -100,24 +190,27 @@ class WordIds:
 
     def learn(self, words: set[str]) -> None:
         """Ids of words not met of late."""
-        new = {word: self.cut(word) for word in self.known.missing(words)}
-        self.learn_parts(set().union(*new.values()))
+        new = self.known.missing(words)
+        # a word of letters is one part
+        whole = set(filter(str.isalpha, new))
+        mixed = {word: self.cut(word) for word in new.difference(whole)}
+        self.learn_parts(whole.union(*mixed.values()))
         ids = self.parts.__getitem__
-        for word, parts in new.items():
+        self.known.update(zip(whole, map(ids, whole)))
+        for word, parts in mixed.items():
             self.known[word] = b"".join(map(ids, parts))
 
     def learn_parts(self, parts: set[str]) -> None:
-        """The same for parts of words, found in few calls of the library."""
-        new = list(self.parts.missing(parts))
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
+        """The same for parts of words; the library is asked for long ones only."""
+        new = self.parts.missing(parts)
+        # a character has one or two bytes here
+        short = [part for part in new if len(part) * 2 <= PartIds.LONGEST]
+        self.parts.update(self.merge(short))
+        for part in new.difference(short):
             coded = self.tokenizer.encode(
-                some, is_pretokenized=True, add_special_tokens=False
+                [part], is_pretokenized=True, add_special_tokens=False
             )
-            ids: list[list[int]] = [[] for _ in some]
-            for word, i in zip(coded.word_ids, coded.ids):
-                ids[word].append(i)
-            self.parts.update(zip(some, map(self.encoded, ids)))
+            self.parts[part] = self.encoded(coded.ids)
 
     def ids_of(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian ids of each text."""
@@ -157,8 +250,9 @@ def tokenized(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
         for texts in batches:
             texts = [text or "" for text in texts]
             out: list[list[dict]] = []
-            for at in range(0, len(texts), 256):
-                out += [cut(ids, capacity) for ids in ids_of(texts[at : at + 256])]
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                some = texts[at : at + TEXTS_AT_ONCE]
+                out += [cut(ids, capacity) for ids in ids_of(some)]
             yield pd.Series(out)
 
     found = docs.select("doc_id", pieces("text").alias("pieces"))

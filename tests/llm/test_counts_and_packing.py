@@ -1,6 +1,7 @@
 """Token counts against the library; packing against one-at-a-time best fit."""
 
 import random
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
@@ -149,3 +150,21 @@ def test_word_ids_equal_library(monkeypatch):
         for text, ids in zip(texts[at : at + 40], words.ids_of(texts[at : at + 40])):
             want = library.encode(text, add_special_tokens=False).ids
             assert ids == b"".join(i.to_bytes(4, "little") for i in want), repr(text)
+
+
+def test_parts_merged_in_arrays_are_those_of_the_library():
+    """Odd signs, long runs and parts beyond the arrays' width, batch after batch."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, words = Tokenizer.from_file(path), packing.WordIds(path)
+    rng = random.Random(2)
+    signs = [*map(chr, range(32, 0x180)), *" \t\n\r'stredvm", "<|", "日", "*" * 40]
+    for _ in range(4):
+        texts = [
+            "".join(rng.choices(rng.choice([signs, "abcdeinth' *#é1"]), k=rng.randrange(120)))
+            for _ in range(200)
+        ]
+        for text, ids in zip(texts, words.ids_of(texts)):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert ids == struct.pack(f"<{len(want)}I", *want)
