@@ -13,11 +13,14 @@ that reach the threshold matter, so only part of the product is formed:
 * A column is first multiplied with one document only, the most central one: that whose
   rarest column is the most frequent. In a group of near copies that is the text with
   the fewest edits, which is closest to all others. Documents that prove linked to the
-  same one need no further comparison with each other. Columns that
-  still hold documents of several groups are then multiplied out between the groups, but
-  for documents too many of whose leading columns no other group shares, a column with
-  very many documents in blocks of BLOCK. So no link between groups is lost,
-  and a group of copies costs as many comparisons as it has members.
+  same one need no further comparison with each other, so a group of copies costs as
+  many comparisons as it has members.
+* Columns that still hold documents of several groups make a sparse matrix, which is
+  multiplied in blocks: the columns of one central document, whose overlaps mostly meet
+  there, by halves of some BLOCK entries. A task gets the entries of whole blocks, adds up
+  overlaps in arrays, and only pairs that the bounds leave go on: what other blocks can
+  add is bounded by the entries that the documents have there. So no link between groups
+  is lost, and pairs that fall short never become rows.
 
 Which columns count as frequent is estimated, and only orders them: any order gives the
 same links. At most FREQUENT columns can reach the least count for the list, so that
@@ -47,7 +50,8 @@ HASH_BITS = 57
 FREQUENT = 1 << 20
 LEAST_FREQUENT = 6
 COUNTED_TOGETHER = 4_000_000
-BLOCK = 500
+BLOCK = 100_000
+AT_ONCE = 2_000_000
 BITMAP_BITS = 1 << 25
 BITMAP_ROW_BITS = 1 << 15
 
@@ -218,7 +222,7 @@ def shared_columns(leading_sets: DataFrame) -> DataFrame:
         .select("col", "top")
     )
     # as a table of its own, so that a column with very many entries can be split
-    shared = cut_lineage(shared)
+    shared = written(shared)
     entries = known.select("doc", "n", "last", F.explode("cols").alias("col"))
     return entries.join(shared, "col")
 
@@ -339,64 +343,192 @@ def pairs_with_centers(
     return promising(rows, percent)
 
 
-def pairs_between_groups(
-    entries: DataFrame, groups: DataFrame, percent: int
-) -> DataFrame:
-    """Pairs worth comparing of documents of different groups (doc, label), in blocks."""
+def open_entries(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """Entries of columns that documents of several groups (doc, label) hold."""
     labelled = entries.join(groups, "doc", "left").withColumn(
         "label", F.coalesce("label", "doc")
     )
     mixed = (
         labelled.groupBy("col")
-        .agg(
-            F.min("label").alias("least"),
-            F.max("label").alias("most"),
-            F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
-        )
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"))
         .where("least < most")
-        .select("col", "blocks")
-    )
-    open_entries = labelled.join(cut_lineage(mixed), "col")
-    # leading columns that only the document's own group holds match no other group
-    n, count = F.col("n"), F.count("*")
-    reach = open_entries.groupBy("doc", "n", "last").agg(
-        (F.ceil(n * percent / 100 - 1e-9) - 1 + count).alias("reach")
-    )
-    open_entries = cut_lineage(open_entries.join(reach, ["doc", "n", "last"]))
-    a = open_entries.select(
-        "col",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.col("doc").alias("a"),
-        F.col("n").alias("n_a"),
-        F.col("last").alias("last_a"),
-        F.col("label").alias("label_a"),
-        F.col("reach").alias("reach_a"),
-    )
-    b = open_entries.select(
-        "col",
-        F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("block"),
-        F.col("doc").alias("b"),
-        F.col("n").alias("n_b"),
-        F.col("last").alias("last_b"),
-        F.col("label").alias("label_b"),
-        F.col("reach").alias("reach_b"),
+        .select("col")
     )
-    # the other document would hold a shared column of the earlier one among its leading
-    reach = F.when(F.col("last_a") <= F.col("last_b"), F.col("reach_a"))
-    in_reach = reach.otherwise(F.col("reach_b")) >= needed(
-        F.col("n_a"), F.col("n_b"), percent
+    # a table of its own, so that a column with very many entries can be split
+    return written(labelled.join(written(mixed), "col"))
+
+
+def blocks_of(entries: DataFrame, room: int) -> DataFrame:
+    """Entries dealt to the blocks of the product: (top, low, high), and their own block.
+
+    The columns of one top are a block, its documents halves of about room entries; each
+    half meets itself and the others. open is the number of a document's entries.
+    """
+    halves = entries.groupBy("top").agg(
+        F.ceil(F.count("*") / room).cast("int").alias("halves")
     )
-    pairs = a.join(b, ["col", "block"]).where(
-        (F.col("a") < F.col("b"))
-        & (F.col("label_a") != F.col("label_b"))
-        & in_reach
-        & similar_sizes(F.col("n_a"), F.col("n_b"), percent)
+    sizes = entries.groupBy("doc", "n", "last").agg(F.count("*").alias("open"))
+    mine, other = F.col("half"), F.col("other")
+    return (
+        entries.join(sizes, ["doc", "n", "last"])
+        .join(halves, "top")
+        .withColumn("half", F.pmod(F.xxhash64("doc"), F.col("halves")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("halves") - 1)))
+        .select(
+            "top",
+            F.least(mine, other).alias("low"),
+            F.greatest(mine, other).alias("high"),
+            "half",
+            "col",
+            "label",
+            "doc",
+            "n",
+            "last",
+            "open",
+        )
     )
-    keys = ["a", "b", "n_a", "n_b", "last_a", "last_b"]
-    summed = pairs.groupBy(*keys).agg(F.count("*").alias("overlap"))
+
+
+def codes(*columns: np.ndarray) -> np.ndarray:
+    """Numbers from 0 of the distinct rows that the columns make, in their order."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), bool)
+    for column in columns:
+        new[1:] |= column[order[1:]] != column[order[:-1]]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def summed_up(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, at = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(at, n, len(distinct)).astype(np.int64)
+
+
+def overlaps(
+    rows: np.ndarray, begin: np.ndarray, end: np.ndarray, others: np.ndarray, room: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The sparse product: (row, other row, overlap), few rows at a time.
+
+    rows are the rows of entries, in order; an entry's column holds others[begin:end].
+    No more than room entries (or one column's) are multiplied out at once.
+    """
+    width = int(others.max(initial=-1)) + 1
+    ends = np.cumsum(end - begin)
+    last_of_row = np.append(rows[1:] != rows[:-1], True) if len(rows) else rows
+    at, kept, counts = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    while at < len(rows):
+        base = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, base + room, "right")))
+        n = (end - begin)[at:to]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        other = others[np.repeat(begin[at:to], n) + place]
+        keys, sums = np.unique(np.repeat(rows[at:to], n) * width + other, return_counts=True)
+        kept, counts = summed_up(np.append(kept, keys), np.append(counts, sums))
+        # overlaps of a row whose entries go on are not complete
+        done = len(kept)
+        if not last_of_row[to - 1]:
+            done = int(np.searchsorted(kept, rows[to - 1] * width))
+        yield kept[:done] // width, kept[:done] % width, counts[:done]
+        kept, counts, at = kept[done:], counts[done:], to
+
+
+def product(blocks: dict[str, np.ndarray], percent: int, room: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of documents of different labels that the blocks do not rule out.
+
+    What the columns of other blocks can add to a pair is bounded by the fewer entries
+    that either document has there, what the trailing columns can add as in promising.
+    """
+    task = codes(blocks["top"], blocks["low"], blocks["high"])
+    label = codes(blocks["label"])
+    row = codes(task, blocks["doc"], blocks["n"], blocks["last"])
+    # a column of a block, then the label: entries to multiply with are ranges
+    labels = int(label.max()) + 1
+    column = codes(task, blocks["col"])
+    place = column * labels + label
+
+    _, first, inside = np.unique(row, return_index=True, return_counts=True)
+    doc, n, last = (blocks[name][first] for name in ("doc", "n", "last"))
+    outside = blocks["open"][first] - inside
+    alone = blocks["low"] == blocks["high"]
+    right = np.flatnonzero(blocks["half"] == blocks["high"])
+    right = right[np.argsort(place[right], kind="stable")]
+    left = np.flatnonzero(blocks["half"] == blocks["low"])
+    left = left[np.argsort(row[left], kind="stable")]
+    others, sorted_place = row[right], place[right]
+
+    after = np.searchsorted(sorted_place, place[left], "right")
+    end = np.searchsorted(sorted_place, (column[left] + 1) * labels)
+    begin = np.searchsorted(sorted_place, column[left] * labels)
+    before = np.searchsorted(sorted_place, place[left])
+    # within a half, each two labels meet once
+    before = np.where(alone[left], begin, before)
+
+    # both ranges of an entry, one after the other
+    both = np.stack([begin, after], 1).ravel(), np.stack([before, end], 1).ravel()
+    some = both[0] < both[1]
+    rows_of = np.repeat(row[left], 2)[some]
+    for x, y, overlap in overlaps(rows_of, both[0][some], both[1][some], others, room):
+        n_x, n_y = n[x], n[y]
+        least = -(-(n_x + n_y) * percent // (100 + percent))
+        rest = -(-np.where(last[x] <= last[y], n_x, n_y) * percent // 100) - 1
+        most = overlap + np.minimum(outside[x], outside[y]) + rest
+        keep = (most >= least) & (n_x * 100 >= n_y * percent) & (n_y * 100 >= n_x * percent)
+        x, y, overlap = x[keep], y[keep], overlap[keep]
+        swap = doc[x] > doc[y]
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        found = [doc[x], doc[y], n[x], n[y], last[x], last[y], overlap]
+        yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], PAIRS)
+
+
+PAIRS = ["a", "b", "n_a", "n_b", "last_a", "last_b", "overlap"]
+
+
+def pairs_between_groups(
+    entries: DataFrame, groups: DataFrame, percent: int, room: int
+) -> DataFrame:
+    """Pairs worth comparing of documents of different groups (doc, label).
+
+    A linked pair is ruled out by none of the blocks in which it meets, so its overlap
+    is whole when summed over them.
+    """
+    blocks = blocks_of(open_entries(entries, groups), room)
+    keys = ["top", "low", "high"]
+    spread = blocks.repartition(*keys).sortWithinPartitions(*keys)
+
+    def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in whole_blocks(batches, keys, room):
+            yield from product(whole, percent, AT_ONCE)
+
+    pairs = spread.mapInArrow(multiplied, ", ".join(f"{name} long" for name in PAIRS))
+    summed = pairs.groupBy(*PAIRS[:-1]).agg(F.sum("overlap").alias("overlap"))
     return promising(summed, percent)
 
 
+def whole_blocks(
+    batches: Iterator[pa.RecordBatch], keys: list[str], room: int
+) -> Iterator[dict[str, np.ndarray]]:
+    """Sorted rows as arrays by column, room of them or more, never part of a block."""
+    held: list[pa.RecordBatch] = []
+
+    def arrays() -> dict[str, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        return {name: table.column(name).to_numpy() for name in table.column_names}
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < room:
+            continue
+        rows = arrays()
+        block = codes(*[rows[key] for key in keys])
+        cut = int(np.searchsorted(block, block[-1]))
+        if cut:
+            yield {name: values[:cut] for name, values in rows.items()}
+            held = pa.Table.from_batches(held).slice(cut).to_batches()
+    if sum(b.num_rows for b in held):
+        yield arrays()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """doc, component (smallest id reachable) of every document that has a link."""
     both = cut_lineage(
@@ -432,11 +564,11 @@ def ngram_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     """doc_id, n_shingles and component_id of every row of docs (doc_id, text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     leading_sets = written(leading_columns(texts, words, percent))
-    entries = cut_lineage(shared_columns(leading_sets))
+    entries = written(shared_columns(leading_sets))
     pairs = cut_lineage(pairs_with_centers(entries, centers(leading_sets), percent))
     first_links = cut_lineage(linked(pairs, texts, words, percent))
     groups = components(first_links).withColumnRenamed("component", "label")
-    pairs = cut_lineage(pairs_between_groups(entries, groups, percent))
+    pairs = cut_lineage(pairs_between_groups(entries, groups, percent, BLOCK))
     more_links = linked(pairs, texts, words, percent)
     found = components(first_links.union(more_links))
     return (
