@@ -8,7 +8,9 @@ can be shuffled instead of the key.
 
 Cells start at equal widths and are counted; a cell that still holds too many rows (a
 burst) is cut again, into ``CUTS`` parts, until none does or cells are one microsecond
-wide; rows of one microsecond are cut by their tie in the same way.  Which rows are hot is
+wide; rows of one microsecond are cut by their tie in the same way, a text by seven bytes at
+a time, as many as it takes.  Only rows alike in key, time and whole tie, which have no order,
+stay together whatever their number.  Which rows are hot is
 decided by counts of all rows, never by an estimate; where there are too few rows in all
 for any key to be hot, keys are not counted.  Keys
 and cells that are cut are tables in the shared folder, joined like any other table:
@@ -18,7 +20,7 @@ evaluation of the plan, also after a lost executor, sees the same chunks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -74,27 +76,41 @@ def split_hot_keys(
     if by_time is None:
         return df, False
     # what is left of a burst in one microsecond is cut by the tie
-    instant = by_time.withColumnsRenamed({"__cell": "__t0", "__width": "__w0"})
-    instant = instant.withColumn("__u", _number(df.schema[tie], tie))
-    one = F.col("__w0") == 1
-    by_tie = _cells(instant, [*keys, "__t0"], "__u", one, target, target)
-    if by_tie is None:
-        by_tie = instant.withColumn("__cell", F.lit(None).cast("long"))
-    label = F.concat(_sortable("__t0"), F.coalesce(_sortable("__cell"), F.lit("")))
-    return by_tie.select(*df.columns, label.alias(CHUNK)), True
-
-
-def _number(field: T.StructField, name: str) -> Column:
-    """A whole number that rises with a column, though not always strictly."""
-    kind = field.dataType
+    split = by_time.withColumnsRenamed({"__cell": "__t0", "__width": "__w0"})
+    levels = ["__t0"]
+    for number in _numbers(df, tie):
+        last = len(levels)
+        one = F.col(f"__w{last - 1}") == 1
+        numbered = split.withColumn("__u", number)
+        cut = _cells(numbered, [*keys, *levels], "__u", one, target, target, tie)
+        if cut is None:
+            break
+        split = cut.withColumnsRenamed({"__cell": f"__t{last}", "__width": f"__w{last}"})
+        levels.append(f"__t{last}")
+    finer = [F.coalesce(_sortable(level), F.lit("")) for level in levels[1:]]
+    label = F.concat(_sortable("__t0"), *finer)
+    return split.select(*df.columns, label.alias(CHUNK)), True
+
+
+def _numbers(df: DataFrame, name: str) -> Iterator[Column]:
+    """Whole numbers that rise with a column, each where the ones before are equal."""
+    kind = df.schema[name].dataType
     if isinstance(kind, T.StringType):
-        first = F.hex(F.substring(F.encode(F.col(name), "utf-8"), 1, 7))
-        return F.conv(F.rpad(first, 14, "0"), 16, 10).cast("long")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("long")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name)
-    return F.col(name).cast("long")
+        yield _seven_bytes(name, 1)
+        longest = df.agg(F.max(F.octet_length(name))).first()[0] or 0
+        for at in range(8, longest + 1, 7):
+            yield _seven_bytes(name, at)
+    elif isinstance(kind, T.DateType):
+        yield F.unix_date(name).cast("long")
+    elif isinstance(kind, T.TimestampType):
+        yield F.unix_micros(name)
+    else:
+        yield F.col(name).cast("long")
+
+
+def _seven_bytes(name: str, at: int) -> Column:
+    part = F.hex(F.substring(F.encode(F.col(name), "utf-8"), at, 7))
+    return F.conv(F.rpad(part, 14, "0"), 16, 10).cast("long")
 
 
 def _sortable(name: str) -> Column:
@@ -103,15 +119,30 @@ def _sortable(name: str) -> Column:
 
 
 def _cells(
-    df: DataFrame, keys: list[str], value: str, which: Column, least: int, target: int
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    which: Column,
+    least: int,
+    target: int,
+    whole: str | None = None,
 ) -> DataFrame | None:
     """df with __cell and __width, the cell of a value whose key has more than least rows.
 
-    Both are null for other keys and for rows that ``which`` leaves out.  None if there
-    is no such key.
+    Both are null for other keys, for rows that ``which`` leaves out and for keys whose
+    rows are all alike in the column ``whole``.  None if there is no such key.
     """
-    counts = df.where(which).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")
+    alike = F.min(whole) == F.max(whole) if whole else F.lit(False)
+    counts = (
+        df.where(which)
+        .groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(value).alias("lo"),
+            F.max(value).alias("hi"),
+            alike.alias("alike"),
+        )
+        .where("NOT alike")
     )
     # cells hold a quarter of the target where rows are spread evenly
     parts = F.ceil(4 * F.col("n") / target)

@@ -180,8 +180,30 @@ def test_one_instant_with_text_ties(spark):
     out, split = split_hot_keys(df, ["key"], "ts", "id", SPLIT)
     parts = sorted(out.groupBy("__chunk").agg(F.min("id").alias("a"), F.max("id").alias("b"))
                    .collect())
-    # ties that begin alike cannot be told apart by their first bytes: they stay together
     assert split and all(x.b < y.a for x, y in zip(parts, parts[1:]))
+    assert out.groupBy("__chunk").count().agg(F.max("count")).first()[0] <= 20
+
+
+def test_one_instant_with_ties_that_begin_alike(spark):
+    """Long common beginnings, ties within others, equal ties, none and odd signs."""
+    rng = random.Random(4)
+    begin = "gateway/eu-central/é日本/"
+    ties = [begin + "".join(rng.choice("ab\x00ü") for _ in range(rng.randrange(12))) for _ in range(500)]
+    ties += [begin + "equal"] * 60 + ["", "a", begin[:9]]
+    rows = [("hot", 5, i, OPEN, 1) for i in range(len(ties))]
+    texts = spark.createDataFrame(list(enumerate(ties)), "n long, tie string")
+    df = frame(spark, rows).withColumnRenamed("id", "n").join(texts, "n")
+    out, split = split_hot_keys(df, ["key"], "ts", "tie", SPLIT)
+    assert split and out.count() == len(ties)
+    parts = {}
+    for row in out.collect():
+        parts.setdefault(row["__chunk"], []).append(row.tie.encode())
+    ordered = [parts[label] for label in sorted(parts)]
+    ends = [(min(x), max(x)) for x in ordered]
+    # NUL bytes and ends of texts count alike, so only those may meet in one chunk
+    plain = [(a.rstrip(b"\0"), b.rstrip(b"\0")) for a, b in ends]
+    assert all(x[1] < y[0] for x, y in zip(plain, plain[1:]))
+    assert all(len({t.rstrip(b"\0") for t in x}) == 1 for x in ordered if len(x) > 20)
 
 
 def test_late_rows_by_buckets_of_windows(spark, monkeypatch):
