@@ -49,9 +49,9 @@ PERCENT = 80
 HASH_BITS = 57
 FREQUENT = 1 << 20
 LEAST_FREQUENT = 6
-COUNTED_TOGETHER = 4_000_000
+COUNTED_TOGETHER = 2_000_000
 BLOCK = 100_000
-AT_ONCE = 2_000_000
+AT_ONCE = 200_000
 BITMAP_BITS = 1 << 25
 BITMAP_ROW_BITS = 1 << 15
 
