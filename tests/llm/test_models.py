@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -60,6 +62,55 @@ def test_non_negative_risk_does_not_call_toxic_text_clean():
     assert model.weights[7] + model.bias > 0 > model.bias
 
 
+def risk(model, texts, toxic, prior):
+    """The corrected risk of a model, document by document in plain Python."""
+    margins = []
+    for text in texts:
+        words = set(re.findall(rb"[0-9a-z\x80-\xff]+", text.lower().encode()))
+        buckets = {zlib.crc32(w) % features.BUCKETS for w in words}
+        buckets |= {zlib.crc32(w[:k], 77) % features.BUCKETS for w in words for k in range(4, 9) if k < len(w)}
+        margins.append(model.bias + sum(model.weights.get(b, 0.0) for b in buckets))
+    as_toxic = [math.log1p(math.exp(-m)) for m, t in zip(margins, toxic) if t]
+    as_clean = [[math.log1p(math.exp(m)) for m, t in zip(margins, toxic) if t == side] for side in (0, 1)]
+    clean = sum(as_clean[0]) / len(as_clean[0]) - prior * sum(as_clean[1]) / len(as_clean[1])
+    decay = toxicity.DECAY / 2 * sum(w * w for w in model.weights.values())
+    return prior * sum(as_toxic) / len(as_toxic) + max(0.0, clean) + decay, margins
+
+
+def test_toxicity_is_of_least_risk(spark, monkeypatch):
+    """Against the risk by plain Python: scores are its margins, and no step lowers it."""
+    monkeypatch.setattr(toxicity, "STEPS", 3000)
+    monkeypatch.setattr(toxicity, "RATE", 0.01)
+    rng = random.Random(5)
+    words = ["bread", "garden", "Table", "windowpane", "sky", "été"]
+    texts, toxic = [], []
+    for i in range(700):
+        # of the unlabelled, as many are toxic as the prior says
+        bad = i < 200 or i % 10 < 3
+        some = [rng.choice(words) for _ in range(6)]
+        # clean text holds the telling words now and then, toxic text not always
+        some += ["vilename"] * (rng.random() < (0.7 if bad else 0.1)) + ["slur"] * (rng.random() < (0.5 if bad else 0.05))
+        texts.append(" ".join(some))
+        toxic.append(int(i < 200))
+    rows = [(i, t, y) for i, (t, y) in enumerate(zip(texts, toxic))]
+    sample = toxicity.screened(spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3))
+    told = {zlib.crc32(w) % features.BUCKETS for w in (b"vilename", b"slur")}
+    told |= {zlib.crc32(b"vilename"[:k], 77) % features.BUCKETS for k in range(4, 8)}
+    assert sample.n == 700 and told <= set(sample.ids.tolist())
+    assert not {zlib.crc32(w.lower().encode()) % features.BUCKETS for w in words} & set(sample.ids.tolist())
+    model = toxicity.fit_non_negative(sample, 0.3)
+    least, margins = risk(model, texts, toxic, 0.3)
+    assert [model.score(t) for t in texts] == pytest.approx([1 / (1 + math.exp(-m)) for m in margins])
+    for bucket in [None, *model.weights]:
+        for by in (-0.05, 0.05):
+            moved = toxicity.Model(dict(model.weights), model.bias)
+            if bucket is None:
+                moved.bias += by
+            else:
+                moved.weights[bucket] += by
+            assert risk(moved, texts, toxic, 0.3)[0] > least - 1e-5
+
+
 def test_toxicity_edges(edge_docs, no_docs, clashing, labels, spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score < 1e-9 for r in toxicity.toxicity(edge_docs, none).collect()} == {True}
