@@ -1,6 +1,7 @@
 """Searches, scans, joins and fingerprints against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -335,6 +336,49 @@ def test_fingerprints(edge_docs, edge_rows, monkeypatch):
             assert 0 <= near <= 1
 
 
+def spark_hash(*values):
+    """64-bit hash of long integers, (value, 4) pairs of narrow ones, or texts, in a chain."""
+    import xxhash
+
+    seed = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v[0].to_bytes(4, "little") if isinstance(v, tuple) else v.to_bytes(8, "little")
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed
+
+
+def brute_fingerprint(text):
+    words = re.findall(r"[^ \t\n\x0b\f\r]+", text.lower())
+    if not words:
+        return ""
+    hashed = [spark_hash(w) for w in words]
+    runs = [hashed[i : i + 5] for i in range(len(words) - 4)] or [hashed]
+    bins = [None] * 256
+    for h in {spark_hash(*run) for run in runs}:
+        place, payload = h >> 56, h >> 8 & (1 << 48) - 1
+        bins[place] = payload if bins[place] is None else min(bins[place], payload)
+    full = []
+    for j in range(256):
+        tried = [j, *[spark_hash((j, 4), (t, 4)) % 256 for t in range(fingerprints.PROBES)]]
+        held = [i for i in range(256) if bins[i] is not None]
+        signed = {i: (spark_hash((i, 4), (j, 4), "rest") + 2**63) % 2**64 for i in held}
+        tried += sorted(held, key=signed.get)
+        full.append(next(bins[i] for i in tried if bins[i] is not None) & 255)
+    groups = [bytes(reversed(full[i : i + 8])).hex() for i in range(0, 256, 8)]
+    return "".join(groups)
+
+
+def test_fingerprints_bin_by_bin(spark):
+    """Bins, densification and packing against plain Python, whole fingerprints."""
+    rng = random.Random(8)
+    sizes = [1, 3, 4, 5, 6, 9, 30, 80, 300, 1500]
+    texts = [" ".join(rng.choice("alpha Beta gamma delta epsilon zeta eta theta".split()) + str(rng.randrange(40)) for _ in range(n)) for n in sizes]
+    texts += ["", " \n\t", "One  two\nthree\tfour five six", "same same same same same same"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(frame).collect()}
+    assert got == {i: brute_fingerprint(text) for i, text in enumerate(texts)}
+
+
 def test_fingerprints_of_nothing_and_one(spark, no_docs):
     assert fingerprints.fingerprints(no_docs).count() == 0
     one = spark.createDataFrame([(1, "abcdefgh")], "doc_id long, text string")
