@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the shared folder the session names; set one only where there is none."""
+    """Keep the shared folder the session names; set one only on a single machine."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     named = context.getConf().get("spark.checkpoint.dir")
+    if not named and context.master.split("[")[0] != "local":
+        raise RuntimeError("name a folder all executors share in spark.checkpoint.dir")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="alarmloom-"))
 
 
