@@ -23,6 +23,7 @@ def tumbling(df: DataFrame, ts: str, size: str) -> DataFrame:
 
 def window_label(df: DataFrame) -> DataFrame:
     """The window of a row as text, in epoch milliseconds."""
+    # The words of the text
     text = F.concat(
         F.lit("-----start:--"),
         F.unix_millis("start").cast("string"),

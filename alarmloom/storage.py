@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names in spark.checkpoint.dir, as Spark resolved it.
 
-    Only where none is named (tests on one machine) a temporary folder is set.
+    Only where none is named and all runs on one machine (tests) a temporary folder is set.
     """
     context = spark.sparkContext
     named = context._jsc.sc().getCheckpointDir()
     if not named.isDefined():
         folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and context.master.split("[")[0] != "local":
+            raise RuntimeError("name a folder all executors share in spark.checkpoint.dir")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="alarmloom-"))
         named = context._jsc.sc().getCheckpointDir()
     return named.get()
