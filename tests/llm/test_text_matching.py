@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from alarmloom.llm import decontamination, fingerprints, line_dedup, ngram_join, secret_scan
@@ -145,8 +147,36 @@ def test_ngram_join_in_blocks_and_chains(spark, monkeypatch):
         assert rows(ngram_join.ngram_join(frame, size, percent)) == brute_components(docs, size, percent)
 
 
-def test_ngram_join_of_nothing(no_docs):
+@pytest.mark.parametrize("room", [1, 7, 10**6])
+def test_overlaps_added_up_in_pieces(room):
+    """Each entry's range of others, counted by row and other row."""
+    rng = np.random.default_rng(room)
+    rows_of = np.sort(rng.integers(0, 40, 300))
+    others = rng.integers(0, 25, 200)
+    begin = rng.integers(0, 200, 300)
+    end = np.minimum(200, begin + rng.integers(0, 30, 300))
+    want = Counter((int(r), int(o)) for r, a, b in zip(rows_of, begin, end) for o in others[a:b])
+    got = Counter()
+    for part in ngram_join.overlaps(rows_of, begin, end, others, room):
+        for x, y, n in zip(*part):
+            assert (x, y) not in got  # an overlap leaves once, when it is whole
+            got[int(x), int(y)] = int(n)
+    assert got == want
+
+
+@pytest.mark.parametrize("room", [5, 40, 10**6])
+def test_blocks_are_never_parted(room):
+    rng = random.Random(room)
+    block = sorted(rng.randrange(30) for _ in range(500))
+    table = pa.table({"top": block, "low": [b % 3 for b in block], "n": range(500)})
+    parts = list(ngram_join.whole_blocks(iter(table.to_batches(max_chunksize=9)), ["top", "low"], room))
+    assert np.concatenate([p["n"] for p in parts]).tolist() == list(range(500))
+    assert all(a["top"][-1] < b["top"][0] for a, b in zip(parts, parts[1:]))
+
+
+def test_ngram_join_of_nothing_and_clashing_names(no_docs, clashing, edge_docs):
     assert ngram_join.ngram_join(no_docs).count() == 0
+    assert rows(ngram_join.ngram_join(clashing)) == rows(ngram_join.ngram_join(edge_docs))
 
 
 # ---- secrets
@@ -382,5 +412,7 @@ def test_fingerprints_bin_by_bin(spark):
 def test_fingerprints_of_nothing_and_one(spark, no_docs):
     assert fingerprints.fingerprints(no_docs).count() == 0
     one = spark.createDataFrame([(1, "abcdefgh")], "doc_id long, text string")
+    named = one.selectExpr("*", "'x' AS fp", "1 AS key", "2 AS bucket", "3 AS ghost", "4 AS next_text")
+    assert rows(fingerprints.fingerprints(named)) == rows(fingerprints.fingerprints(one))
     row = fingerprints.fingerprints(one).first()
     assert row.near_next == 1.0 and row.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
