@@ -364,8 +364,9 @@ def blocks_of(entries: DataFrame, room: int) -> DataFrame:
     The columns of one top are a block, its documents halves of about room entries; each
     half meets itself and the others. open is the number of a document's entries.
     """
-    halves = entries.groupBy("top").agg(
-        F.ceil(F.count("*") / room).cast("int").alias("halves")
+    # a table of its own, so that the entries of one top can be split
+    halves = written(
+        entries.groupBy("top").agg(F.ceil(F.count("*") / room).cast("int").alias("halves"))
     )
     sizes = entries.groupBy("doc", "n", "last").agg(F.count("*").alias("open"))
     mine, other = F.col("half"), F.col("other")
