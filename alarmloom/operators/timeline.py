@@ -22,7 +22,6 @@ before the labelling pass.
 
 from __future__ import annotations
 
-import functools
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -33,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from alarmloom.operators.hotkeys import (
     CHUNK,
@@ -281,62 +281,74 @@ class Timeline:
         on = F.lit(True)
         for i, k in enumerate(self.keys):
             on = on & F.col(k).eqNullSafe(F.col(f"__w{i}"))
-        narrow = hot.join(width, on, "left").select(
-            *self.part, "__ts", F.col(self.tie).alias("__tie"), "__kind", "__due",
-            "__width",
+        along = Window.partitionBy(*self.part).orderBy("__ts", "__tie")
+        narrow = (
+            hot.join(width, on, "left")
+            .select(
+                *self.part, "__ts", F.col(self.tie).alias("__tie"), "__kind", "__due",
+                "__width",
+            )
+            .repartition(*self.part)
+            .withColumn("__first", F.row_number().over(along) == 1)
+            .sortWithinPartitions(*self.part, "__ts", "__tie")
         )
         key_fields = [self.df.schema[k] for k in self.part]
         tables = written(
-            narrow.groupBy(*self.part).applyInPandas(
-                _transfer(self.part), T.StructType(key_fields + _TRANSFER_FIELDS)
+            narrow.mapInArrow(
+                _tables(self.part), T.StructType(key_fields + _TRANSFER_FIELDS)
             )
         )
         # only chunk labels and times are ordered per key, not tables
         along = Window.partitionBy(*self.keys).orderBy(CHUNK)
+        whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         places = tables.select(*self.part, "first_ts").select(
             *[F.col(k).alias(f"__j{i}") for i, k in enumerate(self.part)],
             (F.row_number().over(along) - 1).cast("long").alias("__i"),
+            (F.count(F.lit(1)).over(whole) - 1).alias("__last"),
             F.lead("first_ts").over(along).alias("__next"),
         )
         levels = [written(self._join_chunks(tables, places))]
-        last = levels[0].agg(F.max("__i")).first()[0] or 0
-        grouped = [*self.keys, "__g"]
+        last = levels[0].agg(F.max("__last")).first()[0] or 0
+        numbers = [T.StructField(c, T.LongType()) for c in ("__i", "__last")]
         while last >= FAN:
-            members = levels[-1].withColumn("__g", F.expr(f"__i div {FAN}"))
-            schema = [*key_fields[:-1], T.StructField("__i", T.LongType()), *_TRANSFER_FIELDS]
-            combined = members.groupBy(*grouped).applyInArrow(
-                _combined(self.keys), T.StructType(schema)
-            )
-            levels.append(written(combined))
+            # a key whose tables are one group needs no table of that group
+            members = self._in_groups(levels[-1].where(F.col("__last") >= FAN))
+            schema = T.StructType([*key_fields[:-1], *numbers, *_TRANSFER_FIELDS])
+            levels.append(written(members.mapInArrow(_combined(self.keys, FAN), schema)))
             last //= FAN
         states = None
         for level in reversed(levels):
-            members = level.withColumn("__g", F.expr(f"__i div {FAN}"))
-            if states is None:  # nothing is open before the first row of a key
-                members = members.withColumns({c: F.lit(NONE) for c in _CARRY})
-            else:
-                members = self._join_groups(members, states)
+            # nothing is open before the first row of a key
+            nothing = {c: F.lit(NONE) for c in _CARRY}
+            if states is not None:
+                level = self._join_groups(level, states)
+                nothing = {c: F.coalesce(F.col(c), F.lit(NONE)) for c in _CARRY}
+            members = self._in_groups(level.withColumns(nothing))
             kept = [c for c in (*self.part, "__i", "__next") if c in level.columns]
             schema = [level.schema[c] for c in kept]
             schema += [T.StructField(c, T.LongType()) for c in _CARRY]
-            states = members.groupBy(*grouped).applyInArrow(
-                _handed_down(kept), T.StructType(schema)
-            )
+            states = members.mapInArrow(_handed_down(kept, FAN), T.StructType(schema))
         return states.select(
             *[F.col(k).alias(f"__j{i}") for i, k in enumerate(self.part)],
             *_CARRY, "__next",
         )
 
+    def _in_groups(self, tables: DataFrame) -> DataFrame:
+        """Tables in order, FAN neighbours of a key (a group) in one partition."""
+        grouped = [*self.keys, "__g"]
+        members = tables.withColumn("__g", F.expr(f"__i div {FAN}"))
+        return members.repartition(*grouped).sortWithinPartitions(*grouped, "__i")
+
     def _join_groups(self, members: DataFrame, states: DataFrame) -> DataFrame:
-        """members with the state at the start of their group."""
+        """members with the state at the start of their group, where it is not the first."""
         starts = states.select(
             *[F.col(k).alias(f"__j{i}") for i, k in enumerate(self.keys)],
             F.col("__i").alias("__of"), *_CARRY,
         )
-        on = F.col("__g") == F.col("__of")
+        on = F.expr(f"__i div {FAN}") == F.col("__of")
         for i, k in enumerate(self.keys):
             on = on & F.col(k).eqNullSafe(F.col(f"__j{i}"))
-        return members.join(starts, on).drop(
+        return members.join(starts, on, "left").drop(
             "__of", *[f"__j{i}" for i in range(len(self.keys))]
         )
 
@@ -486,76 +498,165 @@ def label_rows(
     return [out_due, out_open, out_pos, out_first], after
 
 
-def _transfer(part: list[str]):
-    """Reduces a chunk to a table: open window at its start -> at its end.
+def chunk_tables(
+    starts: np.ndarray, ts: np.ndarray, kind: np.ndarray, due: np.ndarray, width: np.ndarray
+) -> dict[str, np.ndarray]:
+    """The tables of chunks: open window at a chunk's start -> at its end.
 
-    Only OPEN rows start windows, so following the chain of windows needs only
-    them.  ``until[e]`` is the last opener time of group e: any window due before
-    it (and not before the previous group's) leads to the window (open, due, pos)
+    The rows of each chunk are in order, ``starts`` are the first ones; all chunks are
+    reduced at once.  Only OPEN rows start windows, so following the chain of windows
+    needs only them.  ``until[e]`` is the last opener time of entry e: any window due before
+    it (and not before the previous entry's) leads to the window (open, due, pos)
     [e] at the end of the chunk, or to none (due NONE).  A window due at or after
     the last ``until`` is still open at the end.  Windows due after ``reach`` cannot
-    be open at the start.  Chains merge quickly on irregular data, so the groups are
+    be open at the start.  Chains merge quickly on irregular data, so the entries are
     few; never are there more than windows that can be open at the end.
+
+    The entries of all chunks are in one array per column, ``entries`` of them a chunk.
     """
+    n, m = len(ts), len(starts)
+    ends = np.append(starts[1:], n)
+    chunk = np.repeat(np.arange(m), ends - starts)
+    resets = np.concatenate([[-1], np.flatnonzero(kind == RESET)])
+    last_reset = resets[np.searchsorted(resets, ends) - 1]
+    reset = last_reset >= starts
+    begin = np.where(reset, last_reset + 1, starts)
+
+    openers = np.flatnonzero((kind == OPEN) & (np.arange(n) >= begin[chunk]))
+    o_ts, o_due, o_chunk = ts[openers], due[openers], chunk[openers]
+    k = np.bincount(o_chunk, minlength=m)
+    o_end = np.cumsum(k)
+    o_start = o_end - k
+    # end[a]: the last window of the chain that starts at opener a
+    each = np.arange(len(openers))
+    times, rank = np.unique(np.concatenate([o_ts, o_due]), return_inverse=True)
+    place = o_chunk * (len(times) + 1)
+    follow = np.searchsorted(
+        place + rank[:len(each)], place + rank[len(each):], side="right"
+    )
+    follow = np.maximum(follow, each + 1)
+    end = np.where(follow < o_end[o_chunk], follow, each)
+    while not np.array_equal(end, end[end]):
+        end = end[end]
+
+    # A window open at the start is due at most one width after it.
+    first_ts = ts[starts]
+    reach = first_ts + width[starts]
+    reach[(width[starts] > 0) & (reach < first_ts)] = FOREVER
+    near = np.bincount(o_chunk[o_ts <= reach[o_chunk]], minlength=m)
+    used = np.where(reset, 0, np.minimum(k, near + 1))
+    tails = np.flatnonzero(each - o_start[o_chunk] < used[o_chunk])
+    changes = (np.diff(end[tails]) != 0) | (np.diff(o_chunk[tails]) != 0)
+    tails = tails[np.append(changes, True)[:len(tails)]]
+    # whatever was open before a reset is not any more
+    cut = np.flatnonzero(reset)
+    cut_last = end[o_start[cut[k[cut] > 0]]]
+    cut_to = np.full((3, len(cut)), [[NONE], [NONE], [0]])
+    cut_to[:, k[cut] > 0] = o_ts[cut_last], o_due[cut_last], o_end[o_chunk[cut_last]] - cut_last
+    # windows due after the last opener, but before the last row
+    last_opener = np.full(m, NONE)
+    last_opener[k > 0] = o_ts[o_end[k > 0] - 1]
+    none = np.flatnonzero(~reset & ((k == 0) | ((used == k) & (last_opener < ts[ends - 1]))))
+    nothing = np.full(len(none), NONE)
+
+    of = np.concatenate([o_chunk[tails], cut, none])
+    order = np.argsort(of, kind="stable")
+    last = end[tails]
+    entries = {
+        "until": [o_ts[tails], np.full(len(cut), FOREVER), ts[ends[none] - 1]],
+        "open": [o_ts[last], cut_to[0], nothing],
+        "due": [o_due[last], cut_to[1], nothing],
+        "pos": [o_end[o_chunk[tails]] - last, cut_to[2], np.zeros(len(none), np.int64)],
+    }
+    first = np.full(m, NONE)
+    first[k > 0] = o_due[o_start[k > 0]]
+    return {
+        "reset": reset, "openers": k, "first_ts": first_ts, "reach": reach, "first": first,
+        "entries": np.bincount(of, minlength=m),
+        **{c: np.concatenate(parts)[order] for c, parts in entries.items()},
+    }
+
+
+def _table_columns(found: dict[str, np.ndarray]) -> list[pa.Array]:
+    """The columns of chunk_tables in the order of _TRANSFER_FIELDS."""
+    offsets = pa.array(np.append(0, np.cumsum(found["entries"])), pa.int32())
+    return [
+        pa.ListArray.from_arrays(offsets, pa.array(found[f.name]))
+        if f.dataType == _LONGS else pa.array(found[f.name])
+        for f in _TRANSFER_FIELDS
+    ]
+
+
+_ROW_FIELDS = ("__ts", "__kind", "__due", "__width")
+
+
+def _tables(part: list[str]):
+    """Reduces the sorted chunks of a partition to their tables, a batch at a time.
+
+    The rows of a chunk that has not ended are kept for the next batch.
+    """
+    names = [*part, *[f.name for f in _TRANSFER_FIELDS]]
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, held = None, []
+
+        def reduced(heads: list[pa.RecordBatch], starts, pieces) -> pa.RecordBatch:
+            rows = [np.concatenate(x) for x in zip(*pieces)]
+            columns = _table_columns(chunk_tables(starts, *rows))
+            labels = pa.Table.from_batches(heads).combine_chunks()
+            labels = [pa.concat_arrays(labels.column(c).chunks) for c in part]
+            return pa.RecordBatch.from_arrays(labels + columns, names=names)
+
+        for batch in batches:
+            rows = [
+                batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                for c in _ROW_FIELDS
+            ]
+            starts = np.flatnonzero(batch.column("__first").to_numpy(zero_copy_only=False))
+            if not len(starts):
+                held.append(rows)
+                continue
+            labels = batch.select(part).take(pa.array(starts))
+            at, before = starts[-1], sum(len(x[0]) for x in held)
+            ended = before + starts[:-1]
+            if head is not None:
+                ended = np.append(0, ended)
+            if len(ended):
+                heads = ([head] if head is not None else []) + [labels.slice(0, len(labels) - 1)]
+                yield reduced(heads, ended, [*held, [x[:at] for x in rows]])
+            head, held = labels.slice(len(labels) - 1), [[x[at:] for x in rows]]
+        if head is not None:
+            yield reduced([head], np.zeros(1, np.int64), held)
+
+    return reduce
+
+
+def _transfer(part: list[str]):
+    """The table of one chunk of rows in any order."""
 
     def reduce(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["__ts", "__tie"])
-        ts, kind, due = (rows[c].to_numpy(dtype=np.int64)
-                         for c in ("__ts", "__kind", "__due"))
-        resets = np.flatnonzero(kind == RESET)
-        start = int(resets[-1]) + 1 if len(resets) else 0
-        is_open = kind == OPEN
-        is_open[:start] = False
-        o_ts, o_due = ts[is_open], due[is_open]
-        k = len(o_ts)
-        until, open_, due_, pos_ = [], [], [], []
-        reach = min(FOREVER, int(ts[0]) + int(rows["__width"].iloc[0]))
-        if k:
-            # end[a]: the last window of the chain that starts at opener a
-            follow = np.searchsorted(o_ts, o_due, side="right")
-            follow = np.maximum(follow, np.arange(1, k + 1))
-            end = np.empty(k, dtype=np.int64)
-            steps, final = follow.tolist(), [0] * k
-            for a in range(k - 1, -1, -1):
-                final[a] = a if steps[a] >= k else final[steps[a]]
-            end[:] = final
-            if len(resets):
-                n, heads, tails = k, np.array([0]), np.array([0])
-            else:
-                # A window open at the start is due at most one width after it.
-                n = min(k, int(np.searchsorted(o_ts, reach, side="right")) + 1)
-                change = np.flatnonzero(np.diff(end[:n])) + 1
-                heads = np.concatenate([[0], change])
-                tails = np.concatenate([change, [n]]) - 1
-            last = end[heads]
-            until = o_ts[tails].tolist()
-            open_, due_ = o_ts[last].tolist(), o_due[last].tolist()
-            pos_ = (k - last).tolist()
-        if len(resets):  # whatever was open is not any more
-            until = [FOREVER]
-            open_, due_, pos_ = open_ or [NONE], due_ or [NONE], pos_ or [0]
-        elif not k or (n == k and until[-1] < ts[-1]):
-            until, open_, due_, pos_ = (
-                [*until, int(ts[-1])], [*open_, NONE], [*due_, NONE], [*pos_, 0]
-            )
-        record = {c: rows[c].iloc[0] for c in part}
-        record.update(
-            reset=bool(len(resets)), openers=k, first_ts=int(ts[0]), reach=reach,
-            until=until, open=open_, due=due_, pos=pos_,
-            first=int(o_due[0]) if k else NONE,
+        found = chunk_tables(
+            np.zeros(1, np.int64), *[rows[c].to_numpy(dtype=np.int64) for c in _ROW_FIELDS]
         )
-        return pd.DataFrame([record])
+        columns = zip(_TRANSFER_FIELDS, _table_columns(found))
+        record = {c: rows[c].iloc[0] for c in part}
+        return pd.DataFrame([record | {f.name: c[0].as_py() for f, c in columns}])
 
     return reduce
 
 
-def _through(table: dict, state: State) -> State:
-    """The state after a chunk, from the state before it and the chunk's table."""
+def _through(table: dict, state: State, start: int = 0, end: int | None = None) -> State:
+    """The state after a chunk, from the state before it and the chunk's table.
+
+    The entries are those from ``start`` to ``end`` of the table's lists.
+    """
+    end = len(table["until"]) if end is None else end
     due, opened, pos, first = state
     if table["reset"]:
         due, opened, pos, first = NONE, NONE, 0, NONE
-    e = bisect_right(table["until"], due)
-    if e < len(table["until"]):
+    e = bisect_right(table["until"], due, start, end)
+    if e < end:
         due, opened, pos = (table[c][e] for c in ("due", "open", "pos"))
     else:
         pos += table["openers"]
@@ -594,39 +695,70 @@ def combine(a: dict, b: dict) -> dict:
     }
 
 
-def _in_order(tables: pa.Table) -> tuple[pa.Table, list[dict]]:
-    tables = tables.sort_by("__i")
-    return tables, tables.select([f.name for f in _TRANSFER_FIELDS]).to_pylist()
-
+def _combined(keys: list[str], fan: int):
+    """Each group of neighbouring tables, sorted, to one."""
+    names = [f.name for f in _TRANSFER_FIELDS]
 
-def _combined(keys: list[str]):
-    """Neighbouring tables of a key to one."""
+    def records(groups: list[tuple[pa.RecordBatch, dict]]) -> Iterator[pa.RecordBatch]:
+        if groups:
+            heads = pa.Table.from_batches([head for head, _ in groups])
+            columns = [pa.concat_arrays(c.chunks) for c in heads.columns]
+            columns += [
+                pa.array([whole[f.name] for _, whole in groups], to_arrow_type(f.dataType))
+                for f in _TRANSFER_FIELDS
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keys, "__i", "__last", *names])
 
-    def reduce_group(group: pa.Table) -> pa.Table:
-        group, tables = _in_order(group)
-        whole = functools.reduce(combine, tables)
-        out = group.slice(0, 1).select([*keys, "__g"]).rename_columns([*keys, "__i"])
-        for field in _TRANSFER_FIELDS:
-            kind = group.schema.field(field.name).type
-            out = out.append_column(field.name, pa.array([whole[field.name]], kind))
-        return out
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, whole = None, None
+        for batch in batches:
+            ended = []
+            places = batch.column("__i").to_pylist()
+            # the place of a group among groups, and of the key's last group
+            upper = [pa.array([i // fan for i in batch.column(c).to_pylist()], pa.int64())
+                     for c in ("__i", "__last")]
+            labels = pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in keys] + upper, names=[*keys, "__i", "__last"]
+            )
+            for row, table in enumerate(batch.select(names).to_pylist()):
+                if places[row] % fan:
+                    whole = combine(whole, table)
+                    continue
+                if head is not None:
+                    ended.append((head, whole))
+                head, whole = labels.slice(row, 1), table
+            yield from records(ended)
+        if head is not None:
+            yield from records([(head, whole)])
 
-    return reduce_group
+    return reduce
 
 
-def _handed_down(kept: list[str]):
-    """The state at the start of each member, from that at the start of its group."""
+def _handed_down(kept: list[str], fan: int):
+    """The state at the start of each table, from that at the start of its group."""
 
-    def follow(group: pa.Table) -> pa.Table:
-        group, tables = _in_order(group)
-        state = tuple(group.column(c)[0].as_py() for c in _CARRY)
-        states = []
-        for table in tables:
-            states.append(state)
-            state = _through(table, state)
-        out = group.select(kept)
-        for name, values in zip(_CARRY, zip(*states)):
-            out = out.append_column(name, pa.array(values, pa.int64()))
-        return out
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = (NONE, NONE, 0, NONE)
+        for batch in batches:
+            starts = zip(*[batch.column(c).to_pylist() for c in _CARRY])
+            places = batch.column("__i").to_pylist()
+            bounds = batch.column("until").offsets.to_pylist()
+            single, table = ("reset", "openers", "first"), {}
+            for c in ("until", "open", "due", "pos"):  # the lists of all tables
+                table[c] = batch.column(c).values.to_numpy().tolist()
+            scalars = zip(*[batch.column(c).to_pylist() for c in single])
+            states = []
+            for row, (start, values) in enumerate(zip(starts, scalars)):
+                if places[row] % fan == 0:
+                    state = start
+                states.append(state)
+                table.update(zip(single, values))
+                state = _through(table, state, bounds[row], bounds[row + 1])
+            carried = [pa.array(x, pa.int64()) for x in zip(*states)] or [
+                pa.array([], pa.int64()) for _ in _CARRY
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in kept] + carried, names=[*kept, *_CARRY]
+            )
 
     return follow

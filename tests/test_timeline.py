@@ -3,6 +3,8 @@
 import functools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -301,3 +303,81 @@ def test_rounds_of_combined_tables_match_brute_force(spark, monkeypatch, fan):
     got = line.windows(F.col("kind"), F.col("t") + F.col("width")).collect()
     found = {r.id: (r.w_due, r.w_open, r.w_pos, r.w_first, r.w_next) for r in got}
     assert found == brute_windows(rows)
+
+
+def many_chunks(seed, size, reset_share, widths):
+    """Chunks of several keys one after the other, each key's times from zero on."""
+    chunks = []
+    for key in range(8):
+        rows = sorted_rows(seed + key, reset_share, widths)
+        chunks += [rows[at:at + size] for at in range(0, len(rows), size)]
+    return chunks
+
+
+@pytest.mark.parametrize("reset_share", [0.0, 0.01, 0.2])
+@pytest.mark.parametrize("size,widths", [(1, [3]), (5, [3, 40]), (50, [300]), (300, [3, 40])])
+def test_chunks_reduced_at_once_are_those_reduced_alone(size, reset_share, widths):
+    chunks = many_chunks(11, size, reset_share, widths)
+    flat = np.array([(t, kind, t + w, max(widths)) for c in chunks for _, t, _, kind, w in c])
+    starts = np.cumsum([0] + [len(c) for c in chunks])[:-1]
+    columns = TL._table_columns(TL.chunk_tables(starts, *flat.T))
+    names = [f.name for f in TL._TRANSFER_FIELDS]
+    got = [dict(zip(names, row)) for row in zip(*[c.to_pylist() for c in columns])]
+    alone = [chunk_tables(c, size, max(widths))[0] for c in chunks]
+    assert got == [{n: table[n] for n in names} for table in alone]
+
+
+@pytest.mark.parametrize("batch", [1, 3, 64, 10_000])
+def test_tables_do_not_depend_on_batches(batch):
+    """Chunks and groups of tables that go on in the next batches."""
+    chunks = many_chunks(5, 7, 0.01, [40])
+    rows = pa.RecordBatch.from_pylist([
+        {"key": "k", "__chunk": n, "__ts": t, "__kind": kind, "__due": t + w, "__width": 40,
+         "__first": i == 0}
+        for n, c in enumerate(chunks) for i, (_, t, _, kind, w) in enumerate(c)
+    ])
+
+    def table(batches):
+        return pa.Table.from_batches(list(batches)).to_pylist()
+
+    def cut(whole):
+        return (whole.slice(at, batch) for at in range(0, len(whole), batch))
+
+    got = table(TL._tables(["key", "__chunk"])(cut(rows)))
+    alone = [chunk_tables(c, 7, 40)[0] for c in chunks]
+    assert [r.pop("__chunk") for r in got] == list(range(len(chunks)))
+    assert got == alone
+    # 344 tables as one key: groups of three, and the states within each group
+    last = len(alone) - 1
+    numbered = [r | {"__i": i, "__last": last} for i, r in enumerate(alone)]
+    fields = [pa.field("key", pa.string())] + [
+        pa.field(f.name, TL.to_arrow_type(f.dataType)) for f in TL._TRANSFER_FIELDS
+    ] + [pa.field(c, pa.int64()) for c in ("__i", "__last")]
+    members = pa.RecordBatch.from_pylist(numbered, schema=pa.schema(fields))
+    groups = [alone[at:at + 3] for at in range(0, len(alone), 3)]
+    assert table(TL._combined(["key"], 3)(cut(members))) == [
+        {"key": "k", "__i": g, "__last": last // 3, **{
+            f.name: functools.reduce(TL.combine, group)[f.name] for f in TL._TRANSFER_FIELDS}}
+        for g, group in enumerate(groups)
+    ]
+    begin = (500, 460, 2, 80)
+    for c, value in zip(TL._CARRY, begin):
+        members = members.append_column(c, pa.array([value] * len(members), pa.int64()))
+    want = []
+    for group in groups:
+        state = begin
+        for one in group:
+            want.append(state)
+            state = TL._through(one, state)
+    found = table(TL._handed_down(["__i"], 3)(cut(members)))
+    assert [tuple(r[c] for c in TL._CARRY) for r in found] == want
+
+
+def test_small_chunks_are_not_python_groups(spark):
+    """A call per chunk of a few rows took longer than all the rest of the work."""
+    rows = [(f"k{i % 40}", i, i, OPEN, 5) for i in range(40 * 50)]
+    line = Timeline(frame(spark, rows), ["key"], "ts", "id", SPLIT)
+    found = line.windows(F.col("kind"), F.col("t") + F.col("width"))
+    assert found.count() == len(rows)
+    plans = found._jdf.queryExecution().toString()
+    assert "FlatMapGroupsIn" not in plans and "MapInArrow" in plans
