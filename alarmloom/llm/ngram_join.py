@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alarmloom.llm.shared import cut_lineage, written
+from alarmloom.llm.shared import bounded_batches, cut_lineage, written
 
 WORDS = 5
 PERCENT = 80
@@ -563,6 +563,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def ngram_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs (doc_id, text)."""
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     leading_sets = written(leading_columns(texts, words, percent))
     entries = written(shared_columns(leading_sets))

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from alarmloom.llm import decontamination, fingerprints, line_dedup, ngram_join, secret_scan
 
@@ -416,3 +417,18 @@ def test_fingerprints_of_nothing_and_one(spark, no_docs):
     assert rows(fingerprints.fingerprints(named)) == rows(fingerprints.fingerprints(one))
     row = fingerprints.fingerprints(one).first()
     assert row.near_next == 1.0 and row.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    """Arrow batches of the n-gram join count bytes, not only rows."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 600, 1, 1).select(
+        F.col("id").alias("doc_id"), F.repeat(F.format_string("w%d ", "id"), 8000).alias("text"))
+    assert ngram_join.ngram_join(docs.limit(3)).count() == 3
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 15_000_000 and max(found) < 5_000_000
