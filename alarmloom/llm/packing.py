@@ -29,43 +29,39 @@ import unicodedata
 import zlib
 from bisect import insort
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from alarmloom.llm.shared import cut_lineage
+from alarmloom.llm.shared import bounded_batches, cut_lineage
 
-KEPT_WORDS = 1 << 16
+KEPT_WORDS = 1 << 18
 KEPT_LENGTH = 64
-TEXTS_AT_ONCE = 512
+WORDS_AT_ONCE = 1 << 12
 LEAST_CHUNK = 200
 MOST_CHUNKS = 100_000
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
-class Recent(dict):
-    """What was used of late: at most KEPT_WORDS of this turn and as many of the last.
+def views(array: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each element begins and, at last, ends, and the bytes they begin in."""
+    if not len(array):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    _, offsets, data = array.buffers()
+    at = np.frombuffer(offsets, np.int64)[array.offset : array.offset + len(array) + 1]
+    return at - at[0], np.frombuffer(data or b"", np.uint8)[at[0] : at[-1]]
 
-    Keys longer than KEPT_LENGTH are held until the next call only.
-    """
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.last: dict[str, bytes] = {}
 
-    def missing(self, keys: set[str]) -> set[str]:
-        """The keys that are not known; those that are can be looked up from now on."""
-        if len(self) > KEPT_WORDS:
-            self.last = {k: v for k, v in self.items() if len(k) <= KEPT_LENGTH}
-            self.clear()
-        # asks for each key, where a difference would go through all that is kept
-        new = {key for key in keys if key not in self}
-        again = {key: self.last[key] for key in new if key in self.last}
-        self.update(again)
-        return new.difference(again)
+def binaries(offsets: np.ndarray, data: np.ndarray) -> pa.LargeBinaryArray:
+    """The inverse of views."""
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
 
 
 # Fixed rule: the bytes that stand for themselves in byte-level vocabularies; the others
@@ -108,24 +104,23 @@ class PartIds:
         at[at == len(self.keys)] = 0
         return np.where(self.keys[at] == wanted, self.rank[at], self.NO_PAIR)
 
-    def ids_of(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Parts of at most LONGEST bytes with their little-endian ids, in any order."""
-        by_length: dict[int, list[tuple[str, bytes]]] = {}
-        for part in parts:
-            code = part.encode()
-            by_length.setdefault(len(code), []).append((part, code))
-        for length, some in by_length.items():
-            codes = np.frombuffer(b"".join([code for _, code in some]), np.uint8)
-            codes = codes.reshape(-1, length)
+    def ids_of(
+        self, offsets: np.ndarray, data: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Numbers of parts and their ids, a row each, of parts of 1 to LONGEST bytes."""
+        lengths = np.diff(offsets)
+        for length in range(1, self.LONGEST + 1):
+            some = np.flatnonzero(lengths == length)
+            if not len(some):
+                continue
+            codes = data[offsets[some][:, None] + np.arange(length)]
             symbols = self.inner[codes]
             symbols[:, -1] = self.last[codes[:, -1]]
             pairs = codes[:, :-1].astype(np.int32) << 8 | codes[:, 1:]
             ranks = self.first[pairs]
             ranks[:, -1:] = self.ending[pairs[:, -1:]]
             for rows, ids in self.steps(symbols, ranks):
-                step, flat = 4 * ids.shape[1], ids.astype("<u4").tobytes()
-                for i, row in enumerate(rows.tolist()):
-                    yield some[row][0], flat[i * step : (i + 1) * step]
+                yield some[rows], ids
 
     def steps(
         self, symbols: np.ndarray, ranks: np.ndarray
@@ -156,15 +151,19 @@ class PartIds:
 
 
 class WordIds:
-    """The ids of a text, a word of it at a time.
+    """The ids of texts, each distinct word of them at a time, in arrays.
+
+    The vocabulary's white space only parts words, so the ids of a text are those of its
+    words, which recur. Within a word letters, digits and other signs are tokenized apart:
+    distinct words are cut into parts, and the distinct parts that are not known are
+    merged. That holds for the characters that lower-casing and normal form change one by
+    one; other words, and those with the vocabulary's special strings, go to the library.
 
-    The vocabulary's white space only parts words, and within a word letters, digits and
-    other signs are tokenized apart, so the ids of a text are those of such parts, which
-    recur. That holds for the characters
-    that lower-casing and normal form change one by one; other texts, and those with
-    the vocabulary's special strings, go to the library whole.
+    What was met of late is kept: at most KEPT_WORDS parts of at most KEPT_LENGTH bytes.
     """
 
+    LETTER, DIGIT, SIGN = 1, 2, 3
+
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
@@ -173,56 +172,113 @@ class WordIds:
         plain = "\t\n\r -~¡-¬®-įı-ſ"
         # lower-casing may make a special string out of another
         special = "|".join(map(re.escape, specials))
-        self.other = re.compile(f"[^{plain}]|(?i:{special})").search
-        self.known, self.parts = Recent(), Recent()
-        self.merge = PartIds(json.loads(self.tokenizer.to_str())["model"]).ids_of
-        chars = [chr(c) for c in range(33, 0x180) if not self.other(chr(c))]
-        letters = "".join(c for c in chars if unicodedata.category(c)[0] == "L")
-        digits = "".join(c for c in chars if unicodedata.category(c)[0] == "N")
-        # the vocabulary's own way to part a word, for these characters
-        endings = "'s|'t|'re|'ve|'m|'ll|'d"
-        self.cut = re.compile(
-            f"{endings}|[{letters}]+|[{digits}]|[^\\s{letters}{digits}]+"
-        ).findall
-
-    def encoded(self, ids: list[int]) -> bytes:
-        return b"".join([i.to_bytes(4, "little") for i in ids])
-
-    def learn(self, words: set[str]) -> None:
-        """Ids of words not met of late."""
-        new = self.known.missing(words)
-        # a word of letters is one part
-        whole = set(filter(str.isalpha, new))
-        mixed = {word: self.cut(word) for word in new.difference(whole)}
-        self.learn_parts(whole.union(*mixed.values()))
-        ids = self.parts.__getitem__
-        self.known.update(zip(whole, map(ids, whole)))
-        for word, parts in mixed.items():
-            self.known[word] = b"".join(map(ids, parts))
-
-    def learn_parts(self, parts: set[str]) -> None:
-        """The same for parts of words; the library is asked for long ones only."""
-        new = self.parts.missing(parts)
-        # a character has one or two bytes here
-        short = [part for part in new if len(part) * 2 <= PartIds.LONGEST]
-        self.parts.update(self.merge(short))
-        for part in new.difference(short):
+        self.other = f"[^{plain}]|(?i:{special})"
+        self.parts = PartIds(json.loads(self.tokenizer.to_str())["model"])
+        self.known = self.known_ids = pa.array([], pa.large_binary())
+        # by a character's first two bytes; those of one byte count with any second
+        self.kinds = np.zeros((256, 256), np.uint8)
+        for char in map(chr, range(0x180)):
+            kind = {"L": self.LETTER, "N": self.DIGIT}.get(unicodedata.category(char)[0], self.SIGN)
+            code = char.encode()
+            self.kinds[code[0], slice(None) if len(code) == 1 else code[1]] = kind
+
+    def part_starts(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Where the parts of words begin, by the vocabulary's own pattern:
+
+        's|'t|'re|'ve|'m|'ll|'d, else letters, one digit, or other signs.
+        """
+        n = len(data)
+        data = np.concatenate([data, np.zeros(3, np.uint8)])
+        word = np.zeros(n + 3, bool)
+        word[offsets] = True
+        kinds = self.kinds[data[:-1], data[1:]]
+        second = np.flatnonzero(data & 0xC0 == 0x80)
+        kinds[second] = kinds[second - 1]
+        start = word.copy()
+        start[1:-1] |= (kinds[1:] != kinds[:-1]) | (kinds[1:] == self.DIGIT)
+        start[second] = False
+        quote = np.flatnonzero((data[:n] == ord("'")) & start[:n])
+        quote = quote[~word[quote + 1]]
+        one, two = data[quote + 1], data[quote + 2]
+        short = np.isin(one, [*b"stmd"])
+        long = ((one == ord("l")) & (two == ord("l"))) | (
+            np.isin(one, [*b"rv"]) & (two == ord("e"))
+        )
+        long &= ~word[quote + 2]
+        start[quote[short | long] + 1] = False
+        start[quote[short] + 2] = True
+        start[quote[long] + 3] = True
+        return np.flatnonzero(start[:n])
+
+    def merged(self, parts: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """Ids of parts; the library is asked for long ones only."""
+        offsets, data = views(parts)
+        found = list(self.parts.ids_of(offsets, data))
+        for row in np.flatnonzero(np.diff(offsets) > PartIds.LONGEST):
+            _, ids = views(self.library_ids([parts[row].as_py().decode()]))
+            found.append((np.array([row]), ids.view("<u4")[None]))
+        ends = np.zeros(len(parts) + 1, np.int64)
+        for rows, ids in found:
+            ends[rows + 1] = ids.shape[1]
+        ends = ends.cumsum()
+        flat = np.empty(ends[-1], "<u4")
+        for rows, ids in found:
+            flat[ends[rows][:, None] + np.arange(ids.shape[1])] = ids
+        return binaries(4 * ends, flat)
+
+    def part_ids(self, parts: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """The same, by those known; parts are distinct."""
+        at = pc.index_in(parts, value_set=self.known)
+        new = parts.filter(at.is_null())
+        known = pa.concat_arrays([self.known, new])
+        ids = pa.concat_arrays([self.known_ids, self.merged(new)])
+        places = at.fill_null(-1).to_numpy().copy()
+        places[places < 0] = np.arange(len(self.known), len(known))
+        found = ids.take(pa.array(places))
+        if len(known) > KEPT_WORDS:
+            known, ids = parts.slice(0, KEPT_WORDS), found.slice(0, KEPT_WORDS)
+        short = pc.less_equal(pc.binary_length(known), KEPT_LENGTH)
+        self.known, self.known_ids = known.filter(short), ids.filter(short)
+        return found
+
+    def library_ids(self, words: list[str]) -> pa.LargeBinaryArray:
+        """Ids of words as the library gives them."""
+        ids, counts = [], np.zeros(len(words) + 1, np.int64)
+        for at in range(0, len(words), WORDS_AT_ONCE):
             coded = self.tokenizer.encode(
-                [part], is_pretokenized=True, add_special_tokens=False
+                words[at : at + WORDS_AT_ONCE], is_pretokenized=True, add_special_tokens=False
             )
-            self.parts[part] = self.encoded(coded.ids)
+            ids.append(np.array(coded.ids, "<u4"))
+            np.add.at(counts, np.array(coded.word_ids, np.int64) + at + 1, 1)
+        return binaries(4 * counts.cumsum(), np.concatenate(ids or [np.zeros(0, "<u4")]))
+
+    def plain_ids(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of lower-case words of the characters that are not left to the library."""
+        offsets, data = views(words)
+        starts = self.part_starts(offsets, data)
+        parts = binaries(np.append(starts, len(data)), data).dictionary_encode()
+        ends, ids = views(self.part_ids(parts.dictionary).take(parts.indices))
+        # a word has the ids from its first part on, up to the next word's
+        return binaries(ends[np.searchsorted(starts, offsets)], ids)
+
+    def word_ids(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct words."""
+        other = pc.match_substring_regex(words, self.other)
+        plain = self.plain_ids(pc.utf8_lower(words.filter(pc.invert(other))))
+        others = self.library_ids(words.filter(other).to_pylist())
+        # back to their order: sorting is stable
+        places = np.argsort(other.to_numpy(zero_copy_only=False), kind="stable").argsort()
+        return pa.concat_arrays([plain, others]).take(pa.array(places))
 
     def ids_of(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian ids of each text."""
-        split = [None if self.other(text) else text.lower().split() for text in texts]
-        self.learn(set().union(*[words for words in split if words]))
-        known = self.known.__getitem__
-        for text, words in zip(texts, split):
-            if words is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                yield self.encoded(ids)
-            else:
-                yield b"".join(map(known, words))
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        ends, ids = views(self.word_ids(words.dictionary).take(words.indices))
+        lengths = pc.list_value_length(split).to_numpy()
+        bounds = ends[np.append(0, lengths.cumsum(dtype=np.int64))]
+        for start, end in pairwise(bounds.tolist()):
+            yield ids[start:end].tobytes()
 
 
 def cut(ids: bytes, capacity: int) -> list[dict]:
@@ -246,14 +302,12 @@ def tokenized(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
     @F.pandas_udf(f"array<struct<{PIECES.replace(' ', ':')}>>".replace(",:", ","))
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         # goes with the task: a worker that waits for the next holds neither words nor file
-        ids_of = WordIds(vocabulary).ids_of
+        words = WordIds(vocabulary)
         for texts in batches:
-            texts = [text or "" for text in texts]
-            out: list[list[dict]] = []
-            for at in range(0, len(texts), TEXTS_AT_ONCE):
-                some = texts[at : at + TEXTS_AT_ONCE]
-                out += [cut(ids, capacity) for ids in ids_of(some)]
-            yield pd.Series(out)
+            ids_of = words.ids_of([text or "" for text in texts])
+            yield pd.Series([cut(ids, capacity) for ids in ids_of])
+        del words
+        pa.default_memory_pool().release_unused()
 
     found = docs.select("doc_id", pieces("text").alias("pieces"))
     return found.select("doc_id", F.inline("pieces"))
@@ -337,6 +391,7 @@ def best_fit_packing(
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     pieces = cut_lineage(tokenized(docs.select("doc_id", "text"), vocabulary, capacity))
     counts = {row.length: row["count"] for row in pieces.groupBy("length").count().collect()}
     # the plan's size is bounded by the capacity (see above)

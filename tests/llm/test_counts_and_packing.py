@@ -2,6 +2,7 @@
 
 import random
 import struct
+import time
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
@@ -168,3 +169,58 @@ def test_parts_merged_in_arrays_are_those_of_the_library():
         for text, ids in zip(texts, words.ids_of(texts)):
             want = library.encode(text, add_special_tokens=False).ids
             assert ids == struct.pack(f"<{len(want)}I", *want)
+
+
+def invented(seed, words):
+    """A text of new words beside common ones, with case, marks and numbers."""
+    rng = random.Random(seed)
+    syllables = [a + b for a in "bdfglmnprst" for b in ("a", "en", "io", "é", "our", "ly")]
+    common = ["".join(rng.choices(syllables, k=2)) for _ in range(100)]
+    new = ("".join(rng.choices(syllables, k=rng.randrange(2, 5))) for _ in range(words))
+    marks = ["", "", "", "", ",", ".", "'s", "!!", " 42", "\n"]
+    return " ".join(
+        (rng.choice(common) if rng.random() < 0.6 else word.capitalize()) + rng.choice(marks)
+        for word in new
+    )
+
+
+def test_words_take_a_fraction_of_the_library_s_seconds():
+    """Of CPU; word by word in Python it was about half of them."""
+    from tokenizers import Tokenizer
+
+    library, words = Tokenizer.from_file(WORDS), packing.WordIds(WORDS)
+    texts = [invented(seed, 400) for seed in range(1000)]
+    began = time.process_time()
+    got = list(words.ids_of(texts))
+    middle = time.process_time()
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    ended = time.process_time()
+    assert got == [struct.pack(f"<{len(ids)}I", *ids) for ids in want]
+    assert middle - began < 0.4 * (ended - middle)
+
+
+def test_only_words_of_other_characters_go_to_the_library():
+    words, asked = packing.WordIds(WORDS), []
+    library = words.tokenizer
+
+    class Asked:
+        def encode(self, sequence, **how):
+            asked.extend([sequence] if isinstance(sequence, str) else sequence)
+            return library.encode(sequence, **how)
+
+    words.tokenizer = Asked()
+    texts = ["Plain words, don't ask. " * 200 + "it’s “so”\u00a0日本 it’s <|endoftext|>", "é 日本"]
+    got = list(words.ids_of(texts))
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert got == [struct.pack(f"<{len(ids)}I", *ids) for ids in want]
+    assert sorted(asked) == sorted(["it’s", "“so”\u00a0日本", "<|endoftext|>", "日本"])
+
+
+def test_what_is_kept_is_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_WORDS", 1000)
+    words = packing.WordIds(WORDS)
+    for seed in range(20):
+        list(words.ids_of([invented(seed, 3000), "x" * 100]))
+        kept = words.known.to_pylist()
+        assert len(kept) == len(words.known_ids) <= 1000
+        assert max(map(len, kept)) <= packing.KEPT_LENGTH
